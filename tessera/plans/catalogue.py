@@ -283,3 +283,302 @@ def page_title_clean(spark, sf):
     h1 = S.collapse_ws(html_unescape(F.regexp_extract("html", H1_TEXT_RE, 1)))
     title = S.collapse_ws(html_unescape(F.regexp_extract("html", TITLE_TEXT_RE, 1)))
     return p.select("page_id", S.first_nonempty(h1, title, default=enrich.NO_DESCRIPTION_TEXT).alias("title"))
+
+
+# --------------------------------------------------------------------------
+# Patch-upsert (J3, G6, H9, H10) and snapshots.
+# --------------------------------------------------------------------------
+def _label_base(spark, sf) -> DataFrame:
+    lab = table(spark, sf, "labels")
+    return lab.select(F.col("doc_id").alias("key"), F.lit(None).cast("string").alias("name"),
+                      "quality", "toxic", F.lit(None).cast("string").alias("lang"),
+                      F.lit(None).cast("bigint").alias("n_chars"))
+
+
+def _document_updates(spark, sf) -> DataFrame:
+    d = table(spark, sf, "documents")
+    return d.select(F.col("doc_id").alias("key"), F.lit(None).cast("string").alias("name"),
+                    F.lit(None).cast("int").alias("quality"),
+                    F.when(F.col("text").rlike("[0-9]"), F.lit(1)).cast("int").alias("toxic"),
+                    "lang", "n_chars", F.col("doc_id").alias("seq"))
+
+
+_PATCH_SQL = """
+SELECT coalesce(u.doc_id, b.doc_id) AS key,
+       coalesce(u.quality, b.quality) AS quality, coalesce(u.toxic, b.toxic) AS toxic,
+       coalesce(u.lang, b.lang) AS lang, coalesce(u.n_chars, b.n_chars) AS n_chars,
+       CASE WHEN b.doc_id IS NULL THEN 'insert'
+            WHEN u.doc_id IS NULL THEN 'keep'
+            WHEN coalesce(u.quality, b.quality) IS DISTINCT FROM b.quality
+              OR coalesce(u.toxic, b.toxic) IS DISTINCT FROM b.toxic
+              OR coalesce(u.lang, b.lang) IS DISTINCT FROM b.lang
+              OR coalesce(u.n_chars, b.n_chars) IS DISTINCT FROM b.n_chars THEN 'modify'
+            ELSE 'same' END AS op
+FROM (SELECT doc_id, quality, toxic, CAST(NULL AS VARCHAR) AS lang, CAST(NULL AS BIGINT) AS n_chars
+      FROM labels) b
+FULL JOIN (SELECT doc_id, CAST(NULL AS INTEGER) AS quality,
+                  CAST(CASE WHEN regexp_matches(text, '[0-9]') THEN 1 END AS INTEGER) AS toxic,
+                  lang, n_chars FROM documents) u
+  ON b.doc_id = u.doc_id
+"""
+
+
+@register("upsert_patch", _PATCH_SQL)
+def upsert_patch(spark, sf):
+    """J3 phase 1: labelled documents patched by document-derived partial
+    updates on the primary key; NULL fields do not overwrite; unmatched
+    updates are inserted."""
+    merged = merge.upsert(_label_base(spark, sf), _document_updates(spark, sf), "key", "name", "seq")
+    return merged.drop("name")
+
+
+def _customer_base(spark, sf) -> DataFrame:
+    c = table(spark, sf, "customer")
+    return c.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
+                    F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("segment"))
+
+
+def _keyless_updates(spark, sf) -> DataFrame:
+    o = table(spark, sf, "orders")
+    by_order = o.select(
+        F.lit(None).cast("bigint").alias("key"),
+        F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("name"),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).alias("acctbal"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("URGENT")).alias("segment"),
+        F.col("o_orderkey").alias("seq"))
+    s = table(spark, sf, "supplier")
+    by_supplier = s.select(F.lit(None).cast("bigint").alias("key"), F.col("s_name").alias("name"),
+                           F.col("s_acctbal").alias("acctbal"), F.lit(None).cast("string").alias("segment"),
+                           F.col("s_suppkey").alias("seq"))
+    return by_order.unionByName(by_supplier)
+
+
+_SECONDARY_SQL = """
+WITH u AS (
+  SELECT 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS name,
+         CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS acctbal,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN 'URGENT' END AS segment,
+         o_orderkey AS seq
+  FROM orders
+  UNION ALL
+  SELECT s_name, s_acctbal, NULL, s_suppkey FROM supplier),
+f AS (
+  SELECT name,
+         arg_max(acctbal, seq) FILTER (WHERE acctbal IS NOT NULL) AS acctbal,
+         arg_max(segment, seq) FILTER (WHERE segment IS NOT NULL) AS segment
+  FROM u GROUP BY name),
+b AS (SELECT c_custkey AS key, c_name AS name, c_acctbal AS acctbal, c_mktsegment AS segment FROM customer),
+t AS (SELECT name, min(key) AS tk FROM b GROUP BY name),
+bt AS (SELECT b.*, (b.key = t.tk) AS is_target FROM b JOIN t ON b.name = t.name)
+SELECT bt.key AS key, coalesce(bt.name, f.name) AS name,
+       coalesce(CASE WHEN bt.key IS NULL OR bt.is_target THEN f.acctbal END, bt.acctbal) AS acctbal,
+       coalesce(CASE WHEN bt.key IS NULL OR bt.is_target THEN f.segment END, bt.segment) AS segment,
+       CASE WHEN bt.key IS NULL THEN 'insert'
+            WHEN f.name IS NULL OR NOT bt.is_target THEN 'keep'
+            WHEN coalesce(f.acctbal, bt.acctbal) IS DISTINCT FROM bt.acctbal
+              OR coalesce(f.segment, bt.segment) IS DISTINCT FROM bt.segment THEN 'modify'
+            ELSE 'same' END AS op
+FROM bt FULL JOIN f ON bt.name = f.name AND bt.is_target
+"""
+
+
+@register("upsert_secondary_key", _SECONDARY_SQL)
+def upsert_secondary_key(spark, sf):
+    """J3 phase 2 + H9 + H10: key-less updates (several per name, folded by
+    sequence) matched by name; names without a document are inserted."""
+    return merge.upsert(_customer_base(spark, sf), _keyless_updates(spark, sf), "key", "name", "seq")
+
+
+def _counter_sql(scenario: str, sql: str) -> str:
+    return (f"SELECT '{scenario}' AS scenario, count(*) FILTER (WHERE op = 'insert') AS inserted, "
+            f"count(*) FILTER (WHERE op = 'modify') AS modified, "
+            f"count(*) FILTER (WHERE op = 'same') AS unchanged, "
+            f"count(*) FILTER (WHERE op = 'keep') AS untouched FROM ({sql})")
+
+
+@register("upsert_counters", _counter_sql("primary", _PATCH_SQL) + " UNION ALL "
+          + _counter_sql("secondary", _SECONDARY_SQL))
+def upsert_counters(spark, sf):
+    """Write counters of both merges."""
+    a = merge.write_counters(upsert_patch(spark, sf)).select(F.lit("primary").alias("scenario"), "*")
+    b = merge.write_counters(upsert_secondary_key(spark, sf)).select(F.lit("secondary").alias("scenario"), "*")
+    return a.unionByName(b)
+
+
+@register("snapshot_overwrite", _PATCH_SQL)
+def snapshot_overwrite(spark, sf):
+    """K3 + K2 + S4: load the collection twice as full refreshes into a
+    versioned snapshot folder on shared storage, then read the current one."""
+    from ..session import scratch_path
+    from ..sources import snapshot
+    import uuid
+    root = scratch_path(spark, f"snapshots/upsert_patch-{uuid.uuid4().hex[:8]}")
+    merged = upsert_patch(spark, sf)
+    snapshot.write_snapshot(merged, root)
+    snapshot.write_snapshot(merged, root)
+    return snapshot.read_snapshot(spark, root)
+
+
+# --------------------------------------------------------------------------
+# First non-NULL per field.
+# --------------------------------------------------------------------------
+@register("first_non_null_field", """
+SELECT o_orderkey,
+       list_filter(list_transform(regexp_split_to_array(o_orderpriority, '[- ]'),
+                   lambda x: try_cast(nullif(regexp_extract(x, '([0-9]+)', 1), '') AS BIGINT)),
+                   lambda x: x IS NOT NULL)[1] AS prio_num,
+       list_filter(regexp_split_to_array(o_orderpriority, '[- ]'),
+                   lambda x: regexp_matches(x, '[A-Za-z]'))[1] AS prio_word
+FROM orders
+""")
+def first_non_null_field(spark, sf):
+    """Per order, the first token that reads as a number and the first
+    token holding letters, each chosen independently."""
+    o = table(spark, sf, "orders")
+    toks = F.split("o_orderpriority", "[- ]")
+    return o.select("o_orderkey",
+                    N.first_non_null(toks, lambda x: S.to_int(x)).alias("prio_num"),
+                    N.first_non_null(toks, lambda x: F.when(x.rlike("[A-Za-z]"), x)).alias("prio_word"))
+
+
+# --------------------------------------------------------------------------
+# Scalar normalisers (T1-T11) as table jobs.
+# --------------------------------------------------------------------------
+def _token_text(c):
+    return (F.when(c == "view", F.lit(""))
+            .when(c == "click", F.lit(" None "))
+            .when(c == "signup", F.lit("NULL"))
+            .when(c == "purchase", F.lit("nan")))
+
+
+def _sql_t1a(x: str) -> str:
+    y = f"replace(replace(replace(replace({x}, chr(8220), '\"'), chr(8221), '\"'), chr(8217), ''''), chr(160), ' ')"
+    return _sql_null_tokens(y)
+
+
+_RAW_TOKEN_SQL = ("CASE event_type WHEN 'view' THEN '' WHEN 'click' THEN ' None ' WHEN 'signup' THEN 'NULL' "
+                  "WHEN 'purchase' THEN 'nan' ELSE chr(8220) || props || chr(8221) || chr(8217) END")
+
+
+@register("null_tokens", f"""
+SELECT event_id, {_sql_t1a('raw')} AS t1a, {_sql_null_tokens('raw')} AS t1b
+FROM (SELECT event_id, {_RAW_TOKEN_SQL} AS raw FROM events)
+""")
+def null_tokens(spark, sf):
+    """Event fields with injected null tokens and curly quotes."""
+    e = table(spark, sf, "events")
+    raw = F.coalesce(_token_text(F.col("event_type")),
+                     F.concat(F.lit("“"), F.col("props"), F.lit("”’")))
+    return e.select("event_id", S.null_tokens(raw, True).alias("t1a"),
+                    S.null_tokens(raw, False).alias("t1b"))
+
+
+@register("first_int", """
+SELECT doc_id, digits, try_cast(digits AS BIGINT) AS first_int,
+       (digits IS NOT NULL AND try_cast(digits AS BIGINT) IS NULL) AS overflow
+FROM (SELECT doc_id, nullif(regexp_extract(text, '([0-9]+)', 1), '') AS digits FROM documents)
+""")
+def first_int(spark, sf):
+    """T2 + T3 + M8: first digit run of each whole document, as BIGINT; runs
+    beyond int64 become NULL and are flagged."""
+    d = table(spark, sf, "documents")
+    digits = S.first_digits("text")
+    return d.select("doc_id", digits.alias("digits"), S.to_int("text").alias("first_int"),
+                    (digits.isNotNull() & S.to_int("text").isNull()).alias("overflow"))
+
+
+@register("first_decimal", """
+SELECT doc_id,
+       try_cast(replace(nullif(regexp_extract(text, '([0-9]+[.,]?[0-9]*)', 1), ''), ',', '.') AS DOUBLE) AS dec,
+       try_cast(replace(nullif(regexp_extract(text, '([0-9]+[.,][0-9]+)', 1), ''), ',', '.') AS DOUBLE) AS dec_mark
+FROM documents
+""")
+def first_decimal(spark, sf):
+    """T4 (first decimal anywhere) and T5 (whole-token float) over documents."""
+    d = table(spark, sf, "documents")
+    tok = F.nullif(F.regexp_extract("text", r"([0-9]+[.,][0-9]+)", 1), F.lit(""))
+    return d.select("doc_id", S.parse_decimal("text").alias("dec"), S.to_float(tok).alias("dec_mark"))
+
+
+def _unit_text(p):
+    size = F.col("p_size")
+    whole, tenth = (size / 10).cast("int").cast("string"), (size % 10).cast("string")
+    return (F.when(p == "SMALL", F.concat(whole, F.lit("."), tenth, F.lit(" m")))
+            .when(p == "LARGE", F.concat(size.cast("string"), F.lit(" cm")))
+            .when(p == "MEDIUM", size.cast("string"))
+            .when(p == "PROMO", F.concat(whole, F.lit(","), tenth, F.lit(" M")))
+            .when(p == "ECONOMY", F.lit("n/a"))
+            .otherwise(F.concat(size.cast("string"), F.lit("mm"))))
+
+
+_UNIT_SQL = ("CASE p_type WHEN 'SMALL' THEN CAST(p_size // 10 AS VARCHAR) || '.' || CAST(p_size % 10 AS VARCHAR) || ' m' "
+             "WHEN 'LARGE' THEN CAST(p_size AS VARCHAR) || ' cm' WHEN 'MEDIUM' THEN CAST(p_size AS VARCHAR) "
+             "WHEN 'PROMO' THEN CAST(p_size // 10 AS VARCHAR) || ',' || CAST(p_size % 10 AS VARCHAR) || ' M' "
+             "WHEN 'ECONOMY' THEN 'n/a' ELSE CAST(p_size AS VARCHAR) || 'mm' END")
+
+
+@register("length_to_cm", f"""
+SELECT p_partkey, raw,
+  CASE WHEN m <> '' THEN round(CAST(replace(m, ',', '.') AS DOUBLE) * 100, 2)
+       WHEN cm <> '' THEN CAST(replace(cm, ',', '.') AS DOUBLE)
+       ELSE try_cast(replace(nullif(regexp_extract(raw, '([0-9]+[.,]?[0-9]*)', 1), ''), ',', '.') AS DOUBLE) END AS cm
+FROM (SELECT p_partkey, raw,
+             regexp_extract(raw, '(?i)([0-9]+[.,]?[0-9]*)\\s*m\\b', 1) AS m,
+             regexp_extract(raw, '(?i)([0-9]+[.,]?[0-9]*)\\s*cm\\b', 1) AS cm
+      FROM (SELECT p_partkey, {_UNIT_SQL} AS raw FROM part))
+""")
+def length_to_cm(spark, sf):
+    """Metres, centimetres and bare numbers to centimetres."""
+    p = table(spark, sf, "part")
+    raw = _unit_text(F.col("p_type"))
+    return p.select("p_partkey", raw.alias("raw"), S.length_to_cm(raw).alias("cm"))
+
+
+GLYPHS = ["½", "¼", "¾", "2", "1", "0", "x", "1,5", " 4 "]
+
+
+@register("multiplier_glyph", f"""
+SELECT p_partkey, glyph,
+  CASE trim(glyph) WHEN '½' THEN 0.5 WHEN '¼' THEN 0.25 WHEN '¾' THEN 0.75
+       ELSE try_cast(CASE WHEN regexp_matches(replace(trim(glyph), ',', '.'), '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)$')
+                          THEN replace(trim(glyph), ',', '.') END AS DOUBLE) END AS mult
+FROM (SELECT p_partkey, {"[" + ", ".join("'" + g + "'" for g in GLYPHS) + "]"}[p_size % {len(GLYPHS)} + 1] AS glyph FROM part)
+""")
+def multiplier_glyph(spark, sf):
+    """Fraction glyphs and numbers to a multiplier."""
+    p = table(spark, sf, "part")
+    glyph = F.element_at(F.array(*[F.lit(g) for g in GLYPHS]), (F.col("p_size") % len(GLYPHS) + 1).cast("int"))
+    return p.select("p_partkey", glyph.alias("glyph"), S.multiplier(glyph).alias("mult"))
+
+
+@register("list_normalise", """
+SELECT p_partkey, array_to_string(l, ', ') AS norm, len(l) AS n_items
+FROM (SELECT p_partkey,
+             list_filter(list_transform(string_split(' , ' || p_name || ',, ' || p_brand || ' ,' || p_type, ','),
+                                        lambda x: trim(x)), lambda x: x <> '') AS l
+      FROM part)
+""")
+def list_normalise(spark, sf):
+    """Comma lists with stray commas and spaces."""
+    p = table(spark, sf, "part")
+    raw = F.concat(F.lit(" , "), F.col("p_name"), F.lit(",, "), F.col("p_brand"), F.lit(" ,"), F.col("p_type"))
+    return p.select("p_partkey", S.normalize_list_text(raw).alias("norm"),
+                    F.size(S.normalize_list(raw)).cast("bigint").alias("n_items"))
+
+
+@register("multi_split", """
+SELECT doc_id, len(l) AS n_parts, array_to_string(l, '; ') AS joined
+FROM (SELECT doc_id,
+             list_filter(list_transform(
+                 CASE WHEN contains(t, '|') THEN string_split(t, '|')
+                      WHEN contains(t, ';') THEN string_split(t, ';') ELSE [t] END,
+                 lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS l
+      FROM (SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS t FROM documents))
+""")
+def multi_split(spark, sf):
+    """T10 + T11: every whole document split on ``|`` (else ``;``), parts
+    stripped, re-joined with ``"; "``."""
+    d = table(spark, sf, "documents")
+    parts = S.split_multi("text")
+    return d.select("doc_id", F.size(parts).cast("bigint").alias("n_parts"),
+                    S.join_with_placeholder(parts).alias("joined"))
