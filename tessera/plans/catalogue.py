@@ -582,3 +582,433 @@ def multi_split(spark, sf):
     parts = S.split_multi("text")
     return d.select("doc_id", F.size(parts).cast("bigint").alias("n_parts"),
                     S.join_with_placeholder(parts).alias("joined"))
+
+
+# --------------------------------------------------------------------------
+# Id / level extraction, label match, strip helpers, token classes.
+# --------------------------------------------------------------------------
+def _sql_in_range(x: str, lo: int, hi: int) -> str:
+    return f"(CASE WHEN try_cast({x} AS INTEGER) BETWEEN {lo} AND {hi} THEN try_cast({x} AS INTEGER) END)"
+
+
+def _sql_dex(x: str) -> str:
+    s = _sql_t1a(x)
+    h = f"regexp_extract({s}, '#\\s*([0-9]{{1,4}})', 1)"
+    b = f"nullif(regexp_extract({s}, '\\b([0-9]{{1,4}})\\b', 1), '')"
+    return (f"(CASE WHEN {h} <> '' THEN {_sql_in_range(h, 1, 2000)} "
+            f"WHEN contains(lower({s}), 'level') THEN NULL ELSE {_sql_in_range(b, 1, 2000)} END)")
+
+
+def _sql_level(x: str, strict: bool = True) -> str:
+    s = _sql_t1a(x) if strict else _sql_null_tokens(x)
+    t = f"regexp_extract({s}, '[Ll]evel[^0-9]*([0-9]+)', 1)"
+    pat = "\\b([0-9]{1,3})\\b" if strict else "([0-9]+)"
+    p = f"nullif(regexp_extract({s}, '{pat}', 1), '')"
+    return (f"(CASE WHEN {t} <> '' THEN {_sql_in_range(t, 1, 100)} "
+            f"WHEN contains({s}, '#') OR contains(lower({s}), 'http') THEN NULL "
+            f"ELSE {_sql_in_range(p, 1, 100)} END)")
+
+
+def _id_text(spark, sf):
+    p = table(spark, sf, "part")
+    size = F.col("p_size")
+    t = F.col("p_type")
+    raw = (F.when(t == "SMALL", F.concat(F.lit("#"), F.lpad(size.cast("string"), 4, "0")))
+           .when(t == "LARGE", F.concat(F.lit("(Level "), (size * 3).cast("string"), F.lit(")")))
+           .when(t == "MEDIUM", size.cast("string"))
+           .when(t == "PROMO", F.concat(F.lit("https://parts.example/"), size.cast("string")))
+           .when(t == "ECONOMY", F.concat(F.lit("Lv "), size.cast("string"), F.lit(" #")))
+           .otherwise(F.concat(F.lit("No."), (size * 50).cast("string"))))
+    return p.select("p_partkey", raw.alias("raw"))
+
+
+_ID_TEXT_SQL = ("CASE p_type WHEN 'SMALL' THEN '#' || lpad(CAST(p_size AS VARCHAR), 4, '0') "
+                "WHEN 'LARGE' THEN '(Level ' || CAST(p_size * 3 AS VARCHAR) || ')' "
+                "WHEN 'MEDIUM' THEN CAST(p_size AS VARCHAR) "
+                "WHEN 'PROMO' THEN 'https://parts.example/' || CAST(p_size AS VARCHAR) "
+                "WHEN 'ECONOMY' THEN 'Lv ' || CAST(p_size AS VARCHAR) || ' #' "
+                "ELSE 'No.' || CAST(p_size * 50 AS VARCHAR) END")
+
+
+@register("id_level_extract", f"""
+SELECT p_partkey, raw, {_sql_dex('raw')} AS dex, {_sql_level('raw', True)} AS lvl_strict,
+       {_sql_level('raw', False)} AS lvl_loose
+FROM (SELECT p_partkey, {_ID_TEXT_SQL} AS raw FROM part)
+""")
+def id_level_extract(spark, sf):
+    """T12 + T13: catalogue id and level from mixed texts, strict and loose."""
+    d = _id_text(spark, sf)
+    return d.select("p_partkey", "raw", S.dex_id("raw").alias("dex"),
+                    S.level("raw", strict=True).alias("lvl_strict"),
+                    S.level("raw", strict=False).alias("lvl_loose"))
+
+
+def _sql_norm_label(x: str) -> str:
+    return f"trim(replace(replace(lower(coalesce({x}, '')), 'forme', 'form'), '-', ' '))"
+
+
+_LABEL_SQL = ("CASE p_type WHEN 'SMALL' THEN p_type || ' Forme' WHEN 'LARGE' THEN '' "
+              "WHEN 'MEDIUM' THEN 'Pokédex Data' WHEN 'PROMO' THEN p_brand WHEN 'ECONOMY' THEN 'Base' "
+              "ELSE split_part(p_name, ' ', 2) END")
+_HINT_SQL = ("CASE WHEN p_size < 10 THEN '' WHEN p_size < 20 THEN 'Base' "
+             "WHEN p_size < 35 THEN lower(p_type) || '-form' ELSE split_part(p_name, ' ', 1) END")
+
+
+@register("label_match", f"""
+SELECT p_partkey, label, hint,
+  CASE WHEN {_sql_norm_label('hint')} IN ('', 'base') THEN {_sql_norm_label('label')} IN ('', 'base', 'pokédex data')
+       ELSE contains({_sql_norm_label('label')}, {_sql_norm_label('hint')})
+         OR contains({_sql_norm_label('hint')}, {_sql_norm_label('label')}) END AS matched
+FROM (SELECT p_partkey, {_LABEL_SQL} AS label, {_HINT_SQL} AS hint FROM part)
+""")
+def label_match(spark, sf):
+    """Form-hint versus table-label matching."""
+    p = table(spark, sf, "part")
+    t, size = F.col("p_type"), F.col("p_size")
+    label = (F.when(t == "SMALL", F.concat(t, F.lit(" Forme"))).when(t == "LARGE", F.lit(""))
+             .when(t == "MEDIUM", F.lit("Pokédex Data")).when(t == "PROMO", F.col("p_brand"))
+             .when(t == "ECONOMY", F.lit("Base")).otherwise(F.split_part("p_name", F.lit(" "), F.lit(2))))
+    hint = (F.when(size < 10, F.lit("")).when(size < 20, F.lit("Base"))
+            .when(size < 35, F.concat(F.lower(t), F.lit("-form")))
+            .otherwise(F.split_part("p_name", F.lit(" "), F.lit(1))))
+    return p.select("p_partkey", label.alias("label"), hint.alias("hint"),
+                    S.label_match(label, hint).alias("matched"))
+
+
+@register("strip_and_suffix", """
+SELECT p_partkey, trim('((' || p_type || ')', '()') AS stripped, trim(replace(p_type || ' type ', ' type', '')) AS no_suffix
+FROM part
+""")
+def strip_and_suffix(spark, sf):
+    """T16 + T18: parenthesised connector text and type headers."""
+    p = table(spark, sf, "part")
+    return p.select("p_partkey",
+                    S.strip_parens(F.concat(F.lit("(("), F.col("p_type"), F.lit(")"))).alias("stripped"),
+                    S.strip_type_suffix(F.concat(F.col("p_type"), F.lit(" type "))).alias("no_suffix"))
+
+
+def _loose_chain_text():
+    return F.concat(F.col("p_name"), F.lit(" | https://parts.example/"), F.col("p_partkey").cast("string"),
+                    F.lit(" | "), F.lower("p_type"), F.lit(" stone | #"),
+                    F.lpad(F.col("p_size").cast("string"), 4, "0"),
+                    F.lit(" | Level "), F.col("p_size").cast("string"))
+
+
+_LOOSE_SQL = ("p_name || ' | https://parts.example/' || CAST(p_partkey AS VARCHAR) || ' | ' || lower(p_type) "
+              "|| ' stone | #' || lpad(CAST(p_size AS VARCHAR), 4, '0') || ' | Level ' || CAST(p_size AS VARCHAR)")
+
+
+def _sql_joined(parts: str, expr_of_p: str) -> str:
+    return f"array_to_string(list_transform({parts}, lambda p: coalesce(CAST({expr_of_p} AS VARCHAR), 'None')), '; ')"
+
+
+@register("token_classify", f"""
+SELECT p_partkey,
+  {_sql_joined('parts', _sql_dex('p'))} AS numero_evol,
+  {_sql_joined('parts', _sql_level('p', True))} AS level_evol,
+  {_sql_joined('parts', "CASE WHEN contains(lower(p), 'stone') OR contains(lower(p), 'item') THEN p END")} AS item_evol,
+  {_sql_joined('parts', "CASE WHEN NOT regexp_matches(p, 'https?://') AND regexp_matches(p, '[A-Za-z]') AND NOT (contains(lower(p), 'stone') OR contains(lower(p), 'item')) THEN p END")} AS nome_evol,
+  {_sql_joined('parts', "CASE WHEN regexp_matches(p, 'https?://') THEN p END")} AS url_evol
+FROM (SELECT p_partkey, list_filter(list_transform(string_split({_LOOSE_SQL}, '|'), lambda x: trim(x)),
+                                     lambda x: x <> '') AS parts FROM part)
+""")
+def token_classify(spark, sf):
+    """T19 + M5: loose evolution text split on ``|`` and each part classified
+    as id / level / item / name / URL into five aligned lists."""
+    p = table(spark, sf, "part")
+    ev = N.decode_evolutions(_loose_chain_text())
+    return p.select("p_partkey", ev.alias("ev")).select("p_partkey", "ev.*")
+
+
+# --------------------------------------------------------------------------
+# Literal decoding and nested rebuilds (M1-M9).
+# --------------------------------------------------------------------------
+@register("map_decode_values", """
+SELECT event_type, sum(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS k_sum, count(*) AS n
+FROM events GROUP BY event_type
+""")
+def map_decode_values(spark, sf):
+    """M2: literal map text (single-quoted) decoded, values converted (T7),
+    then summed per event type."""
+    e = table(spark, sf, "events")
+    lit_text = F.replace(F.col("props"), F.lit('"'), F.lit("'"))
+    m = N.decode_literal_map(lit_text)
+    return e.groupBy("event_type").agg(F.sum(F.try_element_at(m, F.lit("k"))).alias("k_sum"),
+                                       F.count(F.lit(1)).alias("n"))
+
+
+@register("map_from_lists", """
+SELECT l_orderkey, flag, CASE WHEN cell = '' THEN '1' ELSE cell END AS val FROM (
+  SELECT l_orderkey, l_returnflag AS flag,
+         CASE WHEN l_discount = 0 THEN '' ELSE CAST(l_quantity AS VARCHAR) END AS cell,
+         row_number() OVER (PARTITION BY l_orderkey, l_returnflag
+                            ORDER BY l_linenumber DESC, l_quantity DESC, l_discount DESC, l_extendedprice DESC) AS rn
+  FROM lineitem)
+WHERE rn = 1
+""")
+def map_from_lists(spark, sf):
+    """M1: per order, the map flag -> cell over its lines in line order (last
+    wins for a repeated flag, an empty cell reads as "1"). The last cell per
+    (order, flag) is reduced map-side first, so each order's lists hold at
+    most one entry per flag before the map is built."""
+    li = table(spark, sf, "lineitem")
+    cell = F.when(F.col("l_discount") == 0, F.lit("")).otherwise(F.col("l_quantity").cast("string"))
+    ordkey = F.struct("l_linenumber", "l_quantity", "l_discount", "l_extendedprice")
+    last = li.groupBy("l_orderkey", F.col("l_returnflag").alias("flag")) \
+        .agg(F.max_by(cell, ordkey).alias("cell"), F.max(ordkey).alias("o"))
+    per_order = last.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("o", "flag", "cell"))).alias("e"))
+    m = N.map_from_lists(F.transform("e", lambda x: x["flag"]), F.transform("e", lambda x: x["cell"]))
+    return per_order.select("l_orderkey", F.explode(m).alias("flag", "val"))
+
+
+def _records_literal():
+    pk = F.col("p_partkey").cast("string")
+    body = F.concat(F.lit("[{'nome': '"), F.col("p_name"), F.lit("', 'url': 'https://parts.example/"), pk,
+                    F.lit("', 'descricao': None}, 'junk', {'nome': '"), F.col("p_brand"),
+                    F.lit("', 'url': None, 'descricao': '"), F.col("p_type"), F.lit(" it’s'}]"))
+    return (F.when(F.col("p_size") > 45, F.lit("[{'nome': 'broken'"))
+            .when(F.col("p_size") < 3, F.lit("[]")).otherwise(body))
+
+
+@register("records_decode", """
+SELECT p_partkey,
+  CASE WHEN p_size > 45 THEN NULL WHEN p_size < 3 THEN '' ELSE p_name || '; ' || p_brand END AS nome,
+  CASE WHEN p_size > 45 THEN NULL WHEN p_size < 3 THEN ''
+       ELSE 'https://parts.example/' || CAST(p_partkey AS VARCHAR) || '; None' END AS url,
+  CASE WHEN p_size > 45 THEN NULL WHEN p_size < 3 THEN '' ELSE 'None; ' || p_type || ' it''s' END AS descricao
+FROM part
+""")
+def records_decode(spark, sf):
+    """M3 + F8 + U2: literal record lists with a non-record element, a NULL
+    leaf and a typographic apostrophe; broken lists give NULLs."""
+    p = table(spark, sf, "part")
+    r = N.decode_records_joined(_records_literal(), N.HABILIDADE_FIELDS)
+    return p.select("p_partkey", r.alias("r")).select("p_partkey", "r.*")
+
+
+def _evolution_literal():
+    size = F.col("p_size")
+    num = F.concat(F.lit("#"), F.lpad(size.cast("string"), 4, "0"))
+    lvl = F.concat(F.lit("Level "), (size + 20).cast("string"))
+    odd = F.col("p_partkey") % 2 == 1
+    a, b = F.when(odd, lvl).otherwise(num), F.when(odd, num).otherwise(lvl)
+    item = F.when(F.col("p_type") == "PROMO", F.lit("'Water Stone'")).otherwise(F.lit("None"))
+    return F.concat(F.lit("[{'numero': '"), a, F.lit("', 'level': '"), b, F.lit("', 'item': "), item,
+                    F.lit(", 'nome': '"), F.col("p_name"), F.lit("', 'url': 'https://parts.example/"),
+                    F.col("p_partkey").cast("string"),
+                    F.lit("'}, {'numero': None, 'level': '', 'item': None, 'nome': None, 'url': None}]"))
+
+
+@register("swapped_repair", """
+SELECT p_partkey, CAST(p_size AS VARCHAR) AS numero_evol, CAST(p_size + 20 AS VARCHAR) AS level_evol,
+       CASE WHEN p_type = 'PROMO' THEN 'Water Stone' ELSE 'None' END AS item_evol,
+       p_name AS nome_evol, 'https://parts.example/' || CAST(p_partkey AS VARCHAR) AS url_evol
+FROM part
+""")
+def swapped_repair(spark, sf):
+    """M4 + F7: evolution records with number and level swapped on odd keys
+    are repaired; the all-empty entry is dropped."""
+    p = table(spark, sf, "part")
+    ev = N.decode_evolutions(_evolution_literal())
+    return p.select("p_partkey", ev.alias("ev")).select("p_partkey", "ev.*")
+
+
+def _delimited_columns():
+    pk = F.col("p_partkey").cast("string")
+    nomes = F.replace(F.col("p_name"), F.lit(" "), F.lit("; "))
+    urls = F.concat(F.lit("https://parts.example/"), pk,
+                    F.when(F.col("p_size") > 25, F.concat(F.lit(" | https://mirror.example/"), pk)).otherwise(F.lit("")))
+    m = F.col("p_size") % 3
+    descs = (F.when(m == 0, F.lit("None")).when(m == 1, F.col("p_type"))
+             .otherwise(F.concat(F.col("p_type"), F.lit("; "), F.col("p_brand"), F.lit("; extra"))))
+    return nomes, urls, descs
+
+
+@register("records_rebuild", """
+WITH l AS (
+  SELECT p_partkey, string_split(p_name, ' ') AS n,
+         CASE WHEN p_size > 25 THEN ['https://parts.example/' || CAST(p_partkey AS VARCHAR),
+                                     'https://mirror.example/' || CAST(p_partkey AS VARCHAR)]
+              ELSE ['https://parts.example/' || CAST(p_partkey AS VARCHAR)] END AS u,
+         CASE p_size % 3 WHEN 0 THEN [] WHEN 1 THEN [p_type] ELSE [p_type, p_brand, 'extra'] END AS d
+  FROM part),
+e AS (
+  SELECT p_partkey, unnest(range(0, greatest(len(n), len(u), len(d)))) AS pos, n, u, d FROM l)
+SELECT p_partkey, CAST(pos AS BIGINT) AS pos, n[pos + 1] AS nome, u[pos + 1] AS url, d[pos + 1] AS descricao
+FROM e
+""")
+def records_rebuild(spark, sf):
+    """M6 + H8 + G8: three delimited columns of unequal length rebuilt into
+    records padded with NULL to the longest list; exploded by position."""
+    p = table(spark, sf, "part")
+    recs = N.rebuild_records(*_delimited_columns())
+    return p.select("p_partkey", F.posexplode(recs).alias("pos", "r")) \
+            .select("p_partkey", F.col("pos").cast("bigint").alias("pos"), "r.*")
+
+
+def _evolution_columns():
+    size, pk = F.col("p_size"), F.col("p_partkey")
+    numero = F.when(size % 4 == 0, F.lit("None")).otherwise(F.concat(F.lit("None; "), (pk + 1).cast("string")))
+    lvl = F.when(size % 5 == 0, F.lit("None")).otherwise(F.concat(F.lit("Level "), size.cast("string")))
+    item = F.when(F.col("p_type") == "PROMO", F.lit("None; Water Stone")).otherwise(F.lit("None"))
+    nome = F.when((size % 4 == 0) & (size % 5 == 0), F.lit("None")).otherwise(F.col("p_name"))
+    return numero, lvl, item, nome, F.lit("None")
+
+
+@register("nested_optional", """
+WITH v AS (
+  SELECT p_partkey,
+         CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_partkey + 1 END AS numero,
+         CASE WHEN p_size % 4 = 0 AND p_size % 5 = 0 THEN NULL ELSE p_name END AS nome,
+         CAST(NULL AS VARCHAR) AS url,
+         CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_size END AS level,
+         CASE WHEN p_type = 'PROMO' THEN 'Water Stone' END AS item
+  FROM part)
+SELECT p_partkey, numero, nome, url, level, item,
+       (numero IS NOT NULL OR nome IS NOT NULL OR level IS NOT NULL OR item IS NOT NULL) AS has_evo,
+       (level IS NOT NULL OR item IS NOT NULL) AS has_condicao
+FROM v
+""")
+def nested_optional(spark, sf):
+    """M7 + P6 + P8 + G7 + U3: optional nested struct built from five
+    delimited columns (first usable value per field), then read back through
+    null-safe nested paths."""
+    p = table(spark, sf, "part")
+    evo = N.build_evolution(*_evolution_columns())
+    d = p.select("p_partkey", evo.alias("evolucao"))
+    return d.select("p_partkey",
+                    F.col("evolucao.numero").alias("numero"), F.col("evolucao.nome").alias("nome"),
+                    F.col("evolucao.url").alias("url"), F.col("evolucao.condicao.level").alias("level"),
+                    F.col("evolucao.condicao.item").alias("item"),
+                    F.col("evolucao").isNotNull().alias("has_evo"),
+                    F.col("evolucao.condicao").isNotNull().alias("has_condicao"))
+
+
+@register("zip_shortest", """
+WITH l AS (
+  SELECT p_partkey, string_split(trim(p_name || ' ' || repeat('x ', p_size % 4)), ' ') AS a,
+         string_split(p_brand || '#' || p_type, '#') AS b FROM part)
+SELECT p_partkey, CAST(pos AS BIGINT) AS pos, a[pos + 1] AS a, b[pos + 1] AS b, greatest(len(a), len(b)) AS longest
+FROM (SELECT p_partkey, a, b, unnest(range(0, least(len(a), len(b)))) AS pos FROM l)
+""")
+def zip_shortest(spark, sf):
+    """M9 + G8: positional zip truncated at the shorter list; the longer
+    list's size reported alongside."""
+    p = table(spark, sf, "part")
+    a = F.split(F.trim(F.concat(F.col("p_name"), F.lit(" "), F.repeat(F.lit("x "), (F.col("p_size") % 4).cast("int")))), " ")
+    b = F.split(F.concat(F.col("p_brand"), F.lit("#"), F.col("p_type")), "#")
+    z = p.select("p_partkey", N.zip_shortest(a, b).alias("z"), N.longest(a, b).cast("bigint").alias("longest"))
+    return z.select("p_partkey", F.posexplode("z").alias("pos", "e"), "longest") \
+            .select("p_partkey", F.col("pos").cast("bigint").alias("pos"), "e.a", "e.b", "longest")
+
+
+# --------------------------------------------------------------------------
+# Chains (W1, W2).
+# --------------------------------------------------------------------------
+@register("chain_pairs", """
+SELECT a.conv_id, a.turn, a.role, b.role AS next_role, CAST(length(b.text) AS BIGINT) AS next_len
+FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
+WHERE a.turn % 2 = 0
+""")
+def chain_pairs(spark, sf):
+    """Even positions are entries; each takes its following odd position."""
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "role",
+                                                 F.length("text").cast("bigint").alias("len"))
+    return chain.pair_with_next(c, "conv_id", "turn", ["role", "len"]) \
+        .select("conv_id", "turn", "role", "next_role", F.col("next_len"))
+
+
+@register("chain_successors", """
+SELECT c.conv_id, c.turn, c.role FROM conversations c
+JOIN (SELECT conv_id, min(turn) AS f FROM conversations WHERE lower(trim(role)) = 'assistant' GROUP BY conv_id) m
+  ON c.conv_id = m.conv_id
+WHERE c.turn > m.f
+""")
+def chain_successors(spark, sf):
+    """The entries after the first entry named like the current one."""
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "role")
+    return chain.successors_after_first_match(c, "conv_id", "turn",
+                                              chain.name_equals(F.col("role"), "assistant"))
+
+
+# --------------------------------------------------------------------------
+# Column-set shaping (F2, P1-P4, P7), top-k (O2) and CSV round trip.
+# --------------------------------------------------------------------------
+@register("drop_all_null", """
+SELECT c_custkey, seg, bal FROM (
+  SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS seg, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END AS bal
+  FROM customer)
+WHERE seg IS NOT NULL OR bal IS NOT NULL
+""")
+def drop_all_null(spark, sf):
+    """rows NULL in every required column are dropped."""
+    c = table(spark, sf, "customer")
+    d = c.select("c_custkey", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("seg"),
+                 F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("bal"))
+    return conform.drop_all_null(d, subset=["seg", "bal"])
+
+
+CONFORMED_NATION = [("n_nationkey", "bigint"), ("n_name", "string"), ("name_upper", "string"),
+                    ("n_comment", "string")]
+
+
+@register("conform_columns", """
+SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, upper(n_name) AS name_upper,
+       CAST(NULL AS VARCHAR) AS n_comment
+FROM nation
+""")
+def conform_columns(spark, sf):
+    """P4 (index/blank columns dropped) + P1 (derive only when the source
+    exists) + P2 (drop raw) + P3 (conform to the declared list)."""
+    n = table(spark, sf, "nation")
+    messy = n.select(F.col("n_nationkey").alias("Unnamed: 0"), F.lit("").alias(" "), "*")
+    d = conform.drop_unnamed(messy)
+    d = conform.derive_if_present(d, {"name_upper": ("n_name", F.upper),
+                                      "comment_upper": ("n_comment", F.upper)})
+    d = conform.drop_if_present(d, ["n_regionkey", "n_comment"])
+    return conform.conform(d, CONFORMED_NATION)
+
+
+@register("sparse_json", """
+SELECT c_custkey,
+       CAST(2 + (c_mktsegment <> 'BUILDING')::INT + (c_acctbal >= 0)::INT AS BIGINT) AS n_keys,
+       c_mktsegment <> 'BUILDING' AS has_seg
+FROM customer
+""")
+def sparse_json(spark, sf):
+    """Sparse documents -- NULL fields are absent from the JSON text while
+    an empty list is kept."""
+    c = table(spark, sf, "customer")
+    d = c.select(F.col("c_custkey").alias("key"),
+                 F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("seg"),
+                 F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("bal"),
+                 F.array().cast("array<string>").alias("tags"))
+    j = conform.sparse_json(d, ["key", "seg", "bal", "tags"])
+    return j.select(F.col("key").alias("c_custkey"), conform.json_key_count("json").alias("n_keys"),
+                    F.col("json").contains('"seg"').alias("has_seg"))
+
+
+@register("last_rows", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey DESC LIMIT 5
+""")
+def last_rows(spark, sf):
+    """O2 + K5: the last five rows by input order (top-k, not a full sort)."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return lookup.last_rows(o, "o_orderkey", 5)
+
+
+@register("csv_round_trip", """
+SELECT doc_id, text, lang, source, n_chars FROM documents
+""")
+def csv_round_trip(spark, sf):
+    """K1 + K4 + S1 + S2: documents written as CSV to shared scratch and read
+    back as all-text columns (multi-line quoted cells), then typed again."""
+    from ..session import scratch_path
+    from ..sources import csv_io
+    import uuid
+    cols = ["doc_id", "text", "lang", "source", "n_chars"]
+    path = scratch_path(spark, f"csv/documents-{uuid.uuid4().hex[:8]}")
+    csv_io.write_csv(table(spark, sf, "documents").select(*cols), path)
+    back = csv_io.read_text_csv(spark, path, cols)
+    return back.select(F.col("doc_id").try_cast("bigint").alias("doc_id"), "text", "lang", "source",
+                       F.col("n_chars").try_cast("bigint").alias("n_chars"))
