@@ -58,14 +58,15 @@ def decode_record_list(c, fields: list[str]) -> Column:
     NULL when the text is not a list or does not decode; elements that are
     not records are skipped.
     """
-    s = S.null_tokens(c, normalise_chars=False)
-    is_list = s.rlike(r"^\s*\[")
-    elems = F.from_json(py_literal_to_json(s), "array<string>", _JSON_OPTS)
     struct_ddl = "struct<" + ",".join(f"`{f}`:string" for f in fields) + ">"
-    records = F.transform(
-        F.filter(elems, lambda e: ustarts_with_brace(e)),
-        lambda e: F.from_json(e, struct_ddl, _JSON_OPTS))
-    return F.when(is_list, records)
+
+    def decode(s):
+        elems = F.from_json(py_literal_to_json(s), "array<string>", _JSON_OPTS)
+        records = F.transform(F.filter(elems, ustarts_with_brace),
+                              lambda e: F.from_json(e, struct_ddl, _JSON_OPTS))
+        return F.when(s.rlike(r"^\s*\["), records)
+
+    return S.let(S.null_tokens(c, normalise_chars=False), decode)
 
 
 def _leaf(field: str, fn=None):
@@ -99,11 +100,10 @@ def decode_records_joined(c, fields: list[str]) -> Column:
     Missing/empty leaves print as ``None``; a text that is not a decodable list
     gives a struct of NULLs.
     """
-    recs = decode_record_list(c, fields)
-    return F.struct(*[
+    return S.let(decode_record_list(c, fields), lambda recs: F.struct(*[
         F.when(recs.isNotNull(),
                F.array_join(F.transform(recs, _leaf(f, text_or_placeholder)), "; "))
-        .alias(f) for f in fields])
+        .alias(f) for f in fields]))
 
 
 EVOLUTION_FIELDS = ["numero", "level", "item", "nome", "url"]
@@ -115,6 +115,12 @@ def _evolution_entry(num: Column, lvl: Column, item: Column, nome: Column, url:
                     item.alias("item"), nome.alias("nome"), url.alias("url"))
 
 
+def _split_bar_semicolon(s: Column) -> Column:
+    return (F.when(s.contains("|"), S.split_clean(s, r"\|"))
+            .when(s.contains(";"), S.split_clean(s, ";"))
+            .otherwise(F.array(s)))
+
+
 def decode_evolutions(c) -> Column:
     """M4 + M5: evolution list text -> struct of five ``"; "``-joined columns.
 
@@ -122,37 +128,41 @@ def decode_evolutions(c) -> Column:
     repaired when swapped, and entries with nothing usable are dropped. When
     the text is not such a list, or no entry survives, the text itself is
     split on ``|``/``;`` and each part classified as id/level/item/name/URL.
-    Empty input gives five ``None`` texts.
+    Empty input gives five ``None`` texts. Every intermediate is bound once
+    (``S.let``), so each regex runs once per element.
     """
-    s = S.null_tokens(c, True)
-    recs = decode_record_list(S.null_tokens(c, False), EVOLUTION_FIELDS)
-
-    def repair(r):
-        dex = F.coalesce(S.dex_id(r["numero"]), S.dex_id(r["level"]))
-        lvl = F.coalesce(S.level(r["level"]), S.level(r["numero"]))
-        return F.struct(dex.alias("dex"), lvl.alias("lvl"),
-                        S.null_tokens(r["item"], True).alias("item"),
-                        S.null_tokens(r["nome"], True).alias("nome"),
-                        S.null_tokens(r["url"], True).alias("url"))
-
-    fixed = F.filter(F.transform(recs, repair),
-                     lambda e: F.coalesce(e["dex"].cast("string"), e["lvl"].cast("string"),
-                                          e["item"], e["nome"], e["url"]).isNotNull())
-    structured = F.transform(fixed, lambda e: _evolution_entry(
-        e["dex"], e["lvl"], e["item"], e["nome"], e["url"]))
-
-    parts = F.when(s.contains("|"), S.split_clean(s, r"\|")) \
-             .when(s.contains(";"), S.split_clean(s, ";")) \
-             .otherwise(F.array(s))
-    loose = F.transform(parts, lambda p: _evolution_entry(
-        S.dex_id(p), S.level(p),
-        F.when(S.is_item_token(p), p), F.when(S.is_name_token(p), p), F.when(S.is_url_token(p), p)))
-
-    chosen = F.when(F.size(structured) > 0, structured).otherwise(loose)
-    return F.struct(*[
-        F.when(s.isNull() | (F.size(chosen) == 0), F.lit("None"))
-        .otherwise(F.array_join(F.transform(chosen, _leaf(f)), "; ", "None"))
-        .alias(col) for f, col in zip(EVOLUTION_FIELDS, EVOLUTION_COLUMNS)])
+    nt = lambda x: S.null_tokens(x, True)
+    src = F.struct(nt(c).alias("s"), decode_record_list(c, EVOLUTION_FIELDS).alias("recs"))
+
+    def repair(e):
+        return F.struct(F.coalesce(S.dex_id_bound(e["n"]), S.dex_id_bound(e["l"])).alias("dex"),
+                        F.coalesce(S.level_bound(e["l"]), S.level_bound(e["n"])).alias("lvl"),
+                        e["item"], e["nome"], e["url"])
+
+    def loose(p):
+        return S.let(nt(p), lambda q: _evolution_entry(
+            S.dex_id_bound(q), S.level_bound(q),
+            F.when(S.is_item_token(p), p), F.when(S.is_name_token(p), p), F.when(S.is_url_token(p), p)))
+
+    def columns(s, chosen):
+        return F.struct(*[
+            F.when(s.isNull() | (F.size(chosen) == 0), F.lit("None"))
+            .otherwise(F.array_join(F.transform(chosen, _leaf(f)), "; ", "None"))
+            .alias(col) for f, col in zip(EVOLUTION_FIELDS, EVOLUTION_COLUMNS)])
+
+    def body(v):
+        norm = F.transform(v["recs"], lambda r: F.struct(
+            nt(r["numero"]).alias("n"), nt(r["level"]).alias("l"), nt(r["item"]).alias("item"),
+            nt(r["nome"]).alias("nome"), nt(r["url"]).alias("url")))
+        fixed = F.filter(F.transform(norm, repair),
+                         lambda e: F.coalesce(e["dex"].cast("string"), e["lvl"].cast("string"),
+                                              e["item"], e["nome"], e["url"]).isNotNull())
+        pick = lambda fx: F.when(F.coalesce(F.size(fx), F.lit(0)) > 0, F.transform(fx, lambda e: _evolution_entry(
+            e["dex"], e["lvl"], e["item"], e["nome"], e["url"]))) \
+            .otherwise(F.transform(_split_bar_semicolon(v["s"]), loose))
+        return S.let(fixed, lambda fx: S.let(pick(fx), lambda ch: columns(v["s"], ch)))
+
+    return S.let(src, body)
 
 
 def first_non_null(arr, fn=None) -> Column:
@@ -175,13 +185,16 @@ HABILIDADE_FIELDS = ["nome", "url", "descricao"]
 def rebuild_records(nomes, urls, descricoes) -> Column:
     """M6: three delimited columns -> list of records, padded to the longest
     list with NULL; records whose three fields are all empty are dropped."""
-    arrays = [S.split_multi(x) for x in (nomes, urls, descricoes)]
-    idx = F.sequence(F.lit(0), F.greatest(*[F.size(a) for a in arrays]) - 1)
-    recs = F.transform(idx, lambda i: F.struct(*[
-        F.get(a, i).alias(n) for a, n in zip(arrays, HABILIDADE_FIELDS)]))
-    recs = F.when(F.greatest(*[F.size(a) for a in arrays]) > 0, recs) \
-        .otherwise(F.array().cast("array<struct<nome:string,url:string,descricao:string>>"))
-    return drop_empty_records(recs, HABILIDADE_FIELDS)
+    lists = F.struct(*[S.split_multi(x).alias(n) for x, n in zip((nomes, urls, descricoes), HABILIDADE_FIELDS)])
+    empty = F.array().cast("array<struct<nome:string,url:string,descricao:string>>")
+
+    def body(v):
+        n = F.greatest(*[F.size(v[f]) for f in HABILIDADE_FIELDS])
+        recs = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(*[
+            F.get(v[f], i).alias(f) for f in HABILIDADE_FIELDS]))
+        return drop_empty_records(F.when(n > 0, recs).otherwise(empty), HABILIDADE_FIELDS)
+
+    return S.let(lists, body)
 
 
 def build_evolution(numero_evol, level_evol, item_evol, nome_evol, url_evol) -> Column:
@@ -191,16 +204,24 @@ def build_evolution(numero_evol, level_evol, item_evol, nome_evol, url_evol) ->
     exists only when level or item exists; all fields absent -> NULL.
     """
     text = lambda x: S.null_tokens(x, False)
-    num = first_non_null(S.split_multi(numero_evol), lambda x: S.to_int(x, False))
-    lvl = first_non_null(S.split_multi(level_evol), lambda x: S.level(x, strict=False))
-    item = first_non_null(S.split_multi(item_evol), text)
-    nome = first_non_null(S.split_multi(nome_evol), text)
-    url = first_non_null(S.split_multi(url_evol), text)
-    cond = F.when(lvl.isNotNull() | item.isNotNull(),
-                  F.struct(lvl.alias("level"), item.alias("item")))
-    evo = F.struct(num.alias("numero"), nome.alias("nome"), url.alias("url"), cond.alias("condicao"))
-    any_set = F.coalesce(num.cast("string"), lvl.cast("string"), item, nome, url).isNotNull()
-    return F.when(any_set, evo)
+    firsts = F.struct(
+        first_non_null(S.split_multi(numero_evol), lambda x: S.to_int(x, False)).alias("numero"),
+        first_non_null(S.split_multi(level_evol),
+                       lambda x: S.level_bound(S.null_tokens(x, False), strict=False)).alias("level"),
+        first_non_null(S.split_multi(item_evol), text).alias("item"),
+        first_non_null(S.split_multi(nome_evol), text).alias("nome"),
+        first_non_null(S.split_multi(url_evol), text).alias("url"))
+
+    def body(v):
+        cond = F.when(v["level"].isNotNull() | v["item"].isNotNull(),
+                      F.struct(v["level"].alias("level"), v["item"].alias("item")))
+        evo = F.struct(v["numero"].alias("numero"), v["nome"].alias("nome"), v["url"].alias("url"),
+                       cond.alias("condicao"))
+        present = F.coalesce(v["numero"].cast("string"), v["level"].cast("string"),
+                             v["item"], v["nome"], v["url"]).isNotNull()
+        return F.when(present, evo)
+
+    return S.let(firsts, body)
 
 
 def map_from_lists(keys, cells, empty_value: str = "1") -> Column:

@@ -47,13 +47,16 @@ def null_tokens(c, normalise_chars: bool = True) -> Column:
     """T1a (``normalise_chars=True``) / T1b: strip and map null tokens to NULL.
 
     T1a first rewrites NBSP/thin space and curly quotes (cleaning stage);
-    T1b only strips (loading stage).
+    T1b only strips (loading stage). The text is referenced once, so the
+    expression stays linear when nested in list lambdas.
     """
     s = _c(c).cast("string")
     if normalise_chars:
         s = F.translate(s, CHAR_FROM, CHAR_TO)
     s = ustrip(s)
-    return F.when(F.lower(s).isin(*NULL_TOKENS), F.lit(None).cast("string")).otherwise(s)
+    tokens = "|".join(t for t in NULL_TOKENS if t)
+    # A null token becomes "" and "" becomes NULL.
+    return F.nullif(F.regexp_replace(s, f"(?i)^({tokens})$", ""), F.lit(""))
 
 
 def first_digits(c, normalise_chars: bool = True) -> Column:
@@ -140,11 +143,13 @@ def split_multi(c, normalise_chars: bool = False) -> Column:
 
     Parts are stripped and empty parts dropped; NULL/null tokens give [].
     """
-    s = null_tokens(c, normalise_chars)
-    arr = (F.when(s.contains("|"), split_clean(s, r"\|"))
-           .when(s.contains(";"), split_clean(s, ";"))
-           .otherwise(F.array(s)))
-    return F.when(s.isNull(), F.array().cast("array<string>")).otherwise(arr)
+    def split(s):
+        arr = (F.when(s.contains("|"), split_clean(s, r"\|"))
+               .when(s.contains(";"), split_clean(s, ";"))
+               .otherwise(F.array(s)))
+        return F.when(s.isNull(), F.array().cast("array<string>")).otherwise(arr)
+
+    return let(null_tokens(c, normalise_chars), split)
 
 
 def join_with_placeholder(arr) -> Column:
@@ -152,32 +157,55 @@ def join_with_placeholder(arr) -> Column:
     return F.array_join(_c(arr), "; ", "None")
 
 
+def let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn``, which may use it many
+    times. Inside higher-order-function lambdas (which are evaluated without
+    common-subexpression elimination) this keeps repeated references from
+    re-evaluating the whole sub-expression."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def _in_range(n: Column, lo: int, hi: int) -> Column:
     return F.when((n >= lo) & (n <= hi), n)
 
 
+def _bounded_int(text: Column, lo: int, hi: int) -> Column:
+    return let(text.try_cast("int"), lambda n: _in_range(n, lo, hi))
+
+
 def dex_id(c, max_id: int = MAX_DEX_ID) -> Column:
     """Id from ``#n`` (1-4 digits) first; text mentioning "level" gives
     NULL; else a free-standing 1-4 digit number; valid range 1..max_id."""
-    s = null_tokens(c, True)
-    hashed = F.nullif(F.regexp_extract(s, r"(?U)#\s*([0-9]{1,4})", 1), F.lit("")).try_cast("int")
-    bare = F.nullif(F.regexp_extract(s, r"(?U)\b([0-9]{1,4})\b", 1), F.lit("")).try_cast("int")
-    return (F.when(hashed.isNotNull(), _in_range(hashed, 1, max_id))
-            .when(F.lower(s).contains("level"), F.lit(None).cast("int"))
-            .otherwise(_in_range(bare, 1, max_id)))
+    return dex_id_bound(null_tokens(c, True), max_id)
+
+
+def dex_id_bound(s: Column, max_id: int = MAX_DEX_ID) -> Column:
+    """T12 on an already normalised text, each regex evaluated once (for use
+    inside list lambdas)."""
+    parts = F.struct(F.regexp_extract(s, r"(?U)#\s*([0-9]{1,4})", 1).alias("h"),
+                     F.regexp_extract(s, r"(?U)\b([0-9]{1,4})\b", 1).alias("b"),
+                     F.lower(s).contains("level").alias("lv"))
+    return let(parts, lambda p: F.when(p["h"] != "", _bounded_int(p["h"], 1, max_id))
+               .when(p["lv"], F.lit(None).cast("int"))
+               .otherwise(_bounded_int(F.nullif(p["b"], F.lit("")), 1, max_id)))
+
+
+def level_bound(s: Column, strict: bool = True, max_level: int = MAX_LEVEL) -> Column:
+    """T13 on an already normalised text, each regex evaluated once."""
+    plain_re = r"(?U)\b([0-9]{1,3})\b" if strict else r"([0-9]+)"
+    parts = F.struct(F.regexp_extract(s, r"[Ll]evel[^0-9]*([0-9]+)", 1).alias("t"),
+                     F.regexp_extract(s, plain_re, 1).alias("p"),
+                     (s.contains("#") | F.lower(s).contains("http")).alias("no"))
+    return let(parts, lambda p: F.when(p["t"] != "", _bounded_int(p["t"], 1, max_level))
+               .when(p["no"], F.lit(None).cast("int"))
+               .otherwise(_bounded_int(F.nullif(p["p"], F.lit("")), 1, max_level)))
 
 
 def level(c, strict: bool = True, max_level: int = MAX_LEVEL) -> Column:
     """``Level n`` first; text with ``#`` or ``http`` gives NULL; else a
     number (strict: a free-standing 1-3 digit one; loose: the first digits);
     valid range 1..max_level. Strict is the cleaning stage, loose the load."""
-    s = null_tokens(c, strict)
-    tagged = F.nullif(F.regexp_extract(s, r"[Ll]evel[^0-9]*([0-9]+)", 1), F.lit(""))
-    plain_re = r"(?U)\b([0-9]{1,3})\b" if strict else r"([0-9]+)"
-    plain = F.nullif(F.regexp_extract(s, plain_re, 1), F.lit(""))
-    return (F.when(tagged.isNotNull(), _in_range(tagged.try_cast("int"), 1, max_level))
-            .when(s.contains("#") | F.lower(s).contains("http"), F.lit(None).cast("int"))
-            .otherwise(_in_range(plain.try_cast("int"), 1, max_level)))
+    return level_bound(null_tokens(c, strict), strict, max_level)
 
 
 def _norm_label(c) -> Column:

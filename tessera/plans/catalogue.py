@@ -1012,3 +1012,156 @@ def csv_round_trip(spark, sf):
     back = csv_io.read_text_csv(spark, path, cols)
     return back.select(F.col("doc_id").try_cast("bigint").alias("doc_id"), "text", "lang", "source",
                        F.col("n_chars").try_cast("bigint").alias("n_chars"))
+
+
+# --------------------------------------------------------------------------
+# The whole flow (traces B -> C -> D) on raw items derived from ``part``.
+# --------------------------------------------------------------------------
+def raw_items(spark, sf) -> DataFrame:
+    """Raw scraped-item rows (all text, literals as the scraper writes them)
+    derived from ``part``; pairs of parts share an id, size 7 has none."""
+    from . import etl
+    p = table(spark, sf, "part")
+    size, pk = F.col("p_size"), F.col("p_partkey")
+    glyph = F.element_at(F.array(*[F.lit(g) for g in GLYPHS]), (size % len(GLYPHS) + 1).cast("int"))
+    numero = F.when(size == 7, F.lit(" None ")).otherwise(
+        F.concat(F.lit("#"), F.lpad((pk / 2).cast("bigint").cast("string"), 4, "0")))
+    efet = F.concat(F.lit("{'Fire': '"), glyph, F.lit("', 'Water': '"), (size % 3).cast("string"), F.lit("'}"))
+    habs = F.concat(F.lit("[{'nome': '"), F.col("p_brand"), F.lit("', 'url': 'https://parts.example/ability/"),
+                    size.cast("string"), F.lit("', 'descricao': '"), F.col("p_type"), F.lit("'}]"))
+    raw = p.select(
+        numero.alias("numero"),
+        F.concat(F.lit("https://parts.example/item/"), pk.cast("string")).alias("url"),
+        F.col("p_name").alias("nome"),
+        _evolution_literal().alias("proximas_evolucoes"),
+        _unit_text(F.col("p_type")).alias("tamanho"),
+        F.concat(F.replace(F.col("p_retailprice").cast("string"), F.lit("."), F.lit(",")), F.lit(" kg")).alias("peso"),
+        F.concat(F.lit(" "), F.replace(F.col("p_name"), F.lit(" "), F.lit(" ,, ")), F.lit(", "), F.col("p_type")).alias("tipos"),
+        efet.alias("efetividade"), habs.alias("habilidades"), pk.alias(etl.SEQ))
+    return raw
+
+
+def etl_documents_frame(spark, sf, via_csv: bool = False) -> DataFrame:
+    from . import etl
+    raw = raw_items(spark, sf)
+    if via_csv:
+        from ..session import scratch_path
+        from ..sources import csv_io
+        import uuid
+        tag = uuid.uuid4().hex[:8]
+        raw_path, clean_path = scratch_path(spark, f"csv/raw-{tag}"), scratch_path(spark, f"csv/clean-{tag}")
+        csv_io.write_csv(raw, raw_path)
+        raw = csv_io.read_text_csv(spark, raw_path, etl.RAW_COLUMNS + [etl.SEQ]) \
+            .withColumn(etl.SEQ, F.col(etl.SEQ).try_cast("bigint"))
+        csv_io.write_csv(etl.clean_items(raw), clean_path)
+        clean = csv_io.read_text_csv(spark, clean_path, [f.name for f in etl.CLEAN_SCHEMA.fields] + [etl.SEQ]) \
+            .withColumn(etl.SEQ, F.col(etl.SEQ).try_cast("bigint"))
+    else:
+        clean = etl.clean_items(raw)
+    return etl.load_collection(etl.build_documents(clean))
+
+
+def _flatten_documents(d: DataFrame) -> DataFrame:
+    return d.select(
+        "numero", "nome", "url", F.array_join("tipos", ", ").alias("tipos"),
+        F.size("tipos").cast("bigint").alias("n_tipos"), "peso_kg", "altura_cm",
+        F.try_element_at("efetividade", F.lit("Fire")).alias("eff_fire"),
+        F.try_element_at("efetividade", F.lit("Water")).alias("eff_water"),
+        F.size("habilidades").cast("bigint").alias("n_hab"),
+        F.get("habilidades", 0)["nome"].alias("hab_nome"), F.get("habilidades", 0)["url"].alias("hab_url"),
+        F.get("habilidades", 0)["descricao"].alias("hab_desc"),
+        F.col("evolucao.numero").alias("evo_numero"), F.col("evolucao.nome").alias("evo_nome"),
+        F.col("evolucao.url").alias("evo_url"), F.col("evolucao.condicao.level").alias("evo_level"),
+        F.col("evolucao.condicao.item").alias("evo_item"), "op")
+
+
+_GLYPH_SQL = "[" + ", ".join("'" + g + "'" for g in GLYPHS) + "]" + f"[p_size % {len(GLYPHS)} + 1]"
+
+
+def _sql_mult(x: str) -> str:
+    return (f"(CASE trim({x}) WHEN '½' THEN 0.5 WHEN '¼' THEN 0.25 WHEN '¾' THEN 0.75 "
+            f"ELSE try_cast(CASE WHEN regexp_matches(replace(trim({x}), ',', '.'), "
+            f"'^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)$') THEN replace(trim({x}), ',', '.') END AS DOUBLE) END)")
+
+
+_ETL_LOADED_SQL = f"""
+WITH kept AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY p_partkey) AS rn
+    FROM (SELECT *, CASE WHEN p_size = 7 THEN NULL ELSE p_partkey // 2 END AS k FROM part))
+  WHERE rn = 1),
+u AS (
+  SELECT *, {_UNIT_SQL} AS raw_len, {_GLYPH_SQL} AS glyph FROM kept)
+SELECT CAST(k AS BIGINT) AS numero, p_name AS nome, 'https://parts.example/item/' || CAST(p_partkey AS VARCHAR) AS url,
+       replace(p_name, ' ', ', ') || ', ' || p_type AS tipos, CAST(3 AS BIGINT) AS n_tipos,
+       try_cast(replace(regexp_extract(CAST(p_retailprice AS VARCHAR), '([0-9]+[.,]?[0-9]*)', 1), ',', '.') AS DOUBLE) AS peso_kg,
+       CASE WHEN m <> '' THEN round(CAST(replace(m, ',', '.') AS DOUBLE) * 100, 2)
+            WHEN cm <> '' THEN CAST(replace(cm, ',', '.') AS DOUBLE)
+            ELSE try_cast(replace(nullif(regexp_extract(raw_len, '([0-9]+[.,]?[0-9]*)', 1), ''), ',', '.') AS DOUBLE) END AS altura_cm,
+       {_sql_mult('glyph')} AS eff_fire, CAST(p_size % 3 AS DOUBLE) AS eff_water,
+       CAST(1 AS BIGINT) AS n_hab, p_brand AS hab_nome,
+       'https://parts.example/ability/' || CAST(p_size AS VARCHAR) AS hab_url, p_type AS hab_desc,
+       CAST(p_size AS BIGINT) AS evo_numero, p_name AS evo_nome,
+       'https://parts.example/' || CAST(p_partkey AS VARCHAR) AS evo_url,
+       CAST(p_size + 20 AS INTEGER) AS evo_level,
+       CASE WHEN p_type = 'PROMO' THEN 'Water Stone' END AS evo_item, 'insert' AS op
+FROM (SELECT *, regexp_extract(raw_len, '(?i)([0-9]+[.,]?[0-9]*)\\s*m\\b', 1) AS m,
+                regexp_extract(raw_len, '(?i)([0-9]+[.,]?[0-9]*)\\s*cm\\b', 1) AS cm FROM u)
+"""
+
+# Load-stage upsert: the single document without an id is matched by name
+# to the least-numbered document of that name (whole lists/maps/struct are
+# replaced, scalars patched), else inserted.
+_WHOLE = ["tipos", "n_tipos", "eff_fire", "eff_water", "n_hab", "hab_nome", "hab_url", "hab_desc",
+          "evo_numero", "evo_nome", "evo_url", "evo_level", "evo_item"]
+_ETL_DOCS_SQL = f"""
+WITH docs AS ({_ETL_LOADED_SQL}),
+nk AS (SELECT * FROM docs WHERE numero IS NULL),
+tgt AS (SELECT nome, min(numero) AS tk FROM docs
+        WHERE numero IS NOT NULL AND nome IN (SELECT nome FROM nk) GROUP BY nome),
+n AS (SELECT nk.*, tgt.tk FROM nk JOIN tgt ON nk.nome = tgt.nome)
+SELECT d.numero, d.nome, coalesce(n.url, d.url) AS url,
+       {", ".join(f"CASE WHEN n.tk IS NOT NULL THEN n.{c} ELSE d.{c} END AS {c}" for c in _WHOLE)},
+       coalesce(n.peso_kg, d.peso_kg) AS peso_kg, coalesce(n.altura_cm, d.altura_cm) AS altura_cm, d.op
+FROM docs d LEFT JOIN n ON d.numero = n.tk
+WHERE d.numero IS NOT NULL
+UNION ALL BY NAME
+SELECT * FROM nk WHERE nome NOT IN (SELECT nome FROM tgt)
+"""
+
+
+@register("etl_documents", _ETL_DOCS_SQL)
+def etl_documents(spark, sf):
+    """Traces B + C: raw items are id-normalised, deduplicated keep-first,
+    decoded (units, literal maps and record lists, swapped evolution fields)
+    into cleaned rows, rebuilt into nested documents and upserted into an
+    emptied collection; flattened for comparison."""
+    return _flatten_documents(etl_documents_frame(spark, sf))
+
+
+@register("etl_csv_documents", _ETL_DOCS_SQL)
+def etl_csv_documents(spark, sf):
+    """The same flow with the CSV interchange between the stages (K4 -> S1,
+    K1 -> S2) on shared scratch storage."""
+    return _flatten_documents(etl_documents_frame(spark, sf, via_csv=True))
+
+
+@register("etl_water_query", f"""
+SELECT numero, nome, evo_level AS level FROM ({_ETL_DOCS_SQL})
+WHERE (contains(lower(tipos), 'ring, ') OR contains(lower(tipos), 'anel, ') OR starts_with(lower(tipos), 'ring,'))
+  AND len(list_filter(string_split(tipos, ', '), lambda t: regexp_matches(t, '(?i)^(ring|anel)$'))) > 0
+  AND evo_level > 30 AND evo_level <= 100
+ORDER BY numero
+""")
+def etl_water_query(spark, sf):
+    """Trace D (b) on the loaded collection: typed, ranged, sorted lookup."""
+    docs = etl_documents_frame(spark, sf)
+    return lookup.water_after_level(docs, 30, 100, pattern=RING_PATTERN)
+
+
+@register("etl_multi_type_count", f"""
+SELECT count(*) AS n_multi FROM ({_ETL_DOCS_SQL}) WHERE n_tipos >= 2
+""")
+def etl_multi_type_count(spark, sf):
+    """Trace D (a) on the loaded collection."""
+    return lookup.multi_type_count(etl_documents_frame(spark, sf))
