@@ -70,6 +70,13 @@ def to_int(c, normalise_chars: bool = True) -> Column:
     return first_digits(c, normalise_chars).try_cast("bigint")
 
 
+def canonical_digits(c, normalise_chars: bool = True) -> Column:
+    """T3 (cleaning stage): the first digit run as an exact, unbounded integer
+    in canonical text form (leading zeros removed), so ids beyond int64 stay
+    distinct keys; the load stage's ``to_int`` nulls those."""
+    return F.regexp_replace(first_digits(c, normalise_chars), r"^0+(?=[0-9])", "")
+
+
 def parse_decimal(c) -> Column:
     """T4: first number with an optional ``.``/``,`` decimal mark as DOUBLE.
 

@@ -89,10 +89,12 @@ def upsert(base: DataFrame, updates: DataFrame, key: str, name: str, seq: str) -
     keyless = fold_updates(upd.where(F.col(key).isNull()), name, seq, rest).drop(seq)
     targets = (phase1.groupBy(F.col(name).alias("_tn"))
                .agg(F.min(F.struct(F.col(key).isNull().alias("_null"), F.col(key).alias("_k")))
-                    .alias("_t")))
+                    .alias("_t"))
+               .withColumn("_present", F.lit(True)))
+    # A NULL name is a valid target name, so presence is tracked explicitly.
     k = (keyless.join(targets, keyless[name].eqNullSafe(F.col("_tn")), "left")
          .select(*[F.col(c) for c in keyless.columns],
-                 F.col("_t._k").alias("_tk"), F.col("_tn").isNotNull().alias("_has_t"))
+                 F.col("_t._k").alias("_tk"), F.col("_present").isNotNull().alias("_has_t"))
          .alias("k"))
     p = phase1.alias("p")
     cond = (F.col(f"p.{name}").eqNullSafe(F.col(f"k.{name}"))

@@ -28,7 +28,7 @@ RICH_COLUMNS = ("proximas_evolucoes", "habilidades", "efetividade")
 SEQ = "seq"
 
 CLEAN_SCHEMA = T.StructType([
-    T.StructField("numero", T.LongType()),
+    T.StructField("numero", T.StringType()),   # canonical digits, unbounded
     T.StructField("url", T.StringType()),
     T.StructField("nome", T.StringType()),
     T.StructField("tipos", T.StringType()),
@@ -70,7 +70,7 @@ def clean_items(raw: DataFrame, seq: str = SEQ) -> DataFrame:
     order, needed for keep-first). Absent columns are tolerated (P1/P3)."""
     if seq not in raw.columns:
         raise ValueError(f"raw items need an explicit input order column '{seq}'")
-    df = conform.derive_if_present(raw, {"numero": ("numero", S.to_int)})
+    df = conform.derive_if_present(raw, {"numero": ("numero", S.canonical_digits)})
     if "numero" in df.columns:
         df = dedup.keep_first(df, "numero", seq)
     df = conform.drop_all_null(df, exclude=RICH_COLUMNS + (seq,))
