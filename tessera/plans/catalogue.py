@@ -1165,3 +1165,29 @@ SELECT count(*) AS n_multi FROM ({_ETL_DOCS_SQL}) WHERE n_tipos >= 2
 def etl_multi_type_count(spark, sf):
     """Trace D (a) on the loaded collection."""
     return lookup.multi_type_count(etl_documents_frame(spark, sf))
+
+
+# --------------------------------------------------------------------------
+# Page extractor over the whole page table (X5 cascade, h1 text).
+# --------------------------------------------------------------------------
+_FIRST_ARTICLE_P = r"(?s)<article[^>]*>.*?<p[^>]*>(.*?)(?:<p[ >]|</p>|</article>)"
+
+
+@register("page_description", f"""
+SELECT page_id,
+       trim({_sql_unescape(f"regexp_extract(html, '{H1_TEXT_RE}', 1)")}) AS h1,
+       coalesce(nullif({_sql_collapse(_sql_unescape(
+           f"regexp_replace(regexp_extract(html, '{_FIRST_ARTICLE_P}', 1), '<[^>]*>', ' ', 'g')"))}, ''),
+                '{enrich.NO_DESCRIPTION_TEXT}') AS description
+FROM pages
+""")
+def page_description(spark, sf):
+    """X5 + T8 + T17 over every page: the description cascade (effect
+    section, first paragraph after it, first paragraph of the main content,
+    first game-description cell, constant) on a real HTML parse that
+    tolerates the pages' unclosed paragraphs; plus the first ``h1`` text."""
+    from ..sources.pages import parse_pages
+    parsed = parse_pages(table(spark, sf, "pages"), keep=["page_id"])
+    desc = S.first_nonempty(*[S.collapse_ws(F.get("desc", i)) for i in range(4)],
+                            default=enrich.NO_DESCRIPTION_TEXT)
+    return parsed.select("page_id", F.col("h1"), desc.alias("description"))
