@@ -14,24 +14,36 @@ their own.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 POINTER = "_current"
 
 
-def current_version(spark: SparkSession, root: str) -> int | None:
+def _pointer(spark: SparkSession, root: str) -> tuple[int | None, int | None]:
+    """(version, epoch) from the pointer text ``"<version>[,<epoch>]"``."""
     try:
-        row = spark.read.text(f"{root}/{POINTER}").agg(F.max(F.col("value").cast("int"))).first()
+        row = spark.read.text(f"{root}/{POINTER}").first()
     except Exception:  # noqa: BLE001 - no pointer yet
-        return None
-    return None if row is None else row[0]
+        return None, None
+    if row is None:
+        return None, None
+    parts = row[0].split(",")
+    return int(parts[0]), (int(parts[1]) if len(parts) > 1 and parts[1] else None)
+
+
+def current_version(spark: SparkSession, root: str) -> int | None:
+    return _pointer(spark, root)[0]
+
+
+def last_epoch(spark: SparkSession, root: str) -> int | None:
+    """Streaming batch id that produced the current version, if any."""
+    return _pointer(spark, root)[1]
 
 
 def version_path(root: str, version: int) -> str:
     return f"{root}/version={version:06d}"
 
 
-def write_snapshot(df: DataFrame, root: str) -> str:
+def write_snapshot(df: DataFrame, root: str, epoch: int | None = None) -> str:
     """K2/K3: write ``df`` as the next version and switch the pointer to it.
 
     Every write is a full refresh of the collection (the source drops the
@@ -41,7 +53,8 @@ def write_snapshot(df: DataFrame, root: str) -> str:
     nxt = (current_version(spark, root) or 0) + 1
     path = version_path(root, nxt)
     df.write.mode("overwrite").parquet(path)
-    spark.createDataFrame([(str(nxt),)], "value string").coalesce(1) \
+    value = str(nxt) if epoch is None else f"{nxt},{epoch}"
+    spark.createDataFrame([(value,)], "value string").coalesce(1) \
         .write.mode("overwrite").text(f"{root}/{POINTER}")
     return path
 
