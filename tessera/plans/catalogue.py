@@ -297,7 +297,7 @@ def _label_base(spark, sf) -> DataFrame:
 
 def _document_updates(spark, sf) -> DataFrame:
     d = table(spark, sf, "documents")
-    return d.select(F.col("doc_id").alias("key"), F.lit(None).cast("string").alias("name"),
+    return d.select(F.col("doc_id").alias("key"), F.col("source").alias("name"),
                     F.lit(None).cast("int").alias("quality"),
                     F.when(F.col("text").rlike("[0-9]"), F.lit(1)).cast("int").alias("toxic"),
                     "lang", "n_chars", F.col("doc_id").alias("seq"))
