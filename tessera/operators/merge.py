@@ -71,8 +71,9 @@ def upsert(base: DataFrame, updates: DataFrame, key: str, name: str, seq: str) -
 
     # Phase 1: primary key.
     keyed = fold_updates(upd.where(F.col(key).isNotNull()), key, seq, fields).drop(seq)
-    # Base rows with NULL key never match phase 1; mark base presence explicitly.
-    b = base.withColumn("_in_b", F.lit(True)).alias("b")
+    # Base rows with a NULL key can never match a keyed update; they bypass
+    # the join instead of all hashing into one partition.
+    b = base.where(F.col(key).isNotNull()).withColumn("_in_b", F.lit(True)).alias("b")
     u = keyed.alias("u")
     u_hit = F.col(f"u.{key}").isNotNull()
     j1 = b.join(u, F.col(f"b.{key}") == F.col(f"u.{key}"), "full_outer")
@@ -82,7 +83,8 @@ def upsert(base: DataFrame, updates: DataFrame, key: str, name: str, seq: str) -
            .when(_changed("b", "u", fields, types), F.lit("modify"))
            .otherwise(F.lit("same")))
     phase1 = j1.select(F.coalesce(F.col(f"u.{key}"), F.col(f"b.{key}")).alias(key),
-                       *_patch("b", "u", fields), op1.alias(OP))
+                       *_patch("b", "u", fields), op1.alias(OP)) \
+        .unionByName(base.where(F.col(key).isNull()).withColumn(OP, F.lit("keep")))
 
     # Phase 2: secondary key (null-safe) for updates without a primary key.
     rest = [f for f in fields if f != name]
