@@ -218,7 +218,7 @@ HREF_RE = r'<a\s[^>]*href="([^"]*)"'
 def page_links(spark: SparkSession, sf: str) -> DataFrame:
     """X1 + F1 + T15 + U4: every anchor of every page, with its position and
     the URL it resolves to; empty links are dropped."""
-    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    pages = table(spark, sf, "pages", ["page_id", "url", "html"], cpu_heavy=True)
     hrefs = pages.select("page_id", "url", F.regexp_extract_all("html", F.lit(HREF_RE), 1).alias("hrefs"))
     links = enrich.explode_list(hrefs, "hrefs", "pos", "href", keep_empty=False)
     return links.where(F.col("href") != "").select(
@@ -279,7 +279,7 @@ FROM pages
 def page_title_clean(spark, sf):
     """X5-style cascade + T8 + T17: first text of ``h1``, else of ``title``,
     else a constant; entities decoded, whitespace collapsed."""
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", ["page_id", "html"], cpu_heavy=True)
     h1 = S.collapse_ws(html_unescape(F.regexp_extract("html", H1_TEXT_RE, 1)))
     title = S.collapse_ws(html_unescape(F.regexp_extract("html", TITLE_TEXT_RE, 1)))
     return p.select("page_id", S.first_nonempty(h1, title, default=enrich.NO_DESCRIPTION_TEXT).alias("title"))
@@ -434,7 +434,7 @@ FROM orders
 def first_non_null_field(spark, sf):
     """Per order, the first token that reads as a number and the first
     token holding letters, each chosen independently."""
-    o = table(spark, sf, "orders")
+    o = table(spark, sf, "orders", ["o_orderkey", "o_orderpriority"], cpu_heavy=True)
     toks = F.split("o_orderpriority", "[- ]")
     return o.select("o_orderkey",
                     N.first_non_null(toks, lambda x: S.to_int(x)).alias("prio_num"),
@@ -481,7 +481,7 @@ FROM (SELECT doc_id, nullif(regexp_extract(text, '([0-9]+)', 1), '') AS digits F
 def first_int(spark, sf):
     """T2 + T3 + M8: first digit run of each whole document, as BIGINT; runs
     beyond int64 become NULL and are flagged."""
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", ["doc_id", "text"], cpu_heavy=True)
     digits = S.first_digits("text")
     return d.select("doc_id", digits.alias("digits"), S.to_int("text").alias("first_int"),
                     (digits.isNotNull() & S.to_int("text").isNull()).alias("overflow"))
@@ -495,7 +495,7 @@ FROM documents
 """)
 def first_decimal(spark, sf):
     """T4 (first decimal anywhere) and T5 (whole-token float) over documents."""
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", ["doc_id", "text"], cpu_heavy=True)
     tok = F.nullif(F.regexp_extract("text", r"([0-9]+[.,][0-9]+)", 1), F.lit(""))
     return d.select("doc_id", S.parse_decimal("text").alias("dec"), S.to_float(tok).alias("dec_mark"))
 
@@ -578,7 +578,7 @@ FROM (SELECT doc_id,
 def multi_split(spark, sf):
     """T10 + T11: every whole document split on ``|`` (else ``;``), parts
     stripped, re-joined with ``"; "``."""
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", ["doc_id", "text"], cpu_heavy=True)
     parts = S.split_multi("text")
     return d.select("doc_id", F.size(parts).cast("bigint").alias("n_parts"),
                     S.join_with_placeholder(parts).alias("joined"))
@@ -610,7 +610,7 @@ def _sql_level(x: str, strict: bool = True) -> str:
 
 
 def _id_text(spark, sf):
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", ["p_partkey", "p_size", "p_type"], cpu_heavy=True)
     size = F.col("p_size")
     t = F.col("p_type")
     raw = (F.when(t == "SMALL", F.concat(F.lit("#"), F.lpad(size.cast("string"), 4, "0")))
@@ -715,7 +715,7 @@ FROM (SELECT p_partkey, list_filter(list_transform(string_split({_LOOSE_SQL}, '|
 def token_classify(spark, sf):
     """T19 + M5: loose evolution text split on ``|`` and each part classified
     as id / level / item / name / URL into five aligned lists."""
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", cpu_heavy=True)
     ev = N.decode_evolutions(_loose_chain_text())
     return p.select("p_partkey", ev.alias("ev")).select("p_partkey", "ev.*")
 
@@ -730,7 +730,7 @@ FROM events GROUP BY event_type
 def map_decode_values(spark, sf):
     """M2: literal map text (single-quoted) decoded, values converted (T7),
     then summed per event type."""
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events", ["event_type", "props"], cpu_heavy=True)
     lit_text = F.replace(F.col("props"), F.lit('"'), F.lit("'"))
     m = N.decode_literal_map(lit_text)
     return e.groupBy("event_type").agg(F.sum(F.try_element_at(m, F.lit("k"))).alias("k_sum"),
@@ -781,7 +781,7 @@ FROM part
 def records_decode(spark, sf):
     """M3 + F8 + U2: literal record lists with a non-record element, a NULL
     leaf and a typographic apostrophe; broken lists give NULLs."""
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", cpu_heavy=True)
     r = N.decode_records_joined(_records_literal(), N.HABILIDADE_FIELDS)
     return p.select("p_partkey", r.alias("r")).select("p_partkey", "r.*")
 
@@ -808,7 +808,7 @@ FROM part
 def swapped_repair(spark, sf):
     """M4 + F7: evolution records with number and level swapped on odd keys
     are repaired; the all-empty entry is dropped."""
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", cpu_heavy=True)
     ev = N.decode_evolutions(_evolution_literal())
     return p.select("p_partkey", ev.alias("ev")).select("p_partkey", "ev.*")
 
@@ -840,7 +840,7 @@ FROM e
 def records_rebuild(spark, sf):
     """M6 + H8 + G8: three delimited columns of unequal length rebuilt into
     records padded with NULL to the longest list; exploded by position."""
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", cpu_heavy=True)
     recs = N.rebuild_records(*_delimited_columns())
     return p.select("p_partkey", F.posexplode(recs).alias("pos", "r")) \
             .select("p_partkey", F.col("pos").cast("bigint").alias("pos"), "r.*")
@@ -873,7 +873,7 @@ def nested_optional(spark, sf):
     """M7 + P6 + P8 + G7 + U3: optional nested struct built from five
     delimited columns (first usable value per field), then read back through
     null-safe nested paths."""
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", cpu_heavy=True)
     evo = N.build_evolution(*_evolution_columns())
     d = p.select("p_partkey", evo.alias("evolucao"))
     return d.select("p_partkey",
@@ -1021,7 +1021,7 @@ def raw_items(spark, sf) -> DataFrame:
     """Raw scraped-item rows (all text, literals as the scraper writes them)
     derived from ``part``; pairs of parts share an id, size 7 has none."""
     from . import etl
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", cpu_heavy=True)
     size, pk = F.col("p_size"), F.col("p_partkey")
     glyph = F.element_at(F.array(*[F.lit(g) for g in GLYPHS]), (size % len(GLYPHS) + 1).cast("int"))
     numero = F.when(size == 7, F.lit(" None ")).otherwise(
@@ -1187,7 +1187,8 @@ def page_description(spark, sf):
     first game-description cell, constant) on a real HTML parse that
     tolerates the pages' unclosed paragraphs; plus the first ``h1`` text."""
     from ..sources.pages import parse_pages
-    parsed = parse_pages(table(spark, sf, "pages"), keep=["page_id"])
+    parsed = parse_pages(table(spark, sf, "pages", ["page_id", "url", "html"], cpu_heavy=True),
+                         keep=["page_id"])
     desc = S.first_nonempty(*[S.collapse_ws(F.get("desc", i)) for i in range(4)],
                             default=enrich.NO_DESCRIPTION_TEXT)
     return parsed.select("page_id", F.col("h1"), desc.alias("description"))

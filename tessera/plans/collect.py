@@ -65,11 +65,8 @@ def collect_items(pages: DataFrame, listing_url: str, checkpoint: bool = True) -
     if checkpoint:
         # Written once as a table in the shared checkpoint folder: one parse
         # pass (an RDD checkpoint would parse twice), lineage cut for retries.
-        import uuid
-        from ..session import scratch_path
-        path = scratch_path(pages.sparkSession, f"parsed-pages-{uuid.uuid4().hex[:12]}")
-        parsed.write.mode("overwrite").parquet(path)
-        parsed = pages.sparkSession.read.parquet(path)
+        from ..session import materialize
+        parsed = materialize(parsed, "parsed-pages")
 
     listing = parsed.where(F.col("url") == listing_url) \
         .select(F.col("url").alias("listing_url"), F.explode("listing").alias("row"))

@@ -131,6 +131,9 @@ def load_collection(docs: DataFrame, seq: str = SEQ) -> DataFrame:
     document is upserted by ``numero``, else by ``nome``. Returns the merged
     snapshot with its ``op`` column; ``merge.write_counters`` gives the
     counters and ``sources.snapshot.write_snapshot`` persists it."""
+    from ..session import materialize
     spark = docs.sparkSession
     empty = spark.createDataFrame([], DOCUMENT_SCHEMA)
-    return merge.upsert(empty, docs, "numero", "nome", seq)
+    # The documents feed three merge branches (keyed fold, key-less fold,
+    # target choice); written once, like the source's cleaned file.
+    return merge.upsert(empty, materialize(docs, "documents"), "numero", "nome", seq)

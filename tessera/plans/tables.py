@@ -8,7 +8,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+          cpu_heavy: bool = False) -> DataFrame:
+    """Scan one table (optionally only ``columns``); ``cpu_heavy`` spreads an
+    under-partitioned scan over all cores before expensive per-row work."""
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
+    if cpu_heavy:
+        from ..session import spread
+        df = spread(df)
+    return df

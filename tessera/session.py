@@ -43,6 +43,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(_LOCAL_DEFAULTS)
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", "8g")
+        # Small local inputs: let AQE keep more, smaller post-shuffle
+        # partitions so CPU-heavy decoding after a shuffle uses every core.
+        conf.setdefault("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -82,3 +85,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def default_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin an under-partitioned input across the cluster's cores
+    before CPU-heavy per-row work (regex/JSON decoding, HTML parsing).
+
+    A small or single-row-group file scans as one task; the decoders would
+    then run on one core. Inputs that already have at least
+    ``defaultParallelism`` partitions -- every large input -- are returned
+    unchanged, so no shuffle is added where it buys nothing.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a Parquet table under the shared checkpoint folder
+    and return a scan of it: cuts lineage (task retries after an executor loss
+    restart from the table, not from the sources) and stops a DataFrame that
+    feeds several branches from being recomputed in each."""
+    import uuid
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
