@@ -54,6 +54,18 @@ def rows_of(df: pd.DataFrame):
     return cols, out
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_diffs(spark_schema, con, sql: str) -> dict:
+    """Columns whose Spark type and oracle type differ (or that only one side has)."""
+    s = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in spark_schema.fields}
+    d = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> tuple[bool, str]:
     c1, r1 = rows_of(spark_pdf)
     c2, r2 = rows_of(duck_pdf)

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from oracle_compare import compare, duck
+from oracle_compare import compare, duck, type_diffs
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,11 +25,13 @@ def con():
 @pytest.mark.parametrize("name", _names())
 def test_query_matches_oracle(spark, con, name):
     from __spark_entry__ import oracle_sql, queries
-    got = queries()[name](spark, SF).toPandas()
+    df = queries()[name](spark, SF)
+    got = df.toPandas()
     sql = oracle_sql().get(name)
     if sql is None:
         assert len(got.columns) > 0
         return
+    assert type_diffs(df.schema, con, sql) == {}
     ok, msg = compare(got, con.execute(sql).df())
     assert ok, msg
 
