@@ -61,10 +61,21 @@ def decode_record_list(c, fields: list[str]) -> Column:
     struct_ddl = "struct<" + ",".join(f"`{f}`:string" for f in fields) + ">"
 
     def decode(s):
-        elems = F.from_json(py_literal_to_json(s), "array<string>", _JSON_OPTS)
-        records = F.transform(F.filter(elems, ustarts_with_brace),
-                              lambda e: F.from_json(e, struct_ddl, _JSON_OPTS))
-        return F.when(s.rlike(r"^\s*\["), records)
+        js = py_literal_to_json(s)
+
+        def per_element(j):
+            # Slow path: elements kept as raw JSON text, non-records skipped.
+            elems = F.from_json(j, "array<string>", _JSON_OPTS)
+            return F.transform(F.filter(elems, ustarts_with_brace),
+                               lambda e: F.from_json(e, struct_ddl, _JSON_OPTS))
+
+        # Fast path: one parse when every element is a record; a non-record
+        # element makes it NULL and the element-wise decode takes over.
+        def pick(j):
+            direct = F.from_json(j, f"array<{struct_ddl}>", _JSON_OPTS)
+            return F.coalesce(direct, per_element(j))
+
+        return F.when(s.rlike(r"^\s*\["), S.let(js, pick))
 
     return S.let(S.null_tokens(c, normalise_chars=False), decode)
 
