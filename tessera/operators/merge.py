@@ -15,10 +15,11 @@ Semantics (a keyed "$set" with upsert):
 
 Plan shape: fold = one aggregation per key space with map-side partial
 ``max_by`` (a hot key is reduced before the shuffle); phase 1 = full outer
-equi-join on the primary key; phase 2 = the secondary-key target is chosen by
-an aggregate over the names (one row per name) and the patch is applied with
-a full outer join on the composite ``(name, primary key)`` -- so a name shared
-by many documents does not concentrate in one task.
+equi-join on the primary key (keys are unique on both sides after the fold;
+NULL-key documents bypass it); phase 2 = the secondary-key target is chosen by
+an aggregate over the names (one row per name), the patch is a left join on
+the composite ``(name, primary key)`` -- AQE can split a hot partition of the
+snapshot side -- and updates without a target are appended as inserts.
 
 ``op`` tags each output row: ``insert`` / ``modify`` (matched and changed) /
 ``same`` (matched, nothing changed) / ``keep`` (not touched by the batch).
@@ -98,21 +99,25 @@ def upsert(base: DataFrame, updates: DataFrame, key: str, name: str, seq: str) -
          .select(*[F.col(c) for c in keyless.columns],
                  F.col("_t._k").alias("_tk"), F.col("_present").isNotNull().alias("_has_t"))
          .alias("k"))
+    # Patch side: a LEFT join (AQE can split a hot (name, key) partition of
+    # the snapshot side; the other side holds one row per name). Updates
+    # without a target are appended as inserts.
     p = phase1.alias("p")
+    hits = k.where(F.col("_has_t")).alias("k")
     cond = (F.col(f"p.{name}").eqNullSafe(F.col(f"k.{name}"))
-            & F.col(f"p.{key}").eqNullSafe(F.col("k._tk")) & F.col("k._has_t"))
-    j2 = p.join(k, cond, "full_outer")
-    in_p = F.col(f"p.{OP}").isNotNull()
+            & F.col(f"p.{key}").eqNullSafe(F.col("k._tk")))
+    j2 = p.join(hits, cond, "left")
     k_hit = F.col("k._has_t").isNotNull()
-    op2 = (F.when(~in_p, F.lit("insert"))
-           .when(~k_hit | (F.col(f"p.{OP}") == "insert"), F.col(f"p.{OP}"))
+    op2 = (F.when(~k_hit | (F.col(f"p.{OP}") == "insert"), F.col(f"p.{OP}"))
            .when(_changed("p", "k", rest, types), F.lit("modify"))
            .when(F.col(f"p.{OP}") == "keep", F.lit("same"))
            .otherwise(F.col(f"p.{OP}")))
-    out_fields = [F.when(in_p, F.col(f"p.{key}")).alias(key),
-                  F.coalesce(F.col(f"p.{name}"), F.col(f"k.{name}")).alias(name)]
-    merged = j2.select(*out_fields, *_patch("p", "k", rest), op2.alias(OP))
-    return merged.select(*cols, OP)
+    patched = j2.select(F.col(f"p.{key}").alias(key), F.col(f"p.{name}").alias(name),
+                        *_patch("p", "k", rest), op2.alias(OP))
+    inserts = k.where(~F.col("_has_t")).select(
+        F.lit(None).cast(types[key]).alias(key), F.col(name), *[F.col(f) for f in rest],
+        F.lit("insert").alias(OP))
+    return patched.unionByName(inserts).select(*cols, OP)
 
 
 def write_counters(merged: DataFrame) -> DataFrame:
