@@ -14,6 +14,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_LOCAL_CHECKPOINT: str | None = None   # private folder, local mode only, when the conf is unset
 
 # Defaults for a local run. On a cluster these come from the submit config and
 # the builder below only fills what is unset.
@@ -64,14 +65,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset -- local runs and tests -- a private folder under the
     system temp dir is created and recorded in the session conf.
     """
-    path = spark.conf.get(CHECKPOINT_CONF, None)
+    global _LOCAL_CHECKPOINT
+    path = spark.conf.get(CHECKPOINT_CONF, None) or _LOCAL_CHECKPOINT
     if not path:
         master = spark.sparkContext.master
         if not master.startswith("local"):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
+        path = _LOCAL_CHECKPOINT = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        try:
+            spark.conf.set(CHECKPOINT_CONF, path)
+        except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
+            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path

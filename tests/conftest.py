@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,9 +10,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 @pytest.fixture(scope="session")
 def spark():
     from tessera.session import build_session
-    ckpt = tempfile.mkdtemp(prefix="tessera-test-ckpt-")
-    s = build_session("local[4]", shuffle_partitions=4, app_name="tessera-tests",
-                      extra={"spark.checkpoint.dir": ckpt})
+    # spark.checkpoint.dir is read from the configuration; build_session
+    # creates a private folder only when it is unset.
+    s = build_session("local[4]", shuffle_partitions=4, app_name="tessera-tests")
     yield s
     s.stop()
 
