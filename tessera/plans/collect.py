@@ -31,18 +31,36 @@ def _choose_table(vitals: Column, hint: Column) -> Column:
     return F.coalesce(F.get(matched, 0), F.get(vitals, 0))
 
 
-def _next_evolutions(evo: Column, page_url: Column, current: Column) -> Column:
+def _next_evolutions(evo: Column, page_url: Column, current: Column, incoming: bool = False,
+                     per_chain: bool = False) -> Column:
     """W1 + W2 over one page's card list (cards at even positions, each
-    followed by its connector)."""
+    followed by its connector).
+
+    Defaults reproduce the source: all chain lists of a page are concatenated
+    before pairing (H6) and an entry's level is the connector *after* it
+    (H5). ``per_chain`` pairs within each list; ``incoming`` takes the
+    connector *before* the entry instead.
+    """
+    if per_chain:
+        # positions restart in every chain list: pair by (chain, index in chain)
+        evo = F.flatten(F.transform(
+            F.array_distinct(F.transform(evo, lambda e: e["chain"])),
+            lambda ch: F.transform(F.filter(evo, lambda e: e["chain"] == ch),
+                                   lambda e, i: e.withField("pos", i))))
     n = F.size(evo)
-    idx = F.sequence(F.lit(0), n - 1, F.lit(2))
+    idx = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
+                   lambda i: (F.get(evo, i)["pos"] % 2 == 0) & (i < n))
+    conn = (lambda i: F.when(F.get(evo, i - 1)["chain"] == F.get(evo, i)["chain"], F.get(evo, i - 1))) \
+        if incoming else \
+        (lambda i: F.when(F.get(evo, i + 1)["chain"] == F.get(evo, i)["chain"], F.get(evo, i + 1))
+         if per_chain else F.get(evo, i + 1))
     steps = F.when(n > 0, F.transform(idx, lambda i: F.struct(
         F.get(evo, i)["small"].alias("numero"),
         F.get(evo, i)["nome"].alias("nome"),
         F.when(F.get(evo, i)["href"].isNotNull() & (F.get(evo, i)["href"] != ""),
                S.resolve_url(page_url, F.get(evo, i)["href"])).alias("url"),
-        F.when(F.coalesce(F.get(evo, i + 1)["small"], F.lit("")) != "",
-               S.strip_parens(F.get(evo, i + 1)["small"])).alias("level"))))
+        F.when(F.coalesce(conn(i)["small"], F.lit("")) != "",
+               S.strip_parens(conn(i)["small"])).alias("level"))))
     steps = F.coalesce(steps, F.array().cast(
         "array<struct<numero:string,nome:string,url:string,level:string>>"))
     norm = lambda x: F.lower(S.ustrip(x))
@@ -59,8 +77,10 @@ def _next_evolutions(evo: Column, page_url: Column, current: Column) -> Column:
         .otherwise(F.transform(after, rec))
 
 
-def collect_items(pages: DataFrame, listing_url: str, checkpoint: bool = True) -> DataFrame:
-    """Raw items (typed nested columns) for every linked row of the listing."""
+def collect_items(pages: DataFrame, listing_url: str, checkpoint: bool = True,
+                  incoming_level: bool = False, per_chain: bool = False) -> DataFrame:
+    """Raw items (typed nested columns) for every linked row of the listing.
+    ``incoming_level`` / ``per_chain``: see ``_next_evolutions`` (H5, H6)."""
     parsed = parse_pages(pages)
     if checkpoint:
         # Written once as a table in the shared checkpoint folder: one parse
@@ -84,7 +104,8 @@ def collect_items(pages: DataFrame, listing_url: str, checkpoint: bool = True) -
         F.coalesce(chosen["peso"], F.lit("")).alias("peso"),
         F.coalesce(F.array_join(chosen["tipos"], ", "), F.lit("")).alias("tipos"),
         N.map_from_lists(F.col("eff_types"), F.col("eff_cells")).alias("efetividade"),
-        _next_evolutions(F.col("evo"), F.col("url"), F.col("h1")).alias("proximas_evolucoes"),
+        _next_evolutions(F.col("evo"), F.col("url"), F.col("h1"), incoming_level, per_chain)
+        .alias("proximas_evolucoes"),
         N.zip_shortest(F.coalesce(chosen["hab_nomes"], F.array().cast("array<string>")),
                        F.coalesce(chosen["hab_hrefs"], F.array().cast("array<string>")),
                        ("nome", "href")).alias("_habs"))

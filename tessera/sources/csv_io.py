@@ -39,11 +39,16 @@ def all_string_schema(columns: list[str]) -> T.StructType:
 
 
 def read_text_csv(spark: SparkSession, path: str, columns: list[str],
-                  keep_empty: bool = True) -> DataFrame:
+                  keep_empty: bool = True, backslash_escapes: bool = False) -> DataFrame:
     """CSV with a declared all-text schema. ``keep_empty`` turns
     missing cells into ``""`` as the source's reader does (a short row's
-    absent cells included)."""
+    absent cells included). ``backslash_escapes`` reproduces a reader that
+    treats ``\\`` as an escape character: every backslash is dropped and the
+    character after it kept (``a\\xa0b`` reads as ``axa0b``). Quotes are
+    always read with doubled-quote escaping, which is what the files use."""
     df = spark.read.schema(all_string_schema(columns)).options(**_READ_OPTS).csv(path)
+    if backslash_escapes:
+        df = df.select(*[F.regexp_replace(F.col(f"`{c}`"), r"\\(.)", "$1").alias(c) for c in columns])
     return df.na.fill("") if keep_empty else df
 
 

@@ -260,13 +260,14 @@ def effectiveness(root: Node) -> tuple[list[str], list[str]]:
 def evolution_cards(root: Node) -> list[dict]:
     """The alternating card/connector list of every evolution container."""
     out = []
-    items = [c for d in descendants(root) if d.tag == "div" and has_class_token(d, "infocard-list-evo")
-             for c in d.elements()]
-    for pos, c in enumerate(items):
+    items = [(chain, c) for chain, d in enumerate(
+        x for x in descendants(root) if x.tag == "div" and has_class_token(x, "infocard-list-evo"))
+        for c in d.elements()]
+    for pos, (chain, c) in enumerate(items):
         name_a = [x for x in descendants(c) if x.tag == "a" and has_class_token(x, "ent-name")]
         smalls = [x for x in descendants(c) if x.tag == "small"]
         out.append({
-            "pos": pos,
+            "pos": pos, "chain": chain,
             "nome": first_own_text(name_a),
             "href": first(x.attrs["href"] for x in name_a if "href" in x.attrs),
             "small": first_own_text(smalls),
@@ -335,7 +336,8 @@ PARSED_SCHEMA = T.StructType([
     T.StructField("eff_types", _STR_ARR),
     T.StructField("eff_cells", _STR_ARR),
     T.StructField("evo", T.ArrayType(T.StructType([
-        T.StructField("pos", T.IntegerType()), T.StructField("nome", T.StringType()),
+        T.StructField("pos", T.IntegerType()), T.StructField("chain", T.IntegerType()),
+        T.StructField("nome", T.StringType()),
         T.StructField("href", T.StringType()), T.StructField("small", T.StringType()),
         T.StructField("tipos", _STR_ARR)]))),
     T.StructField("desc", _STR_ARR),

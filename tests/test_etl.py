@@ -118,3 +118,14 @@ def test_load_and_queries(spark, raw_csv):
     water = [tuple(r) for r in lookup.water_after_level(loaded).collect()]
     assert water == [(79, "Slowpoke", 37)]
     assert lookup.multi_type_count(loaded).first()[0] == 2
+
+
+def test_backslash_escape_compat(spark):
+    d = tempfile.mkdtemp(prefix="tessera-bs-")
+    path = os.path.join(d, "x.csv")
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write('a,b\n"x\\xa0y","q ""z"""\n')
+    plain = csv_io.read_text_csv(spark, path, ["a", "b"]).first()
+    compat = csv_io.read_text_csv(spark, path, ["a", "b"], backslash_escapes=True).first()
+    assert (plain["a"], plain["b"]) == ("x\\xa0y", 'q "z"')
+    assert (compat["a"], compat["b"]) == ("xxa0y", 'q "z"')

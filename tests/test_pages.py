@@ -118,3 +118,28 @@ def test_trace_a_to_d(spark):
                               "condicao": {"level": 36, "item": None}}
     assert [h["nome"] for h in sq["habilidades"]] == ["Torrent", "Rain Dish"]
     assert lookup.water_after_level(docs).count() == 1
+
+
+TWO_CHAINS_HTML = """<html><body><h1>Beta</h1>
+<div class="infocard-list-evo"><div><small>#0001</small><a class="ent-name" href="/p/a">Alpha</a></div>
+<span><small>(Level 10)</small></span><div><small>#0002</small><a class="ent-name" href="/p/b">Beta</a></div></div>
+<div class="infocard-list-evo"><div><small>#0003</small><a class="ent-name" href="/p/c">Gamma</a></div>
+<span><small>(Level 30)</small></span><div><small>#0004</small><a class="ent-name" href="/p/d">Delta</a></div></div>
+</body></html>"""
+
+
+def _evolutions_of(spark, **kw):
+    listing = """<table id="pokedex"><tbody><tr><td class="cell-name"><a class="ent-name" href="/p/b">B</a>
+    </td></tr></tbody></table>"""
+    pages = spark.createDataFrame([(LISTING, listing), (f"{BASE}/p/b", TWO_CHAINS_HTML)], "url string, html string")
+    r = collect.collect_items(pages, LISTING, **kw).first()
+    return [(e["numero"], e["nome"], e["level"]) for e in r["proximas_evolucoes"]]
+
+
+def test_evolution_pairing_options(spark):
+    # source behaviour: lists concatenated, an odd-length list flips the
+    # alternation of the next one (H6); level = connector after the entry (H5)
+    assert _evolutions_of(spark) == [("(Level 30)", None, "#0004")]
+    assert _evolutions_of(spark, per_chain=True) == [("#0003", "Gamma", "Level 30"), ("#0004", "Delta", None)]
+    assert _evolutions_of(spark, per_chain=True, incoming_level=True) == \
+        [("#0003", "Gamma", None), ("#0004", "Delta", "Level 30")]
