@@ -68,7 +68,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     global _LOCAL_CHECKPOINT
     path = spark.conf.get(CHECKPOINT_CONF, None) or _LOCAL_CHECKPOINT
     if not path:
-        master = spark.sparkContext.master
+        master = spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
@@ -77,8 +77,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set(CHECKPOINT_CONF, path)
         except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
             pass
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001 - no SparkContext handle (Spark Connect)
+        pass
     return path
 
 
@@ -101,10 +104,12 @@ def spread(df, min_partitions: int | None = None):
     ``defaultParallelism`` partitions -- every large input -- are returned
     unchanged, so no shuffle is added where it buys nothing.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session)
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)
 
 
 def materialize(df, name: str):
