@@ -50,16 +50,24 @@ def lookup_with_fallback(items: DataFrame, pages: DataFrame, item_key: str, page
     return joined.withColumn(out_col, val).drop("_pk", "_pv")
 
 
-def fan_in(df: DataFrame, group: list[str], pos: str, fields: list[str], out_col: str) -> DataFrame:
+def fan_in(df: DataFrame, group: list[str], pos: str, fields: list[str], out_col: str,
+           chunk_size: int | None = None, chunk_col: str = "chunk") -> DataFrame:
     """Collect the element rows of each group back into one list ordered
     by ``pos`` (then by the fields, so ties are deterministic). Rows with NULL
     ``pos`` (an item with no elements) give an empty list.
 
     The list size is the group's own fan-out; ``collect_list`` runs with a
     map-side partial aggregate, so the shuffle carries per-partition partial
-    lists rather than the joined rows.
+    lists rather than the joined rows. For groups whose fan-out is not
+    bounded, pass ``chunk_size``: the list is emitted as consecutive rows
+    ``(group, chunk, list)`` of at most ``chunk_size`` elements (chunk = pos
+    div chunk_size), so no task ever holds more than one chunk of a group;
+    concatenating the chunks in order gives the whole list.
     """
     elem = F.struct(F.col(pos).alias("_pos"), *[F.col(f) for f in fields])
     coll = F.array_sort(F.collect_list(F.when(F.col(pos).isNotNull(), elem)))
     strip = F.transform(coll, lambda e: F.struct(*[e[f].alias(f) for f in fields]))
-    return df.groupBy(*group).agg(strip.alias(out_col))
+    if chunk_size is None:
+        return df.groupBy(*group).agg(strip.alias(out_col))
+    chunk = F.coalesce(F.floor(F.col(pos) / chunk_size), F.lit(0)).cast("bigint").alias(chunk_col)
+    return df.groupBy(*group, chunk).agg(strip.alias(out_col))

@@ -97,3 +97,14 @@ def test_secondary_key_targets_least_primary_key(spark):
     upd = spark.createDataFrame([(None, "Same", 8.0, None, 1)], SCHEMA + ", seq long")
     got = {r["numero"]: (r["peso"], r["op"]) for r in merge.upsert(base, upd, "numero", "nome", "seq").collect()}
     assert got == {3: (8.0, "modify"), 5: (1.0, "keep")}
+
+
+def test_fan_in_chunked_is_whole_and_bounded(spark):
+    rows = [("hot", i, f"v{i}") for i in range(10)] + [("cold", 0, "c0"), ("none", None, None)]
+    df = spark.createDataFrame(rows, "item string, pos int, v string")
+    out = enrich.fan_in(df, ["item"], "pos", ["v"], "vals", chunk_size=4).collect()
+    by_item = {}
+    for r in sorted(out, key=lambda r: (r["item"], r["chunk"])):
+        assert len(r["vals"]) <= 4
+        by_item.setdefault(r["item"], []).extend(x["v"] for x in r["vals"])
+    assert by_item == {"hot": [f"v{i}" for i in range(10)], "cold": ["c0"], "none": []}
