@@ -3,9 +3,14 @@
 Legacy inputs carry lists and maps as Python-literal text. They are decoded
 with ``from_json`` (single quotes are accepted by the JSON reader) after the
 bare literals ``None``/``True``/``False`` are rewritten in value position. A
-record list is decoded in two steps -- first to ``array<string>`` (each
-element keeps its raw JSON text), then element-wise to the record struct --
+record list is parsed once as ``array<struct>``; only when that fails (an
+element is not a record) is it decoded element-wise -- first to
+``array<string>`` (each element keeps its raw JSON text), then each record --
 so one malformed element is skipped instead of nulling the whole list.
+
+Higher-order-function lambdas are evaluated without common-subexpression
+elimination, so every intermediate used more than once is bound once with
+``scalars.let``.
 """
 
 from __future__ import annotations
@@ -45,11 +50,12 @@ def decode_literal_map(c, value_fn=S.multiplier, value_type: str = "double") ->
     Values are converted by ``value_fn`` (T7 by default). For a repeated key
     the last value wins, as in a Python dict literal.
     """
-    s = S.null_tokens(c, normalise_chars=False)
-    is_obj = s.rlike(r"^\s*\{")
-    raw = F.from_json(py_literal_to_json(s), "map<string,string>", _JSON_OPTS)
-    conv = F.transform_values(dedupe_keys_last(raw), lambda k, v: value_fn(v))
-    return F.coalesce(F.when(is_obj, conv), empty_map(value_type))
+    def decode(s):
+        raw = F.from_json(py_literal_to_json(s), "map<string,string>", _JSON_OPTS)
+        conv = S.let(raw, lambda m: F.transform_values(dedupe_keys_last(m), lambda k, v: value_fn(v)))
+        return F.coalesce(F.when(s.rlike(r"^\s*\{"), conv), empty_map(value_type))
+
+    return S.let(S.null_tokens(c, normalise_chars=False), decode)
 
 
 def decode_record_list(c, fields: list[str]) -> Column:
