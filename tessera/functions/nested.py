@@ -20,6 +20,14 @@ from pyspark.sql import functions as F
 
 from . import scalars as S
 
+# ---------------------------------------------------------------------------
+# Record field and column names of the source's data.
+# ---------------------------------------------------------------------------
+EVOLUTION_FIELDS = ["numero", "level", "item", "nome", "url"]
+EVOLUTION_COLUMNS = ["numero_evol", "level_evol", "item_evol", "nome_evol", "url_evol"]
+HABILIDADE_FIELDS = ["nome", "url", "descricao"]
+# ---------------------------------------------------------------------------
+
 _JSON_OPTS = {
     "allowSingleQuotes": "true",
     "allowBackslashEscapingAnyCharacter": "true",
@@ -108,7 +116,7 @@ def ustarts_with_brace(e: Column) -> Column:
 
 def text_or_placeholder(c) -> Column:
     """T1a on a leaf, with the text ``None`` as placeholder for no value."""
-    return F.coalesce(S.null_tokens(c, True), F.lit("None"))
+    return F.coalesce(S.null_tokens(c, True), F.lit(S.PLACEHOLDER))
 
 
 def decode_records_joined(c, fields: list[str]) -> Column:
@@ -119,12 +127,10 @@ def decode_records_joined(c, fields: list[str]) -> Column:
     """
     return S.let(decode_record_list(c, fields), lambda recs: F.struct(*[
         F.when(recs.isNotNull(),
-               F.array_join(F.transform(recs, _leaf(f, text_or_placeholder)), "; "))
+               F.array_join(F.transform(recs, _leaf(f, text_or_placeholder)), S.JOIN_SEP))
         .alias(f) for f in fields]))
 
 
-EVOLUTION_FIELDS = ["numero", "level", "item", "nome", "url"]
-EVOLUTION_COLUMNS = ["numero_evol", "level_evol", "item_evol", "nome_evol", "url_evol"]
 
 
 def _evolution_entry(num: Column, lvl: Column, item: Column, nome: Column, url: Column) -> Column:
@@ -133,8 +139,8 @@ def _evolution_entry(num: Column, lvl: Column, item: Column, nome: Column, url:
 
 
 def _split_bar_semicolon(s: Column) -> Column:
-    return (F.when(s.contains("|"), S.split_clean(s, r"\|"))
-            .when(s.contains(";"), S.split_clean(s, ";"))
+    return (F.when(s.contains(S.MULTI_SEP_FIRST), S.split_clean(s, "\\" + S.MULTI_SEP_FIRST))
+            .when(s.contains(S.MULTI_SEP_SECOND), S.split_clean(s, S.MULTI_SEP_SECOND))
             .otherwise(F.array(s)))
 
 
@@ -163,8 +169,8 @@ def decode_evolutions(c) -> Column:
 
     def columns(s, chosen):
         return F.struct(*[
-            F.when(s.isNull() | (F.size(chosen) == 0), F.lit("None"))
-            .otherwise(F.array_join(F.transform(chosen, _leaf(f)), "; ", "None"))
+            F.when(s.isNull() | (F.size(chosen) == 0), F.lit(S.PLACEHOLDER))
+            .otherwise(F.array_join(F.transform(chosen, _leaf(f)), S.JOIN_SEP, S.PLACEHOLDER))
             .alias(col) for f, col in zip(EVOLUTION_FIELDS, EVOLUTION_COLUMNS)])
 
     def body(v):
@@ -196,7 +202,6 @@ def drop_empty_records(arr, fields: list[str], normalise=None) -> Column:
     return F.filter(_c(arr), lambda e: F.coalesce(*[norm(e[f]) for f in fields]).isNotNull())
 
 
-HABILIDADE_FIELDS = ["nome", "url", "descricao"]
 
 
 def rebuild_records(nomes, urls, descricoes) -> Column:

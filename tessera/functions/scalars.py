@@ -19,19 +19,45 @@ NULL_TOKENS = ("", "none", "null", "nan")
 # Characters rewritten before the token check in the cleaning stage:
 # no-break space and thin space become a space; curly double quotes become
 # a straight double quote; the right single curly quote becomes an apostrophe.
-CHAR_FROM = "  “”’"
+CHAR_FROM = "\u00a0\u2009\u201c\u201d\u2019"
 CHAR_TO = "  \"\"'"
 # Multiplier glyphs.
 FRACTION_GLYPHS = {"½": 0.5, "¼": 0.25, "¾": 0.75}
 # Upper bounds of the id and level ranges (lower bound is 1 for both).
 MAX_DEX_ID = 2000
 MAX_LEVEL = 100
-# Label texts that a base/empty form hint accepts.
+# Label texts that a base/empty form hint accepts, and the hint texts that
+# count as "base".
 BASE_LABELS = ("", "base", "pokédex data")
+BASE_HINTS = ("", "base")
+# Label normalisation: replacements applied after lower-casing.
+LABEL_REPLACEMENTS = (("forme", "form"), ("-", " "))
+# Patterns (digits written [0-9]; (?U)/(?i) flags added where used).
+FIRST_DIGITS_RE = r"([0-9]+)"
+NUMBER_RE = r"([0-9]+[.,]?[0-9]*)"                 # first number, '.' or ',' decimal mark
+METRES_RE = NUMBER_RE + r"\s*m\b"                  # case-insensitive
+CENTIMETRES_RE = NUMBER_RE + r"\s*cm\b"            # case-insensitive
+HASH_ID_RE = r"#\s*([0-9]{1,4})"
+BARE_ID_RE = r"\b([0-9]{1,4})\b"
+ID_REFUSE_WORD = "level"                           # text containing it has no bare id
+LEVEL_TAG_RE = r"[Ll]evel[^0-9]*([0-9]+)"
+LEVEL_STRICT_RE = r"\b([0-9]{1,3})\b"
+LEVEL_LOOSE_RE = r"([0-9]+)"
+LEVEL_REFUSE = ("#", "http")                       # text containing one has no plain level
+URL_TOKEN_RE = r"https?://"
+ITEM_WORDS = ("stone", "item")
+NAME_LETTER_RE = r"[A-Za-z]"
+# Separators and placeholder.
+LIST_SEP_IN = ","                                   # comma lists (types)
+LIST_SEP_OUT = ", "
+MULTI_SEP_FIRST, MULTI_SEP_SECOND = "|", ";"        # multi-value split order
+JOIN_SEP = "; "
+PLACEHOLDER = "None"
+PAREN_CHARS = "()"
+TYPE_SUFFIX = " type"
 # ---------------------------------------------------------------------------
 
 _WS_EDGES = r"(?U)^\s+|\s+$"
-_NUMBER = r"([0-9]+[.,]?[0-9]*)"
 
 
 def _c(x) -> Column:
@@ -62,7 +88,7 @@ def null_tokens(c, normalise_chars: bool = True) -> Column:
 def first_digits(c, normalise_chars: bool = True) -> Column:
     """The first run of ASCII digits, else NULL."""
     s = null_tokens(c, normalise_chars)
-    return F.nullif(F.regexp_extract(s, r"([0-9]+)", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(s, FIRST_DIGITS_RE, 1), F.lit(""))
 
 
 def to_int(c, normalise_chars: bool = True) -> Column:
@@ -83,7 +109,7 @@ def parse_decimal(c) -> Column:
     The sign is ignored and ``1,234.5`` reads as 1.234, as in the source.
     """
     s = null_tokens(c, True)
-    num = F.nullif(F.regexp_extract(s, _NUMBER, 1), F.lit(""))
+    num = F.nullif(F.regexp_extract(s, NUMBER_RE, 1), F.lit(""))
     return F.replace(num, F.lit(","), F.lit(".")).try_cast("double")
 
 
@@ -108,8 +134,8 @@ def to_float(c, normalise_chars: bool = False) -> Column:
 def length_to_cm(c) -> Column:
     """``<x> m`` -> x*100 rounded to 2 places; ``<x> cm`` -> x; bare -> T4."""
     s = null_tokens(c, True)
-    metres = F.nullif(F.regexp_extract(s, r"(?iU)" + _NUMBER + r"\s*m\b", 1), F.lit(""))
-    cents = F.nullif(F.regexp_extract(s, r"(?iU)" + _NUMBER + r"\s*cm\b", 1), F.lit(""))
+    metres = F.nullif(F.regexp_extract(s, "(?iU)" + METRES_RE, 1), F.lit(""))
+    cents = F.nullif(F.regexp_extract(s, "(?iU)" + CENTIMETRES_RE, 1), F.lit(""))
     as_double = lambda x: F.replace(x, F.lit(","), F.lit(".")).try_cast("double")
     return (F.when(metres.isNotNull(), F.bround(as_double(metres) * 100, 2))
             .when(cents.isNotNull(), as_double(cents))
@@ -137,12 +163,12 @@ def split_clean(c, sep_regex: str) -> Column:
 def normalize_list(c) -> Column:
     """T9 (list form): comma list -> array of stripped non-empty entries; NULL -> []."""
     s = null_tokens(c, True)
-    return F.coalesce(split_clean(s, ","), F.array().cast("array<string>"))
+    return F.coalesce(split_clean(s, LIST_SEP_IN), F.array().cast("array<string>"))
 
 
 def normalize_list_text(c) -> Column:
     """T9 (text form): the same list re-joined with ``", "``; NULL -> ``""``."""
-    return F.array_join(normalize_list(c), ", ")
+    return F.array_join(normalize_list(c), LIST_SEP_OUT)
 
 
 def split_multi(c, normalise_chars: bool = False) -> Column:
@@ -151,8 +177,8 @@ def split_multi(c, normalise_chars: bool = False) -> Column:
     Parts are stripped and empty parts dropped; NULL/null tokens give [].
     """
     def split(s):
-        arr = (F.when(s.contains("|"), split_clean(s, r"\|"))
-               .when(s.contains(";"), split_clean(s, ";"))
+        arr = (F.when(s.contains(MULTI_SEP_FIRST), split_clean(s, "\\" + MULTI_SEP_FIRST))
+               .when(s.contains(MULTI_SEP_SECOND), split_clean(s, MULTI_SEP_SECOND))
                .otherwise(F.array(s)))
         return F.when(s.isNull(), F.array().cast("array<string>")).otherwise(arr)
 
@@ -161,7 +187,7 @@ def split_multi(c, normalise_chars: bool = False) -> Column:
 
 def join_with_placeholder(arr) -> Column:
     """Join with ``"; "``; NULL entries print as ``None``."""
-    return F.array_join(_c(arr), "; ", "None")
+    return F.array_join(_c(arr), JOIN_SEP, PLACEHOLDER)
 
 
 def let(value: Column, fn) -> Column:
@@ -189,9 +215,9 @@ def dex_id(c, max_id: int = MAX_DEX_ID) -> Column:
 def dex_id_bound(s: Column, max_id: int = MAX_DEX_ID) -> Column:
     """T12 on an already normalised text, each regex evaluated once (for use
     inside list lambdas)."""
-    parts = F.struct(F.regexp_extract(s, r"(?U)#\s*([0-9]{1,4})", 1).alias("h"),
-                     F.regexp_extract(s, r"(?U)\b([0-9]{1,4})\b", 1).alias("b"),
-                     F.lower(s).contains("level").alias("lv"))
+    parts = F.struct(F.regexp_extract(s, "(?U)" + HASH_ID_RE, 1).alias("h"),
+                     F.regexp_extract(s, "(?U)" + BARE_ID_RE, 1).alias("b"),
+                     F.lower(s).contains(ID_REFUSE_WORD).alias("lv"))
     return let(parts, lambda p: F.when(p["h"] != "", _bounded_int(p["h"], 1, max_id))
                .when(p["lv"], F.lit(None).cast("int"))
                .otherwise(_bounded_int(F.nullif(p["b"], F.lit("")), 1, max_id)))
@@ -199,10 +225,10 @@ def dex_id_bound(s: Column, max_id: int = MAX_DEX_ID) -> Column:
 
 def level_bound(s: Column, strict: bool = True, max_level: int = MAX_LEVEL) -> Column:
     """T13 on an already normalised text, each regex evaluated once."""
-    plain_re = r"(?U)\b([0-9]{1,3})\b" if strict else r"([0-9]+)"
-    parts = F.struct(F.regexp_extract(s, r"[Ll]evel[^0-9]*([0-9]+)", 1).alias("t"),
+    plain_re = "(?U)" + LEVEL_STRICT_RE if strict else LEVEL_LOOSE_RE
+    parts = F.struct(F.regexp_extract(s, LEVEL_TAG_RE, 1).alias("t"),
                      F.regexp_extract(s, plain_re, 1).alias("p"),
-                     (s.contains("#") | F.lower(s).contains("http")).alias("no"))
+                     (s.contains(LEVEL_REFUSE[0]) | F.lower(s).contains(LEVEL_REFUSE[1])).alias("no"))
     return let(parts, lambda p: F.when(p["t"] != "", _bounded_int(p["t"], 1, max_level))
                .when(p["no"], F.lit(None).cast("int"))
                .otherwise(_bounded_int(F.nullif(p["p"], F.lit("")), 1, max_level)))
@@ -217,14 +243,15 @@ def level(c, strict: bool = True, max_level: int = MAX_LEVEL) -> Column:
 
 def _norm_label(c) -> Column:
     s = F.lower(F.coalesce(_c(c), F.lit("")))
-    s = F.replace(F.replace(s, F.lit("forme"), F.lit("form")), F.lit("-"), F.lit(" "))
+    for old, new in LABEL_REPLACEMENTS:
+        s = F.replace(s, F.lit(old), F.lit(new))
     return ustrip(s)
 
 
 def label_match(label, hint) -> Column:
     """Does a table label match a form hint (see module docs)."""
     lab, hin = _norm_label(label), _norm_label(hint)
-    return (F.when(hin.isin("", "base"), lab.isin(*BASE_LABELS))
+    return (F.when(hin.isin(*BASE_HINTS), lab.isin(*BASE_LABELS))
             .otherwise(lab.contains(hin) | hin.contains(lab)))
 
 
@@ -259,7 +286,7 @@ def url_host(c) -> Column:
 
 def strip_parens(c) -> Column:
     """Strip surrounding ``(`` / ``)`` characters."""
-    return F.btrim(_c(c), F.lit("()"))
+    return F.btrim(_c(c), F.lit(PAREN_CHARS))
 
 
 def first_nonempty(*cols, default=None) -> Column:
@@ -272,18 +299,18 @@ def first_nonempty(*cols, default=None) -> Column:
 
 def strip_type_suffix(c) -> Column:
     """Remove every `` type`` and strip."""
-    return ustrip(F.replace(_c(c), F.lit(" type"), F.lit("")))
+    return ustrip(F.replace(_c(c), F.lit(TYPE_SUFFIX), F.lit("")))
 
 
 def is_url_token(c) -> Column:
-    return _c(c).rlike(r"https?://")
+    return _c(c).rlike(URL_TOKEN_RE)
 
 
 def is_item_token(c) -> Column:
     low = F.lower(_c(c))
-    return low.contains("stone") | low.contains("item")
+    return low.contains(ITEM_WORDS[0]) | low.contains(ITEM_WORDS[1])
 
 
 def is_name_token(c) -> Column:
     """A name is neither a URL nor an item and holds an ASCII letter."""
-    return ~is_url_token(c) & _c(c).rlike("[A-Za-z]") & ~is_item_token(c)
+    return ~is_url_token(c) & _c(c).rlike(NAME_LETTER_RE) & ~is_item_token(c)

@@ -22,10 +22,17 @@ from ..functions import nested as N
 from ..functions import scalars as S
 from ..operators import conform, dedup, merge
 
+# ---------------------------------------------------------------------------
+# Column and field names of the source's files and documents
+# (raw item columns, the rich columns exempt from the all-null drop, the
+# cleaned columns in order, the raw columns dropped after cleaning, and the
+# document schema below).
+# ---------------------------------------------------------------------------
 RAW_COLUMNS = ["numero", "url", "nome", "proximas_evolucoes", "tamanho", "peso", "tipos",
                "efetividade", "habilidades"]
 RICH_COLUMNS = ("proximas_evolucoes", "habilidades", "efetividade")
-SEQ = "seq"
+DROPPED_RAW = ["tamanho", "peso", "proximas_evolucoes", "efetividade", "habilidades"]
+SEQ = "seq"   # ours: explicit input order
 
 CLEAN_SCHEMA = T.StructType([
     T.StructField("numero", T.StringType()),   # canonical digits, unbounded
@@ -63,6 +70,7 @@ DOCUMENT_SCHEMA = T.StructType([
             T.StructField("level", T.IntegerType()),
             T.StructField("item", T.StringType())]))])),
 ])
+# ---------------------------------------------------------------------------
 
 
 def clean_items(raw: DataFrame, seq: str = SEQ) -> DataFrame:
@@ -91,8 +99,7 @@ def clean_items(raw: DataFrame, seq: str = SEQ) -> DataFrame:
                      zip(N.HABILIDADE_FIELDS, ("nomes", "urls", "descricoes"))})
     if flat:
         df = df.withColumns(flat)
-    df = conform.drop_if_present(df, ["tamanho", "peso", "proximas_evolucoes", "efetividade",
-                                      "habilidades", "_evo", "_hab"])
+    df = conform.drop_if_present(df, DROPPED_RAW + ["_evo", "_hab"])
     return conform.conform(df, _with_seq(CLEAN_SCHEMA, seq))
 
 

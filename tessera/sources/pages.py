@@ -18,6 +18,25 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# ---------------------------------------------------------------------------
+# The page structure the extractors look for (ids, classes,
+# row header labels, section headings, containers, default hint).
+# ---------------------------------------------------------------------------
+LISTING_TABLE_ID = "pokedex"
+LISTING_NAME_CELL, LISTING_LINK, LISTING_HINT = "cell-name", "ent-name", "text-muted"
+DEFAULT_FORM_HINT = "Base"
+VITALS_TABLE = "vitals-table"
+HEADER_NATIONAL = "National"                       # contained in the row header
+HEADER_HEIGHT, HEADER_WEIGHT, HEADER_TYPE, HEADER_ABILITIES = "Height", "Weight", "Type", "Abilities"
+EFFECT_TABLE_FIRST, EFFECT_TABLE = "type-table-pokedex", "type-table"
+EFFECT_HEADINGS = ("Type defenses", "Damage taken")
+EFFECT_TOTAL_CELL = "cell-total"
+TYPE_SUFFIX = " type"
+EVOLUTION_LIST, EVOLUTION_TYPE = "infocard-list-evo", "itype"
+EFFECT_HEADING, GAME_DESCRIPTIONS_HEADING = "Effect", "Game descriptions"
+MAIN_CONTAINERS, MAIN_DIV_ID = ("article", "main"), "main"
+# ---------------------------------------------------------------------------
+
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
          "source", "track", "wbr"}
 # Start tag -> open elements it closes implicitly (up to a scope boundary).
@@ -154,18 +173,18 @@ def first_own_text(nodes) -> str | None:
 def listing_rows(root: Node) -> list[dict]:
     """Rows of the listing table: link and form hint (default Base)."""
     out = []
-    table = first(t for t in descendants(root) if t.tag == "table" and t.attrs.get("id") == "pokedex")
+    table = first(t for t in descendants(root) if t.tag == "table" and t.attrs.get("id") == LISTING_TABLE_ID)
     if table is None:
         return out
     trs = [tr for tb in descendants(table) if tb.tag == "tbody" for tr in descendants(tb) if tr.tag == "tr"]
     for pos, tr in enumerate(trs):
-        cells = [td for td in descendants(tr) if td.tag == "td" and has_class_token(td, "cell-name")]
-        a = first(x for td in cells for x in descendants(td) if x.tag == "a" and has_class_token(x, "ent-name")
+        cells = [td for td in descendants(tr) if td.tag == "td" and has_class_token(td, LISTING_NAME_CELL)]
+        a = first(x for td in cells for x in descendants(td) if x.tag == "a" and has_class_token(x, LISTING_LINK)
                   and "href" in x.attrs)
         hint = first_own_text(x for td in cells for x in descendants(td)
-                              if x.tag == "small" and has_class_token(x, "text-muted"))
+                              if x.tag == "small" and has_class_token(x, LISTING_HINT))
         out.append({"pos": pos, "href": a.attrs["href"] if a is not None else None,
-                    "form_hint": (hint or "Base").strip()})
+                    "form_hint": (hint or DEFAULT_FORM_HINT).strip()})
     return out
 
 
@@ -191,39 +210,39 @@ def _vitals_table(t: Node, pos: int) -> dict:
                                 vals.extend(own_texts(x))
         return vals
 
-    nat = cell_texts(lambda s: "National" in s, "strong")
+    nat = cell_texts(lambda s: HEADER_NATIONAL in s, "strong")
     return {
         "pos": pos, "label": label,
         "numero": (nat[0] if nat else "").strip(),
-        "tamanho": (first(cell_texts(lambda s: s == "Height")) or "").strip(),
-        "peso": (first(cell_texts(lambda s: s == "Weight")) or "").strip(),
-        "tipos": [x.strip() for x in cell_texts(lambda s: s == "Type", "a")],
-        "hab_nomes": cell_texts(lambda s: s == "Abilities", "a"),
-        "hab_hrefs": cell_texts(lambda s: s == "Abilities", "a", "href"),
+        "tamanho": (first(cell_texts(lambda s: s == HEADER_HEIGHT)) or "").strip(),
+        "peso": (first(cell_texts(lambda s: s == HEADER_WEIGHT)) or "").strip(),
+        "tipos": [x.strip() for x in cell_texts(lambda s: s == HEADER_TYPE, "a")],
+        "hab_nomes": cell_texts(lambda s: s == HEADER_ABILITIES, "a"),
+        "hab_hrefs": cell_texts(lambda s: s == HEADER_ABILITIES, "a", "href"),
     }
 
 
 def vitals_tables(root: Node) -> list[dict]:
     """X2 + X3: every vitals table that has a 'National' row, with its label."""
-    tables = [t for t in descendants(root) if t.tag == "table" and class_contains(t, "vitals-table")
-              and rows_with_header(t, lambda s: "National" in s)]
+    tables = [t for t in descendants(root) if t.tag == "table" and class_contains(t, VITALS_TABLE)
+              and rows_with_header(t, lambda s: HEADER_NATIONAL in s)]
     return [_vitals_table(t, i) for i, t in enumerate(tables)]
 
 
 def _effectiveness_table(root: Node) -> Node | None:
     tables = [t for t in descendants(root) if t.tag == "table"]
-    t = first(x for x in tables if class_contains(x, "type-table-pokedex"))
+    t = first(x for x in tables if class_contains(x, EFFECT_TABLE_FIRST))
     if t is not None:
         return t
     for h2 in (x for x in descendants(root) if x.tag == "h2"):
         s = string_value(h2)
-        if "Type defenses" in s or "Damage taken" in s:
+        if any(h in s for h in EFFECT_HEADINGS):
             for sib in following_siblings(h2):
                 if sib.tag == "div":
-                    t = first(x for x in descendants(sib) if x.tag == "table" and class_contains(x, "type-table"))
+                    t = first(x for x in descendants(sib) if x.tag == "table" and class_contains(x, EFFECT_TABLE))
                     if t is not None:
                         return t
-    return first(x for x in tables if class_contains(x, "type-table"))
+    return first(x for x in tables if class_contains(x, EFFECT_TABLE))
 
 
 def effectiveness(root: Node) -> tuple[list[str], list[str]]:
@@ -231,7 +250,7 @@ def effectiveness(root: Node) -> tuple[list[str], list[str]]:
     t = _effectiveness_table(root)
     if t is None:
         return [], []
-    keep = lambda th: th.tag == "th" and not class_contains(th, "cell-total")
+    keep = lambda th: th.tag == "th" and not class_contains(th, EFFECT_TOTAL_CELL)
     heads = [th for th in descendants(t) if th.tag == "thead" for th in descendants(th) if keep(th)]
     if not heads:
         first_trs = [tr for tr in descendants(t) if tr.tag == "tr"
@@ -244,7 +263,7 @@ def effectiveness(root: Node) -> tuple[list[str], list[str]]:
         name = norm_space(first(tx for x in a for tx in own_texts(x)))
         name = name or norm_space(first(x.attrs["title"] for x in a if "title" in x.attrs))
         name = name or norm_space(first(x.attrs["alt"] for x in img if "alt" in x.attrs))
-        name = name.replace(" type", "").strip() if name else name
+        name = name.replace(TYPE_SUFFIX, "").strip() if name else name
         if name:
             names.append(name)
     body_first = [tr for tb in descendants(t) if tb.tag == "tbody"
@@ -261,17 +280,17 @@ def evolution_cards(root: Node) -> list[dict]:
     """The alternating card/connector list of every evolution container."""
     out = []
     items = [(chain, c) for chain, d in enumerate(
-        x for x in descendants(root) if x.tag == "div" and has_class_token(x, "infocard-list-evo"))
+        x for x in descendants(root) if x.tag == "div" and has_class_token(x, EVOLUTION_LIST))
         for c in d.elements()]
     for pos, (chain, c) in enumerate(items):
-        name_a = [x for x in descendants(c) if x.tag == "a" and has_class_token(x, "ent-name")]
+        name_a = [x for x in descendants(c) if x.tag == "a" and has_class_token(x, LISTING_LINK)]
         smalls = [x for x in descendants(c) if x.tag == "small"]
         out.append({
             "pos": pos, "chain": chain,
             "nome": first_own_text(name_a),
             "href": first(x.attrs["href"] for x in name_a if "href" in x.attrs),
             "small": first_own_text(smalls),
-            "tipos": [tx for s in smalls for x in descendants(s) if x.tag == "a" and has_class_token(x, "itype")
+            "tipos": [tx for s in smalls for x in descendants(s) if x.tag == "a" and has_class_token(x, EVOLUTION_TYPE)
                       for tx in own_texts(x)],
         })
     return out
@@ -281,7 +300,7 @@ def description_candidates(root: Node) -> list[str]:
     """Effect section paragraphs; first paragraph after the effect
     heading; first paragraph of the main content; first game-description
     cell. Texts of each candidate are joined with spaces (T8 applied later)."""
-    effect = [h for h in descendants(root) if h.tag == "h2" and norm_space(string_value(h)) == "Effect"]
+    effect = [h for h in descendants(root) if h.tag == "h2" and norm_space(string_value(h)) == EFFECT_HEADING]
     c1, c2 = [], []
     for h in effect:
         for sib in following_siblings(h):
@@ -294,15 +313,15 @@ def description_candidates(root: Node) -> list[str]:
         if p is not None:
             c2 = texts(p)
             break
-    main = [n for n in descendants(root) if n.tag in ("article", "main")
-            or (n.tag == "div" and n.attrs.get("id") == "main")]
+    main = [n for n in descendants(root) if n.tag in MAIN_CONTAINERS
+            or (n.tag == "div" and n.attrs.get("id") == MAIN_DIV_ID)]
     ps = [p for m in main for p in descendants(m) if p.tag == "p"]
     order = {id(n): i for i, n in enumerate(descendants(root))}
     c3 = texts(min(ps, key=lambda p: order[id(p)])) if ps else []
     c4 = []
-    for h in (x for x in descendants(root) if x.tag == "h2" and "Game descriptions" in string_value(x)):
+    for h in (x for x in descendants(root) if x.tag == "h2" and GAME_DESCRIPTIONS_HEADING in string_value(x)):
         for sib in following_siblings(h):
-            for t in (x for x in descendants(sib) if x.tag == "table" and class_contains(x, "vitals-table")):
+            for t in (x for x in descendants(sib) if x.tag == "table" and class_contains(x, VITALS_TABLE)):
                 tds = [td for tr in descendants(t) if tr.tag == "tr"
                        and tr is first(x for x in tr.parent.elements() if x.tag == "tr")
                        for td in tr.elements() if td.tag == "td"]
