@@ -17,12 +17,12 @@ def test_clean_load_query_cli():
     with open(raw, "w", newline="", encoding="utf-8") as fh:
         w = csv.writer(fh)
         w.writerow(etl.RAW_COLUMNS)          # no seq column: file order is the input order
-        w.writerow(["#0079", "https://h/79", "Slowpoke",
-                    "[{'numero': '#0080', 'level': 'Level 37', 'item': None, 'nome': 'Slowbro', 'url': 'u'}]",
+        w.writerow(["#0079", "https://h/79", "Lento",
+                    "[{'numero': '#0080', 'level': 'Level 37', 'item': None, 'nome': 'Lentor', 'url': 'u'}]",
                     "120 cm", "36 kg", "Water, Psychic", "{'Fire': '½'}", "[]"])
         w.writerow(["79", "https://h/dup", "Dup", "", "", "", "Fire", "", ""])
-        w.writerow(["#0007", "https://h/7", "Squirtle",
-                    "[{'numero': '#0008', 'level': 'Level 16', 'item': None, 'nome': 'Wartortle', 'url': 'u'}]",
+        w.writerow(["#0007", "https://h/7", "Aqualo",
+                    "[{'numero': '#0008', 'level': 'Level 16', 'item': None, 'nome': 'Aqualor', 'url': 'u'}]",
                     "0.5 m", "9,0 kg", "Water", "", ""])
     run = lambda *a: subprocess.run([sys.executable, "-m", "tessera", *a], cwd=ROOT, capture_output=True,
                                     text=True, timeout=600)
@@ -34,4 +34,4 @@ def test_clean_load_query_cli():
     r = run("query", os.path.join(d, "coll"))
     assert r.returncode == 0, r.stderr[-2000:]
     assert "multi-type documents: 1" in r.stdout
-    assert "Slowpoke" in r.stdout and "Dup" not in r.stdout and "total: 1" in r.stdout
+    assert "Lento" in r.stdout and "Dup" not in r.stdout and "total: 1" in r.stdout

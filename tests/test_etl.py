@@ -14,19 +14,19 @@ from tessera.sources import csv_io
 
 RAW = [
     # numero, url, nome, proximas_evolucoes, tamanho, peso, tipos, efetividade, habilidades, seq
-    ["#0007", "https://h/7", "Squirtle",
-     "[{'numero': '#0008', 'level': 'Level 16', 'item': None, 'nome': 'Wartortle', 'url': 'https://h/8'}, "
-     "{'numero': '#0009', 'level': 'Level 36', 'item': None, 'nome': 'Blastoise', 'url': 'https://h/9'}]",
+    ["#0007", "https://h/7", "Aqualo",
+     "[{'numero': '#0008', 'level': 'Level 16', 'item': None, 'nome': 'Aqualor', 'url': 'https://h/8'}, "
+     "{'numero': '#0009', 'level': 'Level 36', 'item': None, 'nome': 'Aquamax', 'url': 'https://h/9'}]",
      "0.5 m", "9,0 kg", "Water", "{'Electric': '2', 'Fire': '½'}",
-     "[{'url': 'https://h/a1', 'nome': 'Torrent', 'descricao': 'Ups; water'}]", "0"],
+     "[{'url': 'https://h/a1', 'nome': 'Surge', 'descricao': 'Ups; water'}]", "0"],
     ["7.0", "https://h/dup", "Dup", "", "", "", "Fire", "", "", "1"],
-    ["#0079", "https://h/79", "Slowpoke",
-     "[{'numero': '#0080', 'level': 'Level 37', 'item': None, 'nome': 'Slowbro', 'url': 'https://h/80'}]",
+    ["#0079", "https://h/79", "Lento",
+     "[{'numero': '#0080', 'level': 'Level 37', 'item': None, 'nome': 'Lentor', 'url': 'https://h/80'}]",
      "120 cm", "36 kg", "Water, Psychic", "{'Grass': '2', 'Fire': '¼'}", "[]", "2"],
     ["", "", "Keyless", "", "", "", ", ÁGUA ,", "broken", "not a list", "3"],
     ["abc", "https://h/x", "NoDigits", "", "", "", "Water", "", "", "4"],
-    ["#0001", "https://h/1", 'Bulba "x"', "#0002 | Level 16 | Ivysaur", "0,7 m", "6,9 kg", "Grass, Poison", "",
-     "[{'url': 'u', 'nome': 'Overgrow', 'descricao': 'Line1\nLine2'}]", "5"],
+    ["#0001", "https://h/1", 'Verda "x"', "#0002 | Level 16 | Verdon", "0,7 m", "6,9 kg", "Grass, Poison", "",
+     "[{'url': 'u', 'nome': 'Thicket', 'descricao': 'Line1\nLine2'}]", "5"],
     ["99999999999999999999", "https://h/huge", "Huge", "", "", "", "", "", "", "6"],
 ]
 
@@ -55,7 +55,7 @@ def _docs_by_name(docs):
 
 def test_raw_scan_reads_quotes_and_multiline(spark, raw_csv):
     rows = {r["seq"]: r for r in _raw(spark, raw_csv).collect()}
-    assert rows[5]["nome"] == 'Bulba "x"'
+    assert rows[5]["nome"] == 'Verda "x"'
     assert "Line1\nLine2" in rows[5]["habilidades"]
     assert rows[99]["nome"] == "" and rows[99]["numero"] == "#0150"
 
@@ -64,34 +64,34 @@ def test_clean_dedup_keep_first(spark, raw_csv):
     clean = etl.clean_items(_raw(spark, raw_csv))
     got = {r["numero"]: r["nome"] for r in clean.collect()}
     # 7.0 duplicates #0007 (first kept); '' and 'abc' share the NULL key (first kept)
-    assert got == {"7": "Squirtle", "79": "Slowpoke", None: "Keyless", "1": 'Bulba "x"',
+    assert got == {"7": "Aqualo", "79": "Lento", None: "Keyless", "1": 'Verda "x"',
                    "99999999999999999999": "Huge", "150": ""}
-    row = {r["nome"]: r for r in clean.collect()}["Squirtle"]
+    row = {r["nome"]: r for r in clean.collect()}["Aqualo"]
     assert row["Peso_kg"] == 9.0 and row["altura_cm"] == 50.0
     assert row["efetividade_dict"] == {"Electric": 2.0, "Fire": 0.5}
-    assert (row["numero_evol"], row["level_evol"], row["nome_evol"]) == ("8; 9", "16; 36", "Wartortle; Blastoise")
+    assert (row["numero_evol"], row["level_evol"], row["nome_evol"]) == ("8; 9", "16; 36", "Aqualor; Aquamax")
     assert row["habilidades_descricoes"] == "Ups; water"
 
 
 def _check_documents(docs):
     d = _docs_by_name(docs)
-    sq = d["Squirtle"]
+    sq = d["Aqualo"]
     assert sq["numero"] == 7 and sq["tipos"] == ["Water"] and sq["peso_kg"] == 9.0 and sq["altura_cm"] == 50.0
     assert sq["efetividade"] == {"Electric": 2.0, "Fire": 0.5}
     # a ';' inside a description splits it again on load (source behaviour)
-    assert sq["habilidades"] == [{"nome": "Torrent", "url": "https://h/a1", "descricao": "Ups"},
+    assert sq["habilidades"] == [{"nome": "Surge", "url": "https://h/a1", "descricao": "Ups"},
                                  {"nome": None, "url": None, "descricao": "water"}]
-    assert sq["evolucao"] == {"numero": 8, "nome": "Wartortle", "url": "https://h/8",
+    assert sq["evolucao"] == {"numero": 8, "nome": "Aqualor", "url": "https://h/8",
                               "condicao": {"level": 16, "item": None}}
-    sp = d["Slowpoke"]
+    sp = d["Lento"]
     assert sp["tipos"] == ["Water", "Psychic"] and sp["altura_cm"] == 120.0 and sp["habilidades"] == []
     assert sp["evolucao"]["condicao"]["level"] == 37
     k = d["Keyless"]
     assert k["numero"] is None and k["url"] is None and k["tipos"] == ["ÁGUA"] and k["efetividade"] == {}
     assert k["evolucao"] is None and k["habilidades"] == []
-    b = d['Bulba "x"']
+    b = d['Verda "x"']
     assert b["altura_cm"] == 70.0 and b["peso_kg"] == 6.9
-    assert b["habilidades"] == [{"nome": "Overgrow", "url": "u", "descricao": "Line1\nLine2"}]
+    assert b["habilidades"] == [{"nome": "Thicket", "url": "u", "descricao": "Line1\nLine2"}]
     assert b["evolucao"] == {"numero": 2, "nome": "Level 16", "url": None, "condicao": {"level": 16, "item": None}}
     assert d["Huge"]["numero"] is None   # beyond int64 at load
 
@@ -116,7 +116,7 @@ def test_load_and_queries(spark, raw_csv):
     # every document is new after the reset; Keyless and Huge (no usable id) go by name
     assert c == {"inserted": 6, "modified": 0, "unchanged": 0, "untouched": 0}
     water = [tuple(r) for r in lookup.water_after_level(loaded).collect()]
-    assert water == [(79, "Slowpoke", 37)]
+    assert water == [(79, "Lento", 37)]
     assert lookup.multi_type_count(loaded).first()[0] == 2
 
 

@@ -8,21 +8,21 @@ BASE = "https://dex.example"
 LISTING = f"{BASE}/list"
 
 LISTING_HTML = """<html><body><table id="pokedex"><thead><tr><th>#</th><th>Name</th></tr></thead><tbody>
-<tr><td class="cell-num">1</td><td class="cell-name"><a class="ent-name" href="/p/squirtle">Squirtle</a></td></tr>
-<tr><td class="cell-name"><a class="ent-name" href="/p/rotom">Rotom</a><br><small class="text-muted">Wash Rotom</small></td></tr>
+<tr><td class="cell-num">1</td><td class="cell-name"><a class="ent-name" href="/p/aqualo">Aqualo</a></td></tr>
+<tr><td class="cell-name"><a class="ent-name" href="/p/volto">Volto</a><br><small class="text-muted">Wash Volto</small></td></tr>
 <tr><td class="cell-name">No link</td></tr>
-<tr><td class="cell-name"><a class="ent-name" href="/p/squirtle">Squirtle</a></td></tr>
+<tr><td class="cell-name"><a class="ent-name" href="/p/aqualo">Aqualo</a></td></tr>
 </tbody></table></body></html>"""
 
-SQUIRTLE_HTML = """<html><body><main><h1>Squirtle</h1>
+AQUALO_HTML = """<html><body><main><h1>Aqualo</h1>
 <h2>Pokédex data</h2>
 <table class="vitals-table"><tbody>
 <tr><th>National №</th><td><strong>0007</strong></td></tr>
 <tr><th>Type</th><td><a class="type-icon">Water</a></td></tr>
 <tr><th>Height</th><td>0.5 m (1′08″)</td></tr>
 <tr><th>Weight</th><td>9.0 kg (19.8 lbs)</td></tr>
-<tr><th>Abilities</th><td><span><a href="/ability/torrent">Torrent</a></span>
-<small><a href="/ability/rain-dish">Rain Dish</a> (hidden)</small></td></tr>
+<tr><th>Abilities</th><td><span><a href="/ability/surge">Surge</a></span>
+<small><a href="/ability/rain-cup">Rain Cup</a> (hidden)</small></td></tr>
 </tbody></table>
 <h2>Type defenses</h2>
 <div><table class="type-table type-table-pokedex">
@@ -30,21 +30,21 @@ SQUIRTLE_HTML = """<html><body><main><h1>Squirtle</h1>
 <tr><td>1</td><td>½</td><td></td><td>x</td></tr></table></div>
 <h2>Evolution chart</h2>
 <div class="infocard-list-evo">
-<div class="infocard"><span><small>#0007</small><a class="ent-name" href="/p/squirtle">Squirtle</a><small><a class="itype water">Water</a></small></span></div>
+<div class="infocard"><span><small>#0007</small><a class="ent-name" href="/p/aqualo">Aqualo</a><small><a class="itype water">Water</a></small></span></div>
 <span class="infocard-arrow"><small>(Level 16)</small></span>
-<div class="infocard"><small>#0008</small><a class="ent-name" href="/p/wartortle">Wartortle</a></div>
+<div class="infocard"><small>#0008</small><a class="ent-name" href="/p/aqualor">Aqualor</a></div>
 <span class="infocard-arrow"><small>(Level 36)</small></span>
-<div class="infocard"><small>#0009</small><a class="ent-name" href="/p/blastoise">Blastoise</a></div>
+<div class="infocard"><small>#0009</small><a class="ent-name" href="/p/aquamax">Aquamax</a></div>
 </div></main></body></html>"""
 
-ROTOM_HTML = """<html><body><h1>Rotom</h1>
-<div><h2>Rotom</h2><table class="vitals-table"><tr><th>National №</th><td><strong>0479</strong></td></tr>
+VOLTO_HTML = """<html><body><h1>Volto</h1>
+<div><h2>Volto</h2><table class="vitals-table"><tr><th>National №</th><td><strong>0479</strong></td></tr>
 <tr><th>Type</th><td><a>Electric</a> <a>Ghost</a></td></tr></table>
-<h2>Pokédex data <small>Wash Rotom</small></h2><table class="vitals-table"><tr><th>National №</th><td><strong>0479</strong></td></tr>
+<h2>Pokédex data <small>Wash Volto</small></h2><table class="vitals-table"><tr><th>National №</th><td><strong>0479</strong></td></tr>
 <tr><th>Type</th><td><a>Electric</a> <a>Water</a></td></tr><tr><th>Height</th><td>0.3 m</td></tr></table></div>
 </body></html>"""
 
-TORRENT_HTML = """<html><body><main><h2>Effect</h2><p>Powers up <b>Water</b>-type moves</p><p>in a pinch.</p>
+SURGE_HTML = """<html><body><main><h2>Effect</h2><p>Powers up <b>Water</b>-type moves</p><p>in a pinch.</p>
 <h2>Other</h2><p>ignored</p></main></body></html>"""
 
 GAME_ONLY_HTML = """<html><body><h2>Game descriptions</h2><div><table class="vitals-table">
@@ -54,8 +54,8 @@ UNCLOSED_HTML = """<html><body><article><h1>T &amp; U</h1><p><b>First &copy; par
 
 
 def _pages(spark):
-    rows = [(LISTING, LISTING_HTML), (f"{BASE}/p/squirtle", SQUIRTLE_HTML), (f"{BASE}/p/rotom", ROTOM_HTML),
-            (f"{BASE}/ability/torrent", TORRENT_HTML), (f"{BASE}/ability/game", GAME_ONLY_HTML),
+    rows = [(LISTING, LISTING_HTML), (f"{BASE}/p/aqualo", AQUALO_HTML), (f"{BASE}/p/volto", VOLTO_HTML),
+            (f"{BASE}/ability/surge", SURGE_HTML), (f"{BASE}/ability/game", GAME_ONLY_HTML),
             (f"{BASE}/x/unclosed", UNCLOSED_HTML)]
     return spark.createDataFrame(rows, "url string, html string")
 
@@ -67,24 +67,24 @@ def test_parser_handles_unclosed_paragraphs():
 
 
 def test_extractors_on_fixtures():
-    sq = P.parse_html(SQUIRTLE_HTML)
+    sq = P.parse_html(AQUALO_HTML)
     t = P.vitals_tables(sq)
     assert len(t) == 1 and t[0]["label"] == "Pokédex data" and t[0]["numero"] == "0007"
     assert (t[0]["tamanho"], t[0]["peso"], t[0]["tipos"]) == ("0.5 m (1′08″)", "9.0 kg (19.8 lbs)", ["Water"])
-    assert t[0]["hab_nomes"] == ["Torrent", "Rain Dish"]
+    assert t[0]["hab_nomes"] == ["Surge", "Rain Cup"]
     assert P.effectiveness(sq) == (["Normal", "Fire", "Water"], ["1", "½", "", "x"])
     evo = P.evolution_cards(sq)
-    assert [(e["small"], e["nome"]) for e in evo] == [("#0007", "Squirtle"), ("(Level 16)", None),
-                                                     ("#0008", "Wartortle"), ("(Level 36)", None),
-                                                     ("#0009", "Blastoise")]
-    ro = P.vitals_tables(P.parse_html(ROTOM_HTML))
-    assert [x["label"] for x in ro] == ["Rotom", "Wash Rotom"]
-    assert P.description_candidates(P.parse_html(TORRENT_HTML))[0].split() == \
+    assert [(e["small"], e["nome"]) for e in evo] == [("#0007", "Aqualo"), ("(Level 16)", None),
+                                                     ("#0008", "Aqualor"), ("(Level 36)", None),
+                                                     ("#0009", "Aquamax")]
+    ro = P.vitals_tables(P.parse_html(VOLTO_HTML))
+    assert [x["label"] for x in ro] == ["Volto", "Wash Volto"]
+    assert P.description_candidates(P.parse_html(SURGE_HTML))[0].split() == \
         "Powers up Water -type moves in a pinch.".split()
     assert P.description_candidates(P.parse_html(GAME_ONLY_HTML))[3] == "Old   text"
     rows = P.listing_rows(P.parse_html(LISTING_HTML))
     assert [(r["href"], r["form_hint"]) for r in rows] == [
-        ("/p/squirtle", "Base"), ("/p/rotom", "Wash Rotom"), (None, "Base"), ("/p/squirtle", "Base")]
+        ("/p/aqualo", "Base"), ("/p/volto", "Wash Volto"), (None, "Base"), ("/p/aqualo", "Base")]
 
 
 def test_collect_items_trace_a(spark):
@@ -92,16 +92,16 @@ def test_collect_items_trace_a(spark):
     got = {r["seq"]: r.asDict(recursive=True) for r in items.collect()}
     assert sorted(got) == [0, 1, 3]        # the row without a link is skipped; repeats are kept
     sq = got[0]
-    assert (sq["numero"], sq["nome"], sq["tipos"]) == ("0007", "Squirtle", "Water")
+    assert (sq["numero"], sq["nome"], sq["tipos"]) == ("0007", "Aqualo", "Water")
     assert sq["efetividade"] == {"Normal": "1", "Fire": "½", "Water": "1"}
     assert sq["habilidades"] == [
-        {"url": f"{BASE}/ability/torrent", "nome": "Torrent", "descricao": "Powers up Water -type moves in a pinch."},
-        {"url": f"{BASE}/ability/rain-dish", "nome": "Rain Dish", "descricao": enrich.MISSING_PAGE_TEXT}]
+        {"url": f"{BASE}/ability/surge", "nome": "Surge", "descricao": "Powers up Water -type moves in a pinch."},
+        {"url": f"{BASE}/ability/rain-cup", "nome": "Rain Cup", "descricao": enrich.MISSING_PAGE_TEXT}]
     assert sq["proximas_evolucoes"] == [
-        {"numero": "#0008", "level": "Level 36", "item": None, "nome": "Wartortle", "url": f"{BASE}/p/wartortle"},
-        {"numero": "#0009", "level": None, "item": None, "nome": "Blastoise", "url": f"{BASE}/p/blastoise"}]
+        {"numero": "#0008", "level": "Level 36", "item": None, "nome": "Aqualor", "url": f"{BASE}/p/aqualor"},
+        {"numero": "#0009", "level": None, "item": None, "nome": "Aquamax", "url": f"{BASE}/p/aquamax"}]
     ro = got[1]
-    # the hint 'Wash Rotom' contains the first table's label 'Rotom' (containment both ways)
+    # the hint 'Wash Volto' contains the first table's label 'Volto' (containment both ways)
     assert (ro["numero"], ro["tipos"], ro["habilidades"], ro["proximas_evolucoes"]) == \
         ("0479", "Electric, Ghost", [], [])
 
@@ -114,9 +114,9 @@ def test_trace_a_to_d(spark):
     sq = d[7]
     assert sq["altura_cm"] == 50.0 and sq["peso_kg"] == 9.0
     assert sq["efetividade"] == {"Normal": 1.0, "Fire": 0.5, "Water": 1.0}
-    assert sq["evolucao"] == {"numero": 8, "nome": "Wartortle", "url": f"{BASE}/p/wartortle",
+    assert sq["evolucao"] == {"numero": 8, "nome": "Aqualor", "url": f"{BASE}/p/aqualor",
                               "condicao": {"level": 36, "item": None}}
-    assert [h["nome"] for h in sq["habilidades"]] == ["Torrent", "Rain Dish"]
+    assert [h["nome"] for h in sq["habilidades"]] == ["Surge", "Rain Cup"]
     assert lookup.water_after_level(docs).count() == 1
 
 

@@ -85,7 +85,7 @@ def test_level_strict_and_loose(spark):
 
 def test_label_match(spark):
     df = spark.createDataFrame([
-        ("Pokédex data", "Base"), ("", "base"), ("Attack Forme", "Attack Form"), ("Alolan Form", "alolan"),
+        ("Pokédex data", "Base"), ("", "base"), ("Attack Forme", "Attack Form"), ("Coastal Form", "coastal"),
         ("", "Mega"), ("Galarian Form", "Base"), ("Speed-Forme", "speed form")], "l string, h string")
     assert [r[0] for r in df.select(S.label_match("l", "h")).collect()] == \
         [True, True, True, True, True, False, True]
