@@ -1,12 +1,17 @@
 """Versioned Parquet snapshots of a document collection.
 
-A collection is a folder holding one sub-folder per version plus a one-line
-pointer dataset naming the current version. A write never touches the version
-being read: the new snapshot is written completely (Spark's commit protocol
-makes task retries and lost executors safe) and only then the pointer is
-replaced. Readers resolve the pointer once and read that version.
-
-The folder must be on shared storage; callers get it from
+A collection is a folder holding one sub-folder per version
+(``version=000001``, ...) and one commit marker per committed version
+(``commits/version=000001``, a one-line text dataset holding the streaming
+batch id, if any). The data of a version is written completely first
+(Spark's commit protocol makes task retries and lost executors safe), its
+marker second; the current version is the highest one with a marker. So a
+write never touches the version being read, a reader never sees a partial
+load, and a crash between the two steps leaves an invisible version that the
+next write replaces.
+
+One writer per collection at a time (as in the source, which loads from one
+process). The folder must be on shared storage; callers get it from
 ``tessera.session.scratch_path`` (under ``spark.checkpoint.dir``) or pass
 their own.
 """
@@ -15,28 +20,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-POINTER = "_current"
+COMMITS = "commits"
 
 
-def _pointer(spark: SparkSession, root: str) -> tuple[int | None, int | None]:
-    """(version, epoch) from the pointer text ``"<version>[,<epoch>]"``."""
+def _commits(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(version, marker text) of every committed version, oldest first."""
     try:
-        row = spark.read.text(f"{root}/{POINTER}").first()
-    except Exception:  # noqa: BLE001 - no pointer yet
-        return None, None
-    if row is None:
-        return None, None
-    parts = row[0].split(",")
-    return int(parts[0]), (int(parts[1]) if len(parts) > 1 and parts[1] else None)
+        rows = spark.read.text(f"{root}/{COMMITS}").select("version", "value").collect()
+    except Exception:  # noqa: BLE001 - nothing committed yet
+        return []
+    return sorted((int(v), val) for v, val in rows)   # one tiny row per version
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
-    return _pointer(spark, root)[0]
+    found = _commits(spark, root)
+    return found[-1][0] if found else None
 
 
 def last_epoch(spark: SparkSession, root: str) -> int | None:
     """Streaming batch id that produced the current version, if any."""
-    return _pointer(spark, root)[1]
+    found = _commits(spark, root)
+    return int(found[-1][1]) if found and found[-1][1] else None
+
+
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the committed versions, oldest first (for retention jobs)."""
+    return [v for v, _ in _commits(spark, root)]
 
 
 def version_path(root: str, version: int) -> str:
@@ -44,23 +53,20 @@ def version_path(root: str, version: int) -> str:
 
 
 def write_snapshot(df: DataFrame, root: str, epoch: int | None = None) -> str:
-    """K2/K3: write ``df`` as the next version and switch the pointer to it.
-
-    Every write is a full refresh of the collection (the source drops the
-    collection before loading); older versions stay readable until removed.
-    """
+    """K2/K3: write ``df`` as the next version and commit it. Every write is a
+    full refresh of the collection (the source drops the collection before
+    loading); older versions stay readable until removed."""
     spark = df.sparkSession
     nxt = (current_version(spark, root) or 0) + 1
     path = version_path(root, nxt)
     df.write.mode("overwrite").parquet(path)
-    value = str(nxt) if epoch is None else f"{nxt},{epoch}"
-    spark.createDataFrame([(value,)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(f"{root}/{POINTER}")
+    spark.createDataFrame([("" if epoch is None else str(epoch),)], "value string").coalesce(1) \
+        .write.mode("overwrite").text(f"{root}/{COMMITS}/version={nxt:06d}")
     return path
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The current version of the collection."""
+    """The current (highest committed) version of the collection."""
     v = current_version(spark, root)
     if v is None:
         raise FileNotFoundError(f"no snapshot under {root}")
