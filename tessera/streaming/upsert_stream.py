@@ -2,7 +2,7 @@
 stream of partial documents, into a versioned snapshot (K2).
 
 Exactly-once comes from two pieces: the stream's own checkpoint (offsets) and
-the snapshot pointer recording the batch id that produced the current
+the snapshot's commit marker recording the batch id that produced the current
 version -- a batch replayed after a failure finds its id already applied and
 is skipped. Each batch writes a complete new version, so a reader never sees
 a half-applied batch; write counters (G6) are appended per batch.
