@@ -16,17 +16,29 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def keep_first(df: DataFrame, key, order) -> DataFrame:
+def keep_first(df: DataFrame, key, order, digest: bool = False) -> DataFrame:
     """One row per key -- the one with the least ``order`` value.
 
     ``order`` must be an explicit, unique input order (e.g. a sequence number
     or primary key); there is no "arrival order" in a distributed scan. NULL
     keys form one group, as in pandas ``drop_duplicates``. Column order of
     ``df`` is preserved.
+
+    ``digest=True`` groups on the SHA-256 of the key (NULL keys stay one
+    group) instead of the key itself -- for long text keys such as whole
+    documents, the map-side sort and the shuffle then compare 32-byte values.
+    Two different keys would have to collide in SHA-256 to be merged.
     """
     keys, order_cols = _cols(key), _cols(order)
     if not order_cols:
         raise ValueError("keep_first needs an explicit order column (input sequence)")
+    if digest:
+        # The JSON text of the key struct tells NULL from "" and one column
+        # from another (NULL fields are omitted, so an all-NULL key is "{}").
+        k = F.sha2(F.to_json(F.struct(*[F.col(c) for c in keys])), 256)
+        picked = (df.groupBy(k.alias("_digest"))
+                  .agg(F.min_by(F.struct(*df.columns), F.struct(*order_cols)).alias("_first")))
+        return picked.select(*[F.col(f"_first.{c}").alias(c) for c in df.columns])
     rest = [c for c in df.columns if c not in keys]
     picked = (df.groupBy(*keys)
               .agg(F.min_by(F.struct(*rest), F.struct(*order_cols)).alias("_first")))

@@ -108,3 +108,12 @@ def test_fan_in_chunked_is_whole_and_bounded(spark):
         assert len(r["vals"]) <= 4
         by_item.setdefault(r["item"], []).extend(x["v"] for x in r["vals"])
     assert by_item == {"hot": [f"v{i}" for i in range(10)], "cold": ["c0"], "none": []}
+
+
+def test_keep_first_digest_equals_exact(spark):
+    rows = [(None, 0, "a"), ("x" * 5000, 1, "b"), ("x" * 5000, 2, "c"), ("", 3, "d"), (None, 4, "e"), ("", 5, "f")]
+    df = spark.createDataFrame(rows, "t string, seq long, v string")
+    exact = sorted((tuple(r) for r in dedup.keep_first(df, "t", "seq").collect()), key=lambda r: r[1])
+    hashed = sorted((tuple(r) for r in dedup.keep_first(df, "t", "seq", digest=True).collect()),
+                    key=lambda r: r[1])
+    assert exact == hashed and len(exact) == 3
