@@ -204,10 +204,15 @@ def drop_empty_records(arr, fields: list[str], normalise=None) -> Column:
 
 
 
-def rebuild_records(nomes, urls, descricoes) -> Column:
+def rebuild_records(nomes, urls, descricoes, strict: bool = False) -> Column:
     """M6: three delimited columns -> list of records, padded to the longest
-    list with NULL; records whose three fields are all empty are dropped."""
-    lists = F.struct(*[S.split_multi(x).alias(n) for x, n in zip((nomes, urls, descricoes), HABILIDADE_FIELDS)])
+    list with NULL; records whose three fields are all empty are dropped.
+
+    By default a placeholder text (``None``) next to a real value survives in
+    the record, as in the source (H8); ``strict=True`` turns it into NULL."""
+    split = (lambda x: F.transform(S.split_multi(x), lambda v: S.null_tokens(v, False))) if strict \
+        else S.split_multi
+    lists = F.struct(*[split(x).alias(n) for x, n in zip((nomes, urls, descricoes), HABILIDADE_FIELDS)])
     empty = F.array().cast("array<struct<nome:string,url:string,descricao:string>>")
 
     def body(v):

@@ -103,3 +103,11 @@ def test_drop_empty_records(spark):
                                "r array<struct<nome:string,url:string,descricao:string>>")
     got = df.select(N.drop_empty_records("r", N.HABILIDADE_FIELDS)).first()[0]
     assert [tuple(x) for x in got] == [("a", None, None)]
+
+
+def test_rebuild_records_strict_placeholder(spark):
+    df = spark.createDataFrame([("a; b", "None; u2", "d1")], "n string, u string, d string")
+    compat = df.select(N.rebuild_records("n", "u", "d")).first()[0]
+    strict = df.select(N.rebuild_records("n", "u", "d", strict=True)).first()[0]
+    assert [tuple(x) for x in compat] == [("a", "None", "d1"), ("b", "u2", None)]
+    assert [tuple(x) for x in strict] == [("a", None, "d1"), ("b", "u2", None)]
