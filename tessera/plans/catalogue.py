@@ -1021,7 +1021,9 @@ def raw_items(spark, sf) -> DataFrame:
     """Raw scraped-item rows (all text, literals as the scraper writes them)
     derived from ``part``; pairs of parts share an id, size 7 has none."""
     from . import etl
-    p = table(spark, sf, "part", cpu_heavy=True)
+    # No spreading here: the cleaning stage's dedup shuffle already spreads
+    # the rows before the expensive decoders run.
+    p = table(spark, sf, "part")
     size, pk = F.col("p_size"), F.col("p_partkey")
     glyph = F.element_at(F.array(*[F.lit(g) for g in GLYPHS]), (size % len(GLYPHS) + 1).cast("int"))
     numero = F.when(size == 7, F.lit(" None ")).otherwise(
