@@ -63,14 +63,15 @@ class _TreeBuilder(HTMLParser):
         self.stack = [self.root]
 
     def handle_starttag(self, tag, attrs):
-        closes, scope = _IMPLIED_END.get(tag, (set(), set()))
-        for i in range(len(self.stack) - 1, 0, -1):
-            t = self.stack[i].tag
-            if t in scope:
-                break
-            if t in closes:
-                del self.stack[i:]
-                break
+        if tag in _IMPLIED_END:
+            closes, scope = _IMPLIED_END[tag]
+            for i in range(len(self.stack) - 1, 0, -1):
+                t = self.stack[i].tag
+                if t in scope:
+                    break
+                if t in closes:
+                    del self.stack[i:]
+                    break
         node = Node(tag, {k: (v or "") for k, v in attrs}, self.stack[-1])
         self.stack[-1].children.append(node)
         if tag not in _VOID:
@@ -100,18 +101,28 @@ def parse_html(html: str) -> Node:
 
 # -- small selection helpers (descendant walks over the tree) ---------------
 def descendants(n: Node):
-    for c in n.children:
-        if isinstance(c, Node):
+    """Element descendants in document order (iterative: malformed pages can
+    nest thousands of unclosed tags)."""
+    stack = [iter(n.children)]
+    while stack:
+        c = next(stack[-1], None)
+        if c is None:
+            stack.pop()
+        elif isinstance(c, Node):
             yield c
-            yield from descendants(c)
+            stack.append(iter(c.children))
 
 
 def texts(n: Node) -> list[str]:
-    out = []
-    for c in n.children:
-        if isinstance(c, Node):
+    """Descendant text nodes in document order, skipping script/style."""
+    out, stack = [], [iter(n.children)]
+    while stack:
+        c = next(stack[-1], None)
+        if c is None:
+            stack.pop()
+        elif isinstance(c, Node):
             if c.tag not in _RAW_TEXT:
-                out.extend(texts(c))
+                stack.append(iter(c.children))
         else:
             out.append(c)
     return out

@@ -143,3 +143,10 @@ def test_evolution_pairing_options(spark):
     assert _evolutions_of(spark, per_chain=True) == [("#0003", "Gamma", "Level 30"), ("#0004", "Delta", None)]
     assert _evolutions_of(spark, per_chain=True, incoming_level=True) == \
         [("#0003", "Gamma", None), ("#0004", "Delta", "Level 30")]
+
+
+def test_deeply_nested_unclosed_tags():
+    html = "<html><body><article><h1>Deep</h1><p>" + "<b>x" * 5000 + "</article></body></html>"
+    root = P.parse_html(html)
+    assert P.first_h1_text(root) == "Deep"
+    assert P.description_candidates(root)[2] == " ".join(["x"] * 5000)
