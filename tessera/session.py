@@ -16,18 +16,29 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _LOCAL_CHECKPOINT: str | None = None   # private folder, local mode only, when the conf is unset
 
-# Defaults for a local run. On a cluster these come from the submit config and
-# the builder below only fills what is unset.
-_LOCAL_DEFAULTS = {
+# SQL defaults the library relies on; applied only where the session does not
+# already set them (a cluster's submit-time configuration always wins).
+_SQL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The page pass sends whole HTML documents to Python: bound each Arrow
+    # batch by bytes, not only by record count.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+# Local runs and tests only (set at session creation).
+_LOCAL_ONLY = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.driver.memory": "8g",
+    # Small local inputs: let AQE keep more, smaller post-shuffle partitions
+    # so CPU-heavy decoding after a shuffle uses every core.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 
@@ -39,20 +50,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     cluster leave them ``None`` so the submit-time configuration wins.
     """
     builder = SparkSession.builder.appName(app_name)
+    local = bool(master and master.startswith("local"))
     if master:
         builder = builder.master(master)
-    conf = dict(_LOCAL_DEFAULTS)
-    if master and master.startswith("local"):
-        conf.setdefault("spark.driver.memory", "8g")
-        # Small local inputs: let AQE keep more, smaller post-shuffle
-        # partitions so CPU-heavy decoding after a shuffle uses every core.
-        conf.setdefault("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+    conf = dict(_LOCAL_ONLY) if local else {}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    for k, v in _SQL_DEFAULTS.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
