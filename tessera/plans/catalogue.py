@@ -1194,3 +1194,108 @@ def page_description(spark, sf):
     desc = S.first_nonempty(*[S.collapse_ws(F.get("desc", i)) for i in range(4)],
                             default=enrich.NO_DESCRIPTION_TEXT)
     return parsed.select("page_id", F.col("h1"), desc.alias("description"))
+
+
+# --------------------------------------------------------------------------
+# Trace A over pages that Spark derives from ``part``: paginated listing pages
+# (100 rows each), one detail page per part (one or two vitals tables, an
+# effectiveness table, an evolution list) and one ability page per brand up
+# to Brand#20 (the others are missing and take the fallback text).
+# --------------------------------------------------------------------------
+SITE = "https://parts.example"
+PAGE_GLYPHS = ["½", "¼", "¾", "2", "1", "0", "x", "1,5"]
+LISTING_ROWS = 100
+
+
+def _s(c):
+    return c.cast("string")
+
+
+def derived_pages(spark, sf) -> DataFrame:
+    p = table(spark, sf, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+              cpu_heavy=True)
+    pk, size, typ = F.col("p_partkey"), F.col("p_size"), F.col("p_type")
+    two = size > 25
+    glyph = F.element_at(F.array(*[F.lit(g) for g in PAGE_GLYPHS]), (size % len(PAGE_GLYPHS) + 1).cast("int"))
+    slug = F.replace(F.lower(F.col("p_brand")), F.lit("#"), F.lit("-"))
+    vitals = F.concat(
+        F.lit('<table class="vitals-table"><tbody><tr><th>National №</th><td><strong>'), _s(pk),
+        F.lit("</strong></td></tr><tr><th>Type</th><td><a>"), typ, F.lit("</a> <a>"),
+        F.split_part(F.col("p_name"), F.lit(" "), F.lit(2)),
+        F.lit("</a></td></tr><tr><th>Height</th><td>"), _s((size / 10).cast("int")), F.lit("."), _s(size % 10),
+        F.lit(" m</td></tr><tr><th>Weight</th><td>"), _s(F.col("p_retailprice")),
+        F.lit(' kg</td></tr><tr><th>Abilities</th><td><a href="/ability/'), slug, F.lit('">'), F.col("p_brand"),
+        F.lit("</a></td></tr></tbody></table>"))
+    alt = F.lit('<h2>Other <small>Alt form</small></h2><table class="vitals-table"><tr><th>National №</th>'
+                '<td><strong>9999</strong></td></tr><tr><th>Type</th><td><a>ALT</a></td></tr></table>')
+    detail_html = F.concat(
+        F.lit("<html><body><main><h1>"), F.col("p_name"), F.lit("</h1>"),
+        F.when(two, alt).otherwise(F.lit("")),
+        F.lit("<h2>"), F.when(two, typ).otherwise(F.lit("Pokédex data")), F.lit("</h2>"), vitals,
+        F.lit('<h2>Type defenses</h2><div><table class="type-table type-table-pokedex"><tr><th><a>Fire</a></th>'
+              '<th><a>Water</a></th></tr><tr><td>'), glyph, F.lit("</td><td></td></tr></table></div>"),
+        F.lit('<div class="infocard-list-evo"><div><small>#'), _s(pk), F.lit('</small><a class="ent-name" href="/p/'),
+        _s(pk), F.lit('">'), F.col("p_name"), F.lit("</a></div><span><small>(Level "), _s(size + 10),
+        F.lit(")</small></span><div><small>#"), _s(pk + 1), F.lit('</small><a class="ent-name" href="/p/'),
+        _s(pk + 1), F.lit('">next-'), _s(pk), F.lit("</a></div><span><small>(Level "), _s(size + 20),
+        F.lit(")</small></span></div></main></body></html>"))
+    details = p.select(F.concat(F.lit(SITE + "/p/"), _s(pk)).alias("url"), detail_html.alias("html"))
+
+    row = F.concat(F.lit('<tr><td class="cell-name"><a class="ent-name" href="/p/'), _s(pk), F.lit('">'),
+                   F.col("p_name"), F.lit("</a>"),
+                   F.when(two, F.concat(F.lit('<small class="text-muted">'), typ, F.lit("</small>")))
+                   .otherwise(F.lit("")), F.lit("</td></tr>"))
+    chunk = (pk / LISTING_ROWS).cast("bigint")
+    listings = p.groupBy(chunk.alias("chunk")).agg(
+        F.array_sort(F.collect_list(F.struct(pk.alias("k"), row.alias("r")))).alias("rows")).select(
+        F.concat(F.lit(SITE + "/list/"), _s(F.col("chunk"))).alias("url"),
+        F.concat(F.lit('<html><body><table id="pokedex"><thead><tr><th>Name</th></tr></thead><tbody>'),
+                 F.array_join(F.transform("rows", lambda x: x["r"]), ""),
+                 F.lit("</tbody></table></body></html>")).alias("html"))
+
+    brand_no = F.split_part(F.col("p_brand"), F.lit("#"), F.lit(2)).try_cast("int")
+    abilities = p.where(brand_no <= 20).select("p_brand").distinct().select(
+        F.concat(F.lit(SITE + "/ability/"), F.replace(F.lower("p_brand"), F.lit("#"), F.lit("-"))).alias("url"),
+        F.concat(F.lit("<html><body><main><h2>Effect</h2><p>Boosts "), F.col("p_brand"),
+                 F.lit(" parts.</p></main></body></html>")).alias("html"))
+    return details.unionByName(listings).unionByName(abilities)
+
+
+_PAGE_GLYPH_SQL = "[" + ", ".join("'" + g + "'" for g in PAGE_GLYPHS) + "]" + f"[p_size % {len(PAGE_GLYPHS)} + 1]"
+
+
+@register("page_items", f"""
+WITH p AS (
+  SELECT *, p_partkey // {LISTING_ROWS} AS chunk,
+         row_number() OVER (PARTITION BY p_partkey // {LISTING_ROWS} ORDER BY p_partkey) - 1 AS pos
+  FROM part)
+SELECT CAST(chunk * 1048576 + pos AS BIGINT) AS seq,
+       CAST(p_partkey AS VARCHAR) AS numero, p_name AS nome,
+       p_type || ', ' || split_part(p_name, ' ', 2) AS tipos,
+       CAST(p_size // 10 AS VARCHAR) || '.' || CAST(p_size % 10 AS VARCHAR) || ' m' AS tamanho,
+       CAST(p_retailprice AS VARCHAR) || ' kg' AS peso,
+       'Fire=' || {_PAGE_GLYPH_SQL} || ';Water=1' AS efetividade,
+       '{SITE}/ability/' || replace(lower(p_brand), '#', '-') || '|' || p_brand || '|' ||
+         CASE WHEN CAST(split_part(p_brand, '#', 2) AS INTEGER) <= 20 THEN 'Boosts ' || p_brand || ' parts.'
+              ELSE '{enrich.MISSING_PAGE_TEXT}' END AS habilidades,
+       '#' || CAST(p_partkey + 1 AS VARCHAR) || '|Level ' || CAST(p_size + 20 AS VARCHAR) || '|next-'
+         || CAST(p_partkey AS VARCHAR) || '|{SITE}/p/' || CAST(p_partkey + 1 AS VARCHAR) AS evolucoes
+FROM p
+""")
+def page_items(spark, sf):
+    """Trace A (X1-X6, J1, J4, M1, W1/W2, J2 with fallback, G4) over pages
+    Spark derives from ``part``: listing rows follow their links, the vitals
+    table matching the row's form hint is chosen, abilities meet their pages
+    and fan back in; flattened for comparison."""
+    from . import collect
+    pages = derived_pages(spark, sf)
+    page_no = F.regexp_extract("url", r"/list/([0-9]+)$", 1).try_cast("bigint")
+    items = collect.collect_items(pages, listing=F.col("url").startswith(SITE + "/list/"), listing_order=page_no)
+    joined = lambda arr, fields: F.array_join(F.transform(arr, lambda e: F.concat_ws(
+        "|", *[F.coalesce(e[f], F.lit("")) for f in fields])), ";")
+    return items.select(
+        "seq", "numero", "nome", "tipos", "tamanho", "peso",
+        F.array_join(F.transform(F.array_sort(F.map_entries("efetividade")),
+                                 lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("efetividade"),
+        joined("habilidades", ["url", "nome", "descricao"]).alias("habilidades"),
+        joined("proximas_evolucoes", ["numero", "level", "nome", "url"]).alias("evolucoes"))

@@ -77,21 +77,38 @@ def _next_evolutions(evo: Column, page_url: Column, current: Column, incoming: b
         .otherwise(F.transform(after, rec))
 
 
-def collect_items(pages: DataFrame, listing_url: str, checkpoint: bool = True,
-                  incoming_level: bool = False, per_chain: bool = False) -> DataFrame:
+# Rows per listing page are numbered below this bound when several listing
+# pages are combined into one input order.
+_ROWS_PER_LISTING = 1 << 20
+
+
+def collect_items(pages: DataFrame, listing_url: str | None = None, checkpoint: bool = True,
+                  incoming_level: bool = False, per_chain: bool = False,
+                  listing: Column | None = None, listing_order: Column | None = None) -> DataFrame:
     """Raw items (typed nested columns) for every linked row of the listing.
+
+    The listing is one page (``listing_url``, as in the source) or a set of
+    pages selected by the predicate ``listing`` (a paginated listing keeps
+    every page bounded); ``listing_order`` (numeric, per listing page) then
+    orders the pages, and ``seq`` = page order * 2^20 + row position.
     ``incoming_level`` / ``per_chain``: see ``_next_evolutions`` (H5, H6)."""
-    parsed = parse_pages(pages)
+    if (listing_url is None) == (listing is None):
+        raise ValueError("give either listing_url or listing")
+    from ..session import spread
+    parsed = parse_pages(spread(pages))      # the Python pass: use every core on small inputs
     if checkpoint:
         # Written once as a table in the shared checkpoint folder: one parse
         # pass (an RDD checkpoint would parse twice), lineage cut for retries.
         from ..session import materialize
         parsed = materialize(parsed, "parsed-pages")
 
-    listing = parsed.where(F.col("url") == listing_url) \
-        .select(F.col("url").alias("listing_url"), F.explode("listing").alias("row"))
-    links = listing.where(F.col("row.href").isNotNull() & (F.col("row.href") != "")).select(
-        F.col("row.pos").cast("bigint").alias("seq"), F.col("row.form_hint").alias("form_hint"),
+    is_listing = listing if listing is not None else (F.col("url") == listing_url)
+    order = F.lit(0) if listing_order is None else listing_order
+    rows = parsed.where(is_listing).select(
+        F.col("url").alias("listing_url"), order.cast("bigint").alias("_page"), F.explode("listing").alias("row"))
+    links = rows.where(F.col("row.href").isNotNull() & (F.col("row.href") != "")).select(
+        (F.col("_page") * _ROWS_PER_LISTING + F.col("row.pos")).cast("bigint").alias("seq"),
+        F.col("row.form_hint").alias("form_hint"),
         S.resolve_url(F.col("listing_url"), F.col("row.href")).alias("target"))
 
     details = enrich.follow_links(links, parsed, "target", "url")
