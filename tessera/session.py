@@ -8,7 +8,6 @@ folder comes from ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -101,10 +100,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}"
 
 
-def default_master() -> str:
-    return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-
-
 def spread(df, min_partitions: int | None = None):
     """Round-robin an under-partitioned input across the cluster's cores
     before CPU-heavy per-row work (regex/JSON decoding, HTML parsing).

@@ -111,3 +111,9 @@ def test_rebuild_records_strict_placeholder(spark):
     strict = df.select(N.rebuild_records("n", "u", "d", strict=True)).first()[0]
     assert [tuple(x) for x in compat] == [("a", "None", "d1"), ("b", "u2", None)]
     assert [tuple(x) for x in strict] == [("a", None, "d1"), ("b", "u2", None)]
+
+
+def test_any_all_fields(spark):
+    df = spark.createDataFrame([(None, None), ("a", None), (None, 1)], "a string, b int")
+    got = [tuple(r) for r in df.select(N.any_set("a", "b"), N.all_unset("a", "b")).collect()]
+    assert got == [(False, True), (True, False), (True, False)]
