@@ -13,7 +13,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 def test_clean_load_query_cli():
     d = tempfile.mkdtemp(prefix="tessera-cli-")
-    raw = os.path.join(d, "saida.csv")
+    raw = os.path.join(d, "items.csv")
     with open(raw, "w", newline="", encoding="utf-8") as fh:
         w = csv.writer(fh)
         w.writerow(etl.RAW_COLUMNS)          # no seq column: file order is the input order

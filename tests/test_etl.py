@@ -34,7 +34,7 @@ RAW = [
 @pytest.fixture(scope="module")
 def raw_csv():
     d = tempfile.mkdtemp(prefix="tessera-raw-")
-    path = os.path.join(d, "saida.csv")
+    path = os.path.join(d, "items.csv")
     with open(path, "w", newline="", encoding="utf-8") as fh:
         w = csv.writer(fh, quoting=csv.QUOTE_MINIMAL)
         w.writerow(etl.RAW_COLUMNS + ["seq"])
