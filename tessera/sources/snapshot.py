@@ -18,34 +18,42 @@ their own.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 COMMITS = "commits"
 
 
-def _commits(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """(version, marker text) of every committed version, oldest first."""
+_MARKER_RE = re.compile(r"/version=(\d+)/[^/]+$")
+
+
+def _marker_files(spark: SparkSession, root: str) -> dict[int, str]:
+    """Committed version -> its marker file (a file listing, no job)."""
     try:
-        rows = spark.read.text(f"{root}/{COMMITS}").select("version", "value").collect()
+        files = spark.read.text(f"{root}/{COMMITS}").inputFiles()
     except Exception:  # noqa: BLE001 - nothing committed yet
-        return []
-    return sorted((int(v), val) for v, val in rows)   # one tiny row per version
+        return {}
+    return {int(m.group(1)): f for f in files if (m := _MARKER_RE.search(f))}
+
+
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the committed versions, oldest first (for retention jobs)."""
+    return sorted(_marker_files(spark, root))
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
-    found = _commits(spark, root)
-    return found[-1][0] if found else None
+    found = committed_versions(spark, root)
+    return found[-1] if found else None
 
 
 def last_epoch(spark: SparkSession, root: str) -> int | None:
     """Streaming batch id that produced the current version, if any."""
-    found = _commits(spark, root)
-    return int(found[-1][1]) if found and found[-1][1] else None
-
-
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the committed versions, oldest first (for retention jobs)."""
-    return [v for v, _ in _commits(spark, root)]
+    markers = _marker_files(spark, root)
+    if not markers:
+        return None
+    row = spark.read.text(markers[max(markers)]).first()     # one tiny file
+    return int(row[0]) if row is not None and row[0] else None
 
 
 def version_path(root: str, version: int) -> str:
