@@ -52,6 +52,7 @@ def empty_map(value_type: str = "double") -> Column:
     return F.create_map().cast(f"map<string,{value_type}>")
 
 
+@S.memo_by_name
 def decode_literal_map(c, value_fn=S.multiplier, value_type: str = "double") -> Column:
     """M2: literal map text -> ``map<string, value_type>``; any failure -> {}.
 
@@ -119,6 +120,7 @@ def text_or_placeholder(c) -> Column:
     return F.coalesce(S.null_tokens(c, True), F.lit(S.PLACEHOLDER))
 
 
+@S.memo_by_name
 def decode_records_joined(c, fields: list[str]) -> Column:
     """M3: literal record list -> struct of ``"; "``-joined texts, one per field.
 
@@ -144,6 +146,7 @@ def _split_bar_semicolon(s: Column) -> Column:
             .otherwise(F.array(s)))
 
 
+@S.memo_by_name
 def decode_evolutions(c) -> Column:
     """M4 + M5: evolution list text -> struct of five ``"; "``-joined columns.
 
@@ -204,6 +207,7 @@ def drop_empty_records(arr, fields: list[str], normalise=None) -> Column:
 
 
 
+@S.memo_by_name
 def rebuild_records(nomes, urls, descricoes, strict: bool = False) -> Column:
     """M6: three delimited columns -> list of records, padded to the longest
     list with NULL; records whose three fields are all empty are dropped.
@@ -224,6 +228,7 @@ def rebuild_records(nomes, urls, descricoes, strict: bool = False) -> Column:
     return S.let(lists, body)
 
 
+@S.memo_by_name
 def build_evolution(numero_evol, level_evol, item_evol, nome_evol, url_evol) -> Column:
     """M7: five delimited columns -> optional ``evolucao`` struct.
 

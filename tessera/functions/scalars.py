@@ -64,6 +64,28 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def memo_by_name(fn):
+    """Reuse the built expression when every argument is a plain value
+    (column names, flags): Column expressions are immutable, and the heavy
+    decoders take thousands of driver-to-JVM calls to build. Calls with
+    Column arguments are built fresh."""
+    cache: dict = {}
+
+    def wrapper(*args, **kw):
+        plain = all(isinstance(a, (str, int, bool, tuple, type(None))) for a in (*args, *kw.values()))
+        if not plain:
+            return fn(*args, **kw)
+        key = (args, tuple(sorted(kw.items())))
+        if key not in cache:
+            cache[key] = fn(*args, **kw)
+        return cache[key]
+
+    wrapper.__wrapped__ = fn
+    wrapper.__doc__ = fn.__doc__
+    wrapper.__name__ = fn.__name__
+    return wrapper
+
+
 def ustrip(c) -> Column:
     """Python ``str.strip()``: remove Unicode whitespace at both ends."""
     return F.regexp_replace(_c(c), _WS_EDGES, "")
@@ -96,6 +118,7 @@ def to_int(c, normalise_chars: bool = True) -> Column:
     return first_digits(c, normalise_chars).try_cast("bigint")
 
 
+@memo_by_name
 def canonical_digits(c, normalise_chars: bool = True) -> Column:
     """T3 (cleaning stage): the first digit run as an exact, unbounded integer
     in canonical text form (leading zeros removed), so ids beyond int64 stay
@@ -103,6 +126,7 @@ def canonical_digits(c, normalise_chars: bool = True) -> Column:
     return F.regexp_replace(first_digits(c, normalise_chars), r"^0+(?=[0-9])", "")
 
 
+@memo_by_name
 def parse_decimal(c) -> Column:
     """T4: first number with an optional ``.``/``,`` decimal mark as DOUBLE.
 
@@ -131,6 +155,7 @@ def to_float(c, normalise_chars: bool = False) -> Column:
             .otherwise(F.lit(None).cast("double")))
 
 
+@memo_by_name
 def length_to_cm(c) -> Column:
     """``<x> m`` -> x*100 rounded to 2 places; ``<x> cm`` -> x; bare -> T4."""
     s = null_tokens(c, True)
@@ -166,6 +191,7 @@ def normalize_list(c) -> Column:
     return F.coalesce(split_clean(s, LIST_SEP_IN), F.array().cast("array<string>"))
 
 
+@memo_by_name
 def normalize_list_text(c) -> Column:
     """T9 (text form): the same list re-joined with ``", "``; NULL -> ``""``."""
     return F.array_join(normalize_list(c), LIST_SEP_OUT)

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def derive_if_present(df: DataFrame, rules: dict[str, tuple[str, Callable[[Column], Column]]]) -> DataFrame:
+def derive_if_present(df: DataFrame, rules: dict[str, tuple[str, Callable[[str], Column]]]) -> DataFrame:
     """``{new: (source, fn)}`` -- add ``new = fn(source)`` only when
-    ``source`` is a column of ``df``. One projection for all rules."""
-    todo = {new: fn(F.col(src)) for new, (src, fn) in rules.items() if src in df.columns}
+    ``source`` is a column of ``df``; ``fn`` receives the column name (the
+    library's functions accept names or Columns). One projection for all
+    rules."""
+    todo = {new: fn(src) for new, (src, fn) in rules.items() if src in df.columns}
     return df.withColumns(todo) if todo else df
 
 

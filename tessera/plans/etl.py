@@ -87,7 +87,7 @@ def clean_items(raw: DataFrame, seq: str = SEQ) -> DataFrame:
         "altura_cm": ("tamanho", S.length_to_cm),
         "efetividade_dict": ("efetividade", N.decode_literal_map),
         "_evo": ("proximas_evolucoes", N.decode_evolutions),
-        "_hab": ("habilidades", lambda c: N.decode_records_joined(c, N.HABILIDADE_FIELDS)),
+        "_hab": ("habilidades", lambda c: N.decode_records_joined(c, tuple(N.HABILIDADE_FIELDS))),
         "tipos": ("tipos", S.normalize_list_text),
     }
     df = conform.derive_if_present(df, derived)
