@@ -1,6 +1,7 @@
 """Command line for the four stages (each a Spark job):
 
   python -m tessera collect PAGES LISTING_URL OUT      pages (Parquet: url, html) -> raw item CSV
+                            [--paginated]             (LISTING_URL as a prefix of several listing pages)
   python -m tessera clean   RAW_CSV OUT                raw item CSV -> cleaned CSV
   python -m tessera load    CLEAN_CSV SNAPSHOT_ROOT    cleaned CSV -> new snapshot version (+ counters)
   python -m tessera query   SNAPSHOT_ROOT              the two lookups on the current snapshot
@@ -41,7 +42,14 @@ def cmd_collect(a):
     from .sources import csv_io
     spark = _session()
     pages = spark.read.parquet(a.pages)
-    items = collect.collect_items(pages, a.listing_url)
+    if a.paginated:
+        # every page whose URL starts with LISTING_URL is a listing page,
+        # ordered by the last number in its URL
+        order = F.regexp_extract("url", r"([0-9]+)[^0-9]*$", 1).try_cast("bigint")
+        items = collect.collect_items(pages, listing=F.col("url").startswith(a.listing_url),
+                                      listing_order=F.coalesce(order, F.lit(0)))
+    else:
+        items = collect.collect_items(pages, a.listing_url)
     csv_io.write_csv(collect.items_as_raw_text(items), a.out)
 
 
@@ -91,6 +99,8 @@ def main(argv=None):
     c.add_argument("pages")
     c.add_argument("listing_url")
     c.add_argument("out")
+    c.add_argument("--paginated", action="store_true",
+                   help="LISTING_URL is a prefix: all pages under it are listing pages")
     c.set_defaults(fn=cmd_collect)
     c = sub.add_parser("clean")
     c.add_argument("raw")

@@ -35,3 +35,16 @@ def test_clean_load_query_cli():
     assert r.returncode == 0, r.stderr[-2000:]
     assert "multi-type documents: 1" in r.stdout
     assert "Lento" in r.stdout and "Dup" not in r.stdout and "total: 1" in r.stdout
+
+
+def test_collect_cli_paginated(spark):
+    from tessera.plans import catalogue
+    d = tempfile.mkdtemp(prefix="tessera-cli-pages-")
+    catalogue.derived_pages(spark, "/root/testdata/sf0.001").write.parquet(os.path.join(d, "pages"))
+    r = subprocess.run([sys.executable, "-m", "tessera", "collect", os.path.join(d, "pages"),
+                        catalogue.SITE + "/list/", os.path.join(d, "raw"), "--paginated"],
+                       cwd=ROOT, capture_output=True, text=True, timeout=600)
+    assert r.returncode == 0, r.stderr[-2000:]
+    n = spark.read.option("header", True).option("multiLine", True).option("escape", '"') \
+        .csv(os.path.join(d, "raw")).count()
+    assert n == spark.read.parquet("/root/testdata/sf0.001/part.parquet").count()
