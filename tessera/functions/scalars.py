@@ -137,9 +137,12 @@ def parse_decimal(c) -> Column:
     return F.replace(num, F.lit(","), F.lit(".")).try_cast("double")
 
 
-# Whole-string float shapes accepted by Python's float() (after ',' -> '.').
-_FLOAT_SHAPE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Whole-string float shapes accepted by Python's float() (after ',' -> '.'):
+# digit groups may be separated by single underscores.
+_DIGITS = r"[0-9](_?[0-9])*"
+_FLOAT_SHAPE = rf"^[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
 _INF_SHAPE = r"(?i)^[+-]?(inf|infinity)$"
+_NAN_SHAPE = r"(?i)^[+-]?nan$"
 
 
 def to_float(c, normalise_chars: bool = False) -> Column:
@@ -149,9 +152,10 @@ def to_float(c, normalise_chars: bool = False) -> Column:
     """
     s = null_tokens(c, normalise_chars)
     s = F.replace(s, F.lit(","), F.lit("."))
-    return (F.when(s.rlike(_FLOAT_SHAPE), s.try_cast("double"))
+    return (F.when(s.rlike(_FLOAT_SHAPE), F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
             .when(s.rlike(_INF_SHAPE),
                   F.when(s.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
+            .when(s.rlike(_NAN_SHAPE), F.lit(float("nan")))
             .otherwise(F.lit(None).cast("double")))
 
 

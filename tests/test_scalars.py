@@ -34,8 +34,11 @@ def test_parse_decimal(spark):
 
 
 def test_to_float_whole_string(spark):
-    vals = ["1,5", " 2 ", "1d", "1f", "abc", "1e3", "-inf", ".5", "1.2.3"]
-    assert one(spark, vals, S.to_float) == [1.5, 2.0, None, None, None, 1000.0, float("-inf"), 0.5, None]
+    vals = ["1,5", " 2 ", "1d", "1f", "abc", "1e3", "-inf", ".5", "1.2.3", "1_000.5", "1__0", "_1", "5."]
+    assert one(spark, vals, S.to_float) == [1.5, 2.0, None, None, None, 1000.0, float("-inf"), 0.5, None,
+                                           1000.5, None, None, 5.0]
+    import math
+    assert math.isnan(one(spark, ["-nan"], S.to_float)[0])
 
 
 def test_length_to_cm(spark):
