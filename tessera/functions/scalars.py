@@ -289,9 +289,26 @@ def label_match(label, hint) -> Column:
 _URI_RE = r"^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?"
 
 
+def remove_dot_segments(path) -> Column:
+    """RFC 3986 section 5.2.4 for an absolute path: ``.`` segments vanish,
+    ``..`` removes the segment before it; a path ending in ``.``/``..`` keeps
+    its trailing slash. A fold over the path's segments (no regex loop)."""
+    p = _c(path)
+    segs = F.slice(F.split(p, "/"), 2, F.greatest(F.size(F.split(p, "/")) - 1, F.lit(0)))
+    init = F.array().cast("array<string>")
+    stack = F.aggregate(segs, init, lambda acc, seg: (
+        F.when(seg == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(seg == ".", acc)
+        .otherwise(F.concat(acc, F.array(seg)))))
+    last = F.element_at(segs, -1)
+    stack = F.when(last.isin(".", ".."), F.concat(stack, F.array(F.lit("")))).otherwise(stack)
+    return F.when(p.startswith("/") & p.rlike(r"(^|/)\.\.?(/|$)"),
+                  F.concat(F.lit("/"), F.array_join(stack, "/"))).otherwise(p)
+
+
 def resolve_url(base, ref) -> Column:
     """Resolve a reference against a page URL (RFC 3986 section 5.2.2,
-    without dot-segment removal)."""
+    with dot-segment removal on the resolved path)."""
     b, r = _c(base), F.coalesce(_c(ref), F.lit(""))
     scheme = F.regexp_extract(b, _URI_RE, 2)
     authority = F.regexp_extract(b, _URI_RE, 4)
@@ -299,13 +316,19 @@ def resolve_url(base, ref) -> Column:
     query = F.regexp_extract(b, _URI_RE, 6)
     origin = F.concat(scheme, F.lit("://"), authority)
     base_dir = F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, r"[^/]*$", ""))
+    def with_clean_path(rel_path):
+        # split off query/fragment, normalise the path part, reattach
+        pth = F.regexp_extract(rel_path, r"^([^?#]*)", 1)
+        tail = F.regexp_extract(rel_path, r"^[^?#]*(.*)$", 1)
+        return F.concat(origin, remove_dot_segments(pth), tail)
+
     return (F.when(r == "", b)
             .when(r.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), r)
             .when(r.startswith("//"), F.concat(scheme, F.lit(":"), r))
-            .when(r.startswith("/"), F.concat(origin, r))
+            .when(r.startswith("/"), with_clean_path(r))
             .when(r.startswith("?"), F.concat(origin, path, r))
             .when(r.startswith("#"), F.concat(origin, path, query, r))
-            .otherwise(F.concat(origin, base_dir, r)))
+            .otherwise(with_clean_path(F.concat(base_dir, r))))
 
 
 def url_host(c) -> Column:

@@ -103,6 +103,13 @@ def test_label_match(spark):
     ("http://h", "x", "http://h/x"),
     ("http://h/p", "https://o/z", "https://o/z"),
     ("http://h/p", "", "http://h/p"),
+    ("http://a/b/c/d;p?q", "../g", "http://a/b/g"),
+    ("http://a/b/c/d;p?q", "./g", "http://a/b/c/g"),
+    ("http://a/b/c/d;p?q", "../..", "http://a/"),
+    ("http://a/b/c/d;p?q", "../../../g", "http://a/g"),
+    ("http://a/b/c/d;p?q", "/./g", "http://a/g"),
+    ("http://a/b/c/d;p?q", "g/./h/../i?x=1", "http://a/b/c/g/i?x=1"),
+    ("http://a/b/c/d;p?q", "..", "http://a/b/"),
 ])
 def test_resolve_url(spark, base, ref, out):
     df = spark.createDataFrame([(base, ref)], "b string, r string")
