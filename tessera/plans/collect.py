@@ -64,17 +64,20 @@ def _next_evolutions(evo: Column, page_url: Column, current: Column, incoming: b
     steps = F.coalesce(steps, F.array().cast(
         "array<struct<numero:string,nome:string,url:string,level:string>>"))
     norm = lambda x: F.lower(S.ustrip(x))
-    hits = F.filter(F.transform(steps, lambda s, i: F.when(
-        (F.coalesce(s["nome"], F.lit("")) != "") & (F.coalesce(current, F.lit("")) != "")
-        & (norm(s["nome"]) == norm(current)), i)), lambda x: x.isNotNull())
-    first_hit = F.get(hits, 0)
-    after = F.filter(F.transform(steps, lambda s, i: F.when(i > first_hit, s)), lambda x: x.isNotNull())
     rec = lambda s: F.struct(s["numero"].alias("numero"), s["level"].alias("level"),
                              F.lit(None).cast("string").alias("item"), s["nome"].alias("nome"),
                              s["url"].alias("url"))
-    return F.when(first_hit.isNull(), F.array().cast(
-        "array<struct<numero:string,level:string,item:string,nome:string,url:string>>")) \
-        .otherwise(F.transform(after, rec))
+    none = F.array().cast("array<struct<numero:string,level:string,item:string,nome:string,url:string>>")
+
+    def successors(st):
+        hits = F.filter(F.transform(st, lambda s, i: F.when(
+            (F.coalesce(s["nome"], F.lit("")) != "") & (F.coalesce(current, F.lit("")) != "")
+            & (norm(s["nome"]) == norm(current)), i)), lambda x: x.isNotNull())
+        # the first hit is bound once, not re-derived for every element
+        return S.let(F.get(hits, 0), lambda first: F.when(first.isNull(), none).otherwise(F.transform(
+            F.filter(F.transform(st, lambda s, i: F.when(i > first, s)), lambda x: x.isNotNull()), rec)))
+
+    return S.let(steps, successors)
 
 
 # Rows per listing page are numbered below this bound when several listing
@@ -112,7 +115,9 @@ def collect_items(pages: DataFrame, listing_url: str | None = None, checkpoint:
         S.resolve_url(F.col("listing_url"), F.col("row.href")).alias("target"))
 
     details = enrich.follow_links(links, parsed, "target", "url")
-    chosen = _choose_table(F.col("vitals"), F.col("form_hint"))
+    # the chosen table is a column of its own so its six uses read it once
+    details = details.withColumn("_table", _choose_table(F.col("vitals"), F.col("form_hint")))
+    chosen = F.col("_table")
     items = details.select(
         "seq", "url",
         F.coalesce(chosen["numero"], F.lit("")).alias("numero"),
