@@ -150,3 +150,42 @@ def test_deeply_nested_unclosed_tags():
     root = P.parse_html(html)
     assert P.first_h1_text(root) == "Deep"
     assert P.description_candidates(root)[2] == " ".join(["x"] * 5000)
+
+
+NO_TABLE_HTML = """<html><body><main><h1>Plain</h1>
+<table class="type-table"><tr><th><a>Fire</a></th><th><a>Water</a></th><th><a>Ice</a></th></tr>
+<tr><td>2</td></tr></table>
+<div class="infocard-list-evo"><div><small>#0001</small><a class="ent-name" href="/p/a">Other</a></div>
+<span><small>(Level 5)</small></span><div><small>#0002</small><a class="ent-name" href="/p/b">Else</a></div></div>
+<p>Intro text</p></main></body></html>"""
+
+LATE_EFFECT_HTML = """<html><body><h2>Effect</h2><h2>Notes</h2><p>Late paragraph.</p></body></html>"""
+EMPTY_ABILITY_HTML = """<html><body><h2>Nothing here</h2></body></html>"""
+
+
+def test_page_edge_cases():
+    root = P.parse_html(NO_TABLE_HTML)
+    assert P.vitals_tables(root) == []
+    # fewer cells than headers: the map stops at the shorter list later (M1)
+    assert P.effectiveness(root) == (["Fire", "Water", "Ice"], ["2"])
+    assert P.description_candidates(P.parse_html(LATE_EFFECT_HTML))[:2] == ["", "Late paragraph."]
+    assert P.description_candidates(P.parse_html(EMPTY_ABILITY_HTML)) == ["", "", "", ""]
+
+
+def test_collect_edge_cases(spark):
+    listing = f"""<table id="pokedex"><tbody>
+    <tr><td class="cell-name"><a class="ent-name" href="/p/plain">Plain</a></td></tr>
+    <tr><td class="cell-name"><a class="ent-name" href="/p/withab">W</a></td></tr></tbody></table>"""
+    withab = """<html><body><h1>W</h1><h2>x</h2><table class="vitals-table">
+    <tr><th>National №</th><td><strong>0042</strong></td></tr>
+    <tr><th>Abilities</th><td><a href="/ability/late">Late</a> <a href="/ability/empty">Empty</a></td></tr></table>
+    </body></html>"""
+    pages = spark.createDataFrame([(LISTING, listing), (f"{BASE}/p/plain", NO_TABLE_HTML), (f"{BASE}/p/withab", withab),
+                                   (f"{BASE}/ability/late", LATE_EFFECT_HTML),
+                                   (f"{BASE}/ability/empty", EMPTY_ABILITY_HTML)], "url string, html string")
+    got = {r["seq"]: r.asDict(recursive=True) for r in collect.collect_items(pages, LISTING).collect()}
+    plain = got[0]
+    # no vitals table: empty fields; current name absent from the chain: no successors
+    assert (plain["numero"], plain["tamanho"], plain["tipos"], plain["habilidades"]) == ("", "", "", [])
+    assert plain["proximas_evolucoes"] == [] and plain["efetividade"] == {"Fire": "2"}
+    assert [h["descricao"] for h in got[1]["habilidades"]] == ["Late paragraph.", enrich.NO_DESCRIPTION_TEXT]
