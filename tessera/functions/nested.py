@@ -88,7 +88,8 @@ def decode_record_list(c, fields: list[str]) -> Column:
         # element makes it NULL and the element-wise decode takes over.
         def pick(j):
             direct = F.from_json(j, f"array<{struct_ddl}>", _JSON_OPTS)
-            return F.coalesce(direct, per_element(j))
+            # a null element is not a record either ({} is: a struct of NULLs)
+            return F.coalesce(F.filter(direct, lambda e: e.isNotNull()), per_element(j))
 
         return F.when(s.rlike(r"^\s*\["), S.let(js, pick))
 

@@ -23,14 +23,17 @@ def test_decode_literal_map(spark):
 
 def test_decode_records_joined(spark):
     vals = ["[]", "{'nome': 'x'}", "[{'nome': 'A; B', 'url': 'u|v', 'descricao': 'it’s'}, 7, {'nome': None}]",
-            "[{'nome': 'O\\'Neil', 'url': 'u', 'descricao': 'd'}]", "oops", None]
+            "[{'nome': 'O\\'Neil', 'url': 'u', 'descricao': 'd'}]", "oops", None,
+            "[{'nome': 'a'}, None, {}]"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string")
     got = [tuple(r) for r in df.orderBy("i").select(
         N.decode_records_joined("v", N.HABILIDADE_FIELDS).alias("r")).select("r.*").collect()]
     assert got == [("", "", ""), (None, None, None),
                    # decoded before the quote rewrite: the typographic apostrophe survives (H4)
                    ("A; B; None", "u|v; None", "it's; None"),
-                   ("O'Neil", "u", "d"), (None, None, None), (None, None, None)]
+                   ("O'Neil", "u", "d"), (None, None, None), (None, None, None),
+                   # None is not a record (skipped); {} is one with no values
+                   ("a; None", "None; None", "None; None")]
 
 
 def test_decode_evolutions(spark):
