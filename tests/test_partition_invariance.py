@@ -5,12 +5,12 @@ import pytest
 from oracle_compare import rows_of
 
 SF = "/root/testdata/sf0.001"
-SHUFFLE_HEAVY = ["dedup_keep_first", "dedup_null_key", "first_match_else_first", "fan_in_list",
-                 "map_from_lists", "upsert_secondary_key", "chain_pairs", "chain_successors",
-                 "link_follow_join", "etl_documents"]
+def _names():
+    from __spark_entry__ import queries
+    return sorted(queries())
 
 
-@pytest.mark.parametrize("name", SHUFFLE_HEAVY)
+@pytest.mark.parametrize("name", _names())
 def test_same_result_for_1_and_13_shuffle_partitions(spark, name):
     from __spark_entry__ import queries
     fn = queries()[name]
