@@ -110,6 +110,9 @@ def main(argv):
             bad += 1
             continue
         ok, msg = compare(spdf, dpdf)
+        tdiff = type_diffs(sdf.schema, con, sqls[name])
+        if ok and tdiff:
+            ok, msg = False, f"column types differ: {tdiff}"
         stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
         dtypes = dict(zip(dpdf.columns, [str(t) for t in dpdf.dtypes]))
         print(f"{'OK  ' if ok else 'FAIL'} {name}: {msg} spark={t1-t0:.2f}s  types={stypes} duck={dtypes}"
