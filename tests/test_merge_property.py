@@ -85,3 +85,18 @@ def test_upsert_matches_model(spark, base, upd):
     assert got == sorted(model(base, upd), key=_key)
     c = merge.write_counters(merged).first()
     assert c["inserted"] + c["modified"] + c["unchanged"] + c["untouched"] == len(got)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.sampled_from(["p", "q", "r"])),
+                     max_size=25),
+       parts=st.integers(1, 5))
+def test_keep_first_matches_model(spark, rows, parts):
+    from tessera.operators import dedup
+    data = [(k, v, i) for i, (k, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k long, v string, seq long").repartition(parts)
+    got = sorted((tuple(r) for r in dedup.keep_first(df, "k", "seq").collect()), key=lambda r: r[2])
+    first = {}
+    for k, v, i in data:                       # brute force: first row of each key, NULL keys together
+        first.setdefault(k, (k, v, i))
+    assert got == sorted(first.values(), key=lambda r: r[2])
