@@ -100,3 +100,21 @@ def test_keep_first_matches_model(spark, rows, parts):
     for k, v, i in data:                       # brute force: first row of each key, NULL keys together
         first.setdefault(k, (k, v, i))
     assert got == sorted(first.values(), key=lambda r: r[2])
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(chains=st.lists(st.lists(st.sampled_from(["user", "assistant", "system"]), max_size=7), max_size=5))
+def test_chain_walks_match_model(spark, chains):
+    from pyspark.sql import functions as F
+    from tessera.operators import chain
+    data = [(c, p, role) for c, roles in enumerate(chains) for p, role in enumerate(roles)]
+    df = spark.createDataFrame(data, "c long, p long, r string")
+    pairs = sorted(tuple(x) for x in chain.pair_with_next(df, "c", "p", ["r"]).collect())
+    want_pairs = sorted((c, p, roles[p], roles[p + 1] if p + 1 < len(roles) else None)
+                        for c, roles in enumerate(chains) for p in range(0, len(roles), 2))
+    assert pairs == want_pairs
+    succ = sorted(tuple(x) for x in chain.successors_after_first_match(
+        df, "c", "p", chain.name_equals(F.col("r"), "assistant")).collect())
+    want_succ = sorted((c, p, roles[p]) for c, roles in enumerate(chains) if "assistant" in roles
+                       for p in range(roles.index("assistant") + 1, len(roles)))
+    assert succ == want_succ
