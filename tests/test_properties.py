@@ -1,5 +1,5 @@
-"""Patch-upsert against a brute-force model of its specification on random
-small batches (hypothesis), plus the counter invariants."""
+"""Property tests (hypothesis) against brute-force models on random small
+inputs: the patch-upsert and its counters, keep-first dedup, chain walks."""
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
