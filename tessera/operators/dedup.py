@@ -16,7 +16,7 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def keep_first(df: DataFrame, key, order, digest: bool = False) -> DataFrame:
+def keep_first(df: DataFrame, key, order, digest: bool = False, wide: bool = False) -> DataFrame:
     """One row per key -- the one with the least ``order`` value.
 
     ``order`` must be an explicit, unique input order (e.g. a sequence number
@@ -28,10 +28,28 @@ def keep_first(df: DataFrame, key, order, digest: bool = False) -> DataFrame:
     group) instead of the key itself -- for long text keys such as whole
     documents, the map-side sort and the shuffle then compare 32-byte values.
     Two different keys would have to collide in SHA-256 to be merged.
+
+    ``wide=True`` (for rows much wider than key + order, SURVEY H11): the
+    least order per key is found by a hash aggregate over the narrow
+    ``(key, order)`` columns, and the winning rows are picked by a join on the
+    composite ``(key, order)`` -- no whole row is carried through a sort-based
+    aggregate, and a hot key is still spread by its order values. It reads
+    the input twice, so it pays off on columnar inputs (the aggregate scans
+    two columns), not on CSV, which the default reads once.
     """
     keys, order_cols = _cols(key), _cols(order)
     if not order_cols:
         raise ValueError("keep_first needs an explicit order column (input sequence)")
+    if wide:
+        if len(order_cols) != 1:
+            raise ValueError("wide keep_first needs a single order column")
+        o = order_cols[0]
+        firsts = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]) \
+            .agg(F.min(o).alias("_o"))
+        cond = F.col(o) == F.col("_o")
+        for i, k in enumerate(keys):
+            cond = cond & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        return df.join(firsts, cond, "left_semi")
     if digest:
         # The JSON text of the key struct tells NULL from "" and one column
         # from another (NULL fields are omitted, so an all-NULL key is "{}").

@@ -117,3 +117,12 @@ def test_keep_first_digest_equals_exact(spark):
     hashed = sorted((tuple(r) for r in dedup.keep_first(df, "t", "seq", digest=True).collect()),
                     key=lambda r: r[1])
     assert exact == hashed and len(exact) == 3
+
+
+def test_keep_first_wide_equals_default(spark):
+    data = [(None, "a", 0), (None, "b", 1), (1, "c", 2), (1, "d", 3), (2, "e", 5), (2, "f", 4)]
+    df = spark.createDataFrame(data, "k long, v string, seq long")
+    want = {(None, "a", 0), (1, "c", 2), (2, "f", 4)}
+    assert {tuple(r) for r in dedup.keep_first(df, "k", "seq", wide=True).collect()} == want
+    plan = dedup.keep_first(df, "k", "seq", wide=True)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "min_by" not in plan
