@@ -30,7 +30,7 @@ def _session():
     return active if active is not None else build_session(os.environ.get("TESSERA_MASTER", "local[*]"))
 
 
-def _with_seq(spark, df, path):
+def _with_seq(df):
     if "seq" in df.columns:
         return df.withColumn("seq", F.col("seq").try_cast("bigint"))
     from .session import materialize
@@ -58,7 +58,7 @@ def cmd_clean(a):
     from .sources import csv_io
     spark = _session()
     raw = csv_io.read_text_csv(spark, a.raw, _header(spark, a.raw), backslash_escapes=a.backslash_escapes)
-    csv_io.write_csv(etl.clean_items(_with_seq(spark, raw, a.raw)), a.out)
+    csv_io.write_csv(etl.clean_items(_with_seq(raw)), a.out)
 
 
 def cmd_load(a):
@@ -67,7 +67,7 @@ def cmd_load(a):
     from .sources import csv_io, snapshot
     spark = _session()
     clean = csv_io.read_text_csv(spark, a.clean, _header(spark, a.clean))
-    merged = etl.load_collection(etl.build_documents(_with_seq(spark, clean, a.clean)))
+    merged = etl.load_collection(etl.build_documents(_with_seq(clean)))
     path = snapshot.write_snapshot(merged, a.root)
     c = merge.write_counters(spark.read.parquet(path).select(merge.OP)).first()
     print(f"Upserts: {c['inserted']} Modified: {c['modified']}")
