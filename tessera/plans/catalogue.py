@@ -65,8 +65,12 @@ def _sql_host(url: str) -> str:
 
 
 def _sql_unescape(x: str) -> str:
-    s = x
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"),
+    s = (f"list_reduce(regexp_extract_all({x}, '(&#[0-9]{{1,7}};)', 1), "
+         f"lambda acc, e: replace(acc, e, chr(CAST(regexp_extract(e, '([0-9]+);$', 1) AS INTEGER))), {x})")
+    s = (f"list_reduce(regexp_extract_all({s}, '(&#[xX][0-9A-Fa-f]{{1,6}};)', 1), "
+         f"lambda acc, e: replace(acc, e, chr(CAST('0x' || regexp_extract(e, '([0-9A-Fa-f]+);$', 1) "
+         f"AS INTEGER))), {s})")
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"),
                     ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         s = f"replace({s}, '{ent}', '{ch}')"
     return s
@@ -256,11 +260,24 @@ def link_follow_join(spark, sf):
     return enrich.follow_links(per_host, pages, "host", "page_host").select("page_id", "n_links_in")
 
 
+def _code_point(n):
+    """The character with Unicode code point ``n`` (its UTF-32 bytes decoded)."""
+    return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+
+
+def _numeric_entities(s, pattern: str, radix: int):
+    ents = F.regexp_extract_all(s, F.lit(pattern), 1)
+    return F.aggregate(ents, s, lambda acc, e: F.replace(acc, e, _code_point(
+        F.conv(F.regexp_extract(e, r"([0-9A-Fa-f]+);$", 1), radix, 10).cast("bigint"))))
+
+
 def html_unescape(c):
-    """Decode the common named entities (``&amp;`` last)."""
-    s = c
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-                    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+    """Decode numeric entities (decimal and hex) and the common named ones
+    (``&amp;`` last, so ``&amp;lt;`` stays ``&lt;``)."""
+    s = _numeric_entities(c, r"(&#[0-9]{1,7};)", 10)
+    s = _numeric_entities(s, r"(&#[xX][0-9A-Fa-f]{1,6};)", 16)
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
+                    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         s = F.replace(s, F.lit(ent), F.lit(ch))
     return s
 
