@@ -129,3 +129,9 @@ def test_token_classes(spark):
     got = [tuple(r) for r in df.select(S.is_url_token("p"), S.is_item_token("p"), S.is_name_token("p")).collect()]
     assert got == [(True, False, False), (False, True, False), (False, False, True),
                    (False, False, False), (False, True, False)]
+
+
+def test_html_unescape(spark):
+    from tessera.plans.catalogue import html_unescape
+    df = spark.createDataFrame([("T &amp;lt; &#233;t&#xE9; &#X41;&#128512; &copy;&middot;&quot;",)], "s string")
+    assert df.select(html_unescape(F.col("s"))).first()[0] == 'T &lt; été A😀 ©·"'
