@@ -224,7 +224,8 @@ def page_links(spark: SparkSession, sf: str) -> DataFrame:
     the URL it resolves to; empty links are dropped."""
     pages = table(spark, sf, "pages", ["page_id", "url", "html"], cpu_heavy=True)
     hrefs = pages.select("page_id", "url", F.regexp_extract_all("html", F.lit(HREF_RE), 1).alias("hrefs"))
-    links = enrich.explode_list(hrefs, "hrefs", "pos", "href", keep_empty=False)
+    links = enrich.explode_list(hrefs, "hrefs", "pos", "href", keep_empty=False) \
+        .withColumn("href", html_unescape(F.col("href")))      # attribute values are entity-encoded
     return links.where(F.col("href") != "").select(
         "page_id", F.col("pos").cast("bigint").alias("pos"), "href",
         S.resolve_url(F.col("url"), F.col("href")).alias("resolved"))
@@ -232,9 +233,9 @@ def page_links(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("link_extract", f"""
 SELECT page_id, CAST(pos AS BIGINT) AS pos, href, {_sql_resolve('url', 'href')} AS resolved
-FROM (
-  SELECT page_id, url, unnest(hrefs) AS href, unnest(range(0, len(hrefs))) AS pos
-  FROM (SELECT page_id, url, regexp_extract_all(html, '{HREF_RE}', 1) AS hrefs FROM pages))
+FROM (SELECT page_id, url, {_sql_unescape('h')} AS href, pos FROM (
+  SELECT page_id, url, unnest(hrefs) AS h, unnest(range(0, len(hrefs))) AS pos
+  FROM (SELECT page_id, url, regexp_extract_all(html, '{HREF_RE}', 1) AS hrefs FROM pages)))
 WHERE href <> ''
 """)
 def link_extract(spark, sf):
@@ -245,7 +246,8 @@ def link_extract(spark, sf):
 SELECT p.page_id, l.n AS n_links_in
 FROM (SELECT {_sql_host('resolved')} AS host, count(*) AS n
       FROM (SELECT {_sql_resolve('url', 'href')} AS resolved
-            FROM (SELECT url, unnest(regexp_extract_all(html, '{HREF_RE}', 1)) AS href FROM pages)
+            FROM (SELECT url, {_sql_unescape('h')} AS href
+                  FROM (SELECT url, unnest(regexp_extract_all(html, '{HREF_RE}', 1)) AS h FROM pages))
             WHERE href <> '')
       GROUP BY 1) l
 JOIN (SELECT page_id, {_sql_host('url')} AS host FROM pages) p ON l.host = p.host
