@@ -71,9 +71,13 @@ def memo_by_name(fn):
     Column arguments are built fresh."""
     cache: dict = {}
 
+    def is_plain(a) -> bool:
+        if isinstance(a, tuple):
+            return all(is_plain(x) for x in a)
+        return isinstance(a, (str, int, bool, type(None)))
+
     def wrapper(*args, **kw):
-        plain = all(isinstance(a, (str, int, bool, tuple, type(None))) for a in (*args, *kw.values()))
-        if not plain:
+        if not all(is_plain(a) for a in (*args, *kw.values())):
             return fn(*args, **kw)
         key = (args, tuple(sorted(kw.items())))
         if key not in cache:
