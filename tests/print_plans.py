@@ -17,6 +17,9 @@ NOTES = {
     "chain_successors": "W2 as a per-chain partial aggregate joined back; no window over the chain",
     "upsert_secondary_key": "fold (partial max_by), phase-1 full outer join on the key, targets per name, left join on (name, key)",
     "multi_valued_count": "partial collect_set per customer (bounded by distinct statuses), global count from partials",
+    "page_items": "trace A: parsed pages read back from the written table; listing rows meet detail pages, "
+                  "abilities fan out to their pages and fan back in",
+    "etl_documents": "whole flow: documents read back from the table written before the merge's branches",
 }
 
 
