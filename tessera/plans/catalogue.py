@@ -5,6 +5,11 @@ correctness oracle.
 Every job reads whole tables; inputs that the source receives as messy text
 (null tokens, unit strings, Python literals, delimited lists) are derived from
 table columns with Spark expressions, so the work grows with the tables.
+
+Adding a query: decorate ``fn(spark, sf_dir) -> DataFrame`` with
+``@register("key", sql)``; alias every output column with the same name as
+in the SQL, keep outputs scalar, and give integer outputs the oracle's types
+(``tests/test_catalogue.py`` checks names, types and values at sf0.001).
 """
 
 from __future__ import annotations
