@@ -7,13 +7,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import line_dedup, mixing
+from tessera.llm import (chunk_dedup, embedding_dedup, line_dedup, lm_scoring, mixing, order_minhash, packing,
+                         quality_rules, ranking, token_counts)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(_read(spark, sf_dir, "documents"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), limit=2048)
+
+
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_report(_read(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_read(spark, sf_dir, "documents"))
 
@@ -22,9 +48,29 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_read(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
 
+def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.chunk_report(_read(spark, sf_dir, "documents"))
+
+
+def op9_pairwise_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_lm_scoring": op2_lm_scoring,
+    "op3_token_counts": op3_token_counts,
+    "op4_order_minhash": op4_order_minhash,
+    "op5_quality_rules": op5_quality_rules,
     "op6_source_mix": op6_source_mix,
     "op7_line_dedup": op7_line_dedup,
+    "op8_chunk_dedup": op8_chunk_dedup,
+    "op9_pairwise_ranking": op9_pairwise_ranking,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 _OP7 = r"""
