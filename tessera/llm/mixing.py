@@ -36,7 +36,7 @@ from tessera.llm.common import WORD, materialize, packed, row_keys, rows_and, te
 WEIGHTS = (5, 2, 1)
 _PERIOD = 1 << 31                    # points are multiples of 2^-31
 _GOLDEN = 1327217885                 # 2^31 / golden ratio, rounded to odd
-_CHUNK = 1 << 16                     # slots ranked together
+_CHUNK = 1 << 12                     # slots ranked together
 _DOCS_PER_BUCKET = 2000
 
 
