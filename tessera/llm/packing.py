@@ -2,8 +2,11 @@
 
 Documents become token ids, ids are cut into pieces of at most ``length``, and
 pieces are packed into sequences of at most ``length``. The rule: let N(g) be
-the number of open sequences with g free places; a piece goes where the sum of
-N(g)^2 becomes smallest, a new sequence being one of the choices.
+the number of open sequences with g free places; a piece goes into the open
+sequence that leaves the sum of N(g)^2 smallest. A new sequence is opened only
+where a piece fits none: letting it compete, as the rule for items that arrive
+one by one does, costs one to two per cent more sequences here, where the
+pieces of a shard are known and come longest first.
 
 Scale: token ids never leave the task that makes them (a piece is shuffled as
 its length and checksum). Pieces are dealt by hash to shards of about
@@ -121,13 +124,13 @@ def sum_of_squares(sizes: list[int], length: int) -> tuple[list[int], list[int]]
         # Change of the sum if a bin with g free places (g > s) gets the piece.
         change = 2 * (count[1:length - s] - count[s + 1:length]) + 2
         change[count[s + 1:length] == 0] = np.iinfo(np.int64).max
-        g, best = 0, 2 * int(count[length - s]) + 1                 # a new bin
+        g, best = 0, None
+        if count[s]:                                                # an exact fit closes a bin
+            g, best = s, 1 - 2 * int(count[s])
         if change.size:
             i = int(change.argmin())
-            if change[i] <= best:
-                g, best = s + 1 + i, int(change[i])
-        if count[s] and 1 - 2 * int(count[s]) <= best:              # an exact fit closes a bin
-            g = s
+            if count[s + 1 + i] and (best is None or change[i] < best):
+                g = s + 1 + i
         if g:
             b = open_bins[g].pop()
             count[g] -= 1
