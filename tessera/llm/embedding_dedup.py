@@ -140,7 +140,7 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, per_cell: int
     probes = (placed.withColumn("cell", F.explode("probes")).join(F.broadcast(sizes), ["width", "cell"])
               .select("*", F.explode(every).alias("hb"), own.alias("pb"), F.lit(False).alias("is_home")))
 
-    def compare(key, g: pd.DataFrame) -> pd.DataFrame:
+    def compare(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         h, p = g[g["is_home"]], g[~g["is_home"]]
         empty = pd.DataFrame({"node": [], "n": [], "part": []}).astype("int64")
         if h.empty or p.empty:

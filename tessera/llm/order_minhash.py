@@ -219,7 +219,7 @@ def _rest_pairs(buckets: DataFrame, state: DataFrame, tries: int | None) -> Data
               .select("bucket", "node", "n", "component", "signature", F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("hb"),
                       F.pmod(hashed, "ps").cast("int").alias("pb"), F.lit(False).alias("home")))
 
-    def run(key, g: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         h, p = g[g["home"]], g[~g["home"]]
         out = []
         if len(h) and len(p):

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import materialize, rows_and
 
 LENGTH = 2048
-SHARD = 40_000
+SHARD = 2_500 
 CACHE_PARTS = 600_000          # cached parts per Python worker, then started anew
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -154,7 +154,7 @@ def pack(cut_pieces: DataFrame, length: int = LENGTH, shard: int = SHARD) -> Dat
     shards = max(1, -(-n // shard))
     schema = _PIECES + ", sequence_id long, offset long"
 
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "ids_crc32", "doc_id", "piece", "start"],
                                   ascending=[False, True, True, True, True], kind="stable")
         bins, offsets = sum_of_squares(group["length"].tolist(), length)
