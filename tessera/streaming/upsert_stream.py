@@ -2,10 +2,12 @@
 stream of partial documents, into a versioned snapshot (K2).
 
 Exactly-once comes from two pieces: the stream's own checkpoint (offsets) and
-the snapshot's commit marker recording the batch id that produced the current
-version -- a batch replayed after a failure finds its id already applied and
-is skipped. Each batch writes a complete new version, so a reader never sees
-a half-applied batch; write counters (G6) are appended per batch.
+the snapshot's commit marker, which records the last batch id of every stream
+by the stream's id -- a batch replayed after a failure finds its id applied and
+is skipped, while a stream with a new checkpoint folder, whose batches start at
+0 again, has a new id and is applied. Each batch writes a complete new version,
+so a reader never sees a half-applied batch; the write counters (G6) of a
+version are written before its marker, under the version's number.
 
 Each batch reads the whole current version (the name match of key-less
 updates can target any document) and writes a new one; size the trigger so
@@ -14,7 +16,9 @@ batches are large relative to that cost.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -26,20 +30,38 @@ COUNTERS = "_counters"
 
 
 def apply_batch(batch: DataFrame, epoch: int, root: str, schema: T.StructType,
-                key: str, name: str, seq: str) -> None:
+                key: str, name: str, seq: str, stream: str) -> None:
+    """Merge one batch of the stream with the id ``stream``."""
+    if not stream:
+        raise ValueError("a batch needs the id of its stream")
     spark = batch.sparkSession
-    done = snapshot.last_epoch(spark, root)
+    done = snapshot.last_epoch(spark, root, stream)
     if done is not None and epoch <= done:
         return
     base = (snapshot.read_snapshot(spark, root) if snapshot.current_version(spark, root) is not None
             else spark.createDataFrame([], schema))
     merged = merge.upsert(base.select(*schema.fieldNames()), batch, key, name, seq)
-    # The version keeps the ``op`` of this write; counters come from a
-    # column-pruned read of it, so the merge runs once per batch.
-    path = snapshot.write_snapshot(merged, root, epoch=epoch)
-    merge.write_counters(spark.read.parquet(path).select(merge.OP)) \
-        .withColumn("epoch", F.lit(epoch)).withColumn("version_path", F.lit(path)) \
-        .write.mode("append").parquet(f"{root}/{COUNTERS}")
+
+    def count(path: str, version: int) -> None:
+        # The version keeps the ``op`` of this write; counters come from a
+        # column-pruned read of it, so the merge runs once per batch.
+        merge.write_counters(spark.read.parquet(path).select(merge.OP)) \
+            .withColumn("stream", F.lit(stream)).withColumn("epoch", F.lit(epoch)) \
+            .withColumn("version_path", F.lit(path)) \
+            .write.mode("overwrite").parquet(f"{root}/{COUNTERS}/version={version:06d}")
+
+    snapshot.write_snapshot(merged, root, stream, epoch, count)
+
+
+def counters(spark: SparkSession, root: str) -> DataFrame:
+    """G6 of every committed version that a stream wrote."""
+    done = snapshot.committed_versions(spark, root)
+    return spark.read.parquet(f"{root}/{COUNTERS}").where(F.col("version").isin(done))
+
+
+def _stream_id(spark: SparkSession, checkpoint_location: str) -> str:
+    """The id that a stream keeps in its checkpoint folder."""
+    return json.loads(spark.read.text(f"{checkpoint_location.rstrip('/')}/metadata").first()[0])["id"]
 
 
 def start_upsert_stream(updates: DataFrame, root: str, schema: T.StructType, key: str, name: str,
@@ -49,7 +71,8 @@ def start_upsert_stream(updates: DataFrame, root: str, schema: T.StructType, key
     (the columns of ``schema`` plus ``seq``)."""
     writer = (updates.writeStream
               .option("checkpointLocation", checkpoint_location)
-              .foreachBatch(lambda df, epoch: apply_batch(df, epoch, root, schema, key, name, seq)))
+              .foreachBatch(lambda df, epoch: apply_batch(
+                  df, epoch, root, schema, key, name, seq, _stream_id(df.sparkSession, checkpoint_location))))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
