@@ -40,12 +40,26 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# A literal as its quoted strings, the text between them, and stray quotes.
+_TOKENS_RE = r"""(?s)'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|[^'"]++|['"]"""
+_HEX_ESCAPE_RE = r"(?<!\\)((?:\\\\)*+)\\x([0-9A-Fa-f]{2})"
+
+
 def py_literal_to_json(c) -> Column:
-    """Rewrite bare ``None``/``True``/``False`` of a Python literal to JSON."""
-    s = _c(c)
-    s = F.regexp_replace(s, r"(?<=[:\[,]\s{0,8})None(?=\s*[,\]}])", "null")
-    s = F.regexp_replace(s, r"(?<=[:\[,]\s{0,8})True(?=\s*[,\]}])", "true")
-    return F.regexp_replace(s, r"(?<=[:\[,]\s{0,8})False(?=\s*[,\]}])", "false")
+    """Rewrite a Python literal's bare ``None``/``True``/``False`` and its
+    two-digit hex escapes to JSON. Quoted strings are told apart first, so no
+    text inside a value is touched; blanks before a literal don't matter."""
+    def bare(token: Column) -> Column:
+        for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
+            token = F.regexp_replace(token, rf"(?<![A-Za-z0-9_]){word}(?=\s*+[,\]}}])", json)
+        return token
+
+    def rewrite(s: Column) -> Column:
+        tokens = F.transform(F.regexp_extract_all(s, F.lit(_TOKENS_RE), F.lit(0)),
+                             lambda t: F.when(t.rlike("^['\"]."), t).otherwise(bare(t)))
+        return F.when(s.rlike("None|True|False"), F.array_join(tokens, "")).otherwise(s)
+
+    return S.let(F.regexp_replace(_c(c), _HEX_ESCAPE_RE, r"$1\\u00$2"), rewrite)
 
 
 def empty_map(value_type: str = "double") -> Column:

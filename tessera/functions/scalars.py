@@ -57,7 +57,8 @@ PAREN_CHARS = "()"
 TYPE_SUFFIX = " type"
 # ---------------------------------------------------------------------------
 
-_WS_EDGES = r"(?U)^\s+|\s+$"
+# Possessive, and tried only where a run of blanks begins: linear in the text.
+_WS_EDGES = r"(?U)^\s++|(?<!\s)\s++$"
 
 
 def _c(x) -> Column:
@@ -335,6 +336,12 @@ def resolve_url(base, ref) -> Column:
             .otherwise(with_clean_path(F.concat(base_dir, r))))
 
 
+def fetch_url(base, href) -> Column:
+    """The URL that a fetch of ``href`` asks for: blanks around the reference
+    and its fragment don't count."""
+    return F.regexp_replace(resolve_url(base, ustrip(href)), "#.*$", "")
+
+
 def url_host(c) -> Column:
     """Authority part of an absolute URL (without user info and port)."""
     auth = F.regexp_extract(_c(c), _URI_RE, 4)

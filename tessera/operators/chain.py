@@ -5,8 +5,9 @@ source lists are. Neither operator uses a window partitioned by chain: a
 single chain may hold a large share of all rows, and a window would sort it
 in one task. W1 is a self equi-join on ``(chain, pos + 1)`` -- a composite key
 that spreads a hot chain over all partitions. W2 aggregates one number per
-chain (map-side partial) and joins it back; the per-chain side has one row
-per chain, so AQE's skew-join split handles a hot chain on the row side.
+chain (map-side partial), writes it as a table and joins it back: Spark's
+skew-join rule splits a hot chain only where both sides of the join are plain
+shuffles, which an aggregate under the join is not.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def pair_with_next(df: DataFrame, chain: str, pos: str, carry: list[str],
                    prefix: str = "next_") -> DataFrame:
@@ -34,7 +37,7 @@ def successors_after_first_match(df: DataFrame, chain: str, pos: str,
     firsts = (df.groupBy(F.col(chain).alias("_c"))
               .agg(F.min(F.when(match, F.col(pos))).alias("_first"))
               .where(F.col("_first").isNotNull()))
-    joined = df.join(firsts, F.col(chain) == F.col("_c"), "inner")
+    joined = df.join(materialize(firsts, "chain-firsts"), F.col(chain) == F.col("_c"), "inner")
     return joined.where(F.col(pos) > F.col("_first")).drop("_c", "_first")
 
 

@@ -58,9 +58,13 @@ def drop_all_null(df: DataFrame, subset: list[str] | None = None,
 
 def sparse_json(df: DataFrame, cols: list[str], out: str = "json") -> DataFrame:
     """A JSON object text per row where NULL fields are absent (empty
-    lists and maps are kept)."""
-    return df.withColumn(out, F.to_json(F.struct(*[F.col(c) for c in cols]),
-                                        {"ignoreNullFields": "true"}))
+    lists and maps are kept). Only top-level fields are left out: a NULL
+    inside a record, list or map stays."""
+    def member(c: str) -> Column:
+        text = F.to_json(F.struct(F.col(c)), {"ignoreNullFields": "false"})
+        return F.when(F.col(c).isNotNull(), F.substring(text, F.lit(2), F.length(text) - 2))
+
+    return df.withColumn(out, F.concat(F.lit("{"), F.concat_ws(",", *[member(c) for c in cols]), F.lit("}")))
 
 
 def json_key_count(c) -> Column:

@@ -5,7 +5,8 @@ Semantics (a keyed "$set" with upsert):
 * an update whose primary key is set targets the document with that key;
 * an update without primary key targets, by null-safe equality on the
   secondary key (a name), the document with the least primary key among
-  those with that name (NULL primary key last); at most one target;
+  those with that name (NULL primary key last, those by content); at most one
+  target, also among documents that are equal in every field;
 * a matched document takes every field the update sets (non-NULL) and keeps
   the others -- an empty list or map *is* a value and replaces; a NULL is
   "not present" and does not;
@@ -14,12 +15,14 @@ Semantics (a keyed "$set" with upsert):
   field, the value of the latest update (by ``seq``) that sets it.
 
 Plan shape: fold = one aggregation per key space with map-side partial
-``max_by`` (a hot key is reduced before the shuffle); phase 1 = full outer
-equi-join on the primary key (keys are unique on both sides after the fold;
-NULL-key documents bypass it); phase 2 = the secondary-key target is chosen by
-an aggregate over the names (one row per name), the patch is a left join on
-the composite ``(name, primary key)`` -- AQE can split a hot partition of the
-snapshot side -- and updates without a target are appended as inserts.
+``max_by`` (a hot key is reduced before the shuffle). A document is known by
+its key, or without one by a hash of its content and a number among equal
+documents; the number comes from a window over that identity, whose shuffle is
+the one that phase 1 needs. Phase 1 = full outer equi-join on the identity, so
+documents without a key never meet in one partition. Phase 2 = the target of a
+name is chosen by an aggregate over the names (one row per name); one full
+outer join on the target's identity patches it and appends the updates without
+a target. The base is read twice: for the result and for the choice of targets.
 
 ``op`` tags each output row: ``insert`` / ``modify`` (matched and changed) /
 ``same`` (matched, nothing changed) / ``keep`` (not touched by the batch).
@@ -27,7 +30,7 @@ snapshot side -- and updates without a target are appended as inserts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,63 +64,61 @@ def _changed(base_alias: str, upd_alias: str, fields: list[str], types: dict):
     return out
 
 
+def _identified(base: DataFrame, key: str) -> DataFrame:
+    """``base`` with ``_salt`` (0 for keyed documents, else a hash of the
+    content) and ``_dup`` (1, 2, ... among documents of one identity)."""
+    content = F.to_json(F.struct(*[F.col(c) for c in base.columns]))
+    salted = base.withColumn("_salt", F.when(F.col(key).isNull(), F.xxhash64(content)).otherwise(F.lit(0).cast("bigint")))
+    same = Window.partitionBy(key, "_salt").orderBy(key)
+    return salted.withColumn("_dup", F.row_number().over(same))
+
+
 def upsert(base: DataFrame, updates: DataFrame, key: str, name: str, seq: str) -> DataFrame:
     """Merge ``updates`` into ``base``; returns the new snapshot with an
     ``op`` column. ``updates`` has the columns of ``base`` plus ``seq``."""
     cols = [c for c in base.columns if c != OP]
     types = {f.name: f.dataType for f in base.schema.fields}
     fields = [c for c in cols if c != key]
-    base = base.select(*cols)
     upd = updates.select(*cols, seq)
 
     # Phase 1: primary key.
-    keyed = fold_updates(upd.where(F.col(key).isNotNull()), key, seq, fields).drop(seq)
-    # Base rows with a NULL key can never match a keyed update; they bypass
-    # the join instead of all hashing into one partition.
-    b = base.where(F.col(key).isNotNull()).withColumn("_in_b", F.lit(True)).alias("b")
-    u = keyed.alias("u")
-    u_hit = F.col(f"u.{key}").isNotNull()
-    j1 = b.join(u, F.col(f"b.{key}") == F.col(f"u.{key}"), "full_outer")
-    in_b = F.col("b._in_b").isNotNull()
+    b = _identified(base.select(*cols), key).alias("b")
+    u = (fold_updates(upd.where(F.col(key).isNotNull()), key, seq, fields).drop(seq)
+         .withColumn("_salt", F.lit(0).cast("bigint")).alias("u"))
+    j1 = b.join(u, (F.col(f"b.{key}") == F.col(f"u.{key}")) & (F.col("b._salt") == F.col("u._salt")), "full_outer")
+    in_b, u_hit = F.col("b._dup").isNotNull(), F.col(f"u.{key}").isNotNull()
     op1 = (F.when(~in_b, F.lit("insert"))
            .when(~u_hit, F.lit("keep"))
            .when(_changed("b", "u", fields, types), F.lit("modify"))
            .otherwise(F.lit("same")))
     phase1 = j1.select(F.coalesce(F.col(f"u.{key}"), F.col(f"b.{key}")).alias(key),
-                       *_patch("b", "u", fields), op1.alias(OP)) \
-        .unionByName(base.where(F.col(key).isNull()).withColumn(OP, F.lit("keep")))
+                       *_patch("b", "u", fields), op1.alias(OP),
+                       F.coalesce("b._salt", "u._salt").alias("_salt"), F.coalesce("b._dup", F.lit(1)).alias("_dup"))
 
     # Phase 2: secondary key (null-safe) for updates without a primary key.
     rest = [f for f in fields if f != name]
     keyless = fold_updates(upd.where(F.col(key).isNull()), name, seq, rest).drop(seq)
-    targets = (phase1.groupBy(F.col(name).alias("_tn"))
-               .agg(F.min(F.struct(F.col(key).isNull().alias("_null"), F.col(key).alias("_k")))
-                    .alias("_t"))
-               .withColumn("_present", F.lit(True)))
-    # A NULL name is a valid target name, so presence is tracked explicitly.
+    identity = F.struct(F.col(key).isNull().alias("_null"), F.col(key).alias("_k"), "_salt", "_dup")
+    targets = phase1.groupBy(F.col(name).alias("_tn")).agg(F.min(identity).alias("_t"))
+    # An update without a target gets an identity that no document has, and
+    # one that spreads: it comes out of the outer join unmatched.
     k = (keyless.join(targets, keyless[name].eqNullSafe(F.col("_tn")), "left")
-         .select(*[F.col(c) for c in keyless.columns],
-                 F.col("_t._k").alias("_tk"), F.col("_present").isNotNull().alias("_has_t"))
+         .select(*[F.col(c) for c in keyless.columns], F.col("_t._k").alias("_tk"),
+                 F.coalesce("_t._salt", F.xxhash64(name)).alias("_ts"), F.coalesce("_t._dup", F.lit(0)).alias("_td"))
          .alias("k"))
-    # Patch side: a LEFT join (AQE can split a hot (name, key) partition of
-    # the snapshot side; the other side holds one row per name). Updates
-    # without a target are appended as inserts.
     p = phase1.alias("p")
-    hits = k.where(F.col("_has_t")).alias("k")
-    cond = (F.col(f"p.{name}").eqNullSafe(F.col(f"k.{name}"))
+    cond = ((F.col("p._salt") == F.col("k._ts")) & (F.col("p._dup") == F.col("k._td"))
             & F.col(f"p.{key}").eqNullSafe(F.col("k._tk")))
-    j2 = p.join(hits, cond, "left")
-    k_hit = F.col("k._has_t").isNotNull()
-    op2 = (F.when(~k_hit | (F.col(f"p.{OP}") == "insert"), F.col(f"p.{OP}"))
+    j2 = p.join(k, cond, "full_outer")
+    in_p, k_hit = F.col("p._dup").isNotNull(), F.col("k._td").isNotNull()
+    op2 = (F.when(~in_p, F.lit("insert"))
+           .when(~k_hit | (F.col(f"p.{OP}") == "insert"), F.col(f"p.{OP}"))
            .when(_changed("p", "k", rest, types), F.lit("modify"))
            .when(F.col(f"p.{OP}") == "keep", F.lit("same"))
            .otherwise(F.col(f"p.{OP}")))
-    patched = j2.select(F.col(f"p.{key}").alias(key), F.col(f"p.{name}").alias(name),
-                        *_patch("p", "k", rest), op2.alias(OP))
-    inserts = k.where(~F.col("_has_t")).select(
-        F.lit(None).cast(types[key]).alias(key), F.col(name), *[F.col(f) for f in rest],
-        F.lit("insert").alias(OP))
-    return patched.unionByName(inserts).select(*cols, OP)
+    out = j2.select(F.col(f"p.{key}").alias(key), F.when(in_p, F.col(f"p.{name}")).otherwise(F.col(f"k.{name}")).alias(name),
+                    *_patch("p", "k", rest), op2.alias(OP))
+    return out.select(*cols, OP)
 
 
 def write_counters(merged: DataFrame) -> DataFrame:

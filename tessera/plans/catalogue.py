@@ -148,8 +148,9 @@ WHERE rn = 1
 """)
 def dedup_keep_first(spark, sf):
     """One document per distinct text, the least ``doc_id`` wins."""
-    d = table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
-    return dedup.keep_first(d, "text", "doc_id").select("doc_id", "lang", "source", "n_chars")
+    # The digest is made in the scan: no text is sorted or shuffled.
+    d = table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("digest"), "lang", "source", "n_chars")
+    return dedup.keep_first(d, "digest", "doc_id").select("doc_id", "lang", "source", "n_chars")
 
 
 @register("dedup_null_key", f"""
@@ -260,33 +261,43 @@ JOIN (SELECT page_id, {_sql_host('url')} AS host FROM pages) p ON l.host = p.hos
 def link_follow_join(spark, sf):
     """Links meet the pages of the host they resolve to. Links are counted
     per host first (map-side partial), so a popular host never meets its
-    links one by one."""
+    links one by one; the counts are written, so that the join's sides are
+    plain shuffles and a host with many pages can be split."""
     per_host = page_links(spark, sf).groupBy(S.url_host("resolved").alias("host")) \
         .agg(F.count(F.lit(1)).alias("n_links_in"))
     pages = table(spark, sf, "pages").select("page_id", S.url_host("url").alias("page_host"))
+    from ..session import materialize
+    per_host = materialize(per_host, "links-per-host")
     return enrich.follow_links(per_host, pages, "host", "page_host").select("page_id", "n_links_in")
 
 
-def _code_point(n):
-    """The character with Unicode code point ``n`` (its UTF-32 bytes decoded)."""
-    return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+_ENTITY_TOKENS_RE = r"(?s)&(?:#[0-9]++|#[xX][0-9A-Fa-f]++|[A-Za-z][A-Za-z0-9]*+);|[^&]++|&"
 
 
-def _numeric_entities(s, pattern: str, radix: int):
-    ents = F.regexp_extract_all(s, F.lit(pattern), 1)
-    return F.aggregate(ents, s, lambda acc, e: F.replace(acc, e, _code_point(
-        F.conv(F.regexp_extract(e, r"([0-9A-Fa-f]+);$", 1), radix, 10).cast("bigint"))))
+def _code_point(n):
+    """The character with Unicode code point ``n`` (its UTF-32 bytes decoded);
+    NULL where there is none (0, surrogates, beyond the last plane)."""
+    valid = n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(F.when(valid, n)), 8, "0")), "UTF-32"))
 
 
 def html_unescape(c):
-    """Decode numeric entities (decimal and hex) and the common named ones
-    (``&amp;`` last, so ``&amp;lt;`` stays ``&lt;``)."""
-    s = _numeric_entities(c, r"(&#[0-9]{1,7};)", 10)
-    s = _numeric_entities(s, r"(&#[xX][0-9A-Fa-f]{1,6};)", 16)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
-                    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    return s
+    """Decode numeric entities (decimal and hex, zero-padded or not) and the
+    named ones of HTML 4, in one pass, so ``&amp;lt;`` gives ``&lt;``. What
+    names no character stays as it is."""
+    from html.entities import name2codepoint
+    pairs = [F.lit(x) for name, n in name2codepoint.items() for x in (f"&{name};", chr(n))]
+    named = F.create_map(*pairs, F.lit("&apos;"), F.lit("'"))
+
+    def decoded(t):
+        digits = F.ltrim(F.regexp_extract(t, r"^&#[xX]?([0-9A-Fa-f]+);$", 1), F.lit("0"))
+        n = F.when(F.length(digits) <= 8, F.when(t.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+                   .try_cast("bigint"))
+        return F.when(t.startswith("&#"), _code_point(n)).otherwise(F.try_element_at(named, t))
+
+    tokens = F.transform(F.regexp_extract_all(c, F.lit(_ENTITY_TOKENS_RE), F.lit(0)), lambda t: F.when(
+        F.length(t) > 2, F.when(t.startswith("&"), F.coalesce(decoded(t), t)).otherwise(t)).otherwise(t))
+    return F.when(F.instr(c, "&") > 0, F.array_join(tokens, "")).otherwise(c)
 
 
 H1_TEXT_RE = r"(?s)<h1[^>]*>([^<]*)"
@@ -413,6 +424,61 @@ def upsert_secondary_key(spark, sf):
     return merge.upsert(_customer_base(spark, sf), _keyless_updates(spark, sf), "key", "name", "seq")
 
 
+_MIXED_SQL = """
+WITH b AS (
+  SELECT CASE WHEN c_custkey % 4 > 0 THEN c_custkey END AS key,
+         CASE WHEN c_custkey % 4 > 0 THEN 'n' || (c_custkey % 97)
+              WHEN c_custkey % 40 > 0 THEN 'm' || (c_custkey % 40) END AS name,
+         CASE WHEN c_custkey % 4 > 0 THEN c_acctbal END AS v,
+         CASE WHEN c_custkey % 4 = 0 THEN 'idless' END AS w
+  FROM customer),
+u AS (
+  SELECT CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END AS key,
+         CASE o_orderkey % 3 WHEN 1 THEN CASE WHEN o_orderkey % 40 > 0 THEN 'm' || (o_orderkey % 40) END
+                             WHEN 2 THEN 'n' || (o_custkey % 97) END AS name,
+         CASE WHEN o_orderkey % 3 <> 2 THEN o_totalprice END AS v,
+         CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS w, o_orderkey AS seq
+  FROM orders),
+f1 AS (SELECT key, arg_max(v, seq) FILTER (WHERE v IS NOT NULL) AS v FROM u WHERE key IS NOT NULL GROUP BY key),
+f2 AS (SELECT name, arg_max(v, seq) FILTER (WHERE v IS NOT NULL) AS v,
+              arg_max(w, seq) FILTER (WHERE w IS NOT NULL) AS w FROM u WHERE key IS NULL GROUP BY name),
+p1 AS (
+  SELECT coalesce(b.key, f1.key) AS key, b.name, coalesce(f1.v, b.v) AS v, b.w,
+         CASE WHEN b.one IS NULL THEN 'insert' WHEN f1.key IS NULL THEN 'keep'
+              WHEN coalesce(f1.v, b.v) IS DISTINCT FROM b.v THEN 'modify' ELSE 'same' END AS op
+  FROM (SELECT *, 1 AS one FROM b) b FULL JOIN f1 ON b.key = f1.key),
+r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY key NULLS LAST) = 1 AS target FROM p1)
+SELECT r.key, coalesce(r.name, f2.name) AS name,
+       coalesce(f2.v, r.v) AS v, coalesce(f2.w, r.w) AS w,
+       CASE WHEN r.op IS NULL THEN 'insert'
+            WHEN f2.one IS NULL OR r.op = 'insert' THEN r.op
+            WHEN coalesce(f2.v, r.v) IS DISTINCT FROM r.v OR coalesce(f2.w, r.w) IS DISTINCT FROM r.w THEN 'modify'
+            WHEN r.op = 'keep' THEN 'same' ELSE r.op END AS op
+FROM r FULL JOIN (SELECT *, 1 AS one FROM f2) f2 ON r.name IS NOT DISTINCT FROM f2.name AND r.target
+"""
+
+
+@register("upsert_mixed", _MIXED_SQL)
+def upsert_mixed(spark, sf):
+    """J3, both phases, into a non-empty base: keyed updates (matched and
+    not), key-less ones (by name, by a NULL name, without a target), and
+    several documents of one name without a key, of which one is patched."""
+    c, o = table(spark, sf, "customer"), table(spark, sf, "orders")
+    keyed, k, n = F.col("c_custkey") % 4 > 0, F.col("o_orderkey") % 3, F.col("o_orderkey") % 40
+    base = c.select(
+        F.when(keyed, F.col("c_custkey")).alias("key"),
+        F.when(keyed, F.concat(F.lit("n"), F.col("c_custkey") % 97))
+        .when(F.col("c_custkey") % 40 > 0, F.concat(F.lit("m"), F.col("c_custkey") % 40)).alias("name"),
+        F.when(keyed, F.col("c_acctbal")).alias("v"), F.when(~keyed, F.lit("idless")).alias("w"))
+    updates = o.select(
+        F.when(k == 0, F.col("o_custkey")).alias("key"),
+        F.when((k == 1) & (n > 0), F.concat(F.lit("m"), n))
+        .when(k == 2, F.concat(F.lit("n"), F.col("o_custkey") % 97)).alias("name"),
+        F.when(k != 2, F.col("o_totalprice")).alias("v"), F.when(k == 2, F.col("o_orderpriority")).alias("w"),
+        F.col("o_orderkey").alias("seq"))
+    return merge.upsert(base, updates, "key", "name", "seq")
+
+
 def _counter_sql(scenario: str, sql: str) -> str:
     return (f"SELECT '{scenario}' AS scenario, count(*) FILTER (WHERE op = 'insert') AS inserted, "
             f"count(*) FILTER (WHERE op = 'modify') AS modified, "
@@ -421,12 +487,13 @@ def _counter_sql(scenario: str, sql: str) -> str:
 
 
 @register("upsert_counters", _counter_sql("primary", _PATCH_SQL) + " UNION ALL "
-          + _counter_sql("secondary", _SECONDARY_SQL))
+          + _counter_sql("secondary", _SECONDARY_SQL) + " UNION ALL " + _counter_sql("mixed", _MIXED_SQL))
 def upsert_counters(spark, sf):
-    """Write counters of both merges."""
+    """Write counters of the merges."""
     a = merge.write_counters(upsert_patch(spark, sf)).select(F.lit("primary").alias("scenario"), "*")
     b = merge.write_counters(upsert_secondary_key(spark, sf)).select(F.lit("secondary").alias("scenario"), "*")
-    return a.unionByName(b)
+    c = merge.write_counters(upsert_mixed(spark, sf)).select(F.lit("mixed").alias("scenario"), "*")
+    return a.unionByName(b).unionByName(c)
 
 
 @register("snapshot_overwrite", _PATCH_SQL)
@@ -439,7 +506,7 @@ def snapshot_overwrite(spark, sf):
     root = scratch_path(spark, f"snapshots/upsert_patch-{uuid.uuid4().hex[:8]}")
     merged = upsert_patch(spark, sf)
     snapshot.write_snapshot(merged, root)
-    snapshot.write_snapshot(merged, root)
+    snapshot.write_snapshot(snapshot.read_snapshot(spark, root), root)      # a full refresh, of the same rows
     return snapshot.read_snapshot(spark, root)
 
 
@@ -1293,7 +1360,7 @@ WITH p AS (
   SELECT *, p_partkey // {LISTING_ROWS} AS chunk,
          row_number() OVER (PARTITION BY p_partkey // {LISTING_ROWS} ORDER BY p_partkey) - 1 AS pos
   FROM part)
-SELECT CAST(chunk * 1048576 + pos AS BIGINT) AS seq,
+SELECT CAST(row_number() OVER (ORDER BY chunk, pos) - 1 AS BIGINT) AS seq,
        CAST(p_partkey AS VARCHAR) AS numero, p_name AS nome,
        p_type || ', ' || split_part(p_name, ' ', 2) AS tipos,
        CAST(p_size // 10 AS VARCHAR) || '.' || CAST(p_size % 10 AS VARCHAR) || ' m' AS tamanho,

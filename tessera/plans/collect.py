@@ -16,7 +16,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import nested as N
@@ -80,11 +80,6 @@ def _next_evolutions(evo: Column, page_url: Column, current: Column, incoming: b
     return S.let(steps, successors)
 
 
-# Rows per listing page are numbered below this bound when several listing
-# pages are combined into one input order.
-_ROWS_PER_LISTING = 1 << 20
-
-
 def collect_items(pages: DataFrame, listing_url: str | None = None, checkpoint: bool = True,
                   incoming_level: bool = False, per_chain: bool = False,
                   listing: Column | None = None, listing_order: Column | None = None) -> DataFrame:
@@ -92,13 +87,15 @@ def collect_items(pages: DataFrame, listing_url: str | None = None, checkpoint:
 
     The listing is one page (``listing_url``, as in the source) or a set of
     pages selected by the predicate ``listing`` (a paginated listing keeps
-    every page bounded); ``listing_order`` (numeric, per listing page) then
-    orders the pages, and ``seq`` = page order * 2^20 + row position.
+    every page bounded). ``seq`` numbers the rows of all listing pages in
+    order of (``listing_order``, URL, row position), pages without an order
+    last; an item is known by its listing page and position throughout, so
+    equal or missing orders never mix items. A URL that was crawled several
+    times counts once as an ability page (least description).
     ``incoming_level`` / ``per_chain``: see ``_next_evolutions`` (H5, H6)."""
     if (listing_url is None) == (listing is None):
         raise ValueError("give either listing_url or listing")
-    from ..session import spread
-    parsed = parse_pages(spread(pages))      # the Python pass: use every core on small inputs
+    parsed = parse_pages(pages)
     if checkpoint:
         # Written once as a table in the shared checkpoint folder: one parse
         # pass (an RDD checkpoint would parse twice), lineage cut for retries.
@@ -107,12 +104,20 @@ def collect_items(pages: DataFrame, listing_url: str | None = None, checkpoint:
 
     is_listing = listing if listing is not None else (F.col("url") == listing_url)
     order = F.lit(0) if listing_order is None else listing_order
-    rows = parsed.where(is_listing).select(
-        F.col("url").alias("listing_url"), order.cast("bigint").alias("_page"), F.explode("listing").alias("row"))
+    listings = parsed.where(is_listing).select(F.col("url").alias("listing_url"), order.cast("bigint").alias("_page"),
+                                               "listing")
+    # One row per listing page goes through the window that numbers them.
+    before = (Window.orderBy(F.col("_page").isNull(), "_page", "listing_url")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    size = F.coalesce(F.array_max(F.transform("listing", lambda r: r["pos"])) + 1, F.lit(0))
+    pages_before = (listings.select("listing_url", "_page", size.alias("_n"))
+                    .groupBy("listing_url").agg(F.min("_page").alias("_page"), F.max("_n").alias("_n"))
+                    .select("listing_url", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first")))
+    rows = (listings.select("listing_url", F.explode("listing").alias("row")).join(pages_before, "listing_url"))
     links = rows.where(F.col("row.href").isNotNull() & (F.col("row.href") != "")).select(
-        (F.col("_page") * _ROWS_PER_LISTING + F.col("row.pos")).cast("bigint").alias("seq"),
+        (F.col("_first") + F.col("row.pos")).cast("bigint").alias("seq"),
         F.col("row.form_hint").alias("form_hint"),
-        S.resolve_url(F.col("listing_url"), F.col("row.href")).alias("target"))
+        S.fetch_url(F.col("listing_url"), F.col("row.href")).alias("target"))
 
     details = enrich.follow_links(links, parsed, "target", "url")
     # the chosen table is a column of its own so its six uses read it once
@@ -135,10 +140,11 @@ def collect_items(pages: DataFrame, listing_url: str | None = None, checkpoint:
     # J2 + G4: one row per ability, its page's description, back to one list.
     fanned = items.select("seq", "url", F.posexplode_outer("_habs").alias("hpos", "h")).select(
         "seq", "hpos", S.ustrip(F.coalesce(F.col("h.nome"), F.lit(""))).alias("hab_nome"),
-        F.when(F.col("h.href").isNotNull(), S.resolve_url(F.col("url"), F.col("h.href"))).alias("hab_url"))
+        F.when(F.col("h.href").isNotNull(), S.fetch_url(F.col("url"), F.col("h.href"))).alias("hab_url"))
     ability_pages = parsed.select(F.col("url").alias("ab_url"), S.first_nonempty(
         *[S.collapse_ws(F.get("desc", i)) for i in range(4)],
-        default=enrich.NO_DESCRIPTION_TEXT).alias("descricao"))
+        default=enrich.NO_DESCRIPTION_TEXT).alias("descricao")) \
+        .groupBy("ab_url").agg(F.min("descricao").alias("descricao"))      # one reply per request
     described = enrich.lookup_with_fallback(fanned, ability_pages, "hab_url", "ab_url", "descricao", "descricao")
     habilidades = enrich.fan_in(described.withColumnRenamed("hab_url", "url")
                                 .withColumnRenamed("hab_nome", "nome"),

@@ -10,14 +10,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
           cpu_heavy: bool = False) -> DataFrame:
-    """Scan one table (optionally only ``columns``); ``cpu_heavy`` spreads an
-    under-partitioned scan over all cores before expensive per-row work."""
+    """Scan one table (optionally only ``columns``). ``cpu_heavy`` deals a scan
+    that is a single split -- at most ``spark.sql.files.maxPartitionBytes``, so
+    the shuffle has that bound -- to all cores before expensive per-row work;
+    a larger scan is never shuffled. Asking a scan for its splits lists files
+    and runs no job."""
     if name not in TABLES:
         raise KeyError(name)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if columns:
         df = df.select(*columns)
-    if cpu_heavy:
-        from ..session import spread
-        df = spread(df)
+    if cpu_heavy and df.rdd.getNumPartitions() == 1:
+        df = df.repartition(spark.sparkContext.defaultParallelism)
     return df

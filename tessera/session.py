@@ -27,7 +27,6 @@ _SQL_DEFAULTS = {
     # The page pass sends whole HTML documents to Python: bound each Arrow
     # batch by bytes, not only by record count.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 # Local runs and tests only (set at session creation).
@@ -62,13 +61,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for k, v in _SQL_DEFAULTS.items():
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
-    spark.sparkContext.setLogLevel("ERROR")
+    if local:
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared lineage/scratch folder named by ``spark.checkpoint.dir``.
+    """Return the shared lineage/scratch folder named by ``spark.checkpoint.dir``
+    (taken as named: a ``file:`` folder may be a mount that all machines share).
 
     On a cluster the folder is set by the deployment (a shared filesystem).
     Only when it is unset -- local runs and tests -- a private folder under the
@@ -100,23 +101,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}"
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin an under-partitioned input across the cluster's cores
-    before CPU-heavy per-row work (regex/JSON decoding, HTML parsing).
-
-    A small or single-row-group file scans as one task; the decoders would
-    then run on one core. Inputs that already have at least
-    ``defaultParallelism`` partitions -- every large input -- are returned
-    unchanged, so no shuffle is added where it buys nothing.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session)
-        return df
-    return df if current >= target else df.repartition(target)
-
-
 def materialize(df, name: str):
     """Write ``df`` once as a Parquet table under the shared checkpoint folder
     and return a scan of it: cuts lineage (task retries after an executor loss

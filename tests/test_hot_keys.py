@@ -36,3 +36,24 @@ def test_chain_walks_on_a_hot_chain(spark):
     assert pairs.where("c = 0").count() == (N // 3 + 1) // 2
     succ = chain.successors_after_first_match(df, "c", "p", F.col("r") == "hit")
     assert succ.count() == N // 3 - 10 - 1               # id 30 is position 10 of chain 0
+
+
+def test_hot_chain_is_split(spark):
+    """Without broadcasts, a third of the rows on one chain: the final plan of
+    the walk splits that chain's partition."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "16",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = _hot(spark).select(F.col("k").alias("c"), F.col("seq").alias("p"), F.col("v").alias("r"))
+        df = df.unionByName(df.where("false")).repartition(8)
+        out = chain.successors_after_first_match(df, "c", "p", F.col("r") == "2")
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -120,3 +120,14 @@ def test_any_all_fields(spark):
     df = spark.createDataFrame([(None, None), ("a", None), (None, 1)], "a string, b int")
     got = [tuple(r) for r in df.select(N.any_set("a", "b"), N.all_unset("a", "b")).collect()]
     assert got == [(False, True), (True, False), (True, False)]
+
+
+def test_literal_words_inside_values_stay(spark):
+    from pyspark.sql import functions as F
+    from tessera.functions import nested as N
+    text = ("{'a': 'Effects: None, or some', 'b':            None, 'c': 'It is: True, yes', 'd': 'x\\xa0y', "
+            "'e': \"don't: False, no\", 'f': True}")
+    df = spark.createDataFrame([(text,)], "s string")
+    got = df.select(F.from_json(N.py_literal_to_json("s"), "map<string,string>", {"allowSingleQuotes": "true"}).alias("m")).first()["m"]
+    assert got == {"a": "Effects: None, or some", "b": None, "c": "It is: True, yes", "d": "x\u00a0y",
+                   "e": "don't: False, no", "f": "true"}

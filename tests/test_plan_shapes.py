@@ -53,3 +53,31 @@ def test_nested_level_filter_reaches_parquet(spark):
     assert "LessThanOrEqual(evolucao.condicao.level,100)" in plan
     # only the referenced leaf of the nested struct is read
     assert "evolucao:struct<condicao:struct<level:int>>" in plan
+
+
+def test_merge_reads_its_base_at_most_twice(spark):
+    path = tempfile.mkdtemp(prefix="tessera-base-") + "/base"
+    spark.range(1000).selectExpr("id AS key", "concat('n', id % 7) AS name", "id AS v").write.parquet(path)
+    upd = spark.range(100).selectExpr("IF(id % 2 = 0, id, NULL) AS key", "concat('n', id % 9) AS name", "id AS v", "id AS seq")
+    df = merge.upsert(spark.read.parquet(path), upd, "key", "name", "seq")
+    assert _plan(df).count("FileScan parquet") <= 2
+
+
+def test_building_a_lookup_runs_no_job(spark):
+    from __spark_entry__ import queries
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        for name in ("link_extract", "page_title_clean", "upsert_patch", "dedup_keep_first"):
+            queries()[name](spark, SF)
+        # reading a Parquet footer for the schema is the only job there is
+        assert len(tracker.getJobIdsForGroup("build")) <= 10
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_dedup_shuffles_no_text(spark):
+    from __spark_entry__ import queries
+    plan = _plan(queries()["dedup_keep_first"](spark, SF))
+    exchange = plan[:plan.index("Exchange")]
+    assert "text#" not in exchange and "sha2" in plan

@@ -135,3 +135,23 @@ def test_html_unescape(spark):
     from tessera.plans.catalogue import html_unescape
     df = spark.createDataFrame([("T &amp;lt; &#233;t&#xE9; &#X41;&#128512; &copy;&middot;&quot;",)], "s string")
     assert df.select(html_unescape(F.col("s"))).first()[0] == 'T &lt; été A😀 ©·"'
+
+
+def test_strip_is_linear_in_blanks(spark):
+    import time
+    from pyspark.sql import functions as F
+    from tessera.functions import scalars as S
+    df = spark.createDataFrame([("  a" + " " * 1_000_000 + "b" + " " * 1_000_000 + "c \u2003",)], "s string").cache()
+    df.count()
+    start = time.time()
+    assert df.select(F.length(S.ustrip("s"))).first()[0] == 2_000_003
+    assert time.time() - start < 5
+
+
+def test_entities(spark):
+    from pyspark.sql import functions as F
+    from tessera.plans.catalogue import html_unescape
+    given = ["&eacute;t&#233;&#xE9;", "&#9999999; &#xD800; &#0;", "&#0000065;", "&amp;lt;", "&bogus; a & b", "&#99999999999999999999;", None]
+    want = ["\u00e9t\u00e9\u00e9", "&#9999999; &#xD800; &#0;", "A", "&lt;", "&bogus; a & b", "&#99999999999999999999;", None]
+    df = spark.createDataFrame(list(enumerate(given)), "i int, s string")
+    assert [r[0] for r in df.orderBy("i").select(html_unescape(F.col("s"))).collect()] == want
