@@ -8,10 +8,10 @@
 
 Runs with plain ``python`` (local master unless ``TESSERA_MASTER`` names
 one) or inside an existing session. Keep-first dedup needs the input order:
-a ``seq`` column is used when present; otherwise the line order of each CSV
-file is taken (multi-line CSV files are read whole, one task per file, so
-``monotonically_increasing_id`` follows the lines) and pinned by writing the
-scan once to the checkpoint folder.
+a ``seq`` column is used when present; otherwise files count in the order of
+their paths and lines in the order of the file (multi-line CSV files are read
+whole, so a task sees a file's lines in order), pinned by writing the scan once
+to the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
@@ -34,7 +35,15 @@ def _with_seq(df):
     if "seq" in df.columns:
         return df.withColumn("seq", F.col("seq").try_cast("bigint"))
     from .session import materialize
-    return materialize(df.withColumn("seq", F.monotonically_increasing_id()), "csv-with-seq")
+    # Row ids rise within a task, and so within a file, but tasks pack files by
+    # size: the file's rank goes first (one row per file is joined back).
+    numbered = df.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_line"))
+    by_path = Window.orderBy("_file")
+    rank = df.select(F.col("_metadata.file_path").alias("_file")).distinct() \
+        .withColumn("_rank", (F.row_number().over(by_path) - 1).cast("long"))
+    in_file = F.col("_line") % F.lit(1 << 33)
+    return materialize(numbered.join(rank, "_file").withColumn("seq", F.col("_rank") * F.lit(1 << 33) + in_file)
+                       .drop("_file", "_rank", "_line"), "csv-with-seq")
 
 
 def cmd_collect(a):
@@ -80,8 +89,10 @@ def cmd_query(a):
     coll = snapshot.read_snapshot(spark, a.root)
     print("multi-type documents:", lookup.multi_type_count(coll).first()[0])
     res = lookup.water_after_level(coll, a.low, a.high)
-    res.show(a.show, truncate=False)
-    print("total:", lookup.result_size(res).first()[0])
+    total = 0
+    for total, row in enumerate(res.toLocalIterator(), 1):      # every row, a partition at a time
+        print(*row, sep="\t")
+    print("total:", total)
 
 
 def _header(spark, path):
@@ -115,7 +126,6 @@ def main(argv=None):
     c.add_argument("root")
     c.add_argument("--low", type=int, default=30)
     c.add_argument("--high", type=int, default=100)
-    c.add_argument("--show", type=int, default=50)
     c.set_defaults(fn=cmd_query)
     a = p.parse_args(argv)
     a.fn(a)

@@ -1099,8 +1099,8 @@ def csv_round_trip(spark, sf):
     import uuid
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
     path = scratch_path(spark, f"csv/documents-{uuid.uuid4().hex[:8]}")
-    csv_io.write_csv(table(spark, sf, "documents").select(*cols), path)
-    back = csv_io.read_text_csv(spark, path, cols)
+    csv_io.write_csv(table(spark, sf, "documents").select(*cols), path, splittable=True)
+    back = csv_io.read_text_csv(spark, path, cols, splittable=True)
     return back.select(F.col("doc_id").try_cast("bigint").alias("doc_id"), "text", "lang", "source",
                        F.col("n_chars").try_cast("bigint").alias("n_chars"))
 
@@ -1143,11 +1143,12 @@ def etl_documents_frame(spark, sf, via_csv: bool = False) -> DataFrame:
         import uuid
         tag = uuid.uuid4().hex[:8]
         raw_path, clean_path = scratch_path(spark, f"csv/raw-{tag}"), scratch_path(spark, f"csv/clean-{tag}")
-        csv_io.write_csv(raw, raw_path)
-        raw = csv_io.read_text_csv(spark, raw_path, etl.RAW_COLUMNS + [etl.SEQ]) \
+        csv_io.write_csv(raw, raw_path, splittable=True)
+        raw = csv_io.read_text_csv(spark, raw_path, etl.RAW_COLUMNS + [etl.SEQ], splittable=True) \
             .withColumn(etl.SEQ, F.col(etl.SEQ).try_cast("bigint"))
-        csv_io.write_csv(etl.clean_items(raw), clean_path)
-        clean = csv_io.read_text_csv(spark, clean_path, [f.name for f in etl.CLEAN_SCHEMA.fields] + [etl.SEQ]) \
+        csv_io.write_csv(etl.clean_items(raw), clean_path, splittable=True)
+        clean = csv_io.read_text_csv(spark, clean_path, [f.name for f in etl.CLEAN_SCHEMA.fields] + [etl.SEQ],
+                                     splittable=True) \
             .withColumn(etl.SEQ, F.col(etl.SEQ).try_cast("bigint"))
     else:
         clean = etl.clean_items(raw)

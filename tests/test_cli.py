@@ -48,3 +48,31 @@ def test_collect_cli_paginated(spark):
     n = spark.read.option("header", True).option("multiLine", True).option("escape", '"') \
         .csv(os.path.join(d, "raw")).count()
     assert n == spark.read.parquet("/root/testdata/sf0.001/part.parquet").count()
+
+
+def test_order_without_a_seq_column_is_file_then_line(spark, tmp_path):
+    from tessera import __main__ as cli
+    from tessera.sources import csv_io
+    (tmp_path / "a.csv").write_text("k,v\n1,first\n2,x\n")
+    (tmp_path / "b.csv").write_text("k,v\n1,later\n" + "".join(f"{i},pad\n" for i in range(10, 5000)))
+    df = cli._with_seq(csv_io.read_text_csv(spark, str(tmp_path), ["k", "v"]))
+    rows = [r["v"] for r in df.where("k = '1'").orderBy("seq").collect()]
+    assert rows == ["first", "later"] and df.count() == 4993 and df.select("seq").distinct().count() == 4993
+
+
+def test_splittable_csv_keeps_cells_and_is_read_in_splits(spark, tmp_path):
+    from tessera.sources import csv_io
+    cells = ["a\nb", "\\n", "c\\", "\\\n\r\n", '"q", r', "", " x ", "\\\\n"]
+    df = spark.createDataFrame([(str(i), c) for i, c in enumerate(cells)], "i string, s string")
+    csv_io.write_csv(df.coalesce(1), str(tmp_path / "one"), splittable=True)
+    back = csv_io.read_text_csv(spark, str(tmp_path / "one"), ["i", "s"], splittable=True)
+    assert sorted(map(tuple, back.collect())) == sorted((str(i), c) for i, c in enumerate(cells))
+    spark.range(200_000).selectExpr("cast(id as string) i", "repeat('x\\ny', 20) s").coalesce(1) \
+        .transform(lambda d: csv_io.write_csv(d, str(tmp_path / "big"), splittable=True) or d)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2m")
+    try:
+        big = csv_io.read_text_csv(spark, str(tmp_path / "big"), ["i", "s"], splittable=True)
+        assert big.rdd.getNumPartitions() > 4 and big.count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
