@@ -76,10 +76,14 @@ def cmd_load(a):
     from .sources import csv_io, snapshot
     spark = _session()
     clean = csv_io.read_text_csv(spark, a.clean, _header(spark, a.clean))
+    over = etl.overflow_counts(clean).first()
     merged = etl.load_collection(etl.build_documents(_with_seq(clean)))
     path = snapshot.write_snapshot(merged, a.root)
     c = merge.write_counters(spark.read.parquet(path).select(merge.OP)).first()
     print(f"Upserts: {c['inserted']} Modified: {c['modified']}")
+    for field, n in over.asDict().items():
+        if n:
+            print(f"Left out, number too large: {field} {n}")
 
 
 def cmd_query(a):

@@ -3,9 +3,10 @@
 A gear hash over the last 32 bytes decides where a chunk ends, so an insertion
 shifts the borders near it only and equal passages give equal chunks wherever
 they stand. Chunks are known by a 128-bit digest. The first holder of a digest
-(smallest doc_id, then place) keeps it; further ones lose it where repeated
-chunks in a row cover at least ``min_bytes``, so that no chance agreement of a
-few words cuts a text.
+(smallest doc_id, then place) keeps it; further ones lose it where chunks of
+other documents in a row cover at least ``min_bytes``, so that no chance
+agreement of a few words cuts a text. A passage that only one document holds,
+however often, is left to it.
 
 Scale: a task sends 16-byte digests with their places, never texts. The count
 per digest is partially aggregated; the repeated digests are written as a table
@@ -33,7 +34,7 @@ from tessera.llm.common import materialize, packed, row_keys, text_of, unpacked
 
 MIN_CHUNK, MAX_CHUNK = 16, 256
 CUT_BITS = 5                   # a border after every 32 bytes or so
-MIN_BYTES = 80                 # repeated chunks in a row shorter than this stay
+MIN_BYTES = 100                # repeated chunks in a row shorter than this stay
 _GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 
 
@@ -90,12 +91,12 @@ def chunks(docs: DataFrame) -> DataFrame:
 
 
 def mark_chunks(docs: DataFrame) -> DataFrame:
-    """Per document key the array ``marks`` of its chunks that other places hold
-    too: start, size, and whether this place is the first holder."""
+    """Per document key the array ``marks`` of its chunks that other documents
+    hold too: start, size, and whether this place is the first holder."""
     every = chunks(docs)
     place = F.struct("doc_id", "_k1", "_k2", "start")
     repeated = (every.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                .where("first <> last or (first.doc_id is null) <> (last.doc_id is null)").select("digest", "first"))
+                .where("first._k1 <> last._k1 or first._k2 <> last._k2").select("digest", "first"))
     repeated = materialize(repeated, "repeated-chunks")
     mark = F.struct("start", "size", place.eqNullSafe(F.col("first")).alias("first"))
     return (every.join(repeated, "digest").select("_k1", "_k2", mark.alias("mark"))
@@ -118,8 +119,8 @@ def _spans(marks, first_too: bool, min_bytes: int) -> list[tuple[int, int]]:
 
 
 def chunk_report(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """Per row: doc_id, n_bytes, repeated (holds a passage that other places
-    hold too), dropped_bytes, spans (byte ranges dropped, in order)."""
+    """Per row: doc_id, n_bytes, repeated (holds a passage that other
+    documents hold too), dropped_bytes, spans (byte ranges dropped, in order)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

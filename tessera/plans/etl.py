@@ -14,7 +14,7 @@ only then are the expensive literal decoders run, fused in one projection.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,6 +133,23 @@ def build_documents(clean: DataFrame, seq: str = SEQ) -> DataFrame:
     return doc
 
 
+def overflow_counts(clean: DataFrame) -> DataFrame:
+    """M8: one row with the values that the load has to leave out because their
+    number exceeds the field's type: ``numero``, ``evolucao_numero`` (64 bits)
+    and ``evolucao_level`` (32 bits)."""
+    def over(column: str, kind: str) -> Column:
+        if column not in clean.columns:
+            return F.lit(0)
+        parts = F.split(F.col(column).cast("string"), S.JOIN_SEP)
+        exceeds = F.filter(F.transform(parts, lambda p: S.first_digits(p, False)),
+                           lambda d: d.isNotNull() & d.try_cast(kind).isNull())
+        return F.coalesce(F.sum(F.size(F.coalesce(exceeds, F.array().cast("array<string>")))), F.lit(0))
+
+    return clean.agg(over("numero", "bigint").cast("bigint").alias("numero"),
+                     over("numero_evol", "bigint").cast("bigint").alias("evolucao_numero"),
+                     over("level_evol", "int").cast("bigint").alias("evolucao_level"))
+
+
 def load_collection(docs: DataFrame, seq: str = SEQ) -> DataFrame:
     """Trace C sink: the collection is reset (full refresh), then every
     document is upserted by ``numero``, else by ``nome``. Returns the merged

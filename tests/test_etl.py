@@ -129,3 +129,10 @@ def test_backslash_escape_compat(spark):
     compat = csv_io.read_text_csv(spark, path, ["a", "b"], backslash_escapes=True).first()
     assert (plain["a"], plain["b"]) == ("x\\xa0y", 'q "z"')
     assert (compat["a"], compat["b"]) == ("xxa0y", 'q "z"')
+
+
+def test_numbers_too_large_are_counted(spark):
+    rows = [("1", "5; 99999999999999999999", "7; 4294967296"), ("99999999999999999999", None, "None"), (None, "", "3")]
+    df = spark.createDataFrame(rows, "numero string, numero_evol string, level_evol string")
+    assert tuple(etl.overflow_counts(df).first()) == (1, 1, 1)
+    assert tuple(etl.overflow_counts(df.select("numero")).first()) == (1, 0, 0)
