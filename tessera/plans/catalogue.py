@@ -846,9 +846,9 @@ def map_from_lists(spark, sf):
     cell = F.when(F.col("l_discount") == 0, F.lit("")).otherwise(F.col("l_quantity").cast("string"))
     ordkey = F.struct("l_linenumber", "l_quantity", "l_discount", "l_extendedprice")
     last = li.groupBy("l_orderkey", F.col("l_returnflag").alias("flag")) \
-        .agg(F.max_by(cell, ordkey).alias("cell"), F.max(ordkey).alias("o"))
-    per_order = last.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("o", "flag", "cell"))).alias("e"))
-    m = N.map_from_lists(F.transform("e", lambda x: x["flag"]), F.transform("e", lambda x: x["cell"]))
+        .agg(F.max(F.struct(ordkey.alias("o"), cell.alias("cell"))).alias("last"))
+    per_order = last.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("last", "flag"))).alias("e"))
+    m = N.map_from_lists(F.transform("e", lambda x: x["flag"]), F.transform("e", lambda x: x["last"]["cell"]))
     return per_order.select("l_orderkey", F.explode(m).alias("flag", "val"))
 
 

@@ -73,14 +73,16 @@ DOCUMENT_SCHEMA = T.StructType([
 # ---------------------------------------------------------------------------
 
 
-def clean_items(raw: DataFrame, seq: str = SEQ) -> DataFrame:
+def clean_items(raw: DataFrame, seq: str = SEQ, wide: bool = False) -> DataFrame:
     """Trace B. ``raw`` holds the raw item columns as text plus ``seq`` (input
-    order, needed for keep-first). Absent columns are tolerated (P1/P3)."""
+    order, needed for keep-first). Absent columns are tolerated (P1/P3).
+    ``wide``, for columnar input: keep-first aggregates (id, order) alone and
+    picks the rows by a join, so no literal is carried through an aggregate."""
     if seq not in raw.columns:
         raise ValueError(f"raw items need an explicit input order column '{seq}'")
     df = conform.derive_if_present(raw, {"numero": ("numero", S.canonical_digits)})
     if "numero" in df.columns:
-        df = dedup.keep_first(df, "numero", seq)
+        df = dedup.keep_first(df, "numero", seq, wide=wide)
     df = conform.drop_all_null(df, exclude=RICH_COLUMNS + (seq,))
     derived = {
         "Peso_kg": ("peso", S.parse_decimal),
