@@ -67,8 +67,9 @@ def empty_map(value_type: str = "double") -> Column:
 
 
 @S.memo_by_name
-def decode_literal_map(c, value_fn=S.multiplier, value_type: str = "double") -> Column:
+def decode_literal_map(c, value_fn=S.multiplier, value_type: str = "double", quotes_first: bool = False) -> Column:
     """M2: literal map text -> ``map<string, value_type>``; any failure -> {}.
+    ``quotes_first`` (H4): see ``decode_record_list``.
 
     Values are converted by ``value_fn`` (T7 by default). For a repeated key
     the last value wins, as in a Python dict literal.
@@ -78,11 +79,13 @@ def decode_literal_map(c, value_fn=S.multiplier, value_type: str = "double") ->
         conv = S.let(raw, lambda m: F.transform_values(dedupe_keys_last(m), lambda k, v: value_fn(v)))
         return F.coalesce(F.when(s.rlike(r"^\s*\{"), conv), empty_map(value_type))
 
-    return S.let(S.null_tokens(c, normalise_chars=False), decode)
+    return S.let(S.null_tokens(c, normalise_chars=quotes_first), decode)
 
 
-def decode_record_list(c, fields: list[str]) -> Column:
+def decode_record_list(c, fields: list[str], quotes_first: bool = False) -> Column:
     """F8: literal list of records -> ``array<struct<fields: string>>``.
+    ``quotes_first`` (H4) makes typographic quotes straight before decoding, as
+    the source does: one apostrophe inside a value then loses the list.
 
     NULL when the text is not a list or does not decode; elements that are
     not records are skipped.
@@ -107,7 +110,7 @@ def decode_record_list(c, fields: list[str]) -> Column:
 
         return F.when(s.rlike(r"^\s*\["), S.let(js, pick))
 
-    return S.let(S.null_tokens(c, normalise_chars=False), decode)
+    return S.let(S.null_tokens(c, normalise_chars=quotes_first), decode)
 
 
 def _leaf(field: str, fn=None):

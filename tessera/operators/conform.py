@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import null_tokens
+
 
 def derive_if_present(df: DataFrame, rules: dict[str, tuple[str, Callable[[str], Column]]]) -> DataFrame:
     """``{new: (source, fn)}`` -- add ``new = fn(source)`` only when
@@ -46,14 +48,19 @@ def conform(df: DataFrame, schema: T.StructType | list[tuple[str, str]]) -> Data
 
 
 def drop_all_null(df: DataFrame, subset: list[str] | None = None,
-                  exclude: tuple[str, ...] = ()) -> DataFrame:
+                  exclude: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
     """drop rows that are NULL in every column of ``subset`` (default:
-    all columns except ``exclude``)."""
+    all columns except ``exclude``). ``strict`` (H3): a text that means "no
+    value" (empty, ``None``, ...) counts as NULL too."""
     cols = subset if subset is not None else [c for c in df.columns if c not in exclude]
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    return df.dropna(how="all", subset=cols)
+    if not strict:
+        return df.dropna(how="all", subset=cols)
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    values = [null_tokens(F.col(f"`{c}`")).isNotNull() if c in texts else F.col(f"`{c}`").isNotNull() for c in cols]
+    return df.where(F.array_contains(F.array(*values), True))
 
 
 def sparse_json(df: DataFrame, cols: list[str], out: str = "json") -> DataFrame:

@@ -131,3 +131,10 @@ def test_literal_words_inside_values_stay(spark):
     got = df.select(F.from_json(N.py_literal_to_json("s"), "map<string,string>", {"allowSingleQuotes": "true"}).alias("m")).first()["m"]
     assert got == {"a": "Effects: None, or some", "b": None, "c": "It is: True, yes", "d": "x\u00a0y",
                    "e": "don't: False, no", "f": "true"}
+
+
+def test_quotes_first_loses_a_list_with_an_apostrophe(spark):
+    from tessera.functions import nested as N
+    df = spark.createDataFrame([("[{'nome': 'it\u2019s'}]",)], "s string")
+    kept, lost = df.select(N.decode_record_list("s", ["nome"]), N.decode_record_list("s", ["nome"], quotes_first=True)).first()
+    assert [r["nome"] for r in kept] == ["it\u2019s"] and not lost

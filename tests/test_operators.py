@@ -126,3 +126,18 @@ def test_keep_first_wide_equals_default(spark):
     assert {tuple(r) for r in dedup.keep_first(df, "k", "seq", wide=True).collect()} == want
     plan = dedup.keep_first(df, "k", "seq", wide=True)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "min_by" not in plan
+
+
+def test_drop_all_null_strict(spark):
+    from tessera.operators import conform
+    df = spark.createDataFrame([(1, "a", None), (2, " None ", ""), (3, None, None), (4, "", "x")], "id int, s string, t string")
+    assert [r.id for r in conform.drop_all_null(df, exclude=("id",)).orderBy("id").collect()] == [1, 2, 4]
+    assert [r.id for r in conform.drop_all_null(df, exclude=("id",), strict=True).orderBy("id").collect()] == [1, 4]
+
+
+def test_sparse_json_leaves_out_top_level_nulls_only(spark):
+    from tessera.operators import conform
+    df = spark.createDataFrame([(1, None, [("a", None)], {"k": None}, [])],
+                               "id int, s string, l array<struct<n:string,u:string>>, m map<string,string>, e array<string>")
+    got = conform.sparse_json(df, df.columns).first()["json"]
+    assert got == '{"id":1,"l":[{"n":"a","u":null}],"m":{"k":null},"e":[]}'
