@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, packed, row_keys, text_of, unpacked
+from tessera.llm.common import materialize, packed, row_keys, rows_and, text_of, unpacked
 from tessera.llm.graph import components
 
 WORDS = 5                      # words of a shingle
@@ -51,6 +51,7 @@ SKETCHES, TAKEN = 16, 3
 SIGNATURE = 64                 # values of the estimate
 SLACK = 0.2                    # an estimate this far below the threshold isn't aligned (four standard errors)
 BLOCK = 1024
+CALL_ROWS = 4096               # rows of small buckets compared in one call
 TRIES = (16, 256, None)        # pairs per node and component by rest round; None: all
 _SEEDS = np.random.default_rng(4).integers(1, 1 << 63, SKETCHES + SIGNATURE, dtype=np.uint64) | np.uint64(1)
 
@@ -211,33 +212,44 @@ def _rest_pairs(buckets: DataFrame, state: DataFrame, tries: int | None) -> Data
            .where("top.c < size")
            .select("bucket", F.col("top.component").alias("main"), F.ceil(F.col("size") / BLOCK).cast("int").alias("hs"),
                    F.ceil((F.col("size") - F.col("top.c")) / BLOCK).cast("int").alias("ps")))
-    rows = rows.join(materialize(top, "rest-buckets"), "bucket")
+    rows = materialize(rows.join(materialize(top, "rest-buckets"), "bucket"), "rest-members")
     hashed = F.xxhash64(F.lit(5), "node")
-    homes = rows.select("bucket", "node", "n", "component", "signature", F.pmod(hashed, "hs").cast("int").alias("hb"),
+    homes = rows.select("bucket", "node", "n", "component", "signature", "hs", "ps", F.pmod(hashed, "hs").cast("int").alias("hb"),
                         F.explode(F.sequence(F.lit(0), F.col("ps") - 1)).alias("pb"), F.lit(True).alias("home"))
     probes = (rows.where("component <> main")
-              .select("bucket", "node", "n", "component", "signature", F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("hb"),
+              .select("bucket", "node", "n", "component", "signature", "hs", "ps", F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("hb"),
                       F.pmod(hashed, "ps").cast("int").alias("pb"), F.lit(False).alias("home")))
 
     def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        h, p = g[g["home"]], g[~g["home"]]
+        g = g.sort_values(["bucket", "home"])
+        sig = np.frombuffer(b"".join(g["signature"]), dtype=np.uint16).reshape(len(g), SIGNATURE)
+        ids, parts, n, home = (g[c].to_numpy() for c in ("node", "component", "n", "home"))
+        bucket = g["bucket"].to_numpy()
+        edges = np.r_[0, np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(g)]
         out = []
-        if len(h) and len(p):
-            sig = np.stack([np.frombuffer(x, dtype=np.uint16) for x in h["signature"]])
-            ids, parts, n = h["node"].to_numpy(), h["component"].to_numpy(), h["n"].to_numpy()
-            for node, part, size, own in zip(p["node"], p["component"], p["n"], p["signature"]):
-                alike = (sig == np.frombuffer(own, dtype=np.uint16)).mean(axis=1)
-                fit = (parts != part) & (alike >= SIMILARITY - SLACK) & (np.minimum(n, size) >= SIMILARITY * np.maximum(n, size) - 1)
-                met: dict[int, int] = defaultdict(int)
+        for lo, hi in zip(edges, edges[1:]):               # one bucket (or a block of one): probes, then homes
+            mid = lo + int(np.count_nonzero(~home[lo:hi]))
+            for i in range(lo, mid):
+                alike = (sig[mid:hi] == sig[i]).mean(axis=1)
+                fit = ((parts[mid:hi] != parts[i]) & (alike >= SIMILARITY - SLACK)
+                       & (np.minimum(n[mid:hi], n[i]) >= SIMILARITY * np.maximum(n[mid:hi], n[i]) - 1))
                 hits = np.flatnonzero(fit)
-                for i in hits[np.lexsort((ids[hits], -alike[hits]))]:
-                    met[parts[i]] += 1
-                    if tries is None or met[parts[i]] <= tries:
-                        out.append((min(node, ids[i]), max(node, ids[i]), False))
-                out += [(node, node, True) for c in met.values() if tries is not None and c > tries][:1]
+                if not len(hits):
+                    continue
+                met: dict[int, int] = defaultdict(int)
+                for j in mid + hits[np.lexsort((ids[mid + hits], -alike[hits]))]:
+                    met[parts[j]] += 1
+                    if tries is None or met[parts[j]] <= tries:
+                        out.append((min(ids[i], ids[j]), max(ids[i], ids[j]), False))
+                if tries is not None and max(met.values()) > tries:
+                    out.append((ids[i], ids[i], True))
         return pd.DataFrame(out, columns=["a", "b", "cut"]).astype({"a": "int64", "b": "int64", "cut": "bool"})
 
-    return (homes.unionByName(probes).groupBy("bucket", "hb", "pb")
+    # Buckets of one block go to a task's call by the thousand rows, others by block.
+    small = (F.col("hs") == 1) & (F.col("ps") == 1)
+    calls = F.lit(max(1, -(-rows_and(rows)["n"] // CALL_ROWS)))
+    call = F.when(small, F.pmod("bucket", calls)).otherwise(F.col("bucket")).alias("call")
+    return (homes.unionByName(probes).groupBy(call, small.alias("small"), "hb", "pb")
             .applyInPandas(run, "a long, b long, cut boolean").distinct())
 
 
