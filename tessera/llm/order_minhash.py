@@ -271,21 +271,21 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     pairs = (buckets.join(materialize(centres, "centres"), "bucket").where("node <> centre")
              .select(*_ordered("node", "centre")).distinct())
     tested = materialize(pairs, "pairs")
-    links = materialize(_aligned(tested, nodes, similarity), "near")
+    parts = materialize(components(_aligned(tested, nodes, similarity)), "parts").withColumnRenamed("id", "node")
 
     for tries in TRIES:
-        parts = materialize(components(links), "parts").withColumnRenamed("id", "node")
         state = materialize(buckets.select("node").distinct().join(parts, "node", "left")
                             .select("node", F.coalesce("component", "node").alias("component"))
                             .join(nodes.select("node", "n", "signature"), "node"), "state")
         found = materialize(_rest_pairs(buckets.select("bucket", "node"), state, tries), "rest")
         new = materialize(found.where("a <> b").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        more = found.where("cut").limit(1).count() > 0
         if new.limit(1).count():
             tested = tested.unionByName(new)
-            links = materialize(links.unionByName(_aligned(new, nodes, similarity)), "near")
-            parts = materialize(components(links), "parts").withColumnRenamed("id", "node")
-        if not more:
+            # The parts so far, as stars, and what joins them.
+            stars = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            parts = materialize(components(stars.unionByName(_aligned(new, nodes, similarity))), "parts") \
+                .withColumnRenamed("id", "node")
+        if not found.where("cut").limit(1).count():
             break
     return rows, parts
 

@@ -17,9 +17,8 @@ def test_materialize_writes_under_the_checkpoint_folder(spark):
     assert sorted(r.v for r in df.collect()) == list(range(10))
 
 
-def test_spread_only_widens_narrow_inputs(spark):
-    target = spark.sparkContext.defaultParallelism
-    narrow = spark.range(100).coalesce(1)
-    assert session.spread(narrow).rdd.getNumPartitions() == target
-    wide = spark.range(100).repartition(target + 3)
-    assert session.spread(wide) is wide
+def test_only_a_scan_of_one_split_is_dealt_out(spark):
+    from tessera.plans.tables import table
+    sf = "/root/testdata/sf0.001"
+    assert table(spark, sf, "pages").rdd.getNumPartitions() == 1
+    assert table(spark, sf, "pages", cpu_heavy=True).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
