@@ -52,7 +52,7 @@ SIGNATURE = 64                 # values of the estimate
 SLACK = 0.2                    # an estimate this far below the threshold isn't aligned (four standard errors)
 BLOCK = 1024
 CALL_ROWS = 128                # rows of small buckets compared in one call, about
-TRIES = (16, 256, None)        # pairs per node and component by rest round; None: all
+TRIES = (64, None)             # pairs per node and component by rest round; None: all
 _SEEDS = np.random.default_rng(4).integers(1, 1 << 63, SKETCHES + SIGNATURE, dtype=np.uint64) | np.uint64(1)
 
 
