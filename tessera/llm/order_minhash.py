@@ -265,7 +265,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     sizes = materialize(keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "bucket-sizes")
     buckets = materialize(keyed.join(sizes, "bucket"), "buckets")
 
-    support = materialize(buckets.groupBy("node").agg(F.sum(F.col("size") - 1).alias("support")), "support")
+    support = buckets.groupBy("node").agg(F.sum(F.col("size") - 1).alias("support"))     # a node has few rows
     centres = (buckets.join(support, "node").groupBy("bucket")
                .agg(F.max_by("node", F.struct("support", "node")).alias("centre")))
     pairs = (buckets.join(materialize(centres, "centres"), "bucket").where("node <> centre")
@@ -274,9 +274,8 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     parts = materialize(components(_aligned(tested, nodes, similarity)), "parts").withColumnRenamed("id", "node")
 
     for tries in TRIES:
-        state = materialize(buckets.select("node").distinct().join(parts, "node", "left")
-                            .select("node", F.coalesce("component", "node").alias("component"))
-                            .join(nodes.select("node", "n", "signature"), "node"), "state")
+        state = (nodes.select("node", "n", "signature").join(parts, "node", "left")
+                 .withColumn("component", F.coalesce("component", "node")))
         found = materialize(_rest_pairs(buckets.select("bucket", "node"), state, tries), "rest")
         new = materialize(found.where("a <> b").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         if new.limit(1).count():
