@@ -27,7 +27,7 @@ def stages(spark, tmp_path_factory):
             words = rows[i - 3][1].split()[:-1] + ["edited"]
         text = " ".join(words) + ("\nshared line of the site" if i % 4 == 0 else "")
         rows.append((i, text, "en", ["hot", "hot", "a", "b", None][i % 5], len(text)))
-        labels.append((i, int(i % 6 != 5), 0))
+        labels.append((i, int("###" not in text), 0))
     rows += [(1000, None, None, None, None), (1001, "short", "en", "a", 5), rows[0]]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{sf}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
@@ -54,7 +54,8 @@ def test_quality(spark, stages):
     before, after, sf = stages["quality_rules"]
     kept = {r.doc_id for r in quality_rules.quality_report(before, spark.read.parquet(f"{sf}/labels.parquet")).collect() if r.kept}
     assert texts(after) == [x for x in texts(before) if x[0] in kept]
-    assert {1000, 1001}.isdisjoint(kept) and sum(d % 6 == 5 for d in kept) <= 2 and len(kept) > 180
+    junk = {r.doc_id for r in before.collect() if "###" in (r.text or "")}
+    assert {1000, 1001}.isdisjoint(kept) and len(junk) > 30 and len(kept & junk) <= 2 and len(kept) > 180
 
 
 def test_lines(stages):
