@@ -4,12 +4,14 @@
 2. Centres come from spherical k-means on a bounded sample (``SAMPLE_PER_CELL``
    per centre, at most ``MAX_CELLS`` centres); every vector is assigned to its
    nearest centre and is also compared in each cell whose border is near enough
-   that a partner at the threshold may lie behind it. For a partner in a random
-   direction the distance to the border changes by about
-   sqrt(1 - t^2) / sqrt(d); ``MARGIN`` of those are allowed for.
-3. Cells are cut into blocks of at most about ``BLOCK`` vectors; a task holds
-   one pair of blocks and multiplies them in double precision, whatever the
-   size of the cell.
+   that a partner at the threshold may lie behind it. Partners in two cells are
+   at most sqrt(2 - 2t) apart and the plane between the centres separates them,
+   so one of them is within half of that, sqrt((1 - t) / 2), of the plane: no
+   pair is lost, whatever the data.
+3. A cell's own vectors are cut into blocks of about ``BLOCK``, those that probe
+   it into blocks of about ``PROBE_BLOCK``; a task holds one pair of blocks and
+   multiplies ``SLICE`` rows at once in double precision, whatever the size of
+   the cell.
 4. Tasks give counts of links per vector and, for connection only, an edge from
    each vector to the smallest id of its connected part: never all pairs.
    Every link is counted where its vector is the one that probes, or, if the
@@ -36,11 +38,12 @@ from tessera.llm.common import materialize
 from tessera.llm.graph import components
 
 THRESHOLD = 0.9
-PER_CELL = 500                 # vectors a cell aims at
+PER_CELL = 2000                # vectors a cell aims at
 MAX_CELLS = 4096
 SAMPLE_PER_CELL = 16
-MARGIN = 1.5                   # measured at 51 282 vectors: 6 to 7 cells each; 997 of 1000 pairs at the threshold met
-BLOCK = 1024
+ROUNDING = 1e-6                # added to the reach
+BLOCK, PROBE_BLOCK = 4096, 8192
+SLICE = 512
 
 
 def fit_cells(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -62,7 +65,7 @@ def near_cells(x: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np
     home = dots.argmax(axis=1)
     gap = dots[np.arange(len(x)), home][:, None] - dots
     apart = np.sqrt(np.maximum(1e-12, 2 - 2 * centres @ centres.T))[home]
-    reach = MARGIN * np.sqrt(max(0.0, 1 - threshold ** 2)) / np.sqrt(x.shape[1])
+    reach = np.sqrt(max(0.0, (1 - threshold) / 2)) + ROUNDING
     near = gap / apart <= reach
     near[np.arange(len(x)), home] = True
     return home, [np.flatnonzero(r).tolist() for r in near]
@@ -130,15 +133,22 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, per_cell: int
     schema = f"node long, members long, embedding {kind}, width int"
     placed = materialize(nodes.select("node", "members", "embedding", "width")
                          .mapInPandas(assign, f"{schema}, home int, probes array<int>"), "vector-cells")
-    sizes = placed.groupBy("width", F.col("home").alias("cell")).agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    met = placed.withColumn("cell", F.explode("probes"))
+    sizes = met.groupBy("width", "cell").agg(
+        F.ceil(F.count_if(F.col("cell") == F.col("home")) / BLOCK).cast("int").alias("home_blocks"),
+        F.ceil(F.count(F.lit(1)) / PROBE_BLOCK).cast("int").alias("probe_blocks"))
     sizes = materialize(sizes, "cell-sizes")               # at most MAX_CELLS rows a width
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+
+    def dealt(blocks: str):
+        return F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
+
+    def every(blocks: str):
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
     homes = (placed.withColumn("cell", F.col("home")).join(F.broadcast(sizes), ["width", "cell"])
-             .select("*", own.alias("hb"), F.explode(every).alias("pb"), F.lit(True).alias("is_home")))
-    probes = (placed.withColumn("cell", F.explode("probes")).join(F.broadcast(sizes), ["width", "cell"])
-              .select("*", F.explode(every).alias("hb"), own.alias("pb"), F.lit(False).alias("is_home")))
+             .select("*", dealt("home_blocks").alias("hb"), every("probe_blocks").alias("pb"), F.lit(True).alias("is_home")))
+    probes = (met.join(F.broadcast(sizes), ["width", "cell"]).where("home_blocks > 0")
+              .select("*", every("home_blocks").alias("hb"), dealt("probe_blocks").alias("pb"), F.lit(False).alias("is_home")))
 
     def compare(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         h, p = g[g["is_home"]], g[~g["is_home"]]
@@ -146,7 +156,8 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, per_cell: int
         if h.empty or p.empty:
             return empty
         hid, pid = h["node"].to_numpy(), p["node"].to_numpy()
-        linked = unit(p["embedding"]) @ unit(h["embedding"]).T >= threshold
+        x, y = unit(p["embedding"]), unit(h["embedding"]).T
+        linked = np.concatenate([x[i:i + SLICE] @ y >= threshold for i in range(0, len(x), SLICE)])
         linked &= pid[:, None] != hid[None, :]
         if not linked.any():
             return empty
@@ -160,10 +171,10 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, per_cell: int
                 if where[i] not in back[j]:                # this pair is met here only
                     counts[hid[j]] = counts.get(hid[j], 0) + int(many_p[i])
         rows, cols = local_parts(linked, pid, hid)
-        part = {**dict(zip(hid[linked.any(axis=0)], cols[linked.any(axis=0)]))}
-        for k, v in zip(pid[linked.any(axis=1)], rows[linked.any(axis=1)]):
-            part[k] = min(v, part.get(k, v))
-        return pd.DataFrame({"node": list(part), "n": [counts.get(k, 0) for k in part], "part": list(part.values())}).astype("int64")
+        # A vector may stand on both sides, in two parts of this block: an edge for each.
+        edges = [*zip(pid[linked.any(axis=1)], rows[linked.any(axis=1)]), *zip(hid[linked.any(axis=0)], cols[linked.any(axis=0)])]
+        return pd.DataFrame({"node": [k for k, _ in edges], "n": [counts.pop(k, 0) for k, _ in edges],
+                             "part": [v for _, v in edges]}).astype("int64")
 
     found = materialize(homes.unionByName(probes).groupBy("width", "cell", "hb", "pb")
                         .applyInPandas(compare, "node long, n long, part long"), "vector-links")

@@ -41,3 +41,11 @@ def test_rows_that_repeat_and_null_ids(spark):
     got = sorted(map(tuple, ed.link_vectors(df).collect()), key=str)
     assert got == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (None, 0, None, True)], key=str)
     assert ed.link_vectors(df.where("false")).count() == 0
+
+
+def test_links_across_borders_of_low_rank_vectors(spark):
+    r = np.random.default_rng(3)
+    x = (r.normal(size=(700, 6)) @ r.normal(size=(6, 64))).astype("float32")
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = ed.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), per_cell=20).collect()
+    assert sorted(map(tuple, got)) == brute(rows)
