@@ -1,12 +1,14 @@
 """Substring de-duplication by content-defined chunking.
 
-A gear hash over the last 32 bytes decides where a chunk ends, so an insertion
+A gear hash over the last 16 bytes decides where a chunk ends, so an insertion
 shifts the borders near it only and equal passages give equal chunks wherever
 they stand. Chunks are known by a 128-bit digest. The first holder of a digest
 (smallest doc_id, then place) keeps it; further ones lose it where chunks of
 other documents in a row cover at least ``min_bytes``, so that no chance
-agreement of a few words cuts a text. A passage that only one document holds,
-however often, is left to it.
+agreement of a few words cuts a text. With ``inside``, a passage's further
+places within one document count as well; without it, a passage that only one
+document holds, however often, is left to it. The bytes between a passage's ends
+and the next borders stay.
 
 Scale: a task sends 16-byte digests with their places, never texts. The count
 per digest is partially aggregated; the repeated digests are written as a table
@@ -32,8 +34,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize, packed, row_keys, text_of, unpacked
 
-MIN_CHUNK, MAX_CHUNK = 16, 256
-CUT_BITS = 5                   # a border after every 32 bytes or so
+MIN_CHUNK, MAX_CHUNK = 8, 256
+CUT_BITS = 4                   # a border after every 16 bytes or so
 MIN_BYTES = 100                # repeated chunks in a row shorter than this stay
 _GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 
@@ -44,7 +46,7 @@ def borders(raw: bytes) -> list[int]:
     if n <= MIN_CHUNK:
         return [n] if n else []
     h = _GEAR[np.frombuffer(raw, dtype=np.uint8)]
-    for s in (1, 2, 4, 8, 16):             # window of 32 bytes by doubling
+    for s in (1, 2, 4, 8):                 # window of 16 bytes by doubling
         wider = h.copy()
         wider[s:] += h[:-s] << np.uint32(s)
         h = wider
@@ -90,13 +92,15 @@ def chunks(docs: DataFrame) -> DataFrame:
                     F.col("c.digests").alias("digest")))
 
 
-def mark_chunks(docs: DataFrame) -> DataFrame:
+def mark_chunks(docs: DataFrame, inside: bool = False) -> DataFrame:
     """Per document key the array ``marks`` of its chunks that other documents
-    hold too: start, size, and whether this place is the first holder."""
+    (with ``inside``, other places) hold too: start, size, and whether this
+    place is the first holder."""
     every = chunks(docs)
     place = F.struct("doc_id", "_k1", "_k2", "start")
     repeated = (every.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                .where("first._k1 <> last._k1 or first._k2 <> last._k2").select("digest", "first"))
+                .where("first._k1 <> last._k1 or first._k2 <> last._k2" + (" or first.start <> last.start" if inside else ""))
+                .select("digest", "first"))
     repeated = materialize(repeated, "repeated-chunks")
     mark = F.struct("start", "size", place.eqNullSafe(F.col("first")).alias("first"))
     return (every.join(repeated, "digest").select("_k1", "_k2", mark.alias("mark"))
@@ -118,9 +122,9 @@ def _spans(marks, first_too: bool, min_bytes: int) -> list[tuple[int, int]]:
     return [] if marks is None else runs([(m["start"], m["size"]) for m in marks if first_too or not m["first"]], min_bytes)
 
 
-def chunk_report(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+def chunk_report(docs: DataFrame, min_bytes: int = MIN_BYTES, inside: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, repeated (holds a passage that other
-    documents hold too), dropped_bytes, spans (byte ranges dropped, in order)."""
+    documents, with ``inside`` other places, hold too), dropped_bytes, spans (byte ranges dropped, in order)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -133,17 +137,17 @@ def chunk_report(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
     rows = docs.select(*row_keys("doc_id", "text"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.octet_length(text_of("text")).cast("long").alias("n_bytes"))
-    return (rows.join(mark_chunks(docs), ["_k1", "_k2"], "left").select("doc_id", "n_bytes", "marks")
+    return (rows.join(mark_chunks(docs, inside), ["_k1", "_k2"], "left").select("doc_id", "n_bytes", "marks")
             .mapInPandas(run, "doc_id long, n_bytes long, repeated boolean, dropped_bytes long, "
                               "spans array<struct<start:int,end:int>>"))
 
 
-def dedup_chunks(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+def dedup_chunks(docs: DataFrame, min_bytes: int = MIN_BYTES, inside: bool = False) -> DataFrame:
     """The documents, same columns and rows, without their dropped spans (a cut
     inside a character drops that character's rest too)."""
     kept = _kept_text(min_bytes)
     whole = packed(docs, *row_keys("doc_id", "text"))
-    joined = whole.join(mark_chunks(docs), ["_k1", "_k2"], "left")
+    joined = whole.join(mark_chunks(docs, inside), ["_k1", "_k2"], "left")
     return unpacked(joined, docs.columns, text=F.when(F.col("marks").isNull(), F.col("_row")["text"])
                     .otherwise(kept(F.col("_row")["text"], F.to_json("marks"))))
 

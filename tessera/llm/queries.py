@@ -49,7 +49,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunk_dedup.chunk_report(_read(spark, sf_dir, "documents"))
+    return chunk_dedup.chunk_report(_read(spark, sf_dir, "documents"), inside=True)
 
 
 def op9_pairwise_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,3 +65,22 @@ def test_odd_rows(odd_docs, no_docs):
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count() and out.where("text is null").count() == 1
     assert out.where("doc_id = 5").select("text").distinct().count() == 1 and out.where("doc_id = 5 and text = ''").count() == 0
     assert cd.chunk_report(no_docs).count() == 0 and cd.dedup_chunks(no_docs).count() == 0
+
+
+def test_passages_of_51_words_are_met():
+    r = random.Random(5)
+    for i in range(400):
+        passage = prose(51, i)
+        a, b = ((prose(40, r.random()) + " " + passage + " " + prose(40, r.random())).encode() for _ in range(2))
+        ea, eb = cd.borders(a), cd.borders(b)
+        own = {a[s:e] for s, e in zip([0, *ea], ea)}
+        assert cd.runs([(s, e - s) for s, e in zip([0, *eb], eb) if b[s:e] in own], cd.MIN_BYTES), i
+
+
+def test_repeats_inside_one_document(spark):
+    text = " ".join([prose(60, 1), *[prose(60, 2)] * 3, prose(60, 3)])
+    docs = spark.createDataFrame([(1, text), (1, text), (2, prose(200, 4))], "doc_id long, text string")
+    got = sorted(map(tuple, cd.chunk_report(docs, inside=True).select("doc_id", "repeated", "dropped_bytes").collect()))
+    size = len(prose(60, 2)) + 1
+    assert got[0] == got[1] and got[0][1] and 2 * size - 100 < got[0][2] <= 2 * size and got[2] == (2, False, 0)
+    assert len(cd.dedup_chunks(docs, inside=True).where("doc_id = 1").first()["text"]) == len(text) - got[0][2]
