@@ -9,9 +9,10 @@ one by one does, costs one to two per cent more sequences here, where the
 pieces of a shard are known and come longest first.
 
 Scale: token ids never leave the task that makes them (a piece is shuffled as
-its length and checksum). Pieces are dealt by hash to shards of about
-``shard`` pieces, each packed by itself with at most ``length`` counters, so
-memory and time of a task don't depend on the input's size. A shard ends with a
+its length and checksum). Pieces are numbered where they are written and dealt
+by a hash of the number to shards of about ``shard`` pieces, so rows that repeat
+spread as well; each shard is packed by itself with at most ``length`` counters,
+so memory and time of a task don't depend on the input's size. A shard ends with a
 few sequences that aren't full; at the default size that is well under one
 per mille.
 
@@ -200,7 +201,7 @@ def sum_of_squares(sizes: list[int], length: int) -> tuple[list[int], list[int]]
 def pack(cut_pieces: DataFrame, length: int = LENGTH, shard: int = SHARD) -> DataFrame:
     """Adds sequence_id and offset. Full pieces are sequences of their own; the
     others are packed per shard, longest first, so short pieces fill the rest."""
-    table = materialize(cut_pieces, "pieces")
+    table = materialize(cut_pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     short = table.where(F.col("length") < length)
     n = rows_and(short)["n"]
     shards = max(1, -(-n // shard))
@@ -212,13 +213,13 @@ def pack(cut_pieces: DataFrame, length: int = LENGTH, shard: int = SHARD) -> Dat
         bins, offsets = sum_of_squares(group["length"].tolist(), length)
         group["sequence_id"] = np.asarray(bins, dtype=np.int64) * shards + int(key[0])
         group["offset"] = np.asarray(offsets, dtype=np.int64)
-        return group.drop(columns=["_shard"])
+        return group.drop(columns=["_row", "_shard"])
 
-    dealt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards))
+    dealt = F.pmod(F.xxhash64("_row"), F.lit(shards))
     packed = (short.withColumn("_shard", dealt).repartition(shards, "_shard").groupBy("_shard")
               .applyInPandas(run, schema))
     # Sequences of one full piece: negative numbers, free of those above.
-    full = (table.where(F.col("length") >= length)
+    full = (table.where(F.col("length") >= length).drop("_row")
             .withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long")))
     return packed.unionByName(full)
 

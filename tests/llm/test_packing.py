@@ -76,3 +76,10 @@ def test_documents_come_back_whole(spark, odd_docs, no_docs):
         by[r.sequence_id] = r.offset + r.length
     assert max(by.values()) <= 128
     assert packing.pack_documents(no_docs, PATH).count() == 0
+
+
+def test_equal_rows_spread_over_shards(spark):
+    cut = spark.range(3000).selectExpr("cast(null as long) doc_id", "0 piece", "0L start", "7L length", "5L ids_crc32")
+    got = packing.pack(cut, length=64, shard=100).collect()
+    per = np.bincount([r.sequence_id % 30 for r in got], minlength=30)
+    assert len(got) == 3000 and per.max() < 200 and per.min() > 0
