@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import materialize, rows_and
 
 LENGTH = 2048
-SHARD = 2_500 
+SHARD = 40_000
 # Fixed value: the pattern that byte-level pre-tokenizers of this kind split by.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _COMMON = "\u0250"              # letters below it are classed alike by every Unicode version

@@ -83,3 +83,10 @@ def test_equal_rows_spread_over_shards(spark):
     got = packing.pack(cut, length=64, shard=100).collect()
     per = np.bincount([r.sequence_id % 30 for r in got], minlength=30)
     assert len(got) == 3000 and per.max() < 200 and per.min() > 0
+
+
+def test_few_sequences_beyond_the_bound(spark):
+    sizes = np.clip(np.random.default_rng(4).lognormal(5.5, 1, 20_000), 1, 2047).astype(int).tolist()
+    cut = spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate(sizes)], packing._PIECES)
+    got = packing.pack(cut).select("sequence_id").distinct().count()
+    assert got <= -(-sum(sizes) // 2048) * 1.0005 + 1
