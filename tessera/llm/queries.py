@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import (chunk_dedup, embedding_dedup, line_dedup, lm_scoring, mixing, order_minhash, packing,
-                         quality_rules, ranking, token_counts)
+                         quality_rules, ranking, token_alignment, token_counts)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_vectors(_read(spark, sf_dir, "embeddings"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_report(_read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                            tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_lm_scoring": op2_lm_scoring,
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chunk_dedup": op8_chunk_dedup,
     "op9_pairwise_ranking": op9_pairwise_ranking,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 _OP7 = r"""
