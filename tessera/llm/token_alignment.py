@@ -34,7 +34,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import materialize, text_of
 
 SEGMENTS = 400_000          # distinct segments kept by a worker, then started anew
-TOKENS = 4_000_000          # ids of kept segments, likewise
+TOKENS = 6_000_000          # ids of kept segments, likewise
 SLICE = 1 << 20             # characters encoded at once
 FREQUENT = 1 << 17          # pairs scored by broadcast
 DISTINCT = 1 << 21          # pairs summed inside a task before they are handed on
@@ -95,6 +95,8 @@ class Tokenizers:
         self.a_len = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
         self.blank = self.b.piece_to_id("▁")
+        self.marked = [f"{i}{mark}" for i in range(len(self.a_bytes)) for mark in ",|"]
+        self.marked += [f"{i}{mark}" for i in range(len(self.b_bytes)) for mark in ",;"]
         # Segments are independent if no piece joins a non-blank to white space, or its own space to other white space.
         pieces = [x.decode("utf-8", "replace") for i in normal for x in [self.b_bytes[i]]]
         self.cuts = not any(re.search(r"\S[^\S\r]|^ +[^\S\r ]", p) for p in pieces)
@@ -121,6 +123,15 @@ class Tokenizers:
 class SegmentTable:
     """Alignments of distinct segments; ``gather`` reads many at once."""
 
+    _made: dict[tuple[str, str], SegmentTable] = {}
+
+    @classmethod
+    def of(cls, a_path: str, b_path: str) -> SegmentTable:
+        """The table that the tasks of a worker share."""
+        if (a_path, b_path) not in cls._made:
+            cls._made[a_path, b_path] = cls(Tokenizers.of(a_path, b_path))
+        return cls._made[a_path, b_path]
+
     def __init__(self, tokenizers: Tokenizers):
         self.t = tokenizers
         self.clear()
@@ -129,8 +140,8 @@ class SegmentTable:
         self.index: dict[str, int] = {}
         self.groups: list[str] = []
         self.counts = np.zeros((0, 4), dtype=np.int64)          # A tokens, B tokens, groups; 1 if given back
-        self.regular = (np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int64))
-        self.links = (np.zeros(1, dtype=np.int64), np.zeros((0, 2), dtype=np.int64))
+        self.regular = (np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int32))
+        self.links = (np.zeros(1, dtype=np.int64), np.zeros((0, 2), dtype=np.int32))
 
     def look_up(self, segments: list[str]) -> np.ndarray:
         """Places of the segments; encodes those that are new."""
@@ -145,10 +156,11 @@ class SegmentTable:
     def _add(self, new: list[str]) -> None:
         t = self.t
         a, b = t.encode(new)
-        whole = [x.encode() for x in new]
-        good = np.array([b"".join(map(t.b_bytes.__getitem__, y)) == w and b"".join(map(t.a_bytes.__getitem__, x)) == w
-                         for x, y, w in zip(a, b, whole)], dtype=bool)
-        if not good.all():
+        good = np.ones(len(new), dtype=bool)
+        if any(b"".join([said[i] for x in ids for i in x]) != "".join(new).encode()
+               for ids, said in ((a, t.a_bytes), (b, t.b_bytes))):
+            good[:] = [all(b"".join([said[i] for i in x]) == w.encode() for x, said in ((x, t.a_bytes), (y, t.b_bytes)))
+                       for x, y, w in zip(a, b, new)]
             a, b = ([x if g else [] for x, g in zip(ids, good)] for ids in (a, b))
         n = len(new)
         n_a, n_b = (np.fromiter(map(len, ids), np.int64, n) for ids in (a, b))
@@ -167,12 +179,16 @@ class SegmentTable:
         link_a, link_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
         odd = ~one[group_a[link_a]] if len(ends) else np.zeros(0, dtype=bool)
         links = np.stack([ids_a[link_a[odd]], ids_b[link_b[odd]]], axis=1)
-        text_a, text_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        fa, fb = first_a.tolist(), first_b.tolist()
-        shown = [f"{','.join(text_a[fa[g]:fa[g + 1]])}|{','.join(text_b[fb[g]:fb[g + 1]])}" for g in range(len(common))]
         per = np.concatenate([[0], np.bincount(owner, minlength=n).cumsum()])
-        bounds = per.tolist()
-        self.groups += [";".join(shown[x:y]) for x, y in zip(bounds, bounds[1:])]
+        # Each group's A ids, then its B ids; an id is written with the mark that follows it.
+        code = np.zeros(len(ids_a) + len(ids_b), dtype=np.int64)
+        last_a, last_b = np.zeros(len(ids_a), dtype=np.int64), np.zeros(len(ids_b), dtype=np.int64)
+        last_a[first_a[1:] - 1] = last_b[first_b[1:] - 1] = 1
+        code[np.arange(len(ids_a)) + first_b[group_a]] = 2 * ids_a + last_a
+        code[np.arange(len(ids_b)) + first_a[group_b + 1]] = 2 * (ids_b + len(t.a_bytes)) + last_b
+        shown = list(map(t.marked.__getitem__, code.tolist()))
+        bounds = (first_a[per] + first_b[per]).tolist()
+        self.groups += ["".join(shown[x:y])[:-1] for x, y in zip(bounds, bounds[1:])]
         self.counts = np.concatenate([self.counts, np.stack([n_a, n_b, np.diff(per), good], axis=1)])
         self.regular = self._grown(self.regular, ids_a[first_a[:-1][one]], np.bincount(owner[one], minlength=n))
         self.links = self._grown(self.links, links, np.bincount(owner_a[link_a[odd]], minlength=n))
@@ -180,7 +196,7 @@ class SegmentTable:
     @staticmethod
     def _grown(pool: tuple, values: np.ndarray, sizes: np.ndarray) -> tuple:
         starts, had = pool
-        return np.concatenate([starts, starts[-1] + sizes.cumsum()]), np.concatenate([had, values])
+        return np.concatenate([starts, starts[-1] + sizes.cumsum()]), np.concatenate([had, values.astype(np.int32)])
 
     @staticmethod
     def gather(pool: tuple, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,15 +207,22 @@ class SegmentTable:
         return values[np.repeat(starts[at] - before, sizes) + np.arange(sizes.sum())], sizes
 
 
-def _slices(texts: list[str]) -> Iterator[slice]:
+def _slices(cells: Sequence[str | bytes]) -> Iterator[slice]:
+    """Stretches of cells that hold about ``SLICE`` characters or bytes."""
     start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
+    for i, x in enumerate(cells):
+        size += len(x)
         if size >= SLICE:
             yield slice(start, i + 1)
             start, size = i + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+    if start < len(cells):
+        yield slice(start, len(cells))
+
+
+def _in_slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for part in _slices((batch["linked_a"] + batch["regular"]).tolist()):
+            yield batch.iloc[part]
 
 
 def align_texts(texts: list[str], table: SegmentTable, spelled: bool) -> Iterator[tuple]:
@@ -237,7 +260,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, spelled: bool = True) -> Da
     and ``score_links`` read, as little-endian numbers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = SegmentTable(Tokenizers.of(a_path, b_path))
+        table = SegmentTable.of(a_path, b_path)
         names = [c.split()[0] for c in _LINKS.split(", ")]
         for batch in batches:
             texts, ids = batch["text"].tolist(), batch["doc_id"].astype("Int64")
@@ -265,7 +288,7 @@ def count_pairs(aligned: DataFrame, a_path: str, b_path: str) -> DataFrame:
         a_type, b_type = (np.min_scalar_type(len(x)).newbyteorder("<") for x in (t.a_bytes, t.b_bytes))
         vector = np.zeros(len(t.a_bytes), dtype=np.int64)
         keys, sums = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        for batch in batches:
+        for batch in _in_slices(batches):
             vector += np.bincount(_numbers(batch["regular"], a_type)[0], minlength=len(vector))
             new = _numbers(batch["linked_a"], a_type)[0] * wide + _numbers(batch["linked_b"], b_type)[0]
             new, n = np.unique(new, return_counts=True)
@@ -310,7 +333,7 @@ def score_links(aligned: DataFrame, pairs: DataFrame, a_path: str, b_path: str,
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, counts, best, vector = shared.value
-        for batch in batches:
+        for batch in _in_slices(batches):
             rows, n = np.arange(len(batch)), len(batch)
             ids, sizes = _numbers(batch["regular"], a_type)
             sums = np.zeros((n, 2), dtype=np.int64)
