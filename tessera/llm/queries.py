@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import (chunk_dedup, embedding_dedup, line_dedup, lm_scoring, mixing, order_minhash, packing,
-                         quality_rules, ranking, token_alignment, token_counts)
+from tessera.llm import (chunk_dedup, embedding_dedup, license_scan, line_dedup, lm_scoring, mixing, order_minhash, packing,
+                         periodic_runs, quality_rules, ranking, token_alignment, token_counts)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,14 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             tokenizer_path("piece_bpe_32k.model"))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(_read(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_lm_scoring": op2_lm_scoring,
@@ -77,6 +85,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pairwise_ranking": op9_pairwise_ranking,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_token_alignment": op11_token_alignment,
+    "op12_license_scan": op12_license_scan,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _OP7 = r"""
