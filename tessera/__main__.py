@@ -19,7 +19,6 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
@@ -31,19 +30,15 @@ def _session():
     return active if active is not None else build_session(os.environ.get("TESSERA_MASTER", "local[*]"))
 
 
-def _with_seq(df):
-    if "seq" in df.columns:
-        return df.withColumn("seq", F.col("seq").try_cast("bigint"))
-    from .session import materialize
-    # Row ids rise within a task, and so within a file, but tasks pack files by
-    # size: the file's rank goes first (one row per file is joined back).
-    numbered = df.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_line"))
-    by_path = Window.orderBy("_file")
-    rank = df.select(F.col("_metadata.file_path").alias("_file")).distinct() \
-        .withColumn("_rank", (F.row_number().over(by_path) - 1).cast("long"))
-    in_file = F.col("_line") % F.lit(1 << 33)
-    return materialize(numbered.join(rank, "_file").withColumn("seq", F.col("_rank") * F.lit(1 << 33) + in_file)
-                       .drop("_file", "_rank", "_line"), "csv-with-seq")
+def _read_rows(spark, path, **options):
+    """All-text rows of CSV files of any writer, read in splits, with ``seq``:
+    their own, or file by path and then record."""
+    from .sources import csv_io
+    columns = _header(spark, path)
+    if "seq" in columns:
+        rows = csv_io.read_text_csv(spark, path, columns, parallel=True, **options)
+        return rows.withColumn("seq", F.col("seq").try_cast("bigint"))
+    return csv_io.read_text_csv(spark, path, columns, parallel=True, position="seq", **options)
 
 
 def cmd_collect(a):
@@ -66,18 +61,18 @@ def cmd_clean(a):
     from .plans import etl
     from .sources import csv_io
     spark = _session()
-    raw = csv_io.read_text_csv(spark, a.raw, _header(spark, a.raw), backslash_escapes=a.backslash_escapes)
-    csv_io.write_csv(etl.clean_items(_with_seq(raw)), a.out)
+    raw = _read_rows(spark, a.raw, backslash_escapes=a.backslash_escapes)
+    csv_io.write_csv(etl.clean_items(raw), a.out)
 
 
 def cmd_load(a):
     from .operators import merge
     from .plans import etl
-    from .sources import csv_io, snapshot
+    from .sources import snapshot
     spark = _session()
-    clean = csv_io.read_text_csv(spark, a.clean, _header(spark, a.clean))
+    clean = _read_rows(spark, a.clean)
     over = etl.overflow_counts(clean).first()
-    merged = etl.load_collection(etl.build_documents(_with_seq(clean)))
+    merged = etl.load_collection(etl.build_documents(clean))
     path = snapshot.write_snapshot(merged, a.root)
     c = merge.write_counters(spark.read.parquet(path).select(merge.OP)).first()
     print(f"Upserts: {c['inserted']} Modified: {c['modified']}")

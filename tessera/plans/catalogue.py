@@ -1105,6 +1105,23 @@ def csv_round_trip(spark, sf):
                        F.col("n_chars").try_cast("bigint").alias("n_chars"))
 
 
+@register("csv_foreign_lines", """
+SELECT doc_id, text, lang, source, n_chars FROM documents
+""")
+def csv_foreign_lines(spark, sf):
+    """S1 + S2 on files as other writers leave them (one file, cells over many
+    lines, doubled quotes): read in splits, the quotes' parity by prefix sums."""
+    from ..session import scratch_path
+    from ..sources import csv_io
+    import uuid
+    cols = ["doc_id", "text", "lang", "source", "n_chars"]
+    path = scratch_path(spark, f"csv/foreign-{uuid.uuid4().hex[:8]}")
+    csv_io.write_csv(table(spark, sf, "documents").select(*cols), path)
+    back = csv_io.read_text_csv(spark, path, cols, parallel=True)
+    return back.select(F.col("doc_id").try_cast("bigint").alias("doc_id"), "text", "lang", "source",
+                       F.col("n_chars").try_cast("bigint").alias("n_chars"))
+
+
 # --------------------------------------------------------------------------
 # The whole flow (traces B -> C -> D) on raw items derived from ``part``.
 # --------------------------------------------------------------------------

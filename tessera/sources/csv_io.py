@@ -6,10 +6,10 @@ schema (never inference), a header, multi-line quoted cells and ``"`` as both
 quote and escape (doubled quotes). Writes keep leading/trailing whitespace
 and flatten arrays/maps first (``"; "``-joined lists, JSON maps).
 
-A reader of multi-line cells takes a file whole, one task each. Files that
-only this library reads are better written ``splittable``: line breaks and
-backslashes inside cells are escaped, a record is one line, and large files are
-read in splits.
+Spark's reader of multi-line cells takes a file whole, one task each. Files of
+other writers are read in splits with ``parallel`` (``foreign_csv``). Files that
+only this library reads may be written ``splittable``: line breaks and
+backslashes inside cells are escaped, a record is one line.
 """
 
 from __future__ import annotations
@@ -45,21 +45,33 @@ def all_string_schema(columns: list[str]) -> T.StructType:
 
 def read_text_csv(spark: SparkSession, path: str, columns: list[str],
                   keep_empty: bool = True, backslash_escapes: bool = False,
-                  splittable: bool = False) -> DataFrame:
+                  splittable: bool = False, parallel: bool = False, position: str | None = None) -> DataFrame:
     """CSV with a declared all-text schema. ``keep_empty`` turns
     missing cells into ``""`` as the source's reader does (a short row's
     absent cells included). ``backslash_escapes`` reproduces a reader that
     treats ``\\`` as an escape character: every backslash is dropped and the
     character after it kept (``a\\xa0b`` reads as ``axa0b``). Quotes are
     always read with doubled-quote escaping, which is what the files use.
-    ``splittable``: the files were written so by ``write_csv``."""
+    ``splittable``: the files were written so by ``write_csv``. ``parallel``:
+    multi-line files of any writer, read in splits (``foreign_csv``);
+    ``position`` then names a column that numbers the rows in their order."""
+    if parallel:
+        from .foreign_csv import read_foreign_csv
+        df = read_foreign_csv(spark, path, columns, position)
+    else:
+        df = _read_files(spark, path, columns, splittable)
+    if backslash_escapes:
+        text = [F.regexp_replace(F.col(f"`{c}`"), r"\\(.)", "$1").alias(c) for c in columns]
+        df = df.select(*text, *([position] if parallel and position else []))
+    return df.na.fill("") if keep_empty else df
+
+
+def _read_files(spark: SparkSession, path: str, columns: list[str], splittable: bool) -> DataFrame:
     opts = _READ_OPTS | {"multiLine": "false"} if splittable else _READ_OPTS
     df = spark.read.schema(all_string_schema(columns)).options(**opts).csv(path)
     if splittable:
         df = df.select(*[_unescape_breaks(F.col(f"`{c}`")).alias(c) for c in columns])
-    if backslash_escapes:
-        df = df.select(*[F.regexp_replace(F.col(f"`{c}`"), r"\\(.)", "$1").alias(c) for c in columns])
-    return df.na.fill("") if keep_empty else df
+    return df
 
 
 def flatten_for_csv(df: DataFrame) -> DataFrame:

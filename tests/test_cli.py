@@ -52,10 +52,9 @@ def test_collect_cli_paginated(spark):
 
 def test_order_without_a_seq_column_is_file_then_line(spark, tmp_path):
     from tessera import __main__ as cli
-    from tessera.sources import csv_io
     (tmp_path / "a.csv").write_text("k,v\n1,first\n2,x\n")
     (tmp_path / "b.csv").write_text("k,v\n1,later\n" + "".join(f"{i},pad\n" for i in range(10, 5000)))
-    df = cli._with_seq(csv_io.read_text_csv(spark, str(tmp_path), ["k", "v"]))
+    df = cli._read_rows(spark, str(tmp_path))
     rows = [r["v"] for r in df.where("k = '1'").orderBy("seq").collect()]
     assert rows == ["first", "later"] and df.count() == 4993 and df.select("seq").distinct().count() == 4993
 
