@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import nested as N
 from ..functions import scalars as S
-from ..operators import chain, conform, dedup, enrich, lookup, merge
+from ..operators import chain, conform, dedup, enrich, lookup, merge, variant_docs
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1105,6 +1105,94 @@ def csv_round_trip(spark, sf):
                        F.col("n_chars").try_cast("bigint").alias("n_chars"))
 
 
+# --------------------------------------------------------------------------
+# Documents without declared types (VARIANT), and fan-in as a stream.
+# --------------------------------------------------------------------------
+# The level of a derived document: a number, a text, null, nothing, a fraction or a list.
+_LEVELS = ("'\"level\":' || p_size", "'\"level\":\"' || p_size || '\"'", "'\"level\":null'", "'\"item\":\"stone\"'",
+           "'\"level\":' || p_size || '.5'", "'\"level\":[' || p_size || ']'")
+_VARIANT_DOC = ("'{\"numero\":' || p_partkey || ',\"nome\":\"' || p_name || '\",\"tipos\":' || "
+                "CASE WHEN p_partkey % 4 = 0 THEN 'null' WHEN p_partkey % 4 = 1 THEN '\"' || p_brand || '\"' "
+                "ELSE '[\"' || p_brand || '\",7]' END || ',\"evolucao\":{\"condicao\":{' || CASE p_partkey % 6 "
+                + " ".join(f"WHEN {k} THEN {x}" for k, x in enumerate(_LEVELS)) + " END || '}}}'")
+_LEVEL, _LEVEL_SQL = "evolucao.condicao.level", "$.evolucao.condicao.level"
+_SQL_NUMBER = "IN ('BIGINT', 'UBIGINT', 'DOUBLE')"
+
+
+def _variant_documents(spark, sf) -> DataFrame:
+    part = table(spark, sf, "part").select(F.expr(_VARIANT_DOC).alias("json"))
+    return variant_docs.parse_documents(part, "json")
+
+
+@register("variant_level_range", f"""
+WITH d AS (SELECT CAST({_VARIANT_DOC} AS JSON) AS j FROM part)
+SELECT CAST(j->>'$.numero' AS BIGINT) AS numero, j->>'$.nome' AS nome, CAST(j->>'{_LEVEL_SQL}' AS DOUBLE) AS level
+FROM d WHERE json_type(j, '{_LEVEL_SQL}') {_SQL_NUMBER} AND CAST(CASE WHEN json_type(j, '{_LEVEL_SQL}') {_SQL_NUMBER}
+  THEN j->>'{_LEVEL_SQL}' END AS DOUBLE) > 10 AND CAST(CASE WHEN json_type(j, '{_LEVEL_SQL}') {_SQL_NUMBER}
+  THEN j->>'{_LEVEL_SQL}' END AS DOUBLE) <= 40 ORDER BY numero
+""")
+def variant_level_range(spark, sf):
+    """F5 + P7 + O1 with a type test per value: documents whose level is a number
+    in (10, 40]; texts of digits, lists, nulls and absent levels don't count."""
+    docs = _variant_documents(spark, sf)
+    return variant_docs.find_documents(
+        docs, "doc", variant_docs.number_in_range("doc", _LEVEL, 10, 40),
+        {"numero": ("numero", "bigint"), "nome": ("nome", "string"), "level": (_LEVEL, "double")}, ["numero"])
+
+
+@register("variant_field_types", f"""
+WITH d AS (SELECT CAST({_VARIANT_DOC} AS JSON) AS j FROM part),
+t AS (SELECT unnest(['{_LEVEL}', 'tipos', 'evolucao']) AS path,
+             unnest([json_type(j, '{_LEVEL_SQL}'), json_type(j, '$.tipos'), json_type(j, '$.evolucao')]) AS k FROM d)
+SELECT path, CASE WHEN k IS NULL THEN 'missing' WHEN k = 'NULL' THEN 'null' WHEN k {_SQL_NUMBER} THEN 'number'
+  WHEN k = 'VARCHAR' THEN 'text' WHEN k = 'ARRAY' THEN 'list' WHEN k = 'OBJECT' THEN 'record' END AS type, count(*) AS n
+FROM t GROUP BY ALL
+""")
+def variant_field_types(spark, sf):
+    """What a path holds, a null field told from an absent one."""
+    return variant_docs.count_types(_variant_documents(spark, sf), "doc", [_LEVEL, "tipos", "evolucao"])
+
+
+@register("fan_in_stream", f"""
+SELECT c_custkey, CAST(count(o_orderkey) AS BIGINT) AS n_orders,
+       CAST(count(*) FILTER (WHERE o_orderkey % 11 = 0) AS INTEGER) AS n_missing,
+       coalesce(string_agg(o_orderkey || ':' || CASE WHEN o_orderkey % 11 = 0 THEN '{enrich.MISSING_PAGE_TEXT}'
+                           ELSE o_orderpriority END, '; ' ORDER BY o_orderkey) FILTER (WHERE o_orderkey IS NOT NULL), '') AS orders
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey
+""")
+def fan_in_stream(spark, sf):
+    """J2 + G4 while replies arrive: every customer asks for its orders. A third
+    of the replies come in a second load, after a restart; every eleventh order
+    never answers and gets the fallback text when the watermark passes."""
+    from ..session import materialize, scratch_path
+    from ..streaming import fan_in_stream as stream
+    import uuid
+    root = scratch_path(spark, f"fan-in-{uuid.uuid4().hex[:8]}")
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    c = table(spark, sf, "customer").select("c_custkey").join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
+    asked = F.array_sort(F.collect_list(F.when(F.col("o_orderkey").isNotNull(), F.struct("o_orderkey", "o_orderpriority"))))
+    items = materialize(c.groupBy("c_custkey").agg(asked.alias("asked")), "fan-in-items")
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("item") % 60)
+    first = items.select(F.col("c_custkey").alias("item"), F.transform("asked", lambda x: x["o_orderkey"].cast("string")).alias("names"),
+                         F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("text")).withColumn("at", at)
+    replies = (items.select(F.col("c_custkey").alias("item"), F.lit(None).cast("array<string>").alias("names"),
+                            F.posexplode("asked").alias("pos", "x"))
+               .where("x.o_orderkey % 11 <> 0"))
+    replies = replies.select("item", "names", "pos", F.col("x.o_orderpriority").alias("text"), at.alias("at"), "x.o_orderkey")
+    early = F.col("o_orderkey") % 3 != 0
+    replies = replies.withColumn("at", F.when(early, F.col("at")).otherwise(F.col("at") + F.expr("INTERVAL 60 SECONDS")))
+    loads = [first.unionByName(replies.where(early).drop("o_orderkey")), replies.where(~early).drop("o_orderkey"),
+             stream.end_of_time(spark, "2024-01-02 00:00:00")]
+    for load in loads:
+        load.write.mode("append").parquet(f"{root}/events")
+        events = spark.readStream.schema(stream.EVENTS).parquet(f"{root}/events")
+        stream.run_available(events, f"{root}/items", f"{root}/checkpoint")
+    done = spark.read.parquet(f"{root}/items")
+    named = F.transform("list", lambda x: F.concat_ws(":", x["name"], x["text"]))
+    return done.select(F.col("item").alias("c_custkey"), F.size("list").cast("bigint").alias("n_orders"), "n_missing",
+                       F.array_join(named, "; ").alias("orders"))
+
+
 @register("csv_foreign_lines", """
 SELECT doc_id, text, lang, source, n_chars FROM documents
 """)

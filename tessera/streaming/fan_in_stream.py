@@ -16,7 +16,8 @@ until the item is emitted; a reply without text counts as having come, with the
 fallback text; replies for positions that the list doesn't have are ignored;
 replies that come after their item was emitted, or whose item never comes, are
 forgotten after ``wait``; a second item event is ignored while the first is
-pending. Events without an item or a time are left out.
+pending. Events without an item or a time, and those whose time lies more than
+``lateness`` before the latest one of earlier batches, are left out.
 """
 
 from __future__ import annotations
@@ -73,11 +74,10 @@ def fan_in_replies(events: DataFrame, wait_ms: int = 600_000, lateness: str = "0
             return
         for b in batches:
             _add(held, b, wait_ms)
-        names, due = held["names"], held["deadline"] <= state.getCurrentWatermarkMs()
-        if names is not None and (due or all(str(i) in held["replies"] for i in range(len(names)))):
+        names, past = held["names"], held["deadline"] <= state.getCurrentWatermarkMs()
+        if whole := names is not None and (past or all(str(i) in held["replies"] for i in range(len(names)))):
             yield _emitted(item, held, fallback)
-            names = due = None
-        if names is None and due is None or due:
+        if whole or past:
             if state.exists:
                 state.remove()
             return
