@@ -13,6 +13,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _LOCAL_CHECKPOINT: str | None = None   # private folder, local mode only, when the conf is unset
 
 # SQL defaults the library relies on; applied only where the session does not
@@ -107,6 +108,13 @@ def materialize(df, name: str):
     restart from the table, not from the sources) and stops a DataFrame that
     feeds several branches from being recomputed in each."""
     import uuid
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    # A written table needs its shuffles no more: their files go when the write ends.
+    old = spark.conf.get(_CLEANUP_CONF, None)
+    spark.conf.set(_CLEANUP_CONF, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP_CONF) if old is None else spark.conf.set(_CLEANUP_CONF, old)
+    return spark.read.parquet(path)

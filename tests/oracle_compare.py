@@ -26,6 +26,10 @@ def duck(sf_dir: str):
 
 
 def _norm(v):
+    if isinstance(v, dict):
+        return tuple((k, _norm(x)) for k, x in v.items())
+    if isinstance(v, (list, tuple)) or hasattr(v, "dtype") and getattr(v, "ndim", 0):
+        return tuple(_norm(x) for x in v)
     if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
