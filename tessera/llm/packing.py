@@ -37,22 +37,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize, rows_and
 
 LENGTH = 2048
 SHARD = 40_000
+_RUN = 4096                     # copies of one piece numbered by one task
 # Fixed value: the pattern that byte-level pre-tokenizers of this kind split by.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _COMMON = "\u0250"              # letters below it are classed alike by every Unicode version
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+# White space other than blanks and newlines that stand alone between words.
+_ODD_BLANKS = re.compile(r"[^\S \n]|[ \n]{2}|\A[ \n]|[ \n]\Z|\x1c|\x1d|\x1e|\x1f")
+
+
 def parts_of(text: str) -> list[str]:
     """The text in parts whose ids are those of the whole."""
-    if len(text.split()) != text.count(" ") + text.count("\n") + 1:     # not just single blanks between words
+    if _ODD_BLANKS.search(text):
         first, *rest = text.split(" ")
         parts = [first]
         for p in rest:
@@ -218,10 +223,26 @@ def pack(cut_pieces: DataFrame, length: int = LENGTH, shard: int = SHARD) -> Dat
     dealt = F.pmod(F.xxhash64("_row"), F.lit(shards))
     packed = (short.withColumn("_shard", dealt).repartition(shards, "_shard").groupBy("_shard")
               .applyInPandas(run, schema))
-    # Sequences of one full piece: negative numbers, free of those above.
-    full = (table.where(F.col("length") >= length).drop("_row")
-            .withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long")))
-    return packed.unionByName(full)
+    return packed.unionByName(_alone(table.where(F.col("length") >= length).drop("_row"), shard)
+                              .withColumn("offset", F.lit(0).cast("long")))
+
+
+def _alone(full: DataFrame, shard: int) -> DataFrame:
+    """Full pieces as sequences of their own: negative numbers, free of those of
+    shards. They follow from the pieces, not from where these lie: equal pieces
+    are counted, counts are summed up inside buckets of about ``shard``
+    different pieces, and a piece's copies take the numbers below the sum, in
+    runs so that many copies spread over tasks."""
+    names = full.columns
+    equal = materialize(full.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")), "full-pieces")
+    buckets = max(1, -(-rows_and(equal)["n"] // shard))
+    bucket = F.pmod(F.xxhash64(*names), F.lit(buckets))
+    before = Window.partitionBy("_bucket").orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    begun = equal.withColumn("_bucket", bucket).withColumn("_begun", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    runs = begun.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(_RUN).cast("long"))))
+    copies = F.sequence(F.col("_run"), F.least(F.col("_run") + _RUN, F.col("_n")) - 1)
+    spread = runs.repartition(F.xxhash64(*names, "_run")).withColumn("_copy", F.explode(copies))
+    return spread.select(*names, (-1 - F.col("_bucket") - F.lit(buckets) * (F.col("_begun") + F.col("_copy"))).alias("sequence_id"))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = 0,

@@ -47,6 +47,31 @@ def test_rule_against_a_plain_version():
     assert max(bins) + 1 == len(gaps)
 
 
+@pytest.mark.parametrize("text", ["漢\u00a0b\n\n\nc\u00a0d", "漢\u2028a  b\u3000c\n\n\nd", "a\tb 漢\n\n\n\nc", "漢\x1c a\n\nb"])
+def test_rare_blanks_do_not_hide_long_runs(text):
+    encoder = packing.Encoder.of(PATH)
+    want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == want
+
+
+@given(st.lists(st.sampled_from(["漢", "b", "é", "\u00a0", "\u2028", "\u3000", "\t", "\x1c", "\x85", " ", "  ", "\n", "\n\n", "\n\n\n",
+                                 "<|endoftext|>", "'s", "9", "."]), max_size=40).map("".join))
+@settings(max_examples=3000, deadline=None)
+def test_ids_with_rare_blanks_equal_the_library(text):
+    encoder = packing.Encoder.of(PATH)
+    want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == want
+
+
+def test_full_pieces_are_numbered_by_content(spark):
+    rows = [(i % 7, i % 3, 0, 8, i % 5) for i in range(600)] + [(None, 0, 0, 8, 1)] * 9000 + [(1, 0, 0, 3, 4)]
+    t = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    out = [sorted(map(str, packing.pack(t.repartition(n), 8, 50).collect())) for n in (1, 7)]
+    assert out[0] == out[1] and len(out[0]) == len(rows)
+    ids = [r["sequence_id"] for r in packing.pack(t, 8, 50).collect()]
+    assert len(set(ids)) == len(rows)
+
+
 @given(st.lists(st.sampled_from([*"ab.,'s9!# \n\t\u00a0é\u0301漢\u2003", "<|endoftext|>", "'ll", "..."]), max_size=60).map("".join))
 @settings(max_examples=500, deadline=None)
 def test_parts_give_the_librarys_ids(text):
