@@ -69,42 +69,50 @@ def borders(raw: bytes) -> list[int]:
     return ends
 
 
+_SIZES = 512                   # more than a chunk's bytes
+
+
 def chunks(docs: DataFrame) -> DataFrame:
-    """_k1, _k2, doc_id, start, size, digest of every chunk."""
+    """_k1, doc_id, at, digest of every chunk; ``at`` is its start and size in one
+    number. A document is known by its doc_id and a hash of its content."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            starts, sizes, digests = [], [], []
+            places, digests = [], []
             for t in b["text"]:
                 raw = t.encode("utf-8")
                 ends = borders(raw)
                 s = [0, *ends[:-1]] if ends else []
-                starts.append(s)
-                sizes.append([e - f for f, e in zip(s, ends)])
+                places.append([f * _SIZES + e - f for f, e in zip(s, ends)])
                 digests.append([xxhash.xxh3_128_digest(raw[f:e]) for f, e in zip(s, ends)])
-            yield pd.DataFrame({"_k1": b["_k1"], "_k2": b["_k2"], "doc_id": b["doc_id"].astype("Int64"), "starts": starts,
-                                "sizes": sizes, "digests": digests})
+            yield pd.DataFrame({"_k1": b["_k1"], "doc_id": b["doc_id"].astype("Int64"), "places": places, "digests": digests})
 
-    rows = docs.select(*row_keys("doc_id", "text"), F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    return (rows.mapInPandas(run, "_k1 long, _k2 long, doc_id long, starts array<int>, sizes array<int>, digests array<binary>")
-            .select("_k1", "_k2", "doc_id", F.explode(F.arrays_zip("starts", "sizes", "digests")).alias("c"))
-            .select("_k1", "_k2", "doc_id", F.col("c.starts").alias("start"), F.col("c.sizes").alias("size"),
-                    F.col("c.digests").alias("digest")))
+    rows = docs.select(row_keys("doc_id", "text")[0], F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
+    return (rows.mapInPandas(run, "_k1 long, doc_id long, places array<long>, digests array<binary>")
+            .select("_k1", "doc_id", F.explode(F.arrays_zip("places", "digests")).alias("c"))
+            .select("_k1", "doc_id", F.col("c.places").alias("at"), F.col("c.digests").alias("digest")))
 
 
 def mark_chunks(docs: DataFrame, inside: bool = False) -> DataFrame:
-    """Per document key the array ``marks`` of its chunks that other documents
+    """Per document (_k1, _doc) the array ``marks`` of its chunks that other documents
     (with ``inside``, other places) hold too: start, size, and whether this
     place is the first holder."""
     every = chunks(docs)
-    place = F.struct("doc_id", "_k1", "_k2", "start")
+    place = F.struct("doc_id", "_k1", "at")
     repeated = (every.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                .where("first._k1 <> last._k1 or first._k2 <> last._k2" + (" or first.start <> last.start" if inside else ""))
+                .where("first._k1 <> last._k1" + (" or first.at <> last.at" if inside else ""))
                 .select("digest", "first"))
     repeated = materialize(repeated, "repeated-chunks")
-    mark = F.struct("start", "size", place.eqNullSafe(F.col("first")).alias("first"))
-    return (every.join(repeated, "digest").select("_k1", "_k2", mark.alias("mark"))
-            .groupBy("_k1", "_k2").agg(F.collect_set("mark").alias("marks")))
+    mark = F.struct(F.floor(F.col("at") / _SIZES).cast("int").alias("start"), (F.col("at") % _SIZES).cast("int").alias("size"),
+                    place.eqNullSafe(F.col("first")).alias("first"))
+    return (every.join(repeated, "digest").select("_k1", F.col("doc_id").alias("_doc"), mark.alias("mark"))
+            .groupBy("_k1", "_doc").agg(F.collect_set("mark").alias("marks")))
+
+
+def _marked(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """Rows (with ``_k1`` and ``_doc``) and the marks of their chunks, if any."""
+    m = marks.select(F.col("_k1").alias("_mk"), F.col("_doc").alias("_md"), "marks")
+    return rows.join(m, (F.col("_k1") == F.col("_mk")) & F.col("_doc").eqNullSafe(F.col("_md")), "left").drop("_mk", "_md")
 
 
 def runs(marks: list[tuple[int, int]], min_bytes: int) -> list[tuple[int, int]]:
@@ -135,9 +143,9 @@ def chunk_report(docs: DataFrame, min_bytes: int = MIN_BYTES, inside: bool = Fal
                 "dropped_bytes": [sum(e - s for s, e in x) for x in spans],
                 "spans": [[{"start": s, "end": e} for s, e in x] for x in spans]})
 
-    rows = docs.select(*row_keys("doc_id", "text"), F.col("doc_id").cast("long").alias("doc_id"),
+    rows = docs.select(row_keys("doc_id", "text")[0], F.col("doc_id").cast("long").alias("_doc"),
                        F.octet_length(text_of("text")).cast("long").alias("n_bytes"))
-    return (rows.join(mark_chunks(docs, inside), ["_k1", "_k2"], "left").select("doc_id", "n_bytes", "marks")
+    return (_marked(rows, mark_chunks(docs, inside)).select(F.col("_doc").alias("doc_id"), "n_bytes", "marks")
             .mapInPandas(run, "doc_id long, n_bytes long, repeated boolean, dropped_bytes long, "
                               "spans array<struct<start:int,end:int>>"))
 
@@ -146,8 +154,8 @@ def dedup_chunks(docs: DataFrame, min_bytes: int = MIN_BYTES, inside: bool = Fal
     """The documents, same columns and rows, without their dropped spans (a cut
     inside a character drops that character's rest too)."""
     kept = _kept_text(min_bytes)
-    whole = packed(docs, *row_keys("doc_id", "text"))
-    joined = whole.join(mark_chunks(docs, inside), ["_k1", "_k2"], "left")
+    whole = packed(docs, row_keys("doc_id", "text")[0], F.col("doc_id").cast("long").alias("_doc"))
+    joined = _marked(whole, mark_chunks(docs, inside))
     return unpacked(joined, docs.columns, text=F.when(F.col("marks").isNull(), F.col("_row")["text"])
                     .otherwise(kept(F.col("_row")["text"], F.to_json("marks"))))
 
