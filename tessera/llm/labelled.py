@@ -25,7 +25,8 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int, only: Column | None =
     hashes of doc_id. Labels other than 0 and 1 and NULL ids are left out; an id
     labelled twice counts as 0 if any label says so; an id that several
     documents have gives a row each, again cut to ``rows`` by content hash.
-    Features are made on the executors; the driver gets half-precision vectors."""
+    Features are made on the executors; the driver gets the numbers other than 0
+    in half precision, and holds the one matrix that is returned."""
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     if only is not None:
         marked = marked.where(only)
@@ -34,15 +35,22 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int, only: Column | None =
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"quality": b["quality"], "h": b["h"],
-                                "x": [vector(t.encode("utf-8")).astype(np.float16).tobytes() for t in b["text"]]})
+            at, x = [], []
+            for t in b["text"]:
+                v = vector(t.encode("utf-8")).astype(np.float16)
+                some = v.nonzero()[0]
+                at.append(some.astype("<u2").tobytes())
+                x.append(v[some].tobytes())
+            yield pd.DataFrame({"quality": b["quality"], "h": b["h"], "at": at, "x": x})
 
     text = F.coalesce("text", F.lit(""))
     # At most `rows` ids: the broadcast has that bound.
     joined = (docs.select("doc_id", text.alias("text")).join(F.broadcast(chosen), "doc_id")
               .select("quality", "text", F.xxhash64("doc_id", "text").alias("h")))
-    got = (joined.mapInPandas(run, "quality int, h long, x binary")
+    got = (joined.mapInPandas(run, "quality int, h long, at binary, x binary")
            .orderBy("h", "quality").limit(rows).collect())
     width = features.FAMILIES * features.BUCKETS + len(features.DENSE)
-    x = np.array([np.frombuffer(r["x"], dtype=np.float16) for r in got], dtype=np.float32).reshape(len(got), width)
-    return x, np.array([r["quality"] for r in got], dtype=np.float64)
+    matrix = np.zeros((len(got), width), dtype=np.float32)
+    for row, r in zip(matrix, got):
+        row[np.frombuffer(r["at"], dtype="<u2")] = np.frombuffer(r["x"], dtype=np.float16)
+    return matrix, np.array([r["quality"] for r in got], dtype=np.float64)

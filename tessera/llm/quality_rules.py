@@ -46,7 +46,7 @@ class Model(NamedTuple):
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     x, y = sample(docs, labels, rows)
-    x = x[:, :_HASHED]
+    x = x[:, :_HASHED]                  # a view: rows are left out by weight, no part of the matrix is copied
     if len(y) < 10 or not 0 < y.sum() < len(y):
         share = (y.sum() + 1) / (len(y) + 2)
         return Model(np.zeros(_HASHED, np.float32), 0.0, 1.0, float(np.log(share / (1 - share))))
@@ -54,15 +54,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     if not 0 < y[last].sum() < last.sum():
         last[:] = True
     fit = ~last if not last.all() else last
-    xf, yf = x[fit], y[fit]
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        r = features.sigmoid(xf @ w[:-1].astype(np.float32) * 20 + w[-1]) - yf
-        return np.append(20 * (r.astype(np.float32) @ xf) / len(yf) + 1e-4 * w[:-1], r.mean())
+        r = fit * (features.sigmoid(x @ w[:-1].astype(np.float32) * 20 + w[-1]) - y)
+        return np.append(20 * (r.astype(np.float32) @ x) / fit.sum() + 1e-4 * w[:-1], r.sum() / fit.sum())
 
     w = features.descend(gradient, _HASHED + 1, 150, 0.02)
     weights = (20 * w[:-1]).astype(np.float32)
-    slope, shift = features.calibrate(x[last] @ weights + w[-1], y[last])
+    slope, shift = features.calibrate((x @ weights)[last] + w[-1], y[last])
     return Model(weights, float(w[-1]), slope, shift)
 
 
