@@ -57,8 +57,9 @@ PAREN_CHARS = "()"
 TYPE_SUFFIX = " type"
 # ---------------------------------------------------------------------------
 
-# Possessive, and tried only where a run of blanks begins: linear in the text.
-_WS_EDGES = r"(?U)^\s++|(?<!\s)\s++$"
+# Fixed value: the characters with the Unicode property White_Space.
+_WHITE_SPACE = ("\t\n\x0b\x0c\r \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+                "\u2028\u2029\u202f\u205f\u3000")
 
 
 def _c(x) -> Column:
@@ -93,7 +94,7 @@ def memo_by_name(fn):
 
 def ustrip(c) -> Column:
     """Python ``str.strip()``: remove Unicode whitespace at both ends."""
-    return F.regexp_replace(_c(c), _WS_EDGES, "")
+    return F.btrim(_c(c), F.lit(_WHITE_SPACE))
 
 
 def null_tokens(c, normalise_chars: bool = True) -> Column:

@@ -271,7 +271,8 @@ def link_follow_join(spark, sf):
     return enrich.follow_links(per_host, pages, "host", "page_host").select("page_id", "n_links_in")
 
 
-_ENTITY_TOKENS_RE = r"(?s)&(?:#[0-9]++|#[xX][0-9A-Fa-f]++|[A-Za-z][A-Za-z0-9]*+);|[^&]++|&"
+# What stands after an ampersand if an entity begins there.
+_ENTITY_RE = r"^(#[0-9]++|#[xX][0-9A-Fa-f]++|[A-Za-z][A-Za-z0-9]*+);"
 
 
 def _code_point(n):
@@ -286,18 +287,24 @@ def html_unescape(c):
     named ones of HTML 4, in one pass, so ``&amp;lt;`` gives ``&lt;``. What
     names no character stays as it is."""
     from html.entities import name2codepoint
-    pairs = [F.lit(x) for name, n in name2codepoint.items() for x in (f"&{name};", chr(n))]
-    named = F.create_map(*pairs, F.lit("&apos;"), F.lit("'"))
+    pairs = [F.lit(x) for name, n in name2codepoint.items() for x in (name, chr(n))]
+    named = F.create_map(*pairs, F.lit("apos"), F.lit("'"))
 
-    def decoded(t):
-        digits = F.ltrim(F.regexp_extract(t, r"^&#[xX]?([0-9A-Fa-f]+);$", 1), F.lit("0"))
-        n = F.when(F.length(digits) <= 8, F.when(t.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+    def character(name):
+        digits = F.ltrim(F.regexp_extract(name, r"^#[xX]?([0-9A-Fa-f]+)$", 1), F.lit("0"))
+        n = F.when(F.length(digits) <= 8, F.when(name.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
                    .try_cast("bigint"))
-        return F.when(t.startswith("&#"), _code_point(n)).otherwise(F.try_element_at(named, t))
+        return F.when(name.startswith("#"), _code_point(n)).otherwise(F.try_element_at(named, name))
 
-    tokens = F.transform(F.regexp_extract_all(c, F.lit(_ENTITY_TOKENS_RE), F.lit(0)), lambda t: F.when(
-        F.length(t) > 2, F.when(t.startswith("&"), F.coalesce(decoded(t), t)).otherwise(t)).otherwise(t))
-    return F.when(F.instr(c, "&") > 0, F.array_join(tokens, "")).otherwise(c)
+    def decoded(p):
+        """The text after an ampersand, which is put back where no entity begins."""
+        kept = F.concat(F.lit("&"), p)
+        return S.let(F.regexp_extract(p, _ENTITY_RE, 1), lambda name: F.when(name == "", kept).otherwise(
+            F.coalesce(F.concat(character(name), F.substr(p, F.length(name) + 2)), kept)))
+
+    parts = F.split(c, "&", -1)
+    after = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
+    return F.when(F.instr(c, "&") > 0, F.concat(F.get(parts, 0), F.array_join(after, ""))).otherwise(c)
 
 
 H1_TEXT_RE = r"(?s)<h1[^>]*>([^<]*)"
