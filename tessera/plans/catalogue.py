@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import nested as N
 from ..functions import scalars as S
+from ..functions import sql_functions
 from ..operators import chain, conform, dedup, enrich, lookup, merge, variant_docs
 from .tables import table
 
@@ -1112,6 +1113,48 @@ def csv_round_trip(spark, sf):
                        F.col("n_chars").try_cast("bigint").alias("n_chars"))
 
 
+# --------------------------------------------------------------------------
+# The normalisers called from SQL.
+# --------------------------------------------------------------------------
+@register("sql_id_level", f"""
+SELECT p_partkey, {_sql_dex('raw')} AS dex, {_sql_level('raw', True)} AS lvl
+FROM (SELECT p_partkey, {_ID_TEXT_SQL} AS raw FROM part)
+""")
+def sql_id_level(spark, sf):
+    """T12 + T13 as SQL functions."""
+    sql_functions.register(spark)
+    return spark.sql("SELECT p_partkey, t12_id(raw) AS dex, t13_level(raw) AS lvl FROM {t}", t=_id_text(spark, sf))
+
+
+@register("sql_first_numbers", """
+SELECT doc_id, try_cast(nullif(regexp_extract(text, '([0-9]+)', 1), '') AS BIGINT) AS first_int,
+       try_cast(replace(nullif(regexp_extract(text, '([0-9]+[.,]?[0-9]*)', 1), ''), ',', '.') AS DOUBLE) AS dec
+FROM documents WHERE regexp_matches(text, '[0-9]')
+""")
+def sql_first_numbers(spark, sf):
+    """T3 + T4 as SQL functions, one of them in the filter."""
+    sql_functions.register(spark)
+    docs = table(spark, sf, "documents", ["doc_id", "text"], cpu_heavy=True)
+    return spark.sql("SELECT doc_id, t3_int(text) AS first_int, t4_decimal(text) AS dec FROM {t} "
+                     "WHERE t4_decimal(text) IS NOT NULL", t=docs)
+
+
+@register("sql_list_elements", r"""
+SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS elem
+FROM (SELECT doc_id, list_filter(list_transform(
+                 CASE WHEN contains(t, '|') THEN string_split(t, '|')
+                      WHEN contains(t, ';') THEN string_split(t, ';') ELSE [t] END,
+                 lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS l
+      FROM (SELECT doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') AS t FROM documents))
+""")
+def sql_list_elements(spark, sf):
+    """T10 + U4 as SQL functions: a list made, then exploded by a table function."""
+    sql_functions.register(spark)
+    docs = table(spark, sf, "documents", ["doc_id", "text"], cpu_heavy=True)
+    return spark.sql("SELECT doc_id, e.pos, e.elem FROM (SELECT doc_id, t10_parts(text) AS l FROM {t}) s, "
+                     "LATERAL u4_elements(s.l) e", t=docs)
+
+
 # --------------------------------------------------------------------------
 # Documents without declared types (VARIANT), and fan-in as a stream.
 # --------------------------------------------------------------------------
