@@ -70,6 +70,7 @@ def borders(raw: bytes) -> list[int]:
 
 
 _SIZES = 512                   # more than a chunk's bytes
+_SLICE = 500                   # texts whose chunks a worker holds at once
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -77,7 +78,7 @@ def chunks(docs: DataFrame) -> DataFrame:
     number. A document is known by its doc_id and a hash of its content."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (whole.iloc[i:i + _SLICE] for whole in batches for i in range(0, len(whole), _SLICE)):
             places, digests = [], []
             for t in b["text"]:
                 raw = t.encode("utf-8")
@@ -95,16 +96,15 @@ def chunks(docs: DataFrame) -> DataFrame:
 
 def mark_chunks(docs: DataFrame, inside: bool = False) -> DataFrame:
     """Per document (_k1, _doc) the array ``marks`` of its chunks that other documents
-    (with ``inside``, other places) hold too: start, size, and whether this
-    place is the first holder."""
+    (with ``inside``, other places) hold too: ``at`` doubled, plus 1 where this
+    place is the first holder (numbers, since a worker reads many at once)."""
     every = chunks(docs)
     place = F.struct("doc_id", "_k1", "at")
     repeated = (every.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
                 .where("first._k1 <> last._k1" + (" or first.at <> last.at" if inside else ""))
                 .select("digest", "first"))
     repeated = materialize(repeated, "repeated-chunks")
-    mark = F.struct(F.floor(F.col("at") / _SIZES).cast("int").alias("start"), (F.col("at") % _SIZES).cast("int").alias("size"),
-                    place.eqNullSafe(F.col("first")).alias("first"))
+    mark = F.col("at") * 2 + place.eqNullSafe(F.col("first")).cast("long")
     return (every.join(repeated, "digest").select("_k1", F.col("doc_id").alias("_doc"), mark.alias("mark"))
             .groupBy("_k1", "_doc").agg(F.collect_set("mark").alias("marks")))
 
@@ -127,7 +127,7 @@ def runs(marks: list[tuple[int, int]], min_bytes: int) -> list[tuple[int, int]]:
 
 
 def _spans(marks, first_too: bool, min_bytes: int) -> list[tuple[int, int]]:
-    return [] if marks is None else runs([(m["start"], m["size"]) for m in marks if first_too or not m["first"]], min_bytes)
+    return [] if marks is None else runs([divmod(int(m) >> 1, _SIZES) for m in marks if first_too or not m & 1], min_bytes)
 
 
 def chunk_report(docs: DataFrame, min_bytes: int = MIN_BYTES, inside: bool = False) -> DataFrame:
