@@ -13,15 +13,20 @@ is the width of the alignment's band, so the banded result is exact.
    two texts share none of 16 such keys in about one case of 100 000.
 3. Star round: in every bucket (equal key) each node is paired with the bucket's
    best connected node; distinct pairs are aligned and components formed.
-4. Rest rounds: a bucket whose nodes are now in one component needs nothing
-   more. In the others each node outside the largest component is compared
-   with those of other components, block by block, by a 64-value signature;
-   pairs that could reach the threshold are aligned, the likeliest first, until
-   no untested pair is left. No pair of connected nodes is ever made.
-
-Scale: rows of buckets are two numbers; texts travel as 32-bit word hashes and
-only to pairs that are aligned. Groups of any size are met as stars, blocks and
-joins between written tables, never as one group in a task.
+4. Rest round: a bucket whose nodes are now in one component needs nothing
+   more. In the others each node outside the largest component meets the nodes
+   of other components, block by block. A pair is looked at in the first of the
+   buckets it shares, by the exact number of labelled shingles both hold (an
+   upper bound of the common subsequence), aligned if that reaches the
+   threshold, the likeliest first, and left out once its two components are
+   linked. A block gives the links that joined components, never its pairs, so
+   rows grow with the nodes, and no pair that shares a key goes untested.
+
+Scale: rows of buckets are three numbers; texts travel as 32-bit word hashes and
+only to star pairs and to blocks (bounded in nodes and in words) of buckets that
+still hold several components. Groups of any size are met as stars, blocks and
+joins between written tables, never as one group in a task. Very long texts are
+aligned in a window as wide as the band.
 
 Defined cases: NULL text is the empty text; texts without words are copies of
 each other; rows that repeat in full count as one document (``drop_near`` keeps
@@ -39,7 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize, packed, row_keys, rows_and, text_of, unpacked
@@ -48,12 +53,9 @@ from tessera.llm.graph import components
 WORDS = 5                      # words of a shingle
 SIMILARITY = 0.8
 SKETCHES, TAKEN = 16, 3
-SIGNATURE = 64                 # values of the estimate
-SLACK = 0.2                    # an estimate this far below the threshold isn't aligned (four standard errors)
-BLOCK = 1024
+BLOCK, BLOCK_WORDS = 1024, 2_000_000      # nodes and words of one side of a block, about
 CALL_ROWS = 128                # rows of small buckets compared in one call, about
-TRIES = (64, None)             # pairs per node and component by rest round; None: all
-_SEEDS = np.random.default_rng(4).integers(1, 1 << 63, SKETCHES + SIGNATURE, dtype=np.uint64) | np.uint64(1)
+_SEEDS = np.random.default_rng(4).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) | np.uint64(1)
 
 
 # ---- texts to sketches ------------------------------------------------------
@@ -86,23 +88,19 @@ def occurrences(s: np.ndarray) -> np.ndarray:
     return (s + n * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def sketch(s: np.ndarray) -> tuple[list[int], bytes]:
-    """Order MinHash keys and the signature of a shingle sequence."""
+def sketch(s: np.ndarray) -> list[int]:
+    """Order MinHash keys of a shingle sequence."""
     if not len(s):
-        return [], b""
+        return []
     x = occurrences(s)
+    x ^= x >> np.uint64(31)
     keys = []
     for i in range(SKETCHES):
-        h = (x ^ (x >> np.uint64(31))) * _SEEDS[i]
+        h = x * _SEEDS[i]
         h ^= h >> np.uint64(32)
         low = np.sort(np.argpartition(h, TAKEN - 1)[:TAKEN]) if len(h) > TAKEN else np.arange(len(h))
         keys.append(xxhash.xxh3_64_intdigest(x[low].tobytes(), i) - (1 << 63))
-    values = np.empty(SIGNATURE, dtype=np.uint16)
-    for i in range(SIGNATURE):
-        h = x * _SEEDS[SKETCHES + i]
-        low = x[(h ^ (h >> np.uint64(32))).argmin()]
-        values[i] = (int(low) >> 24) & 0xFFFF
-    return keys, values.tobytes()
+    return keys
 
 
 # ---- alignment --------------------------------------------------------------
@@ -115,7 +113,8 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 def banded_lcs(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """Longest common subsequence with matches at most ``band`` off the
-    diagonal: bit-parallel, one row per element of b."""
+    diagonal: bit-parallel, one row per element of b. Only the bits of the band
+    are held: those above it are still ones, those below it don't change."""
     head = _common(a, b)
     a, b = a[head:], b[head:]
     tail = _common(a[::-1], b[::-1])
@@ -125,43 +124,58 @@ def banded_lcs(a: np.ndarray, b: np.ndarray, band: int) -> int:
     at = defaultdict(list)
     for i, x in enumerate(a.tolist()):
         at[x].append(i)
-    full = (1 << len(a)) - 1
     masks = {x: sum(1 << i for i in p) for x, p in at.items() if len(p) > 256}
-    v = full
+    low, high, met = 0, 0, 0               # v holds the bits low..high-1
+    v = 0
     for j, y in enumerate(b.tolist()):
+        if j - band > low:                 # low moves by one a row
+            met += not v & 1
+            v >>= 1
+            low += 1
+        if low >= len(a):
+            break
+        top = min(len(a), j + band + 1)
+        v |= ((1 << (top - high)) - 1) << (high - low)
+        high = top
+        full = (1 << (high - low)) - 1
         if y in masks:
-            low = max(0, j - band)
-            m = masks[y] >> low & ((1 << (j + band + 1 - low)) - 1)
-            m <<= low
+            m = masks[y] >> low & full
         else:
             m = 0
             for i in at.get(y, ()):
-                if -band <= i - j <= band:
-                    m |= 1 << i
+                if low <= i < high:
+                    m |= 1 << (i - low)
         if m:
             u = v & m
             v = ((v + u) | (v - u)) & full
-    return head + tail + len(a) - v.bit_count()
+    return head + tail + met + (high - low) - v.bit_count()
+
+
+def needed(n_a: int, n_b: int, similarity: float) -> float:
+    """The common subsequence that two lengths need for the threshold."""
+    return similarity / (1 + similarity) * (n_a + n_b) - 1e-9
+
+
+def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
+    """Whether the sequences' ordered similarity reaches the threshold."""
+    need = needed(len(a), len(b), similarity)
+    return banded_lcs(a, b, int(len(a) + len(b) - 2 * need) + 1) >= need
 
 
 def near(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
-    """Whether the shingle sequences' ordered similarity reaches the threshold."""
-    both = len(a) + len(b)
-    need = similarity / (1 + similarity) * both - 1e-9
-    if min(len(a), len(b)) < need or not both:
+    """The same, the cheap bounds first."""
+    need = needed(len(a), len(b), similarity)
+    if min(len(a), len(b)) < need or not len(a) + len(b):
         return False
     values, where = np.unique(np.concatenate([a, b]), return_inverse=True)
     met = np.minimum(np.bincount(where[:len(a)], minlength=len(values)), np.bincount(where[len(a):], minlength=len(values)))
-    if met.sum() < need:                   # even without regard to order too little
-        return False
-    return banded_lcs(a, b, int(both - 2 * need) + 1) >= need
+    return met.sum() >= need and aligned(a, b, similarity)    # even without regard to order enough
 
 
 # ---- Spark ------------------------------------------------------------------
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """_k1, _k2, doc_id, node (64 bits of the copy key), check (the other 64),
-    n, keys, signature, words of every row."""
+    """_k1, _k2, doc_id, node (64 bits of the copy key), n, keys, words of every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -170,17 +184,15 @@ def _sketched(docs: DataFrame) -> DataFrame:
                 w = word_hashes(t)
                 s = shingles(w)
                 d = xxhash.xxh3_128_digest(b" ".join(t.encode("utf-8").lower().split()))
-                node, check = np.frombuffer(d, dtype=np.int64).tolist()
-                out.append((node, check, len(s), *sketch(s), w.tobytes()))
-            f = pd.DataFrame(out, columns=["node", "check", "n", "keys", "signature", "words"])
+                out.append((np.frombuffer(d, dtype=np.int64).tolist()[0], len(s), sketch(s), w.tobytes()))
+            f = pd.DataFrame(out, columns=["node", "n", "keys", "words"])
             f.insert(0, "doc_id", b["doc_id"].astype("Int64").to_numpy())
             f.insert(0, "_k2", b["_k2"].to_numpy())
             f.insert(0, "_k1", b["_k1"].to_numpy())
             yield f
 
     rows = docs.select(*row_keys("doc_id", "text"), F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    return rows.mapInPandas(run, "_k1 long, _k2 long, doc_id long, node long, check long, n int, "
-                                 "keys array<long>, signature binary, words binary")
+    return rows.mapInPandas(run, "_k1 long, _k2 long, doc_id long, node long, n int, keys array<long>, words binary")
 
 
 def _aligned(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
@@ -202,55 +214,82 @@ def _ordered(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _rest_pairs(buckets: DataFrame, state: DataFrame, tries: int | None) -> DataFrame:
-    """(a, b, cut): pairs across components in buckets that hold several, whose
-    estimate allows the threshold; at most ``tries`` per node and component
-    here, ``cut`` tells that there are more."""
-    rows = materialize(buckets.join(state, "node"), "rest-rows")            # bucket, node, n, component, signature
-    per = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"))
-    top = (per.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("size"))
-           .where("top.c < size")
-           .select("bucket", F.col("top.component").alias("main"), F.ceil(F.col("size") / BLOCK).cast("int").alias("hs"),
-                   F.ceil((F.col("size") - F.col("top.c")) / BLOCK).cast("int").alias("ps")))
-    rows = materialize(rows.join(materialize(top, "rest-buckets"), "bucket"), "rest-members")
+def _block_links(g: pd.DataFrame, similarity: float) -> list[tuple[int, int]]:
+    """Links that join components among the probes and homes of some buckets."""
+    g = g.sort_values(["bucket", "i", "home"])
+    ids, n, home, index = (g[c].to_numpy() for c in ("node", "n", "home", "i"))
+    _, part = np.unique(g["component"].to_numpy(), return_inverse=True)
+    keys = np.array(g["keys"].tolist(), dtype=np.int64)
+    rows = [shingles(np.frombuffer(w, dtype=np.uint32)) for w in g["words"]]
+    names, flat = np.unique(np.concatenate([occurrences(r) for r in rows]), return_inverse=True)
+    ends = np.cumsum([len(r) for r in rows])
+    labelled = np.split(flat.astype(np.int32), ends[:-1])
+    held = np.zeros(len(names), dtype=bool)
+    bucket = g["bucket"].to_numpy()
+    edges = np.r_[0, np.flatnonzero((bucket[1:] != bucket[:-1]) | (index[1:] != index[:-1])) + 1, len(g)]
+    links = []
+    for lo, hi in zip(edges, edges[1:]):                   # one bucket (or a block of one): probes, then homes
+        mid = lo + int(np.count_nonzero(~home[lo:hi]))
+        for p in range(lo, mid):
+            fit = ((part[mid:hi] != part[p])
+                   & (np.minimum(n[mid:hi], n[p]) >= similarity * np.maximum(n[mid:hi], n[p]) - 1e-6)
+                   & ~(keys[mid:hi, :index[lo]] == keys[p, :index[lo]]).any(axis=1))
+            hits = mid + np.flatnonzero(fit)
+            if not len(hits):
+                continue
+            held[labelled[p]] = True
+            starts = np.cumsum(n[hits]) - n[hits]
+            met = np.add.reduceat(held[np.concatenate([labelled[h] for h in hits])].astype(np.int32), starts)
+            held[labelled[p]] = False
+            enough = met >= similarity / (1 + similarity) * (n[hits] + n[p]) - 1e-6
+            hits, met = hits[enough], met[enough]
+            for h in hits[np.lexsort((ids[hits], -met / (n[hits] + n[p])))]:
+                if part[h] != part[p] and aligned(rows[p], rows[h], similarity):
+                    links.append((min(ids[p], ids[h]), max(ids[p], ids[h])))
+                    part[part == part[h]] = part[p]
+    return links
+
+
+def _rest_links(buckets: DataFrame, nodes: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links that join components, of buckets that hold several."""
+    state = nodes.select("node", "n").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = materialize(buckets.join(state, "node"), "rest-rows")            # bucket, i, node, n, component
+    per = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"))
+
+    def blocks(nodes_: str, words: str):
+        return F.ceil(F.greatest(F.expr(nodes_) / BLOCK, F.expr(words) / BLOCK_WORDS)).cast("int")
+
+    top = (per.groupBy("bucket").agg(F.max(F.struct("c", "component", "w")).alias("top"), F.sum("c").alias("c"), F.sum("w").alias("w"))
+           .where("top.c < c")
+           .select("bucket", F.col("top.component").alias("main"), blocks("c", "w").alias("hs"),
+                   blocks("c - top.c", "w - top.w").alias("ps")))
+    members = materialize(rows.join(materialize(top, "rest-buckets"), "bucket"), "rest-members")
+    size = rows_and(members, F.sum("n").alias("words"))
+    calls = F.lit(max(1, -(-size["n"] // CALL_ROWS), -(-(size["words"] or 0) // BLOCK_WORDS)))
+
     hashed = F.xxhash64(F.lit(5), "node")
-    homes = rows.select("bucket", "node", "n", "component", "signature", "hs", "ps", F.pmod(hashed, "hs").cast("int").alias("hb"),
-                        F.explode(F.sequence(F.lit(0), F.col("ps") - 1)).alias("pb"), F.lit(True).alias("home"))
-    probes = (rows.where("component <> main")
-              .select("bucket", "node", "n", "component", "signature", "hs", "ps", F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("hb"),
-                      F.pmod(hashed, "ps").cast("int").alias("pb"), F.lit(False).alias("home")))
+    home = F.pmod(hashed, "hs").cast("int")
+    probe = F.pmod(hashed, "ps").cast("int")
 
-    def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["bucket", "home"])
-        sig = np.frombuffer(b"".join(g["signature"]), dtype=np.uint16).reshape(len(g), SIGNATURE)
-        ids, parts, n, home = (g[c].to_numpy() for c in ("node", "component", "n", "home"))
-        bucket = g["bucket"].to_numpy()
-        edges = np.r_[0, np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(g)]
-        out = []
-        for lo, hi in zip(edges, edges[1:]):               # one bucket (or a block of one): probes, then homes
-            mid = lo + int(np.count_nonzero(~home[lo:hi]))
-            for i in range(lo, mid):
-                alike = (sig[mid:hi] == sig[i]).mean(axis=1)
-                fit = ((parts[mid:hi] != parts[i]) & (alike >= SIMILARITY - SLACK)
-                       & (np.minimum(n[mid:hi], n[i]) >= SIMILARITY * np.maximum(n[mid:hi], n[i]) - 1))
-                hits = np.flatnonzero(fit)
-                if not len(hits):
-                    continue
-                met: dict[int, int] = defaultdict(int)
-                for j in mid + hits[np.lexsort((ids[mid + hits], -alike[hits]))]:
-                    met[parts[j]] += 1
-                    if tries is None or met[parts[j]] <= tries:
-                        out.append((min(ids[i], ids[j]), max(ids[i], ids[j]), False))
-                if tries is not None and max(met.values()) > tries:
-                    out.append((ids[i], ids[i], True))
-        return pd.DataFrame(out, columns=["a", "b", "cut"]).astype({"a": "int64", "b": "int64", "cut": "bool"})
-
-    # Buckets of one block go to a task's call by the thousand rows, others by block.
+    def place(hb, pb, is_home: bool):
+        return F.struct(hb.alias("hb"), pb.alias("pb"), F.lit(is_home).alias("home"))
+
+    places = F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("ps") - 1), lambda p: place(home, p, True)),
+        F.when(F.col("component") != F.col("main"), F.transform(F.sequence(F.lit(0), F.col("hs") - 1), lambda h: place(h, probe, False)))
+        .otherwise(F.array()))
+    # Buckets of one block go to a task's call by the hundred rows, others by block.
     small = (F.col("hs") == 1) & (F.col("ps") == 1)
-    calls = F.lit(max(1, -(-rows_and(rows)["n"] // CALL_ROWS)))
-    call = F.when(small, F.pmod("bucket", calls)).otherwise(F.col("bucket")).alias("call")
-    return (homes.unionByName(probes).groupBy(call, small.alias("small"), "hb", "pb")
-            .applyInPandas(run, "a long, b long, cut boolean").distinct())
+    call = F.when(small, F.pmod("bucket", calls)).otherwise(F.col("bucket"))
+
+    def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_block_links(g, similarity), columns=["a", "b"]).astype("int64")
+
+    return (members.join(nodes.select("node", "keys", "words"), "node")
+            .select("bucket", "i", "node", "n", "component", "keys", "words", call.alias("call"), small.alias("small"),
+                    F.explode(places).alias("place"))
+            .select("*", "place.*").drop("place")
+            .groupBy("call", "small", "hb", "pb").applyInPandas(run, "a long, b long").distinct())
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -258,10 +297,9 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     node that is near another."""
     rows = materialize(_sketched(docs), "sketched")
     nodes = materialize(rows.groupBy("node").agg(
-        F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("signature").alias("signature"),
-        F.first("words").alias("words")), "near-nodes")
+        F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("words").alias("words")), "near-nodes")
     keyed = (nodes.select("node", F.posexplode("keys").alias("i", "key"))
-             .select(F.xxhash64("i", "key").alias("bucket"), "node"))
+             .select(F.xxhash64("i", "key").alias("bucket"), "i", "node"))
     sizes = materialize(keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "bucket-sizes")
     buckets = materialize(keyed.join(sizes, "bucket"), "buckets")
 
@@ -270,22 +308,13 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
                .agg(F.max_by("node", F.struct("support", "node")).alias("centre")))
     pairs = (buckets.join(materialize(centres, "centres"), "bucket").where("node <> centre")
              .select(*_ordered("node", "centre")).distinct())
-    tested = materialize(pairs, "pairs")
-    parts = materialize(components(_aligned(tested, nodes, similarity)), "parts").withColumnRenamed("id", "node")
-
-    for tries in TRIES:
-        state = (nodes.select("node", "n", "signature").join(parts, "node", "left")
-                 .withColumn("component", F.coalesce("component", "node")))
-        found = materialize(_rest_pairs(buckets.select("bucket", "node"), state, tries), "rest")
-        new = materialize(found.where("a <> b").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        if new.limit(1).count():
-            tested = tested.unionByName(new)
-            # The parts so far, as stars, and what joins them.
-            stars = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            parts = materialize(components(stars.unionByName(_aligned(new, nodes, similarity))), "parts") \
-                .withColumnRenamed("id", "node")
-        if not found.where("cut").limit(1).count():
-            break
+    parts = materialize(components(_aligned(materialize(pairs, "pairs"), nodes, similarity)), "parts").withColumnRenamed("id", "node")
+
+    found = materialize(_rest_links(buckets.select("bucket", "i", "node"), nodes, parts, similarity), "rest-links")
+    if found.limit(1).count():
+        # The parts so far, as stars, and what joins them.
+        stars = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        parts = materialize(components(stars.unionByName(found)), "parts").withColumnRenamed("id", "node")
     return rows, parts
 
 
@@ -311,6 +340,5 @@ def drop_near(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One document of each class, same columns; of rows that repeat in full one."""
     first = (_members(docs, similarity).where("_k1 = least._k1 and _k2 = least._k2")
              .select("_k1", "_k2").distinct())
-    whole = packed(docs, *row_keys("doc_id", "text")).join(first, ["_k1", "_k2"])
-    once = Window.partitionBy("_k1", "_k2").orderBy("_k1")
-    return unpacked(whole.withColumn("_n", F.row_number().over(once)).where("_n = 1"), docs.columns)
+    once = packed(docs, *row_keys("doc_id", "text")).groupBy("_k1", "_k2").agg(F.first("_row").alias("_row"))
+    return unpacked(once.join(first, ["_k1", "_k2"]), docs.columns)

@@ -39,6 +39,32 @@ def test_near_is_exact_at_the_threshold(a, data):
     assert om.near(seq(a), seq(b)) == (bool(b) and common / (both - common) >= 0.8 - 1e-12)
 
 
+@given(st.lists(st.integers(0, 3), max_size=40), st.lists(st.integers(0, 3), max_size=40), st.integers(0, 12))
+@settings(max_examples=200, deadline=None)
+def test_the_band_bounds_the_matches(a, b, band):
+    head = 0
+    while head < min(len(a), len(b)) and a[head] == b[head]:
+        head += 1
+    tail = 0
+    while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    x, y = a[head:len(a) - tail], b[head:len(b) - tail]
+    row = [0] * (len(y) + 1)
+    for i, u in enumerate(x):
+        new = [0]
+        for j, v in enumerate(y):
+            new.append(row[j] + 1 if u == v and abs(i - j) <= band else max(row[j + 1], new[j]))
+        row = new
+    assert om.banded_lcs(seq(a), seq(b), band) == head + tail + row[-1]
+
+
+def test_long_texts_are_aligned_in_a_window():
+    a = np.random.default_rng(1).integers(0, 1 << 40, 60_000, dtype=np.uint64)
+    b = np.delete(a, np.arange(50, 60_000, 100))
+    b[::200] += np.uint64(1)
+    assert om.near(a, b) and not om.near(a, b[::-1])
+
+
 def text(n, seed):
     r = random.Random(seed)
     return [f"w{r.randrange(5000)}" for _ in range(n)]
