@@ -1,6 +1,7 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products.
 
-1. Equal vectors are one node with a count.
+1. Equal vectors are one node with a count; nodes that share a vec_id are
+   connected, though not linked.
 2. Centres come from spherical k-means on a bounded sample (``SAMPLE_PER_CELL``
    per centre, at most ``MAX_CELLS`` centres); every vector is assigned to its
    nearest centre and is also compared in each cell whose border is near enough
@@ -19,9 +20,10 @@
 5. Components of those edges; the smallest id of each is kept.
 
 Defined cases: a vector that is NULL, empty, zero or holds NULL or non-finite
-components links with nothing; only vectors of one width compare; rows that
-repeat a vec_id are one vector (that of the smallest hash) and get equal
-results; a NULL vec_id links with nothing and is its own, kept, component;
+components links with nothing and is its own component; only vectors of one
+width compare; rows that repeat in full are one vector and get equal results;
+rows that share a vec_id but hold other vectors are vectors of their own, each
+with its links, in one component; a NULL vec_id links with nothing and is its own, kept, component;
 an empty table gives an empty result; a tie with the threshold is a link.
 """
 
@@ -61,14 +63,18 @@ def fit_cells(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 
 def near_cells(x: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.ndarray, list[list[int]]]:
     """(home, cells to probe, home included) of unit rows."""
-    dots = x @ centres.T
-    home = dots.argmax(axis=1)
-    gap = dots[np.arange(len(x)), home][:, None] - dots
-    apart = np.sqrt(np.maximum(1e-12, 2 - 2 * centres @ centres.T))[home]
     reach = np.sqrt(max(0.0, (1 - threshold) / 2)) + ROUNDING
-    near = gap / apart <= reach
-    near[np.arange(len(x)), home] = True
-    return home, [np.flatnonzero(r).tolist() for r in near]
+    homes, cells = [], []
+    for at in range(0, len(x), SLICE):                     # rows x cells numbers at once
+        dots = x[at:at + SLICE] @ centres.T
+        rows = np.arange(len(dots))
+        home = dots.argmax(axis=1)
+        gap = dots[rows, home][:, None] - dots
+        near = gap <= reach * np.sqrt(np.maximum(1e-12, 2 - 2 * centres[home] @ centres.T))
+        near[rows, home] = True
+        homes.append(home)
+        cells += [np.flatnonzero(r).tolist() for r in near]
+    return np.concatenate(homes), cells
 
 
 def unit(vectors) -> np.ndarray:
@@ -93,33 +99,36 @@ def local_parts(linked: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray) ->
             return rows, cols
 
 
-def nodes_of(vectors: DataFrame) -> DataFrame:
-    """Usable vectors, one row per distinct vector: id (smallest), members
-    (ids, counted), width and the values."""
+def vectors_of(vectors: DataFrame) -> DataFrame:
+    """Usable vectors, one row per distinct (id, vector), with two hashes of the vector."""
     usable = (F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0)
               & F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
               & F.exists("embedding", lambda v: v != 0))
-    one = (vectors.where(usable).select(F.col("vec_id").cast("long").alias("id"), "embedding",
-                                        F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit(71), "embedding").alias("k2"))
-           .groupBy("id").agg(F.min_by(F.struct("k1", "k2", "embedding"), F.struct("k1", "k2")).alias("v")))
-    return one.select("id", "v.*")
+    return (vectors.where(usable).select(F.col("vec_id").cast("long").alias("id"), "embedding", *_hashes())
+            .groupBy("id", "k1", "k2").agg(F.first("embedding").alias("embedding")))
+
+
+def _hashes() -> list:
+    return [F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit(71), "embedding").alias("k2")]
 
 
 def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, per_cell: int = PER_CELL) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     spark = vectors.sparkSession
-    ids = materialize(nodes_of(vectors), "vectors")
-    nodes = materialize(ids.groupBy("k1", "k2").agg(
-        F.min("id").alias("node"), F.count(F.lit(1)).alias("members"), F.first("embedding").alias("embedding"))
-        .withColumn("width", F.size("embedding")), "vector-nodes")
+    ids = materialize(vectors_of(vectors), "vectors")
+    # Written once, so a node keeps its number.
+    nodes = materialize(ids.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("members"), F.first("embedding").alias("embedding"))
+                        .withColumn("width", F.size("embedding")).withColumn("node", F.monotonically_increasing_id()), "vector-nodes")
+    ids = materialize(ids.select("id", "k1", "k2").join(nodes.select("k1", "k2", "node"), ["k1", "k2"]), "vector-ids")
 
     n = nodes.groupBy("width").count().collect()          # one row per width
     centres = {}
     for r in n:
         k = min(MAX_CELLS, r["count"] // per_cell + 1)
-        rows = (nodes.where(F.col("width") == r["width"]).orderBy(F.xxhash64("node"), "node")
-                .limit(k * SAMPLE_PER_CELL).select("embedding").collect())
-        centres[r["width"]] = fit_cells(unit([v["embedding"] for v in rows]), k)
+        rows = (nodes.where(F.col("width") == r["width"]).orderBy("k1", "k2")
+                .limit(k * SAMPLE_PER_CELL).select("embedding").toArrow())
+        sample = np.asarray(rows["embedding"].combine_chunks().flatten(), dtype=np.float64).reshape(-1, r["width"])
+        centres[r["width"]] = fit_cells(unit(sample), k)
     shared = spark.sparkContext.broadcast(centres)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -157,35 +166,40 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, per_cell: int
             return empty
         hid, pid = h["node"].to_numpy(), p["node"].to_numpy()
         x, y = unit(p["embedding"]), unit(h["embedding"]).T
-        linked = np.concatenate([x[i:i + SLICE] @ y >= threshold for i in range(0, len(x), SLICE)])
-        linked &= pid[:, None] != hid[None, :]
+        many_h, many_p = h["members"].to_numpy(dtype=np.float64), p["members"].to_numpy(dtype=np.float64)
+        cells, where = np.unique(p["home"].to_numpy(), return_inverse=True)
+        back = np.array([np.isin(cells, c) for c in h["probes"]]).T        # (cell, home vector): probed by it
+        linked = np.empty((len(x), y.shape[1]), dtype=bool)
+        n_p, n_h = np.zeros(len(x)), np.zeros(y.shape[1])
+        for i in range(0, len(x), SLICE):
+            s = slice(i, i + SLICE)
+            linked[s] = (x[s] @ y >= threshold) & (pid[s, None] != hid[None, :])
+            if linked[s].any():
+                n_p[s] = linked[s] @ many_h
+                n_h += many_p[s] @ (linked[s] & ~back[where[s]])           # pairs that are met here only
         if not linked.any():
             return empty
-        counts: dict[int, int] = {}
-        back = [set(x) for x in h["probes"]]
-        where, many_h, many_p = p["home"].tolist(), h["members"].to_numpy(), p["members"].to_numpy()
-        for i in np.flatnonzero(linked.any(axis=1)):
-            hits = np.flatnonzero(linked[i])
-            counts[pid[i]] = counts.get(pid[i], 0) + int(many_h[hits].sum())
-            for j in hits:
-                if where[i] not in back[j]:                # this pair is met here only
-                    counts[hid[j]] = counts.get(hid[j], 0) + int(many_p[i])
         rows, cols = local_parts(linked, pid, hid)
+        in_p, in_h = linked.any(axis=1), linked.any(axis=0)
         # A vector may stand on both sides, in two parts of this block: an edge for each.
-        edges = [*zip(pid[linked.any(axis=1)], rows[linked.any(axis=1)]), *zip(hid[linked.any(axis=0)], cols[linked.any(axis=0)])]
-        return pd.DataFrame({"node": [k for k, _ in edges], "n": [counts.pop(k, 0) for k, _ in edges],
-                             "part": [v for _, v in edges]}).astype("int64")
+        return pd.DataFrame({"node": np.r_[pid[in_p], hid[in_h]], "n": np.r_[n_p[in_p], n_h[in_h]],
+                             "part": np.r_[rows[in_p], cols[in_h]]}).astype("int64")
 
     found = materialize(homes.unionByName(probes).groupBy("width", "cell", "hb", "pb")
                         .applyInPandas(compare, "node long, n long, part long"), "vector-links")
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
-    parts = components(found.select("node", "part"), "node", "part")
-    state = (nodes.select("k1", "k2", "node", "members").join(counts, "node", "left")
-             .join(parts.withColumnRenamed("id", "node"), "node", "left")
-             .select("k1", "k2", (F.coalesce("n", F.lit(0)) + F.col("members") - 1).alias("n_links"),
-                     F.coalesce("component", "node").alias("component_id")))
-    known = ids.select("id", "k1", "k2").join(state, ["k1", "k2"]).drop("k1", "k2")
-    out = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(known, F.col("vec_id") == F.col("id"), "left")
+    shared_ids = ids.groupBy("id").agg(F.min("node").alias("part"), F.max("node").alias("last")).where("part < last").drop("last")
+    edges = found.select("node", "part").unionByName(ids.join(shared_ids, "id").select("node", "part"))
+    parts = components(edges, "node", "part").withColumnRenamed("id", "node")
+    # Written tables on both sides of each join, so that Spark can split a hot vector or component.
+    state = materialize(nodes.select("node", "members").join(counts, "node", "left").join(parts, "node", "left")
+                        .select("node", (F.coalesce("n", F.lit(0)) + F.col("members") - 1).alias("n_links"),
+                                F.coalesce("component", "node").alias("component")), "vector-state")
+    known = materialize(ids.join(state, "node").drop("node"), "vector-known")
+    least = materialize(known.groupBy("component").agg(F.min("id").alias("component_id")), "vector-least")
+    known = known.join(least, "component").select("id", F.struct("k1", "k2").alias("k"), "n_links", "component_id")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.struct(*_hashes()).alias("own"))
+    out = rows.join(known, (F.col("vec_id") == F.col("id")) & (F.col("own") == F.col("k")), "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))

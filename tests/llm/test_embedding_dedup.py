@@ -49,3 +49,21 @@ def test_links_across_borders_of_low_rank_vectors(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     got = ed.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), per_cell=20).collect()
     assert sorted(map(tuple, got)) == brute(rows)
+
+
+def test_rows_that_share_an_id_but_not_a_vector(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (3, None), (4, [-1.0, 0.0])]
+    got = sorted(map(tuple, ed.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
+    assert got == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True)])
+
+
+def test_memory_with_many_cells():
+    import tracemalloc
+    r = np.random.default_rng(1)
+    x, centres = ed.unit(r.normal(size=(10_000, 64))), ed.unit(r.normal(size=(4096, 64)))
+    tracemalloc.start()
+    home, cells = ed.near_cells(x, centres, 0.99)
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    dots = x[:50] @ centres.T
+    assert (home[:50] == dots.argmax(axis=1)).all() and all(h in c for h, c in zip(home.tolist(), cells))
