@@ -2,7 +2,8 @@
 
 Semantics (a keyed "$set" with upsert):
 
-* an update whose primary key is set targets the document with that key;
+* an update whose primary key is set targets the document with that key (of
+  several, one, chosen by content);
 * an update without primary key targets, by null-safe equality on the
   secondary key (a name), the document with the least primary key among
   those with that name (NULL primary key last, those by content); at most one
@@ -66,11 +67,13 @@ def _changed(base_alias: str, upd_alias: str, fields: list[str], types: dict):
 
 def _identified(base: DataFrame, key: str) -> DataFrame:
     """``base`` with ``_salt`` (0 for keyed documents, else a hash of the
-    content) and ``_dup`` (1, 2, ... among documents of one identity)."""
+    content) and ``_dup`` (1, 2, ... among documents of one identity, by
+    content: both readings of the base number copies of a key alike)."""
     content = F.to_json(F.struct(*[F.col(c) for c in base.columns]))
-    salted = base.withColumn("_salt", F.when(F.col(key).isNull(), F.xxhash64(content)).otherwise(F.lit(0).cast("bigint")))
-    same = Window.partitionBy(key, "_salt").orderBy(key)
-    return salted.withColumn("_dup", F.row_number().over(same))
+    hashed = base.withColumn("_hash", F.xxhash64(content))
+    salted = hashed.withColumn("_salt", F.when(F.col(key).isNull(), F.col("_hash")).otherwise(F.lit(0).cast("bigint")))
+    same = Window.partitionBy(key, "_salt").orderBy("_hash")
+    return salted.withColumn("_dup", F.row_number().over(same)).drop("_hash")
 
 
 def upsert(base: DataFrame, updates: DataFrame, key: str, name: str, seq: str) -> DataFrame:
@@ -85,7 +88,10 @@ def upsert(base: DataFrame, updates: DataFrame, key: str, name: str, seq: str) -
     b = _identified(base.select(*cols), key).alias("b")
     u = (fold_updates(upd.where(F.col(key).isNotNull()), key, seq, fields).drop(seq)
          .withColumn("_salt", F.lit(0).cast("bigint")).alias("u"))
-    j1 = b.join(u, (F.col(f"b.{key}") == F.col(f"u.{key}")) & (F.col("b._salt") == F.col("u._salt")), "full_outer")
+    # Of copies of a key the first is patched, a condition beside the join's
+    # keys, so the window's partitioning serves the join too.
+    j1 = b.join(u, (F.col(f"b.{key}") == F.col(f"u.{key}")) & (F.col("b._salt") == F.col("u._salt"))
+                & (F.col("b._dup") == 1), "full_outer")
     in_b, u_hit = F.col("b._dup").isNotNull(), F.col(f"u.{key}").isNotNull()
     op1 = (F.when(~in_b, F.lit("insert"))
            .when(~u_hit, F.lit("keep"))

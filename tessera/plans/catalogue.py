@@ -466,11 +466,8 @@ FROM r FULL JOIN (SELECT *, 1 AS one FROM f2) f2 ON r.name IS NOT DISTINCT FROM
 """
 
 
-@register("upsert_mixed", _MIXED_SQL)
-def upsert_mixed(spark, sf):
-    """J3, both phases, into a non-empty base: keyed updates (matched and
-    not), key-less ones (by name, by a NULL name, without a target), and
-    several documents of one name without a key, of which one is patched."""
+def _mixed_load(spark, sf):
+    """A base with and without keys, and updates of both kinds."""
     c, o = table(spark, sf, "customer"), table(spark, sf, "orders")
     keyed, k, n = F.col("c_custkey") % 4 > 0, F.col("o_orderkey") % 3, F.col("o_orderkey") % 40
     base = c.select(
@@ -484,7 +481,29 @@ def upsert_mixed(spark, sf):
         .when(k == 2, F.concat(F.lit("n"), F.col("o_custkey") % 97)).alias("name"),
         F.when(k != 2, F.col("o_totalprice")).alias("v"), F.when(k == 2, F.col("o_orderpriority")).alias("w"),
         F.col("o_orderkey").alias("seq"))
-    return merge.upsert(base, updates, "key", "name", "seq")
+    return base, updates
+
+
+@register("upsert_mixed", _MIXED_SQL)
+def upsert_mixed(spark, sf):
+    """J3, both phases, into a non-empty base: keyed updates (matched and
+    not), key-less ones (by name, by a NULL name, without a target), and
+    several documents of one name without a key, of which one is patched."""
+    return merge.upsert(*_mixed_load(spark, sf), "key", "name", "seq")
+
+
+@register("upsert_bucketed", _MIXED_SQL)
+def upsert_bucketed(spark, sf):
+    """J3 + K2 + K3 on a collection bucketed by identity: the base is loaded,
+    the batch merged without a shuffle of the base, the next version read."""
+    from ..session import scratch_path
+    from ..sources import bucketed
+    import uuid
+    root = scratch_path(spark, f"snapshots/bucketed-{uuid.uuid4().hex[:8]}")
+    base, updates = _mixed_load(spark, sf)
+    bucketed.load(base, root, "key", "name", buckets=16)
+    bucketed.upsert(spark, root, updates, "seq")
+    return bucketed.read(spark, root)
 
 
 def _counter_sql(scenario: str, sql: str) -> str:

@@ -74,7 +74,8 @@ def version_path(root: str, version: int) -> str:
 
 
 def write_snapshot(df: DataFrame, root: str, stream: str | None = None, epoch: int | None = None,
-                   before_commit: Callable[[str, int], None] | None = None) -> str:
+                   before_commit: Callable[[str, int], None] | None = None,
+                   write: Callable[[DataFrame, str], None] | None = None) -> str:
     """K2/K3: write ``df`` as the next version and commit it. Every write is a
     full refresh of the collection (the source drops the collection before
     loading); older versions stay readable until removed.
@@ -82,14 +83,19 @@ def write_snapshot(df: DataFrame, root: str, stream: str | None = None, epoch: i
     ``stream`` and ``epoch`` record a streaming batch; a write without them
     carries on what is recorded of the streams. ``before_commit(path, version)``
     writes what belongs to the version (its counters): it becomes valid with
-    the marker, or not at all. A committed version is never written again."""
+    the marker, or not at all. A committed version is never written again.
+    ``write(df, path)`` lays the version's files out (bucketed, clustered)
+    where plain Parquet is not wanted."""
     spark = df.sparkSession
     nxt = (current_version(spark, root) or 0) + 1
     epochs = stream_epochs(spark, root)
     if stream is not None:
         epochs[stream] = epoch
     path = version_path(root, nxt)
-    df.write.mode("overwrite").parquet(path)
+    if write is None:
+        df.write.mode("overwrite").parquet(path)
+    else:
+        write(df, path)
     if before_commit is not None:
         before_commit(path, nxt)
     spark.createDataFrame([(json.dumps(epochs),)], "value string").coalesce(1) \
