@@ -133,6 +133,33 @@ def tagged_range_sorted(spark, sf):
     return lookup.water_after_level(part_documents(spark, sf), 30, 100, pattern=RING_PATTERN)
 
 
+def _indexed(docs: DataFrame, range_cols: list[str]) -> str:
+    from ..session import scratch_path
+    from ..sources import indexed
+    import uuid
+    root = scratch_path(docs.sparkSession, f"snapshots/indexed-{uuid.uuid4().hex[:8]}")
+    indexed.write(docs, root, range_cols, ["tipos"])
+    return root
+
+
+@register("indexed_range_sorted", _TAGGED_SQL + "ORDER BY numero")
+def indexed_range_sorted(spark, sf):
+    """F4 + F5 + F6 + P5 + O1 + S4 over a version clustered by level, with
+    postings: tokens and range are both filters of a Parquet scan."""
+    from ..sources import indexed
+    level = "evolucao.condicao.level"
+    root = _indexed(part_documents(spark, sf), [level, "numero"])
+    found = indexed.with_any(spark, root, "tipos", ["ring", "anel"], lookup.in_range(level, 30, 100))
+    return lookup.find_sorted(found, F.lit(True), {"numero": "numero", "nome": "nome", "level": level}, "numero", ["nome"])
+
+
+@register("indexed_multi_count", ORACLE["multi_valued_count"])
+def indexed_multi_count(spark, sf):
+    """F3 + G1 from postings alone."""
+    from ..sources import indexed
+    return indexed.count_at_least(spark, _indexed(status_documents(spark, sf), ["numero"]), "tipos", 2)
+
+
 @register("result_size", f"SELECT count(*) AS n FROM ({_TAGGED_SQL})")
 def result_size(spark, sf):
     """Size of the lookup result."""
