@@ -181,6 +181,23 @@ def dedup_keep_first(spark, sf):
     return dedup.keep_first(d, "digest", "doc_id").select("doc_id", "lang", "source", "n_chars")
 
 
+@register("dedup_stream", ORACLE["dedup_keep_first"])
+def dedup_stream(spark, sf):
+    """G3 over a stream: the documents come in three loads of mixed ids,
+    with a restart between them; state spans the batches."""
+    from ..session import scratch_path
+    from ..streaming import keep_first_stream as stream
+    import uuid
+    root = scratch_path(spark, f"keep-first-{uuid.uuid4().hex[:8]}")
+    d = table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("digest"), "lang", "source", "n_chars")
+    for load in (2, 1, 0):
+        d.where(F.abs(F.hash("doc_id")) % 3 == load).write.mode("append").parquet(f"{root}/in")
+        rows = spark.readStream.schema(d.schema).parquet(f"{root}/in")
+        stream.start_keep_first(rows, f"{root}/out", "digest", "doc_id", f"{root}/checkpoint").awaitTermination()
+    kept = stream.read_kept(spark, f"{root}/out", d.schema, "digest", "doc_id")
+    return kept.select("doc_id", "lang", "source", "n_chars")
+
+
 @register("dedup_null_key", f"""
 WITH k AS (
   SELECT c_custkey, c_name,
