@@ -1,8 +1,9 @@
 """Quality rules: a hashed n-gram logistic regression behind plain base rules.
 
-Training takes a bounded, documented sample of the labelled rows
-(``SAMPLE_ROWS``): four fifths fit the regression on hashed word and character
-n-grams, the last fifth calibrates its probabilities (Platt). Scoring is one
+Training takes all labelled rows, in chunks whose parameters are averaged
+(``labelled.fit_in_chunks``): four fifths of a chunk fit the regression on
+hashed word and character n-grams, the last fifth calibrates its probabilities
+(Platt). Scoring is one
 narrow pass in Arrow batches over whole texts with a weight vector of fixed
 size; verdicts use fixed thresholds.
 
@@ -24,9 +25,8 @@ from pyspark.sql.types import StructType
 
 from tessera.llm import features
 from tessera.llm.common import packed, unpacked
-from tessera.llm.labelled import sample
+from tessera.llm.labelled import fit_in_chunks
 
-SAMPLE_ROWS = 3000             # labelled rows the model is fitted on, at most
 MIN_WORDS = 50                 # base rule: fewer words fail
 MAX_REPEAT_PERCENT = 50        # base rule: more words in repeated 3-word windows fail
 KEEP_FROM = 0.5                # model rule: calibrated probability of quality 1
@@ -44,25 +44,32 @@ class Model(NamedTuple):
         return float(features.sigmoid(np.float64(self.slope * raw + self.shift)))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    x, y = sample(docs, labels, rows)
+def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray | None:
+    """A chunk's parameters: the weights, bias, slope and shift."""
     x = x[:, :_HASHED]                  # a view: rows are left out by weight, no part of the matrix is copied
     if len(y) < 10 or not 0 < y.sum() < len(y):
-        share = (y.sum() + 1) / (len(y) + 2)
-        return Model(np.zeros(_HASHED, np.float32), 0.0, 1.0, float(np.log(share / (1 - share))))
+        return None
     last = np.arange(len(y)) % 5 == 4
     if not 0 < y[last].sum() < last.sum():
         last[:] = True
-    fit = ~last if not last.all() else last
+    taken = ~last if not last.all() else last
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        r = fit * (features.sigmoid(x @ w[:-1].astype(np.float32) * 20 + w[-1]) - y)
-        return np.append(20 * (r.astype(np.float32) @ x) / fit.sum() + 1e-4 * w[:-1], r.sum() / fit.sum())
+        r = taken * (features.sigmoid(x @ w[:-1].astype(np.float32) * 20 + w[-1]) - y)
+        return np.append(20 * (r.astype(np.float32) @ x) / taken.sum() + 1e-4 * w[:-1], r.sum() / taken.sum())
 
     w = features.descend(gradient, _HASHED + 1, 150, 0.02)
     weights = (20 * w[:-1]).astype(np.float32)
     slope, shift = features.calibrate((x @ weights)[last] + w[-1], y[last])
-    return Model(weights, float(w[-1]), slope, shift)
+    return np.append(weights, [w[-1], slope, shift])
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Model:
+    params, n, ones = fit_in_chunks(docs, labels, fit)
+    if params is None:
+        share = (ones + 1) / (n + 2)
+        return Model(np.zeros(_HASHED, np.float32), 0.0, 1.0, float(np.log(share / (1 - share))))
+    return Model(params[:-3].astype(np.float32), *map(float, params[-3:]))
 
 
 _SCORED = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "

@@ -7,9 +7,9 @@ The threshold is a quantile of the training scores: the share of label 0 among
 them. Scores are mapped to 0..1 with that threshold at one half and a slope
 calibrated on held-back rows.
 
-Training takes a bounded, documented sample of the labelled rows
-(``SAMPLE_ROWS``) and ``PAIRS`` pairs dealt from it by a fixed rule. Scoring is
-one narrow pass over whole texts.
+Training takes all labelled rows, in chunks whose parameters are averaged
+(``labelled.fit_in_chunks``); every chunk deals ``PAIRS`` pairs from its rows by
+a fixed rule, enough for every row. Scoring is one narrow pass over whole texts.
 
 Defined cases: NULL text is the empty text and is scored like any other;
 repeated rows get equal scores; with no label of one kind every text scores the
@@ -27,10 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import features
-from tessera.llm.labelled import sample, vector
+from tessera.llm.labelled import WIDTH, fit_in_chunks, vector
 
-SAMPLE_ROWS = 3000             # labelled rows, at most
-PAIRS = 12_000                 # preference pairs per fit
+PAIRS = 12_000                 # preference pairs per chunk
 FOLDS, HELD_OUT = 3, 1         # crc32(doc_id as text) mod 3 = 1 is never learned from
 
 
@@ -100,6 +99,16 @@ def score_documents(docs: DataFrame, ranker: Ranker) -> DataFrame:
             .withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)))
 
 
+def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray | None:
+    """A chunk's parameters: the weights, threshold and slope."""
+    found = train(x, y)
+    return np.append(found.weights, [found.threshold, found.slope]) if found.weights.any() else None
+
+
 def rank_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    x, y = sample(docs, labels, SAMPLE_ROWS, ~held_out())
-    return score_documents(docs, train(x, y))
+    params, n, ones = fit_in_chunks(docs, labels, fit, ~held_out())
+    if params is None:
+        ranker = Ranker(np.zeros(WIDTH, np.float32), 0.0, 1.0, (ones + 1) / (n + 2))
+    else:
+        ranker = Ranker(params[:-2].astype(np.float32), float(params[-2]), float(params[-1]), 0.5)
+    return score_documents(docs, ranker)

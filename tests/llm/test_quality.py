@@ -82,6 +82,26 @@ def test_sample_is_bounded(corpus):
     assert x.shape[0] == len(y) == 50
 
 
+def test_every_labelled_row_is_learned_from(corpus):
+    docs, labels = corpus
+    seen = lambda x, y: np.append(x.astype(np.float64).mean(axis=0), [len(y)])
+    whole, n, ones = labelled.fit_in_chunks(docs, labels, seen)
+    parts, m, _ = labelled.fit_in_chunks(docs, labels, seen, chunk_rows=40)
+    assert n == m == labels.count() and ones == labels.where("quality = 1").count()
+    assert whole[-1] == n and parts[-1] < 100 and np.allclose(whole[:-1], parts[:-1])
+    assert labelled.fit_in_chunks(docs, labels, lambda x, y: None) == (None, n, ones)
+
+
+def test_chunks_are_averaged_into_a_model(corpus, monkeypatch):
+    docs, labels = corpus
+    monkeypatch.setattr(labelled.fit_in_chunks, "__defaults__", (None, 100))
+    ranked = {r.doc_id: r.predicted for r in ranking.rank_documents(docs, labels).collect()}
+    judged = {r.doc_id: r.kept for r in quality_rules.quality_report(docs, labels).collect()}
+    known = labels.collect()
+    assert np.mean([ranked[r.doc_id] == r.quality for r in known]) > 0.97
+    assert np.mean([judged[r.doc_id] == bool(r.quality) for r in known]) > 0.97
+
+
 def test_odd_rows(odd_docs, no_docs, odd_labels):
     none = odd_labels.where("false")
     for labels in (odd_labels, none):
