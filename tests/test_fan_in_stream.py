@@ -47,3 +47,22 @@ def test_least_text_empty_replies_and_second_items(load):
 def test_an_item_that_comes_past_its_deadline(load):
     load((1, [], None, None, 3000))
     assert (2, [("b", NOTE)], 1) in load((2, ["b"], None, None, 3001), (-1, None, 0, None, 3500))
+
+
+def test_items_of_one_bucket_keep_their_own_deadlines(spark, tmp_path):
+    def load(*events):
+        rows = [(i, n, p, t, at(s)) for i, n, p, t, s in events]
+        (spark.createDataFrame(rows, "item long, names array<string>, pos int, text string, at string")
+         .withColumn("at", F.col("at").cast("timestamp")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/events"))
+        stream = spark.readStream.schema(fs.EVENTS).parquet(f"{tmp_path}/events")
+        fs.run_available(stream, f"{tmp_path}/items", f"{tmp_path}/checkpoint", wait_ms=60_000, buckets=1)
+        return sorted((r["item"], [tuple(x) for x in r["list"]], r["n_missing"])
+                      for r in spark.read.parquet(f"{tmp_path}/items").collect())
+
+    late = [(i, [f"n{i}"], None, None, 40) for i in range(10, 15)]
+    assert load((1, ["a"], None, None, 0), (2, ["b"], None, None, 30), (3, ["c"], None, None, 0), (3, None, 0, "C", 1),
+                *late) == [(3, [("c", "C")], 0)]
+    got = load((2, None, 0, "B", 61))                   # item 1's deadline is passed, not those of the others
+    assert [x for x in got if x[0] < 10] == [(1, [("a", NOTE)], 1), (2, [("b", "B")], 0), (3, [("c", "C")], 0)] and len(got) == 3
+    got = load((-1, None, 0, None, 101))
+    assert [x for x in got if x[0] >= 10] == [(i, [(f"n{i}", NOTE)], 1) for i in range(10, 15)]
