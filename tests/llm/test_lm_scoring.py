@@ -166,3 +166,34 @@ def test_odd_rows(odd_docs, no_docs):
     got = lm.score_documents(odd_docs).collect()
     assert len(got) == odd_docs.count() and all(math.isfinite(r.score) and r.score <= 0 for r in got)
     assert lm.score_documents(no_docs).count() == 0
+
+
+def test_mixer_is_settled_over_all_training_words(corpus, monkeypatch):
+    used, planes, score_words = {}, lm.planes, lm.score_words
+    monkeypatch.setattr(lm, "planes", lambda tables: used.update(tables=[t.copy() for t in tables]) or planes(tables))
+    monkeypatch.setattr(lm, "score_words", lambda counts, n, made, mixer: used.update(counts=counts, mixer=mixer) or
+                        score_words(counts, n, made, mixer))
+    lm.score_documents(corpus)
+    rows = used["counts"].where("n > 0").collect()
+    args = [bytes(r.word) for r in rows], np.array([r["class"] for r in rows]), np.array([r.n for r in rows])
+    weights = used["mixer"].weights
+    further = lm.newton(weights, lm.mixer_stats(used["tables"], weights, *args)).weights
+    assert np.abs(further - weights).max() < 0.01
+
+
+def test_where_the_mixer_begins_does_not_matter(spark):
+    r = np.random.default_rng(5)
+    words = sorted({bytes(r.integers(97, 102, int(k)).astype(np.uint8)) for k in r.integers(1, 6, 400)})
+    classes, n = np.zeros(len(words), dtype=np.int64), r.integers(1, 200, len(words))
+    tables = lm.empty_tables()
+    lm.add_words(tables, words, classes, n)
+    counts = spark.createDataFrame([(0, w, int(k)) for w, k in zip(words, n)], "class int, word binary, n long")
+    begun = lm.train_mixer(tables, [], classes[:0])
+    far = begun._replace(weights=begun.weights[:, ::-1] + 1)
+    online, first, other = (lm.fit_mixer(counts, len(words), tables, s, least=1e-8) for s in (None, begun, far))
+    assert np.allclose(online.weights, first.weights, atol=1e-2) and np.allclose(other.weights, first.weights, atol=1e-2)
+    assert np.abs(first.weights - begun.weights).max() > 0.05
+
+    twice = [w for w, k in zip(words[:50], n) for _ in range(k)]
+    want = lm.train_mixer(tables, twice, np.zeros(len(twice), dtype=np.int64))
+    assert all(np.allclose(a, b, atol=1e-4) for a, b in zip(want, lm.train_mixer(tables, words[:50], classes[:50], n[:50])))
