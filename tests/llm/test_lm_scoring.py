@@ -197,3 +197,16 @@ def test_where_the_mixer_begins_does_not_matter(spark):
     twice = [w for w, k in zip(words[:50], n) for _ in range(k)]
     want = lm.train_mixer(tables, twice, np.zeros(len(twice), dtype=np.int64))
     assert all(np.allclose(a, b, atol=1e-4) for a, b in zip(want, lm.train_mixer(tables, words[:50], classes[:50], n[:50])))
+
+
+def test_bits_of_a_long_word_come_in_pieces():
+    rng = np.random.default_rng(6)
+    words = [bytes(rng.integers(97, 100, k).astype(np.uint8)) for k in (3, 5000, 9)]
+    classes, n = np.zeros(3, dtype=np.int64), np.array([4, 2, 7])
+    tables = lm.empty_tables()
+    lm.add_words(tables, words, classes, n)
+    parts = list(lm.bits(tables, words, classes, n, 700))
+    assert max(len(p.n) for p in parts) <= 8 * 700
+    whole, = lm.bits(tables, words, classes, n, 100_000)
+    assert sum(p.n.sum() for p in parts) == whole.n.sum() and all((np.diff(p.gate.astype(int)) >= 0).all() for p in parts)
+    assert np.allclose(sum(p.x.astype(float) @ (p.n * p.one) for p in parts), whole.x.astype(float) @ (whole.n * whole.one))
